@@ -37,12 +37,17 @@ def decode_json(df: DataFrame, schema: StructType, col="value",
 
     Malformed text gives a row of nulls (PERMISSIVE), never a failure.
     ``keep`` carries envelope columns such as ``offset`` through.
+
+    The parsed struct is unpacked through a one-element ``inline`` rather than
+    a projection: filters on the decoded fields (user filters, and the
+    ``isnotnull`` that Catalyst infers from a join key) then stay above the
+    parse instead of being pushed below it with a copy of the whole
+    ``from_json`` each, so every message is parsed exactly once.
     """
     src = _c(col)
     if isinstance(col, str) and isinstance(df.schema[col].dataType, BinaryType):
         src = src.cast("string")
-    return (df.select(*keep, F.from_json(src, schema).alias(_V))
-              .select(*keep, *[F.col(f"{_V}.{f.name}").alias(f.name) for f in schema.fields]))
+    return df.select(*keep, F.inline(F.array(F.from_json(src, schema))))
 
 
 def flatten(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:

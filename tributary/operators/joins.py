@@ -70,11 +70,10 @@ def status_board(stations: DataFrame, slots: DataFrame, counts: DataFrame,
 def attach_weather(board: DataFrame, weather: DataFrame) -> DataFrame:
     """The current-weather row on every board row. The weather table is one
     row by construction (a global aggregate), so it goes in as two scalar
-    subqueries evaluated once - no join, no shuffle."""
-    return board.withColumns({
-        "temperature": weather.select(display_temperature("temperature")).scalar(),
-        "weather": weather.select(display_status("status")).scalar(),
-    })
+    subquery evaluated once - no join, no shuffle."""
+    w = weather.select(F.struct(display_temperature("temperature").alias("t"),
+                                display_status("status").alias("s"))).scalar()
+    return board.withColumns({"temperature": w.getField("t"), "weather": w.getField("s")})
 
 
 # J4, J5, P16, P17 -------------------------------------------------------------
