@@ -71,24 +71,30 @@ def to_changelog(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
                         F.to_json(F.struct(*[c for c in df.columns])).alias("value"))
 
 
-def upsert_table(path: str, keys: Sequence[str], ord_cols: Sequence[str]):
+VERSION = "__version"
+
+
+def upsert_table(path: str, keys: Sequence[str], ord_cols: str | Sequence[str] | None = None):
     """``foreachBatch`` function keeping a keyed last-value-wins table in parquet.
 
-    Each micro-batch writes a new version ``version=<batch_id>`` = latest row
-    per key over (previous version + batch). Writing by batch id makes a
-    replayed batch overwrite its own output, so a restart after a lost executor
-    neither loses nor duplicates rows. Readers take the highest version.
+    Each micro-batch writes version ``version=<batch_id>`` = the latest row per
+    key over (previous version + batch), ordered by ``ord_cols`` (message order,
+    needed when a batch can hold several rows per key) and then by batch id (an
+    update-mode aggregate emits one row per changed key). Writing by batch id
+    makes a replayed batch overwrite its own output, so a restart after a lost
+    executor neither loses nor duplicates rows. Readers take the highest version.
     """
-    keys, ord_cols = list(keys), list(ord_cols)
+    keys = list(keys)
+    ords = [ord_cols] if isinstance(ord_cols, str) else list(ord_cols or [])
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        rows = batch.withColumn(VERSION, F.lit(batch_id).cast("long"))
         prev = latest_version(spark, path, below=batch_id)
-        rows = batch
         if prev is not None:
-            rows = prev.unionByName(batch)
-        merged = latest_by_key(rows, keys, ord_cols)
-        (merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}"))
+            rows = prev.unionByName(rows)
+        merged = latest_by_key(rows, keys, [*ords, VERSION])
+        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
 
     return _merge
 
