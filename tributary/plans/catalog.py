@@ -17,8 +17,11 @@ from ..functions.columns import slug
 from ..functions.decode import check_constraints, decode_json
 from ..operators.state import latest_by_key, running_count, upsert_count
 from ..operators.window import line_topology as _line_topology
+from ..session import scratch_path
+from ..sources.files import envelope_stream, write_envelope
 from ..sources.jdbc import incremental_slice
 from ..sources.tables import table
+from ..streaming import jobs
 from . import encode as E
 from . import passthrough as P
 from . import risk as R
@@ -134,6 +137,48 @@ def s6_incremental_load(spark, sf_dir):
     return new.withColumn("high_water", high.scalar())
 
 
+# ---- streaming forms (same answer as batch; state crosses a restart) ---------------
+def _halves(env: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The part of a topic present at the first start and the part that arrives
+    before the restart (by offset parity, so both halves span all keys)."""
+    return env.where(F.col("offset") % 2 == 0), env.where(F.col("offset") % 2 == 1)
+
+
+def t1_stream_risk_graph(spark, sf_dir):
+    """Q1 as a stream-stream join (append mode): run, restart after more events
+    arrive, read back from the sink."""
+    root = scratch_path(spark, "t1-risk-graph")
+    first, rest = _halves(E.risk_event_messages(_t(spark, sf_dir, "events")))
+    write_envelope(first, f"{root}/events")
+    write_envelope(E.customer_sorted_set_messages(_t(spark, sf_dir, "customer")), f"{root}/customers")
+
+    def run():
+        q = R.risk_graph(envelope_stream(spark, f"{root}/events"), envelope_stream(spark, f"{root}/customers"))
+        jobs.run_append(q, f"{root}/out", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/events")
+    run()
+    return spark.read.parquet(f"{root}/out")
+
+
+def t2_stream_slot_occupancy(spark, sf_dir):
+    """A5 as an update-mode stateful aggregation merged into a keyed table: run,
+    restart after more arrivals, read back the current snapshot."""
+    root = scratch_path(spark, "t2-slots")
+    first, rest = _halves(E.arrival_messages(_t(spark, sf_dir, "events")))
+    write_envelope(first, f"{root}/arrivals")
+
+    def run():
+        jobs.run_table(T.slot_occupancy(envelope_stream(spark, f"{root}/arrivals")),
+                       ["line", "station_id", "direction"], f"{root}/table", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/arrivals")
+    run()
+    return jobs.read_table(spark, f"{root}/table")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -155,6 +200,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d10_constraints": d10_constraints,
     "p14_slug": p14_slug,
     "s6_incremental_load": s6_incremental_load,
+    "t1_stream_risk_graph": t1_stream_risk_graph,
+    "t2_stream_slot_occupancy": t2_stream_slot_occupancy,
 }
 
 
@@ -345,3 +392,5 @@ SELECT p_partkey, p_name, (SELECT max(p_partkey) FROM part) AS high_water FROM p
 WHERE p_partkey > (SELECT floor(max(p_partkey) / 2) FROM part)
 """,
 }
+ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
+ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
