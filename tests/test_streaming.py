@@ -18,7 +18,6 @@ from tributary.session import checkpoint_root
 from tributary.sources.files import envelope_stream, write_envelope
 from tributary.sources.tables import table
 from tributary.streaming import jobs
-from tributary.operators.state import latest_by_key, slot_occupancy as slots_op, running_count
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,22 +71,22 @@ def test_a5_slots_update_mode_equals_batch(spark, events):
     path, out = _topic(spark, env, 5, "arrivals"), _dir(spark, "slots")
     jobs.run_table(T.slot_occupancy(envelope_stream(spark, path, 1)),
                    ["line", "station_id", "direction"], out)
-    assert rows(jobs.read_table(spark, out)) == rows(T.slot_occupancy(env))
+    assert rows(jobs.read_table(spark, out, ["line", "station_id", "direction"])) == rows(T.slot_occupancy(env))
 
 
 def test_q4_station_table_update_mode_equals_batch(spark):
     env = E.station_messages(table(spark, SF, "part"))
     path, out = _topic(spark, env, 4, "stations"), _dir(spark, "stations")
     jobs.run_table(T.stations_table(envelope_stream(spark, path, 1)), ["station_id"], out)
-    got = jobs.read_table(spark, out).select("station_id", "station_name", "order", "line")
+    got = jobs.read_table(spark, out, ["station_id"]).select("station_id", "station_name", "order", "line")
     assert rows(got) == rows(T.stations_table(env))
 
 
 def test_q5_counts_update_mode_equals_batch(spark, events):
     env = E.turnstile_messages(events)
     path, out = _topic(spark, env, 3, "turnstile"), _dir(spark, "counts")
-    jobs.run_table(T.turnstile_counts(envelope_stream(spark, path, 1)), ["station_id"], out)
-    assert rows(jobs.read_table(spark, out)) == rows(T.turnstile_counts(env))
+    jobs.run_table(T.turnstile_counts(envelope_stream(spark, path, 1)), ["station_id"], out, compact_every=2)
+    assert rows(jobs.read_table(spark, out, ["station_id"])) == rows(T.turnstile_counts(env))
 
 
 def test_a2_upsert_count_stream_equals_batch(spark, events):
@@ -97,6 +96,6 @@ def test_a2_upsert_count_stream_equals_batch(spark, events):
     msgs.repartition(4).write.parquet(path)
     stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = _dir(spark, "a2")
-    jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out)
-    got = jobs.read_table(spark, f"{out}/counts")
+    jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out, compact_every=3)
+    got = jobs.read_upsert_count(spark, out, "user_id")
     assert rows(got) == rows(upsert_count(msgs, "msg_key", "user_id", "event_id"))

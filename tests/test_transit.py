@@ -188,3 +188,39 @@ def test_summary_roundtrip(spark):
     assert msgs == {"5": {"STATION_ID": 5, "COUNT": 3}, "6": {"STATION_ID": 6, "COUNT": 1}}
     back = T.summary_counts(env_rows(spark, [m for m in msgs.values()]))
     assert rows(back) == [(5, 3), (6, 1)]
+
+
+def _slot_model(arrivals):
+    """Message-by-message replay of the board's slot rules (brute force)."""
+    slots = {}
+    for seq, line, st, d, train, status, pst, pd in sorted(arrivals):
+        if pst is not None and pd is not None:
+            slots[(line, pst, "a" if pd == "a" else "b")] = (None, None)
+        slots[(line, st, "a" if d == "a" else "b")] = (train, status.replace("_", " "))
+    return slots
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_slot_occupancy_matches_replay(spark, seed):
+    rnd = random.Random(seed)
+    items = []
+    for seq in rnd.sample(range(10_000), 300):
+        prev = rnd.random() < 0.8
+        items.append((seq, rnd.choice(["blue", "red"]), rnd.randint(0, 6), rnd.choice(["a", "b", "c"]),
+                      f"T{rnd.randint(0, 9)}", rnd.choice(S.TRAIN_STATUSES),
+                      rnd.randint(0, 6) if prev else None, rnd.choice(["a", "b", None]) if prev else None))
+    got = {(r["line"], r["station_id"], r["direction"]): (r["train_id"], r["train_status"])
+           for r in slot_occupancy(_arrivals(spark, items)).collect()}
+    assert got == _slot_model(items)
+
+
+def test_arrival_prev_fields_match_replay(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    got = {r["offset"]: (r["prev_station_id"], r["prev_direction"])
+           for r in E.arrivals_from_events(ev, block_width=16).collect()}
+    last = {}
+    want = {}
+    for r in sorted(ev.select("event_id", "user_id").collect()):
+        want[r["event_id"]] = last.get(r["user_id"], (None, None))
+        last[r["user_id"]] = (r["event_id"] % 40, "a" if (r["event_id"] // 40) % 2 == 0 else "b")
+    assert got == want

@@ -5,7 +5,7 @@ aggregate before the shuffle, so a key holding a third of all rows costs one
 row per input partition on the wire. On a streaming DataFrame the same plans
 run as stateful aggregations (update / complete mode) with state partitioned by
 key; A2 is two chained aggregations and therefore runs per micro-batch through
-``streaming.sinks.upsert_table``.
+``streaming.jobs.run_upsert_count``.
 """
 
 from __future__ import annotations

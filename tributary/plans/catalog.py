@@ -176,7 +176,7 @@ def t2_stream_slot_occupancy(spark, sf_dir):
     run()
     write_envelope(rest, f"{root}/arrivals")
     run()
-    return jobs.read_table(spark, f"{root}/table")
+    return jobs.read_table(spark, f"{root}/table", ["line", "station_id", "direction"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,24 +2,24 @@
 
 Stateless and join queries (Q1-Q3, Q10) run as append-mode streams straight
 into a sink. Keyed tables (A1, A3, A4, A5, Q5) run as stateful aggregations in
-update mode; each micro-batch of changed keys is merged into a versioned
-parquet table (``sinks.upsert_table``), from which the board (Q6) is a batch
-join over snapshots - several stateful operators in update mode do not chain
-inside one streaming query. A2 (two chained aggregations) re-aggregates its
-message table per micro-batch.
+update mode; each micro-batch of changed keys is appended to the table's
+changelog (``sinks.changelog_writer``), and the table is read as the latest row
+per key. The board (Q6) is a batch join over those tables: several stateful
+operators in update mode do not chain inside one streaming query. A2 (two
+chained aggregations) keeps its counts as +1/-1 deltas per micro-batch.
 
 All state lives in the query checkpoint under ``spark.checkpoint.dir``, so a
 restarted query resumes from the last committed offsets; replayed batches
-overwrite their own table version, giving neither loss nor duplicates.
+overwrite their own changelog folder, giving neither loss nor duplicates.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.state import running_count
+from ..operators.state import latest_by_key
 from . import sinks
 from .run import run_stream
 
@@ -34,32 +34,60 @@ def run_append(df: DataFrame, path: str, checkpoint: str | None = None, trigger:
 
 
 def run_table(agg: DataFrame, keys: Sequence[str], path: str, checkpoint: str | None = None,
-              trigger: dict | None = None):
-    """Update-mode stateful aggregation merged into a keyed, versioned table."""
+              trigger: dict | None = None, compact_every: int | None = 50):
+    """Update-mode stateful aggregation; each micro-batch of changed keys is
+    appended to the table's changelog (see ``sinks.changelog_writer``)."""
     return run_stream(agg, sink="foreach", mode="update", checkpoint=checkpoint, trigger=trigger,
-                      foreach_batch=sinks.upsert_table(path, keys))
+                      foreach_batch=sinks.changelog_writer(path, keys, None, compact_every))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, keys: Sequence[str], ord_cols=None) -> DataFrame | None:
     """Current snapshot of a table kept by ``run_table``."""
-    snap = sinks.latest_version(spark, path)
-    return None if snap is None else snap.drop(sinks.VERSION)
+    return sinks.read_changelog_table(spark, path, keys, ord_cols)
+
+
+DELTA = "__delta"
 
 
 def run_upsert_count(messages: DataFrame, msg_keys: Sequence[str], key: str, ord_col: str,
-                     path: str, checkpoint: str | None = None, trigger: dict | None = None):
-    """A2 as a stream: the message table (last per message key) is kept by
-    ``upsert_table``; the per-key count is recomputed from it per micro-batch
-    and written as the next version of ``path``/counts."""
+                     path: str, checkpoint: str | None = None, trigger: dict | None = None,
+                     compact_every: int | None = 50):
+    """A2 as a stream, maintained incrementally.
+
+    Per micro-batch: the latest message per message key inside the batch
+    (partial aggregate), looked up against the message table as it stood before
+    the batch; a message key whose value changes emits -1 for its old value and
+    +1 for its new one. Messages and deltas are appended to two changelogs, so
+    the work per batch follows the batch; ``read_upsert_count`` sums the deltas.
+    """
     msg_keys = list(msg_keys)
-    keep = sinks.upsert_table(f"{path}/messages", msg_keys, ord_col)
+    keep = sinks.changelog_writer(f"{path}/messages", msg_keys, ord_col, compact_every)
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        keep(batch.select(*msg_keys, key, ord_col), batch_id)
-        current = sinks.latest_version(batch.sparkSession, f"{path}/messages")
-        counts = running_count(current, key)
-        counts.write.mode("overwrite").parquet(f"{path}/counts/version={batch_id}")
+        spark = batch.sparkSession
+        latest = latest_by_key(batch.select(*msg_keys, key, ord_col), msg_keys, ord_col, [key, ord_col])
+        before = sinks.read_changelog_table(spark, f"{path}/messages", msg_keys, ord_col, below=batch_id)
+        if before is None:
+            changed = latest.select(F.col(key).alias("new"), F.lit(None).cast(latest.schema[key].dataType).alias("old"))
+        else:
+            old = before.select(*msg_keys, F.col(key).alias("__old"), F.col(ord_col).alias("__old_ord"))
+            j = latest.join(old, msg_keys, "left")
+            changed = (j.where(F.col("__old_ord").isNull() | (F.col(ord_col) > F.col("__old_ord")))
+                        .select(F.col(key).alias("new"), F.col("__old").alias("old")))
+        deltas = (changed.select(F.col("new").alias(key), F.lit(1).alias(DELTA))
+                  .unionByName(changed.where(F.col("old").isNotNull())
+                               .select(F.col("old").alias(key), F.lit(-1).alias(DELTA)))
+                  .where(F.col(key).isNotNull())
+                  .groupBy(key).agg(F.sum(DELTA).alias(DELTA)))
+        deltas.write.mode("overwrite").parquet(f"{path}/counts/{sinks.VERSION}={batch_id}")
+        keep(latest, batch_id)
 
     return run_stream(messages, sink="foreach", mode="append", checkpoint=checkpoint,
                       trigger=trigger, foreach_batch=_batch)
 
+
+def read_upsert_count(spark: SparkSession, path: str, key: str, alias: str = "count") -> DataFrame:
+    """Counts of ``run_upsert_count``: the sum of deltas per key (keys at 0 drop out)."""
+    d = spark.read.parquet(f"{path}/counts")
+    return (d.groupBy(key).agg(F.sum(DELTA).cast("long").alias(alias))
+             .where(F.col(alias) > 0))

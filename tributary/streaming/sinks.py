@@ -74,40 +74,70 @@ def to_changelog(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 VERSION = "__version"
 
 
-def upsert_table(path: str, keys: Sequence[str], ord_cols: str | Sequence[str] | None = None):
-    """``foreachBatch`` function keeping a keyed last-value-wins table in parquet.
-
-    Each micro-batch writes version ``version=<batch_id>`` = the latest row per
-    key over (previous version + batch), ordered by ``ord_cols`` (message order,
-    needed when a batch can hold several rows per key) and then by batch id (an
-    update-mode aggregate emits one row per changed key). Writing by batch id
-    makes a replayed batch overwrite its own output, so a restart after a lost
-    executor neither loses nor duplicates rows. Readers take the highest version.
+def _versions(spark, path: str) -> list[int]:
+    """Version numbers present under ``path`` (``__version=N`` folders), from the
+    file listing only - no job runs."""
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except Exception:
+        return []
+    found = set()
+    for f in files:
+        for part in f.split("/"):
+            if part.startswith(VERSION + "="):
+                found.add(int(part.split("=", 1)[1]))
+    return sorted(found)
+
+
+def changelog_writer(path: str, keys: Sequence[str] | None = None,
+                     ord_cols: str | Sequence[str] | None = None, compact_every: int | None = None):
+    """``foreachBatch`` function appending a micro-batch of keyed rows to a table's
+    changelog (``path/log/__version=<batch_id>``).
+
+    Work per batch is proportional to the batch, not to the table. Writing the
+    folder of the batch id with overwrite makes a replayed batch (after a lost
+    executor or a restart) replace its own output: no loss, no duplicates.
+    Every ``compact_every`` batches the current table is written as a snapshot
+    (``path/snap/__version=<batch_id>``), so readers scan snapshot + newer log.
     """
-    keys = list(keys)
-    ords = [ord_cols] if isinstance(ord_cols, str) else list(ord_cols or [])
-
-    def _merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn(VERSION, F.lit(batch_id).cast("long"))
-        prev = latest_version(spark, path, below=batch_id)
-        if prev is not None:
-            rows = prev.unionByName(rows)
-        merged = latest_by_key(rows, keys, [*ords, VERSION])
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/log/{VERSION}={batch_id}")
+        if compact_every and keys and batch_id % compact_every == compact_every - 1:
+            compact(batch.sparkSession, path, keys, ord_cols, upto=batch_id)
 
-    return _merge
+    return _write
 
 
-def latest_version(spark, path: str, below: int | None = None) -> DataFrame | None:
-    """The newest complete version written by ``upsert_table``."""
-    try:
-        versions = spark.read.parquet(path).select("version").distinct()
-    except Exception:
-        return None
-    if below is not None:
-        versions = versions.where(F.col("version") < below)
-    top = versions.agg(F.max("version").alias("v")).first()
-    if top is None or top["v"] is None:
+def read_changelog_table(spark, path: str, keys: Sequence[str], ord_cols: str | Sequence[str] | None = None,
+                         below: int | None = None, keep_version: bool = False) -> DataFrame | None:
+    """Current table of a changelog: latest row per key by (``ord_cols``, batch id)
+    over the newest snapshot and the log after it. A partial aggregate per key,
+    so it scales with the log, and a hot key costs one row per input partition."""
+    ords = [ord_cols] if isinstance(ord_cols, str) else list(ord_cols or [])
+    snaps = [v for v in _versions(spark, f"{path}/snap") if below is None or v < below]
+    logs = [v for v in _versions(spark, f"{path}/log") if below is None or v < below]
+    snap = snaps[-1] if snaps else None
+    parts = []
+    if snap is not None:
+        parts.append(spark.read.parquet(f"{path}/snap/{VERSION}={snap}").withColumn(VERSION, F.lit(snap)))
+    newer = [v for v in logs if snap is None or v > snap]
+    if newer:
+        log = spark.read.parquet(f"{path}/log").where(F.col(VERSION).isin(newer))
+        parts.append(log.withColumn(VERSION, F.col(VERSION).cast("int")))
+    if not parts:
         return None
-    return spark.read.parquet(f"{path}/version={top['v']}")
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    table = latest_by_key(rows, list(keys), [*ords, VERSION])
+    return table if keep_version else table.drop(VERSION)
+
+
+def compact(spark, path: str, keys: Sequence[str], ord_cols=None, upto: int | None = None) -> None:
+    """Write the table as of batch ``upto`` as a snapshot; later reads skip older log."""
+    table = read_changelog_table(spark, path, keys, ord_cols,
+                                 below=None if upto is None else upto + 1)
+    if table is None:
+        return
+    version = upto if upto is not None else max(_versions(spark, f"{path}/log"))
+    table.write.mode("overwrite").parquet(f"{path}/snap/{VERSION}={version}")
