@@ -92,3 +92,12 @@ def test_risk_output_key_is_customer(spark):
     r = R.risk_graph(ev, cu).first()
     assert r["key"] == "z@x"
     assert json.loads(r["value"]) == {"customer": "z@x", "score": "-27.5", "email": "z@x", "birthYear": "1947"}
+
+
+def test_salted_join_gives_the_same_pairs(spark):
+    items = [("hot@x", float(i), "2022-01-07", "1950") for i in range(40)] + GOLDEN
+    ev = _events(spark, items)
+    cu = _customers(spark, [("hot@x", 0.0, "2022-01-07", "1950")] * 2 + GOLDEN)
+    plain = rows(R.risk_graph(ev, cu, salt=1))
+    assert len(plain) == 80 + len(GOLDEN)
+    assert rows(R.risk_graph(ev, cu, salt=7)) == plain

@@ -36,7 +36,7 @@ def test_raw_messages_null_key(spark):
 
 def test_incremental_slice(spark):
     df = spark.createDataFrame([(i, f"s{i}") for i in (3, 1, 7, 5)], "stop_id int, name string")
-    new, high = incremental_slice(df, "stop_id", 3)
+    new, high = incremental_slice(df, "stop_id", 3, ordered=True)
     assert [r["stop_id"] for r in new.collect()] == [5, 7]
     assert high.first()["high_water"] == 7
     none, same = incremental_slice(df, "stop_id", 7)

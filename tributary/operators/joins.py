@@ -16,7 +16,12 @@ from ..functions.columns import (colour_code, display_status, display_temperatur
 
 
 # J1 ----------------------------------------------------------------------------
-def join_risk(risk: DataFrame, customers: DataFrame, bound: dict | None = None) -> DataFrame:
+STREAM_SALT = 16
+SALT = "__salt"
+
+
+def join_risk(risk: DataFrame, customers: DataFrame, bound: dict | None = None,
+              salt: int | None = None, salt_by: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
     """Inner equi-join ``customer = email``; every matching pair, duplicates kept,
     nulls never match.
 
@@ -24,8 +29,22 @@ def join_risk(risk: DataFrame, customers: DataFrame, bound: dict | None = None)
     unbounded) limits stream-stream state: ``{"risk_time": col, "customer_time":
     col, "delay": "10 minutes", "range": "1 hour"}`` adds watermarks on both
     sides and a time-range condition so old state can be dropped.
+
+    ``salt`` spreads a hot customer over that many join partitions: each risk
+    row gets a salt from a hash of its message position (``salt_by`` columns,
+    so a replayed message keeps its salt) and each customer row is repeated
+    once per salt, so every pair is still produced exactly once. Streams get
+    ``STREAM_SALT`` by default (no AQE there); batch plans leave skew to AQE's
+    skew-join split.
     """
-    cond = risk["customer"] == customers["email"]
+    if salt is None:
+        salt = STREAM_SALT if risk.isStreaming else 1
+    if salt > 1 and all(c in risk.columns for c in salt_by):
+        risk = risk.withColumn(SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salt)).cast("int"))
+        customers = customers.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        cond = (risk["customer"] == customers["email"]) & (risk[SALT] == customers[SALT])
+    else:
+        cond = risk["customer"] == customers["email"]
     if bound:
         rt, ct = bound["risk_time"], bound["customer_time"]
         risk = risk.withWatermark(rt, bound.get("delay", "10 minutes"))
@@ -69,7 +88,7 @@ def status_board(stations: DataFrame, slots: DataFrame, counts: DataFrame,
 
 def attach_weather(board: DataFrame, weather: DataFrame) -> DataFrame:
     """The current-weather row on every board row. The weather table is one
-    row by construction (a global aggregate), so it goes in as two scalar
+    row by construction (a global aggregate), so it goes in as one scalar
     subquery evaluated once - no join, no shuffle."""
     w = weather.select(F.struct(display_temperature("temperature").alias("t"),
                                 display_status("status").alias("s"))).scalar()
@@ -77,8 +96,9 @@ def attach_weather(board: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 # J4, J5, P16, P17 -------------------------------------------------------------
-def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_seconds_divisor: int,
-                     calendar: str = "reference") -> DataFrame:
+def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
+                     step_seconds_divisor: int | None = None, calendar: str = "reference",
+                     variants: dict[str, tuple[str, int]] | None = None) -> DataFrame:
     """Deterministic turnstile entries for each simulation tick.
 
     ticks: (station_id, ts, ...) one row per station and step.
@@ -86,18 +106,22 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_s
            avg_sunday-holiday_rides); J4 inner equi-join on station_id.
     curve: (hour, ridership_ratio); J5 equi-join on hour(ts). A curve is keyed by
            hour of day, so it has at most 25 rows: broadcasting it is safe.
+    variants: output column -> (calendar, divisor); all computed in the same
+           pass. Default: ``{"entries": (calendar, step_seconds_divisor)}``.
     """
+    if variants is None:
+        variants = {"entries": (calendar, step_seconds_divisor)}
     riders = seed.select(
         "station_id",
-        whole_rides("avg_weekday_rides").alias("weekday"),
-        whole_rides("avg_saturday_rides").alias("saturday"),
-        whole_rides("`avg_sunday-holiday_rides`").alias("sunday"))
-    kind = day_kind("ts", calendar)
-    rides = (F.when(kind == "weekday", F.col("weekday")).when(kind == "saturday", F.col("saturday"))
-              .otherwise(F.col("sunday")))
-    return (ticks.join(riders, "station_id", "inner")
-                 .withColumn("hour", F.hour("ts"))
-                 .join(F.broadcast(curve.select("hour", "ridership_ratio")), "hour", "inner")
-                 .withColumn("entries", step_entries(rides, F.col("ridership_ratio"),
-                                                     F.lit(step_seconds_divisor)))
-                 .drop("weekday", "saturday", "sunday"))
+        whole_rides("avg_weekday_rides").alias("__weekday"),
+        whole_rides("avg_saturday_rides").alias("__saturday"),
+        whole_rides("`avg_sunday-holiday_rides`").alias("__sunday"))
+    out = (ticks.join(riders, "station_id", "inner")
+                .withColumn("hour", F.hour("ts"))
+                .join(F.broadcast(curve.select("hour", "ridership_ratio")), "hour", "inner"))
+    for name, (cal, divisor) in variants.items():
+        kind = day_kind("ts", cal)
+        rides = (F.when(kind == "weekday", F.col("__weekday")).when(kind == "saturday", F.col("__saturday"))
+                  .otherwise(F.col("__sunday")))
+        out = out.withColumn(name, step_entries(rides, F.col("ridership_ratio"), F.lit(divisor)))
+    return out.drop("__weekday", "__saturday", "__sunday")

@@ -98,10 +98,9 @@ def q8_expected_entries(spark, sf_dir):
     ticks = events.select("event_id", F.col("user_id").cast("int").alias("station_id"), "ts")
     seed = E.ridership_seed_from_suppliers(_t(spark, sf_dir, "supplier"))
     curve = E.curve_from_events(events)
-    ref = T.expected_entries(ticks, seed, curve, 300, "reference", "reference")
-    fixed = T.expected_entries(ticks, seed, curve, 300, "corrected", "corrected")
-    return (ref.select("event_id", "station_id", "hour", "entries")
-               .join(fixed.select("event_id", F.col("entries").alias("entries_corrected")), "event_id"))
+    out = T.expected_entries(ticks, seed, curve, 300, variants={
+        "entries": ("reference", "reference"), "entries_corrected": ("corrected", "corrected")})
+    return out.select("event_id", "station_id", "hour", "entries", "entries_corrected")
 
 
 def q9_line_topology(spark, sf_dir):

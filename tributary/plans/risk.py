@@ -26,21 +26,21 @@ def customer_birth_year(sorted_set_env: DataFrame) -> DataFrame:
             .select("email", birth_year("birthDay").alias("birthYear")))
 
 
-def risk_events(events_env: DataFrame) -> DataFrame:
+def risk_events(events_env: DataFrame, keep=()) -> DataFrame:
     """Q3: (customer, score, riskDate) of every risk event; ``select *``."""
-    return decode_json(events_env, S.RISK_EVENT, "value")
+    return decode_json(events_env, S.RISK_EVENT, "value", keep=keep)
 
 
-def risk_graph(events_env: DataFrame, sorted_set_env: DataFrame, bound: dict | None = None) -> DataFrame:
-    """Q1 (flagship): scores joined with birth years on customer = email, as
-    (key = customer, value = JSON {customer, score, email, birthYear})."""
-    risk = risk_events(events_env).select("customer", "score")
-    joined = join_risk(risk, customer_birth_year(sorted_set_env), bound)
-    return encode_json(joined, "customer")
+def risk_graph_rows(events_env: DataFrame, sorted_set_env: DataFrame, bound: dict | None = None,
+                    salt: int | None = None) -> DataFrame:
+    """Q1 before encoding: (customer, score, email, birthYear)."""
+    risk = risk_events(events_env, keep=("partition", "offset")).select("partition", "offset", "customer", "score")
+    return join_risk(risk, customer_birth_year(sorted_set_env), bound, salt)
 
 
-def risk_graph_rows(events_env: DataFrame, sorted_set_env: DataFrame) -> DataFrame:
-    """Q1 before encoding (for inspection and tests)."""
-    risk = risk_events(events_env).select("customer", "score")
-    return join_risk(risk, customer_birth_year(sorted_set_env))
+def risk_graph(events_env: DataFrame, sorted_set_env: DataFrame, bound: dict | None = None,
+               salt: int | None = None) -> DataFrame:
+    """Q1 (flagship): scores joined with birth years on customer = email, as
+    (key = customer, value = JSON {customer, score, email, birthYear})."""
+    return encode_json(risk_graph_rows(events_env, sorted_set_env, bound, salt), "customer")
 

@@ -2,8 +2,8 @@
 weather, the per-line status board, expected entries and line topology.
 
 Each function takes decoded or envelope DataFrames and is a plain Spark plan;
-the ``*_from_tables`` helpers wire them to the driver tables through the
-encoders in ``plans.encode``.
+``board_inputs`` and ``plans.catalog`` wire them to the driver tables through
+the encoders in ``plans.encode``.
 """
 
 from __future__ import annotations
@@ -93,9 +93,16 @@ def line_status_board(station_env: DataFrame, arrival_env: DataFrame, turnstile_
 
 # Q8 ----------------------------------------------------------------------------
 def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_seconds: int = 300,
-                     calendar: str = "reference", steps_mode: str = "reference") -> DataFrame:
-    """Q8: deterministic part of the turnstile simulator for each (station, ts) tick."""
-    return _expected_entries(ticks, seed, curve, total_steps(step_seconds, steps_mode), calendar)
+                     calendar: str = "reference", steps_mode: str = "reference",
+                     variants: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Q8: deterministic part of the turnstile simulator for each (station, ts) tick.
+
+    ``variants`` maps output columns to (calendar, steps_mode) pairs computed in
+    one pass, e.g. the reference behaviour next to the corrected one."""
+    if variants is None:
+        variants = {"entries": (calendar, steps_mode)}
+    resolved = {k: (cal, total_steps(step_seconds, mode)) for k, (cal, mode) in variants.items()}
+    return _expected_entries(ticks, seed, curve, variants=resolved)
 
 
 # Q9 ----------------------------------------------------------------------------

@@ -12,16 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def incremental_slice(df: DataFrame, column: str, last) -> tuple[DataFrame, DataFrame]:
-    """(new rows ordered by ``column``, one-row high water) for any table.
+def incremental_slice(df: DataFrame, column: str, last, ordered: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(new rows, one-row high water) for any table.
 
     ``last`` is a value or a Column (for example a scalar subquery); when no
-    row is new the high water stays ``last``.
+    row is new the high water stays ``last``. Downstream operators take their
+    order from ``column`` itself (it is the message offset), so the rows are
+    only sorted - a range-partitioned global sort - when ``ordered`` is set.
     """
     last_col = last if not isinstance(last, (int, float, str)) else F.lit(last)
     new = df.where(F.col(column) > last_col)
     high = new.agg(F.max(column).alias("m")).select(F.coalesce("m", last_col).alias("high_water"))
-    return new.orderBy(column), high
+    return (new.orderBy(column) if ordered else new), high
 
 
 def jdbc_options(url: str, table: str, column: str, last, lower=None, upper=None,
@@ -40,4 +42,4 @@ def jdbc_options(url: str, table: str, column: str, last, lower=None, upper=None
 def jdbc_incremental(spark: SparkSession, url: str, table: str, column: str, last,
                      **kw) -> tuple[DataFrame, DataFrame]:
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, column, last, **kw)).load()
-    return incremental_slice(df, column, last)
+    return incremental_slice(df, column, last, ordered=True)
