@@ -99,3 +99,30 @@ def test_a2_upsert_count_stream_equals_batch(spark, events):
     jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out, compact_every=3)
     got = jobs.read_upsert_count(spark, out, "user_id")
     assert rows(got) == rows(upsert_count(msgs, "msg_key", "user_id", "event_id"))
+
+
+
+def test_bounded_join_keeps_close_pairs_only(spark):
+    import datetime as dt
+    import json
+
+    from helpers import sorted_set
+    from tributary import schemas as S
+
+    def env(values, times, topic):
+        return spark.createDataFrame(
+            [(None, json.dumps(v).encode(), topic, 0, i, t, None) for i, (v, t) in enumerate(zip(values, times))],
+            S.ENVELOPE)
+
+    t0 = dt.datetime(2024, 1, 1)
+    cu = env([sorted_set({"email": "a@x", "birthDay": "1960-01-01"}),
+              sorted_set({"email": "b@x", "birthDay": "1961-01-01"})], [t0, t0], "redis-server")
+    ev = env([{"customer": "a@x", "score": "1.0"}, {"customer": "b@x", "score": "2.0"}],
+             [t0 + dt.timedelta(hours=2), t0 + dt.timedelta(days=3)], "stedi-events")
+    ev_path, cu_path, out = _topic(spark, ev, 1, "bev"), _topic(spark, cu, 1, "bcu"), _dir(spark, "bout")
+    bound = {"delay": "1 hour", "range": "1 day"}
+    q = R.risk_graph(envelope_stream(spark, ev_path), envelope_stream(spark, cu_path), bound=bound)
+    jobs.run_append(q, out)
+    assert [r["key"] for r in spark.read.parquet(out).collect()] == ["a@x"]
+    # unbounded (the default) keeps every pair regardless of time
+    assert sorted(r["key"] for r in R.risk_graph(ev, cu).collect()) == ["a@x", "b@x"]
