@@ -126,3 +126,15 @@ def test_bounded_join_keeps_close_pairs_only(spark):
     assert [r["key"] for r in spark.read.parquet(out).collect()] == ["a@x"]
     # unbounded (the default) keeps every pair regardless of time
     assert sorted(r["key"] for r in R.risk_graph(ev, cu).collect()) == ["a@x", "b@x"]
+
+
+def test_q6_board_from_streamed_tables_equals_batch(spark, events):
+    part = table(spark, SF, "part")
+    envs = T.board_inputs(part, events)
+    paths = [_topic(spark, e, 3, n) for e, n in zip(envs, ["st", "arr", "turn", "wx"])]
+    root = _dir(spark, "board")
+    T.run_board_tables(*[envelope_stream(spark, p, 1) for p in paths], root)
+    got = T.board_from_tables(spark, root)
+    want = T.line_status_board(*envs)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(*want.columns)) == rows(want)

@@ -178,6 +178,18 @@ def t2_stream_slot_occupancy(spark, sf_dir):
     return jobs.read_table(spark, f"{root}/table", ["line", "station_id", "direction"])
 
 
+def t3_stream_status_board(spark, sf_dir):
+    """Q6 from four update-mode streams (stations, slots, counts, weather), each
+    kept as a changelog table; the board is the batch join of their snapshots."""
+    root = scratch_path(spark, "t3-board")
+    envs = T.board_inputs(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "events"))
+    names = ("stations", "arrivals", "turnstile", "weather")
+    for env, name in zip(envs, names):
+        write_envelope(env, f"{root}/topics/{name}")
+    T.run_board_tables(*[envelope_stream(spark, f"{root}/topics/{n}") for n in names], f"{root}/tables")
+    return T.board_from_tables(spark, f"{root}/tables")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -201,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s6_incremental_load": s6_incremental_load,
     "t1_stream_risk_graph": t1_stream_risk_graph,
     "t2_stream_slot_occupancy": t2_stream_slot_occupancy,
+    "t3_stream_status_board": t3_stream_status_board,
 }
 
 
@@ -393,3 +406,4 @@ WHERE p_partkey > (SELECT floor(max(p_partkey) / 2) FROM part)
 }
 ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
 ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
+ORACLE["t3_stream_status_board"] = ORACLE["q6_line_status_board"]

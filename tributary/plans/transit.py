@@ -117,6 +117,50 @@ def line_topology(stops: DataFrame, block_width: int | None = DEFAULT_BLOCK_WIDT
     return _line_topology(stops_by_line(stops), block_width=block_width)
 
 
+# Q6 from streams -------------------------------------------------------------------
+BOARD_TABLES = {  # table -> key columns
+    "stations": ["line", "station_id"],
+    "slots": ["line", "station_id", "direction"],
+    "counts": ["station_id"],
+    "weather": [],
+}
+
+
+def run_board_tables(station_env: DataFrame, arrival_env: DataFrame, turnstile_env: DataFrame,
+                     weather_env: DataFrame, root: str, trigger: dict | None = None, wait: bool = True):
+    """Start the four keyed tables behind the board as update-mode streams, each
+    with its own checkpoint, appending changed keys to its changelog under ``root``."""
+    from ..streaming.jobs import run_table
+
+    plans = {"stations": line_stations(station_env), "slots": slot_occupancy(arrival_env),
+             "counts": turnstile_counts(turnstile_env), "weather": current_weather(weather_env)}
+    queries = []
+    for name, plan in plans.items():
+        q = run_table(plan, BOARD_TABLES[name], f"{root}/{name}", f"{root}/_checkpoints/{name}", trigger)
+        queries.append(q)
+        if wait:
+            q.awaitTermination()
+    return queries
+
+
+def board_from_tables(spark, root: str) -> DataFrame:
+    """Q6 over the current snapshots of the streamed tables (a batch join)."""
+    from ..streaming.jobs import read_table
+
+    t = {name: read_table(spark, f"{root}/{name}", keys) for name, keys in BOARD_TABLES.items()}
+    if t["weather"] is None:
+        t["weather"] = spark.createDataFrame([(S.DEFAULT_TEMPERATURE, S.DEFAULT_WEATHER_STATUS)],
+                                             "temperature double, status string")
+    empty = {"slots": "line string, station_id int, direction string, train_id string, train_status string",
+             "counts": "station_id int, count long"}
+    for name, ddl in empty.items():
+        if t[name] is None:
+            t[name] = spark.createDataFrame([], ddl)
+    if t["stations"] is None:
+        return spark.createDataFrame([], "line string, station_id int, station_name string, order int")
+    return status_board(t["stations"], t["slots"], t["counts"], t["weather"])
+
+
 # driver-table wiring -------------------------------------------------------------
 def board_inputs(part: DataFrame, events: DataFrame):
     return (E.station_messages(part), E.arrival_messages(events),
