@@ -224,3 +224,15 @@ def test_arrival_prev_fields_match_replay(spark):
         want[r["event_id"]] = last.get(r["user_id"], (None, None))
         last[r["user_id"]] = (r["event_id"] % 40, "a" if (r["event_id"] // 40) % 2 == 0 else "b")
     assert got == want
+
+
+def test_board_order_and_union(spark):
+    from tributary.operators.order import order_board, order_stops, union_lines
+    red = spark.createDataFrame([("red", 5, "R5", 1), ("red", 4, "R4", 0)],
+                                "line string, station_id int, station_name string, order int")
+    blue = spark.createDataFrame([("blue", 9, "B9", 2), ("blue", 8, "B8", None)], red.schema)
+    green = spark.createDataFrame([("green", 7, "G7", 0)], red.schema)
+    board = order_board(union_lines(red, blue, green))
+    assert [r["station_name"] for r in board.collect()] == ["B9", "B8", "G7", "R4", "R5"]
+    stops = spark.createDataFrame([(3, 1), (1, 1), (2, 0)], "stop_id int, order int")
+    assert [r["stop_id"] for r in order_stops(stops).collect()] == [2, 1, 3]
