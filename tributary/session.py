@@ -13,18 +13,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings we want on every session; applied only when the launcher left them unset.
+# Settings we want on every session: key -> (our value, Spark's stock default).
+# Applied only where the launcher left the setting unset, i.e. it still holds
+# Spark's stock default (a runtime conf read always returns a value).
 DEFAULT_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.adaptive.enabled": ("true", "true"),
+    "spark.sql.adaptive.coalescePartitions.enabled": ("true", "true"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "true"),
+    "spark.sql.adaptive.localShuffleReader.enabled": ("true", "true"),
     # Streaming state that may grow with the key space lives in RocksDB, not the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
+    "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": ("true", "false"),
 }
+LOCAL_CONF = {"spark.sql.session.timeZone": "UTC"}  # local sessions only (tests, bench)
 
 
 def get_session(master: str | None = None, app: str = "tributary",
@@ -34,6 +37,8 @@ def get_session(master: str | None = None, app: str = "tributary",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    for k, v in LOCAL_CONF.items():
+        builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
@@ -45,10 +50,10 @@ def get_session(master: str | None = None, app: str = "tributary",
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply DEFAULT_CONF where unset and make sure a checkpoint folder exists."""
-    for k, v in DEFAULT_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
+    for k, (ours, stock) in DEFAULT_CONF.items():
+        if spark.conf.get(k, None) in (None, "", stock) and not spark.sparkContext.getConf().contains(k):
             try:
-                spark.conf.set(k, v)
+                spark.conf.set(k, ours)
             except Exception:  # static conf on an already-running session
                 pass
     checkpoint_root(spark)
