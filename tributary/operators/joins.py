@@ -96,6 +96,14 @@ def attach_weather(board: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 # J4, J5, P16, P17 -------------------------------------------------------------
+def hourly_curve(curve: DataFrame) -> DataFrame:
+    """One ratio per hour of day 0-23: the first row (in read order) for each hour.
+    At most 24 rows by construction."""
+    return (curve.withColumn("__pos", F.monotonically_increasing_id())
+                 .where(F.col("hour").between(0, 23))
+                 .groupBy(F.col("hour").cast("int").alias("hour"))
+                 .agg(F.min_by("ridership_ratio", "__pos").alias("ridership_ratio")))
+
 def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
                      step_seconds_divisor: int | None = None, calendar: str = "reference",
                      variants: dict[str, tuple[str, int]] | None = None) -> DataFrame:
@@ -104,8 +112,9 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
     ticks: (station_id, ts, ...) one row per station and step.
     seed:  ridership seed (station_id, avg_weekday_rides, avg_saturday_rides,
            avg_sunday-holiday_rides); J4 inner equi-join on station_id.
-    curve: (hour, ridership_ratio); J5 equi-join on hour(ts). A curve is keyed by
-           hour of day, so it has at most 25 rows: broadcasting it is safe.
+    curve: (hour, ridership_ratio); J5 equi-join on hour(ts). The first row per
+           hour of day 0-23 is used (as the original takes the first match), so
+           the broadcast side is at most 24 rows whatever the input.
     variants: output column -> (calendar, divisor); all computed in the same
            pass. Default: ``{"entries": (calendar, step_seconds_divisor)}``.
     """
@@ -118,7 +127,7 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
         whole_rides("`avg_sunday-holiday_rides`").alias("__sunday"))
     out = (ticks.join(riders, "station_id", "inner")
                 .withColumn("hour", F.hour("ts"))
-                .join(F.broadcast(curve.select("hour", "ridership_ratio")), "hour", "inner"))
+                .join(F.broadcast(hourly_curve(curve)), "hour", "inner"))
     for name, (cal, divisor) in variants.items():
         kind = day_kind("ts", cal)
         rides = (F.when(kind == "weekday", F.col("__weekday")).when(kind == "saturday", F.col("__saturday"))
