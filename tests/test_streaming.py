@@ -138,3 +138,21 @@ def test_q6_board_from_streamed_tables_equals_batch(spark, events):
     want = T.line_status_board(*envs)
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_console_sink_and_processing_time_trigger(spark, events):
+    from tributary.streaming.run import run_stream
+    from tributary.streaming.sinks import to_console
+
+    env = E.risk_event_messages(events.limit(50))
+    path = _topic(spark, env, 2, "console")
+    q = to_console(R.risk_events(envelope_stream(spark, path)), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    q2 = run_stream(R.risk_events(envelope_stream(spark, path, 1)), sink="memory", query_name="cadence",
+                    trigger={"processingTime": "1 second"}, wait=False)
+    try:
+        q2.processAllAvailable()
+        assert spark.table("cadence").count() == 50
+    finally:
+        q2.stop()
