@@ -12,7 +12,7 @@ from tributary import schemas as S
 from tributary.functions.decode import avro_available, decode_summary, encode_record, split_malformed
 from tributary.functions.decode import decode_json
 from tributary.sources.jdbc import incremental_slice, jdbc_options
-from tributary.sources.kafka import kafka_available, kafka_options, raw_messages
+from tributary.sources.kafka import kafka_available, kafka_options, raw_messages, subscribe_pattern
 from tributary.streaming.sinks import register, to_changelog
 
 
@@ -72,3 +72,10 @@ def test_connector_packages_are_optional(spark):
     # Neither external package ships with the image; both checks must answer, not fail.
     assert kafka_available(spark) in (True, False)
     assert avro_available(spark) in (True, False)
+
+
+def test_subscribe_pattern(spark):
+    a = env_rows(spark, ["x"], topic="org.chicago.cta.station.arrivals.v1")
+    b = env_rows(spark, ["y"], topic="org.chicago.cta.stations")
+    got = subscribe_pattern(a.unionByName(b), "^org.chicago.cta.station.arrivals.")
+    assert [r["topic"] for r in got.collect()] == ["org.chicago.cta.station.arrivals.v1"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import schemas as S
 from ..functions.columns import slug
 from ..functions.decode import check_constraints, decode_json
-from ..operators.state import latest_by_key, running_count, upsert_count
+from ..operators.state import first_by_name, latest_by_key, running_count, upsert_count
 from ..operators.window import line_topology as _line_topology
 from ..session import scratch_path
 from ..sources.files import envelope_stream, write_envelope
@@ -107,6 +107,14 @@ def q9_line_topology(spark, sf_dir):
     return T.line_topology(E.stops_from_parts(_t(spark, sf_dir, "part")))
 
 
+def a7_first_by_name(spark, sf_dir):
+    """Distinct stop names in first-seen order (by order, stop_id) with the first station id."""
+    stops = E.stops_from_parts(_t(spark, sf_dir, "part"))
+    firsts = first_by_name(stops, [], "station_name", ["order", "stop_id"], ["station_id"])
+    return firsts.select("station_name", "station_id", F.col("first_seen.order").alias("order"),
+                         F.col("first_seen.stop_id").alias("stop_id"))
+
+
 def w1_line_topology(spark, sf_dir):
     cust = _t(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("line"), F.col("c_name").alias("station_name"),
@@ -206,6 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q7_current_weather": q7_current_weather,
     "q8_expected_entries": q8_expected_entries,
     "q9_line_topology": q9_line_topology,
+    "a7_first_by_name": a7_first_by_name,
     "w1_line_topology": w1_line_topology,
     "q10_raw_messages": q10_raw_messages,
     "d10_constraints": d10_constraints,
@@ -379,6 +388,11 @@ UNION ALL SELECT 'red', stop_id, station_name, station_id, "order" FROM ({_STOPS
 SELECT c_mktsegment AS line, c_name AS station_name, c_custkey AS station_id,
        c_nationkey AS "order", c_custkey AS stop_id FROM customer
 """),
+    "a7_first_by_name": f"""
+SELECT station_name, station_id, "order", stop_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_name ORDER BY "order", stop_id) AS rn FROM ({_STOPS}))
+WHERE rn = 1
+""",
     "q10_raw_messages": """
 SELECT 'Testzao' AS topic, CAST(user_id % 2 AS INTEGER) AS partition, event_id AS "offset",
        CASE WHEN event_type <> 'view' THEN CAST(user_id AS VARCHAR) END AS key,

@@ -44,6 +44,13 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str | None = None,
     return spark.read.format("kafka").options(**opts).load()
 
 
+def subscribe_pattern(env: DataFrame, pattern: str) -> DataFrame:
+    """S2 over an envelope that carries several topics (a file stand-in, or a
+    wider subscription): keep the topics matching the regex. Pushed into the
+    scan as a filter on ``topic``."""
+    return env.where(F.col("topic").rlike(pattern))
+
+
 def raw_messages(env: DataFrame) -> DataFrame:
     """Topic, partition, key and value as text, headers as (key, text) pairs.
     A null key stays null (no failure)."""
