@@ -12,9 +12,6 @@ from pyspark.sql.types import BinaryType, StructType
 
 from .. import schemas as S
 
-_V = "__decoded"
-
-
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -95,15 +92,10 @@ REGISTRY_PREFIX_BYTES = 5  # magic byte + 4-byte schema id ahead of the Avro bod
 def avro_available(spark) -> bool:
     """True when the external spark-avro package is on the classpath."""
     try:
-        spark.sql("select from_avro(cast(null as binary), '\"string\"')").collect()
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
         return True
     except Exception:
-        try:
-            from pyspark.sql.avro.functions import from_avro  # noqa: F401
-            spark._jvm.org.apache.spark.sql.avro.functions  # noqa: B018
-            return True
-        except Exception:
-            return False
+        return False
 
 
 def decode_avro(env: DataFrame, schema_json: str, keep: Sequence[str] = (),
@@ -114,7 +106,7 @@ def decode_avro(env: DataFrame, schema_json: str, keep: Sequence[str] = (),
     body = F.col("value")
     if registry_framed:
         body = F.expr(f"substring(value, {REGISTRY_PREFIX_BYTES + 1})")
-    return env.select(*keep, from_avro(body, schema_json).alias(_V)).select(*keep, f"{_V}.*")
+    return env.select(*keep, F.inline(F.array(from_avro(body, schema_json))))
 
 
 def decode_message(env: DataFrame, schema: StructType, fmt: str = "json",
