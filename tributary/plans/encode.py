@@ -173,11 +173,10 @@ def ridership_seed_from_suppliers(supplier: DataFrame) -> DataFrame:
 
 def curve_from_events(events: DataFrame) -> DataFrame:
     """Hourly ridership curve: share of all events in each hour of day (<= 24 rows)."""
-    total = events.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (events.groupBy(F.hour("ts").alias("hour"))
-                  .agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.col("hour").cast("int").alias("hour"),
-                          (F.col("n") / total).alias("ridership_ratio")))
+    by_hour = events.groupBy(F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    total = by_hour.agg(F.sum("n")).scalar()  # over <= 24 rows; shares the shuffle above
+    return by_hour.select(F.col("hour").cast("int").alias("hour"),
+                          (F.col("n") / total).alias("ridership_ratio"))
 
 
 # -- passthrough ---------------------------------------------------------------
