@@ -9,15 +9,30 @@ from pyspark.sql import DataFrame
 from ..session import scratch_path
 
 
+STOCK_SHUFFLE_PARTITIONS = "200"
+
+
+def state_partitions(spark) -> int:
+    """Partitions of a new query's keyed state: the session's shuffle partitions
+    when set deliberately, else twice the cluster's cores (Spark's stock 200
+    is neither: too many for a laptop, too few for a large cluster)."""
+    conf = spark.conf.get("spark.sql.shuffle.partitions")
+    if conf != STOCK_SHUFFLE_PARTITIONS:
+        return int(conf)
+    return max(2 * spark.sparkContext.defaultParallelism, 2)
+
+
 def run_stream(df: DataFrame, sink: str = "parquet", path: str | None = None,
                mode: str = "append", checkpoint: str | None = None,
                trigger: dict | None = None, foreach_batch: Callable | None = None,
-               query_name: str | None = None, wait: bool = True):
+               query_name: str | None = None, wait: bool = True, partitions: int | None = None):
     """Start ``df`` on a sink and (by default) wait until the available input is done.
 
     sink: ``parquet`` (needs ``path``), ``memory`` (needs ``query_name``),
     ``console``, or ``foreach`` (needs ``foreach_batch``).
     trigger: e.g. ``{"availableNow": True}`` (default) or ``{"processingTime": "10 seconds"}``.
+    partitions: state / shuffle partitions of a new query (``state_partitions``
+    by default). A query restarted from its checkpoint keeps the number it began with.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{sink}")
@@ -35,7 +50,15 @@ def run_stream(df: DataFrame, sink: str = "parquet", path: str | None = None,
     if query_name and sink != "memory":
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    q = w.start()
+    # The stream plans on a clone of the session taken at start(), so the
+    # setting is applied only around start() and the caller's session is unchanged.
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     if wait:
         q.awaitTermination()
         if q.exception() is not None:
