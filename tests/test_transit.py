@@ -236,3 +236,14 @@ def test_board_order_and_union(spark):
     assert [r["station_name"] for r in board.collect()] == ["B9", "B8", "G7", "R4", "R5"]
     stops = spark.createDataFrame([(3, 1), (1, 1), (2, 0)], "stop_id int, order int")
     assert [r["stop_id"] for r in order_stops(stops).collect()] == [2, 1, 3]
+
+
+def test_turnstile_count_modes(spark):
+    # three entries; two share a message key (same producer millisecond), so as a
+    # table the later one replaces the earlier
+    env = env_rows(spark, [{"station_id": 5, "station_name": "x", "line": "red"},
+                           {"station_id": 6, "station_name": "y", "line": "red"},
+                           {"station_id": 5, "station_name": "x", "line": "red"}],
+                   keys=['{"timestamp":1}', '{"timestamp":1}', '{"timestamp":2}'])
+    assert rows(T.turnstile_counts(env)) == [(5, 2), (6, 1)]
+    assert rows(T.turnstile_counts(env, mode="upsert")) == [(5, 1), (6, 1)]

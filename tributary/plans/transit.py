@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.columns import display_status, display_temperature, known_lines, total_steps, transform_station
-from ..functions.decode import decode_json, decode_station, decode_summary
+from ..functions.decode import decode_json, decode_message, decode_station, decode_summary
 from ..operators.joins import expected_entries as _expected_entries, status_board
 from ..operators.state import current_weather as _current_weather
-from ..operators.state import latest_by_key, running_count, slot_occupancy as _slot_occupancy
+from ..operators.state import latest_by_key, running_count, slot_occupancy as _slot_occupancy, upsert_count
 from ..operators.window import DEFAULT_BLOCK_WIDTH, line_topology as _line_topology
 from ..streaming.sinks import to_changelog
 from . import encode as E
@@ -43,16 +43,27 @@ def line_stations(station_env: DataFrame) -> DataFrame:
 
 
 # Q5 ----------------------------------------------------------------------------
-def turnstile_counts(turnstile_env: DataFrame) -> DataFrame:
-    """A1 over turnstile entries: (station_id, count)."""
-    entries = decode_json(turnstile_env, S.TURNSTILE, "value")
-    return running_count(entries, "station_id")
-
-
-def turnstile_summary(turnstile_env: DataFrame) -> DataFrame:
+def turnstile_counts(turnstile_env: DataFrame, mode: str = "count") -> DataFrame:
+    """(station_id, count) over turnstile entries.
+
+    ``count`` (default, A1): every entry counts - the intended result of
+    ``COUNT(station_id) GROUP BY station_id``.
+    ``upsert`` (A2): the source is read as a *table*, so entries sharing a
+    message key replace each other (last by offset) before counting.
+    """
+    if mode == "count":
+        return running_count(decode_json(turnstile_env, S.TURNSTILE, "value"), "station_id")
+    if mode == "upsert":
+        entries = decode_json(turnstile_env, S.TURNSTILE, "value", keep=("key", "offset"))
+        return upsert_count(entries.withColumn("key", F.col("key").cast("string")),
+                            "key", "station_id", "offset")
+    raise ValueError(mode)
+
+
+def turnstile_summary(turnstile_env: DataFrame, mode: str = "count") -> DataFrame:
     """Q5: summary table messages, key = station id, value = {STATION_ID, COUNT}."""
-    counts = turnstile_counts(turnstile_env).select(F.col("station_id").alias("STATION_ID"),
-                                                    F.col("count").alias("COUNT"))
+    counts = turnstile_counts(turnstile_env, mode).select(F.col("station_id").alias("STATION_ID"),
+                                                          F.col("count").alias("COUNT"))
     return to_changelog(counts, ["STATION_ID"])
 
 
@@ -69,14 +80,20 @@ def slot_occupancy(arrival_env: DataFrame) -> DataFrame:
 
 
 # Q7 ----------------------------------------------------------------------------
-def current_weather(weather_env: DataFrame) -> DataFrame:
-    """Latest (temperature, status), defaults 70.0 / sunny before any event."""
-    return _current_weather(decode_json(weather_env, S.WEATHER, "value", keep=("offset",)), "offset")
+WEATHER_AVRO = ('{"type": "record", "name": "weather_value", "fields": ['
+                '{"name": "temperature", "type": "float"}, {"name": "status", "type": "string"}]}')
+
+
+def current_weather(weather_env: DataFrame, fmt: str = "json") -> DataFrame:
+    """Latest (temperature, status), defaults 70.0 / sunny before any event.
+    Weather is published as plain JSON; ``fmt="avro"`` reads registry-framed Avro."""
+    decoded = decode_message(weather_env, S.WEATHER, fmt, WEATHER_AVRO, keep=("offset",))
+    return _current_weather(decoded, "offset")
 
 
-def weather_display(weather_env: DataFrame) -> DataFrame:
+def weather_display(weather_env: DataFrame, fmt: str = "json") -> DataFrame:
     """Q7: the weather line of the board: whole degrees and a title-case status."""
-    w = current_weather(weather_env)
+    w = current_weather(weather_env, fmt)
     return w.select(display_temperature("temperature").alias("temperature"),
                     display_status("status").alias("status"))
 
