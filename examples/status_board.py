@@ -20,7 +20,9 @@ args = p.parse_args()
 
 spark = get_session(app="status-board")
 topics = {
-    "stations": dict(topic="org.chicago.cta.stations.table.v1"),
+    # the connector's raw station topic: A4 applies the colour transform itself,
+    # which is what the transformed-station changelog carries
+    "stations": dict(topic="org.chicago.cta.stations"),
     "arrivals": dict(pattern="^org.chicago.cta.station.arrivals."),
     "turnstile": dict(topic="org.chicago.cta.turnstile.v1"),
     "weather": dict(topic="org.chicago.cta.weather.v1"),
