@@ -9,8 +9,6 @@ running count per station in update mode, one message per changed station.
 
 import argparse
 
-from pyspark.sql import functions as F
-
 from tributary.plans import transit as T
 from tributary.session import get_session
 from tributary.sources.kafka import kafka_stream
@@ -19,7 +17,6 @@ from tributary.streaming.sinks import to_changelog, to_kafka
 p = argparse.ArgumentParser()
 p.add_argument("--servers", default="localhost:9092")
 p.add_argument("--checkpoint-root", required=True)
-p.add_argument("--turnstile-mode", choices=["count", "upsert"], default="count")
 args = p.parse_args()
 
 spark = get_session(app="transit-tables")
@@ -29,9 +26,9 @@ q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, "org.chicag
               f"{args.checkpoint_root}/stations")
 
 turnstile = kafka_stream(spark, args.servers, topic="org.chicago.cta.turnstile.v1")
-summary = T.turnstile_summary(turnstile, args.turnstile_mode) if args.turnstile_mode == "count" else None
-if summary is None:  # table semantics chain two aggregations: keep them per micro-batch
-    raise SystemExit("upsert mode runs through tributary.streaming.jobs.run_upsert_count")
+# The count mode (A1) is one stateful aggregation. The table-semantics mode (A2)
+# chains two and runs per micro-batch through tributary.streaming.jobs.run_upsert_count.
+summary = T.turnstile_summary(turnstile)
 q2 = to_kafka(summary, args.servers, "TURNSTILE_SUMMARY", f"{args.checkpoint_root}/summary", mode="update")
 for q in (q1, q2):
     q.awaitTermination()
