@@ -7,15 +7,16 @@
 import argparse
 
 from tributary.plans.risk import risk_graph
+from tributary.schemas import TOPICS
 from tributary.session import get_session
 from tributary.sources.kafka import kafka_stream
 from tributary.streaming.sinks import to_kafka
 
 p = argparse.ArgumentParser()
 p.add_argument("--servers", default="localhost:9092")
-p.add_argument("--events-topic", default="stedi-events")
-p.add_argument("--customers-topic", default="redis-server")
-p.add_argument("--out-topic", default="stedi-risk-topic")
+p.add_argument("--events-topic", default=TOPICS["risk_events"])
+p.add_argument("--customers-topic", default=TOPICS["customers"])
+p.add_argument("--out-topic", default=TOPICS["risk_out"])
 p.add_argument("--checkpoint", default=None, help="defaults to a folder under spark.checkpoint.dir")
 args = p.parse_args()
 

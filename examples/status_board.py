@@ -8,6 +8,7 @@ board should refresh).
 import argparse
 
 from tributary.plans import transit as T
+from tributary.schemas import TOPICS
 from tributary.session import get_session
 from tributary.sources.kafka import kafka_stream
 from tributary.operators.order import order_board
@@ -22,10 +23,10 @@ spark = get_session(app="status-board")
 topics = {
     # the connector's raw station topic: A4 applies the colour transform itself,
     # which is what the transformed-station changelog carries
-    "stations": dict(topic="org.chicago.cta.stations"),
-    "arrivals": dict(pattern="^org.chicago.cta.station.arrivals."),
-    "turnstile": dict(topic="org.chicago.cta.turnstile.v1"),
-    "weather": dict(topic="org.chicago.cta.weather.v1"),
+    "stations": dict(topic=TOPICS["stations"]),
+    "arrivals": dict(pattern=TOPICS["arrivals_pattern"]),
+    "turnstile": dict(topic=TOPICS["turnstile"]),
+    "weather": dict(topic=TOPICS["weather"]),
 }
 envs = [kafka_stream(spark, args.servers, **kw) for kw in topics.values()]
 queries = T.run_board_tables(*envs, args.root, trigger={"processingTime": args.refresh}, wait=False)

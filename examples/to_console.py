@@ -6,6 +6,7 @@
 import argparse
 
 from tributary.plans.risk import customer_birth_year, risk_events
+from tributary.schemas import TOPICS
 from tributary.session import get_session
 from tributary.sources.kafka import kafka_stream
 from tributary.streaming.sinks import to_console
@@ -17,7 +18,7 @@ args = p.parse_args()
 
 spark = get_session(app=f"{args.what}-to-console")
 if args.what == "risk-events":
-    out = risk_events(kafka_stream(spark, args.servers, topic="stedi-events"))
+    out = risk_events(kafka_stream(spark, args.servers, topic=TOPICS["risk_events"]))
 else:
-    out = customer_birth_year(kafka_stream(spark, args.servers, topic="redis-server"))
+    out = customer_birth_year(kafka_stream(spark, args.servers, topic=TOPICS["customers"]))
 to_console(out).awaitTermination()

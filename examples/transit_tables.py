@@ -10,6 +10,7 @@ running count per station in update mode, one message per changed station.
 import argparse
 
 from tributary.plans import transit as T
+from tributary.schemas import TOPICS
 from tributary.session import get_session
 from tributary.sources.kafka import kafka_stream
 from tributary.streaming.sinks import to_changelog, to_kafka
@@ -20,15 +21,15 @@ p.add_argument("--checkpoint-root", required=True)
 args = p.parse_args()
 
 spark = get_session(app="transit-tables")
-stations = kafka_stream(spark, args.servers, topic="org.chicago.cta.stations")
+stations = kafka_stream(spark, args.servers, topic=TOPICS["stations"])
 changelog = T.station_changelog(stations).drop("offset")
-q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, "org.chicago.cta.stations.table.v1",
+q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, TOPICS["stations_table"],
               f"{args.checkpoint_root}/stations")
 
-turnstile = kafka_stream(spark, args.servers, topic="org.chicago.cta.turnstile.v1")
+turnstile = kafka_stream(spark, args.servers, topic=TOPICS["turnstile"])
 # The count mode (A1) is one stateful aggregation. The table-semantics mode (A2)
 # chains two and runs per micro-batch through tributary.streaming.jobs.run_upsert_count.
 summary = T.turnstile_summary(turnstile)
-q2 = to_kafka(summary, args.servers, "TURNSTILE_SUMMARY", f"{args.checkpoint_root}/summary", mode="update")
+q2 = to_kafka(summary, args.servers, TOPICS["turnstile_summary"], f"{args.checkpoint_root}/summary", mode="update")
 for q in (q1, q2):
     q.awaitTermination()

@@ -5,6 +5,7 @@ import json
 
 from helpers import env_rows, rows, sorted_set
 
+from tributary import schemas as S
 from tributary.plans import risk as R
 
 # Golden rows from the recorded console runs (addresses not cut by the console).
@@ -20,13 +21,13 @@ GOLDEN = [  # (customer, score, riskDate, birthYear)
 
 def _events(spark, items):
     return env_rows(spark, [{"customer": c, "score": s, "riskDate": d} for c, s, d, *_ in items],
-                    topic="stedi-events")
+                    topic=S.TOPICS["risk_events"])
 
 
 def _customers(spark, items):
     return env_rows(spark, [sorted_set({"customerName": c.split("@")[0].replace(".", " "), "email": c,
                                         "phone": "555", "birthDay": f"{y}-01-01"})
-                            for c, *_, y in items], topic="redis-server")
+                            for c, *_, y in items], topic=S.TOPICS["customers"])
 
 
 def test_q3_golden_scores_print_like_the_log(spark):

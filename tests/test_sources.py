@@ -17,10 +17,10 @@ from tributary.streaming.sinks import register, to_changelog
 
 
 def test_kafka_options():
-    o = kafka_options("b:9092", topic="stedi-events")
+    o = kafka_options("b:9092", topic=S.TOPICS["risk_events"])
     assert o == {"kafka.bootstrap.servers": "b:9092", "startingOffsets": "earliest",
-                 "includeHeaders": "true", "subscribe": "stedi-events"}
-    p = kafka_options("b:9092", pattern="^org.chicago.cta.station.arrivals.", starting="latest",
+                 "includeHeaders": "true", "subscribe": S.TOPICS["risk_events"]}
+    p = kafka_options("b:9092", pattern=S.TOPICS["arrivals_pattern"], starting="latest",
                       max_offsets_per_trigger=500)
     assert p["subscribePattern"].startswith("^org") and p["startingOffsets"] == "latest"
     assert p["maxOffsetsPerTrigger"] == "500"
@@ -29,9 +29,9 @@ def test_kafka_options():
 
 
 def test_raw_messages_null_key(spark):
-    env = env_rows(spark, ["0abcs", "1abcs"], topic="Testzao", keys=[None, "k"])
+    env = env_rows(spark, ["0abcs", "1abcs"], topic=S.TOPICS["passthrough"], keys=[None, "k"])
     got = rows(raw_messages(env), "key", "value", "topic")
-    assert got == sorted([(None, "0abcs", "Testzao"), ("k", "1abcs", "Testzao")], key=repr)
+    assert got == sorted([(None, "0abcs", S.TOPICS["passthrough"]), ("k", "1abcs", S.TOPICS["passthrough"])], key=repr)
 
 
 def test_incremental_slice(spark):
@@ -75,7 +75,7 @@ def test_connector_packages_are_optional(spark):
 
 
 def test_subscribe_pattern(spark):
-    a = env_rows(spark, ["x"], topic="org.chicago.cta.station.arrivals.v1")
-    b = env_rows(spark, ["y"], topic="org.chicago.cta.stations")
-    got = subscribe_pattern(a.unionByName(b), "^org.chicago.cta.station.arrivals.")
-    assert [r["topic"] for r in got.collect()] == ["org.chicago.cta.station.arrivals.v1"]
+    a = env_rows(spark, ["x"], topic=S.TOPICS["arrivals"])
+    b = env_rows(spark, ["y"], topic=S.TOPICS["stations"])
+    got = subscribe_pattern(a.unionByName(b), S.TOPICS["arrivals_pattern"])
+    assert [r["topic"] for r in got.collect()] == [S.TOPICS["arrivals"]]

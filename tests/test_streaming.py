@@ -116,9 +116,9 @@ def test_bounded_join_keeps_close_pairs_only(spark):
 
     t0 = dt.datetime(2024, 1, 1)
     cu = env([sorted_set({"email": "a@x", "birthDay": "1960-01-01"}),
-              sorted_set({"email": "b@x", "birthDay": "1961-01-01"})], [t0, t0], "redis-server")
+              sorted_set({"email": "b@x", "birthDay": "1961-01-01"})], [t0, t0], S.TOPICS["customers"])
     ev = env([{"customer": "a@x", "score": "1.0"}, {"customer": "b@x", "score": "2.0"}],
-             [t0 + dt.timedelta(hours=2), t0 + dt.timedelta(days=3)], "stedi-events")
+             [t0 + dt.timedelta(hours=2), t0 + dt.timedelta(days=3)], S.TOPICS["risk_events"])
     ev_path, cu_path, out = _topic(spark, ev, 1, "bev"), _topic(spark, cu, 1, "bcu"), _dir(spark, "bout")
     bound = {"delay": "1 hour", "range": "1 day"}
     q = R.risk_graph(envelope_stream(spark, ev_path), envelope_stream(spark, cu_path), bound=bound)

@@ -29,7 +29,7 @@ def stations(spark, fixture_path):
 
 @pytest.fixture(scope="module")
 def station_env(stations):
-    return E.envelope(stations, F.to_json(F.struct(*stations.columns)), "org.chicago.cta.stations",
+    return E.envelope(stations, F.to_json(F.struct(*stations.columns)), S.TOPICS["stations"],
                       F.col("stop_id"))
 
 

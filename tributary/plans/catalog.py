@@ -396,11 +396,11 @@ SELECT station_name, station_id, "order", stop_id FROM (
   SELECT *, row_number() OVER (PARTITION BY station_name ORDER BY "order", stop_id) AS rn FROM ({_STOPS}))
 WHERE rn = 1
 """,
-    "q10_raw_messages": """
-SELECT 'Testzao' AS topic, CAST(user_id % 2 AS INTEGER) AS partition, event_id AS "offset",
+    "q10_raw_messages": f"""
+SELECT '{S.TOPICS["passthrough"]}' AS topic, CAST(user_id % 2 AS INTEGER) AS partition, event_id AS "offset",
        CASE WHEN event_type <> 'view' THEN CAST(user_id AS VARCHAR) END AS key,
        props AS value,
-       CAST(to_json([{'key': 'event_type', 'value': event_type}]) AS VARCHAR) AS headers
+       CAST(to_json([{{'key': 'event_type', 'value': event_type}}]) AS VARCHAR) AS headers
 FROM events
 """,
     "d10_constraints": """

@@ -68,7 +68,7 @@ def customer_sorted_set_messages(customer: DataFrame) -> DataFrame:
         F.lit("__Customer__").alias("key"), F.lit("NotExists").alias("existType"),
         F.lit("false").alias("Ch"), F.lit(False).alias("Incr"),
         F.array(entry).alias("zSetEntries")))
-    return envelope(customer, value, "redis-server", F.col("c_custkey"),
+    return envelope(customer, value, S.TOPICS["customers"], F.col("c_custkey"),
                     timestamp=_ts_seconds("c_custkey"))
 
 
@@ -77,7 +77,7 @@ def risk_event_messages(events: DataFrame) -> DataFrame:
         email_of("user_id").alias("customer"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("score"),
         F.col("ts").cast("date").alias("riskDate")))
-    return envelope(events, value, "stedi-events", F.col("event_id"),
+    return envelope(events, value, S.TOPICS["risk_events"], F.col("event_id"),
                     timestamp=F.col("ts").cast("timestamp"))
 
 
@@ -101,7 +101,7 @@ def stops_from_parts(part: DataFrame) -> DataFrame:
 def station_messages(part: DataFrame) -> DataFrame:
     """The incremental connector emits stops by increasing stop_id: offset = stop_id."""
     stops = stops_from_parts(part)
-    return envelope(stops, F.to_json(F.struct(*stops.columns)), "org.chicago.cta.stations",
+    return envelope(stops, F.to_json(F.struct(*stops.columns)), S.TOPICS["stations"],
                     F.col("stop_id"))
 
 
@@ -138,7 +138,7 @@ def arrivals_from_events(events: DataFrame, block_width: int | None = None) -> D
 def arrival_messages(events: DataFrame, block_width: int | None = None) -> DataFrame:
     arr = arrivals_from_events(events, block_width)
     value = F.to_json(F.struct(*[f.name for f in S.ARRIVAL.fields]))
-    return envelope(arr, value, "org.chicago.cta.station.arrivals.v1", F.col("offset"),
+    return envelope(arr, value, S.TOPICS["arrivals"], F.col("offset"),
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
@@ -147,14 +147,14 @@ def turnstile_messages(events: DataFrame) -> DataFrame:
     value = F.to_json(F.struct(sid.alias("station_id"),
                                F.concat(F.lit("S"), sid.cast("string")).alias("station_name"),
                                _line_of("user_id").alias("line")))
-    return envelope(events, value, "org.chicago.cta.turnstile.v1", F.col("event_id"),
+    return envelope(events, value, S.TOPICS["turnstile"], F.col("event_id"),
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
 def weather_messages(events: DataFrame) -> DataFrame:
     status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in WEATHER_OF.items()])
     value = F.to_json(F.struct(F.col("value").cast("float").alias("temperature"), status.alias("status")))
-    return envelope(events, value, "org.chicago.cta.weather.v1", F.col("event_id"),
+    return envelope(events, value, S.TOPICS["weather"], F.col("event_id"),
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
@@ -185,6 +185,6 @@ def passthrough_messages(events: DataFrame) -> DataFrame:
     key = F.when(F.col("event_type") != "view", F.col("user_id").cast("string"))
     headers = F.array(F.struct(F.lit("event_type").alias("key"),
                                F.col("event_type").cast("binary").alias("value")))
-    return envelope(events, F.col("props"), "Testzao", F.col("event_id"), key=key,
+    return envelope(events, F.col("props"), S.TOPICS["passthrough"], F.col("event_id"), key=key,
                     partition=F.col("user_id") % 2, timestamp=F.col("ts").cast("timestamp"),
                     headers=headers)

@@ -99,3 +99,18 @@ WEATHER_STATUSES = ("sunny", "partly_cloudy", "cloudy", "windy", "precipitation"
 DEFAULT_TEMPERATURE = 70.0
 DEFAULT_WEATHER_STATUS = "sunny"
 EMPTY_SLOT = "---"
+# Topic names of the deployment this engine replaces (the wire contract; every
+# reader and writer also takes a topic argument).
+TOPICS = {
+    "risk_events": "stedi-events",
+    "customers": "redis-server",
+    "risk_out": "stedi-risk-topic",
+    "stations": "org.chicago.cta.stations",
+    "stations_table": "org.chicago.cta.stations.table.v1",
+    "arrivals": "org.chicago.cta.station.arrivals.v1",
+    "arrivals_pattern": "^org.chicago.cta.station.arrivals.",
+    "turnstile": "org.chicago.cta.turnstile.v1",
+    "turnstile_summary": "TURNSTILE_SUMMARY",
+    "weather": "org.chicago.cta.weather.v1",
+    "passthrough": "Testzao",
+}
