@@ -41,6 +41,10 @@ def test_incremental_slice(spark):
     assert high.first()["high_water"] == 7
     none, same = incremental_slice(df, "stop_id", 7)
     assert none.count() == 0 and same.first()["high_water"] == 7
+    # an update to an already loaded row (id 5 renamed) is not read again
+    updated = df.where("stop_id <> 5").unionByName(spark.createDataFrame([(5, "renamed")], df.schema))
+    again, _ = incremental_slice(updated, "stop_id", 7)
+    assert again.count() == 0
     o = jdbc_options("jdbc:postgresql://h/db", "stations", "stop_id", 40000, 0, 50000, 8)
     assert '"stop_id" > 40000' in o["dbtable"] and o["numPartitions"] == "8"
 

@@ -156,3 +156,32 @@ def test_console_sink_and_processing_time_trigger(spark, events):
         assert spark.table("cadence").count() == 50
     finally:
         q2.stop()
+
+
+def test_customer_arriving_after_the_score_still_joins(spark):
+    import json
+
+    from helpers import sorted_set
+    from tributary import schemas as S
+
+    def env(values, topic, start=0):
+        return spark.createDataFrame(
+            [(None, json.dumps(v).encode(), topic, 0, start + i, None, None) for i, v in enumerate(values)],
+            S.ENVELOPE)
+
+    ev_path = _topic(spark, env([{"customer": "late@x", "score": "3.5"}], S.TOPICS["risk_events"]), 1, "late-ev")
+    cu_path = _topic(spark, env([sorted_set({"email": "early@x", "birthDay": "1970-01-01"})],
+                                S.TOPICS["customers"]), 1, "late-cu")
+    out, ckpt = _dir(spark, "late-out"), _dir(spark, "late-ckpt")
+
+    def run():
+        q = R.risk_graph(envelope_stream(spark, ev_path), envelope_stream(spark, cu_path))
+        jobs.run_append(q, out, ckpt)
+
+    run()  # the score is in state, no customer yet
+    assert spark.read.parquet(out).count() == 0
+    write_envelope(env([sorted_set({"email": "late@x", "birthDay": "1971-01-01"})], S.TOPICS["customers"], 1),
+                   cu_path, 1)
+    run()  # the customer arrives in a later batch and meets the stored score
+    got = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
+    assert got == [{"customer": "late@x", "score": "3.5", "email": "late@x", "birthYear": "1971"}]
