@@ -2,12 +2,13 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(k)`` sends every row of a key to one
 task; with a key holding a third of the data that task is the whole job. Here a
-partition is cut into *blocks* of bounded order range, neighbours are found
-inside each block by an ordinary window, and the first / last row of each block
-is stitched to the neighbouring block through a per-block summary (one row per
-block, so its size is the order range divided by the block width, not the row
-count). Only one shuffle of the full data happens: the window, the summary
-aggregate and the stitch join all share the (key, block) partitioning.
+partition is cut into *blocks* of bounded order range, and neighbours are found
+inside each block by an ordinary window. Only the edge rows of each block (its
+first and last row, at most two per block) lack a neighbour; they take it from
+the adjacent edge row in a second window over the edge rows alone, whose size
+per key is twice the number of blocks (the order range divided by the block
+width), not the row count. Interior and edge rows are then put back together
+with a union: one shuffle of the full data, no join, no aggregate.
 """
 
 from __future__ import annotations
@@ -45,23 +46,19 @@ def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Seq
         out = df.withColumn("__p", F.lag(payload).over(w)).withColumn("__n", F.lead(payload).over(w))
         return _unpack(out, carry, p, n)
 
-    # Key as one non-null struct: null key values still group and join together.
+    # Key as one non-null struct: null key values still group together.
     d = (df.withColumn("__k", F.struct(*[F.col(c) for c in partition_by]))
            .withColumn("__blk", _block(order_by, block_width)))
     w = Window.partitionBy("__k", "__blk").orderBy(*order_by)
-    row = F.struct(F.struct(*[F.col(c) for c in order_by]).alias("o"), payload.alias("v"))
-    d = (d.withColumn("__p", F.lag(payload).over(w))
-          .withColumn("__n", F.lead(payload).over(w))
-          .withColumn("__row", row))
-    summary = d.groupBy("__k", "__blk").agg(F.min("__row").alias("first"), F.max("__row").alias("last"))
-    wb = Window.partitionBy("__k").orderBy("__blk")
-    summary = summary.select("__k", "__blk",
-                             F.lag("last.v").over(wb).alias("__bp"),
-                             F.lead("first.v").over(wb).alias("__bn"))
-    out = (d.join(summary, ["__k", "__blk"], "left")
-            .withColumn("__p", F.coalesce("__p", "__bp"))
-            .withColumn("__n", F.coalesce("__n", "__bn"))
-            .drop("__k", "__blk", "__row", "__bp", "__bn"))
+    d = d.withColumn("__p", F.lag(payload).over(w)).withColumn("__n", F.lead(payload).over(w))
+    interior = d.where(F.col("__p").isNotNull() & F.col("__n").isNotNull())
+    edges = d.where(F.col("__p").isNull() | F.col("__n").isNull())
+    # The edge row before a block's first row is the previous block's last row,
+    # and the one after a block's last row is the next block's first row.
+    wk = Window.partitionBy("__k").orderBy(*order_by)
+    edges = (edges.withColumn("__p", F.coalesce("__p", F.lag(payload).over(wk)))
+                  .withColumn("__n", F.coalesce("__n", F.lead(payload).over(wk))))
+    out = interior.unionByName(edges).drop("__k", "__blk")
     return _unpack(out, carry, p, n)
 
 
