@@ -66,7 +66,8 @@ def run_upsert_count(messages: DataFrame, msg_keys: Sequence[str], key: str, ord
     def _batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         latest = latest_by_key(batch.select(*msg_keys, key, ord_col), msg_keys, ord_col, [key, ord_col])
-        before = sinks.read_changelog_table(spark, f"{path}/messages", msg_keys, ord_col, below=batch_id)
+        before = sinks.read_changelog_table(spark, f"{path}/messages", msg_keys, ord_col, below=batch_id,
+                                            only_keys=latest)
         if before is None:
             changed = latest.select(F.col(key).alias("new"), F.lit(None).cast(latest.schema[key].dataType).alias("old"))
         else:
@@ -79,15 +80,37 @@ def run_upsert_count(messages: DataFrame, msg_keys: Sequence[str], key: str, ord
                                .select(F.col("old").alias(key), F.lit(-1).alias(DELTA)))
                   .where(F.col(key).isNotNull())
                   .groupBy(key).agg(F.sum(DELTA).alias(DELTA)))
-        deltas.write.mode("overwrite").parquet(f"{path}/counts/{sinks.VERSION}={batch_id}")
+        deltas.write.mode("overwrite").parquet(f"{path}/counts/log/{sinks.VERSION}={batch_id}")
         keep(latest, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            totals = _sum_deltas(spark, path, key, upto=batch_id)
+            totals.write.mode("overwrite").parquet(f"{path}/counts/snap/{sinks.VERSION}={batch_id}")
 
     return run_stream(messages, sink="foreach", mode="append", checkpoint=checkpoint,
                       trigger=trigger, foreach_batch=_batch)
 
 
+def _sum_deltas(spark: SparkSession, path: str, key: str, upto: int | None = None) -> DataFrame:
+    """Per-key sum of the newest count snapshot and the deltas written after it."""
+    snaps = [v for v in sinks._versions(spark, f"{path}/counts/snap") if upto is None or v <= upto]
+    logs = [v for v in sinks._versions(spark, f"{path}/counts/log") if upto is None or v <= upto]
+    snap = snaps[-1] if snaps else None
+    parts = []
+    if snap is not None:
+        parts.append(spark.read.parquet(f"{path}/counts/snap/{sinks.VERSION}={snap}").select(key, DELTA))
+    newer = [v for v in logs if snap is None or v > snap]
+    if newer:
+        parts.append(spark.read.parquet(f"{path}/counts/log").where(F.col(sinks.VERSION).isin(newer))
+                     .select(key, DELTA))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy(key).agg(F.sum(DELTA).alias(DELTA))
+
+
 def read_upsert_count(spark: SparkSession, path: str, key: str, alias: str = "count") -> DataFrame:
-    """Counts of ``run_upsert_count``: the sum of deltas per key (keys at 0 drop out)."""
-    d = spark.read.parquet(f"{path}/counts")
-    return (d.groupBy(key).agg(F.sum(DELTA).cast("long").alias(alias))
-             .where(F.col(alias) > 0))
+    """Counts of ``run_upsert_count``: the sum of deltas per key over the newest
+    count snapshot and the deltas after it (keys at 0 drop out)."""
+    return (_sum_deltas(spark, path, key)
+            .select(key, F.col(DELTA).cast("long").alias(alias))
+            .where(F.col(alias) > 0))

@@ -109,10 +109,13 @@ def changelog_writer(path: str, keys: Sequence[str] | None = None,
 
 
 def read_changelog_table(spark, path: str, keys: Sequence[str], ord_cols: str | Sequence[str] | None = None,
-                         below: int | None = None, keep_version: bool = False) -> DataFrame | None:
+                         below: int | None = None, keep_version: bool = False,
+                         only_keys: DataFrame | None = None) -> DataFrame | None:
     """Current table of a changelog: latest row per key by (``ord_cols``, batch id)
     over the newest snapshot and the log after it. A partial aggregate per key,
-    so it scales with the log, and a hot key costs one row per input partition."""
+    so it scales with the log, and a hot key costs one row per input partition.
+    ``only_keys`` (a DataFrame of key columns) restricts the rows by a semi-join
+    before the aggregate, for lookups of a micro-batch's keys."""
     ords = [ord_cols] if isinstance(ord_cols, str) else list(ord_cols or [])
     snaps = [v for v in _versions(spark, f"{path}/snap") if below is None or v < below]
     logs = [v for v in _versions(spark, f"{path}/log") if below is None or v < below]
@@ -129,6 +132,8 @@ def read_changelog_table(spark, path: str, keys: Sequence[str], ord_cols: str |
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
+    if only_keys is not None:
+        rows = rows.join(only_keys.select(*keys).distinct(), list(keys), "left_semi")
     table = latest_by_key(rows, list(keys), [*ords, VERSION])
     return table if keep_version else table.drop(VERSION)
 
