@@ -26,7 +26,11 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": ("true", "false"),
+    # One memory budget for all RocksDB instances of an executor (many state partitions each).
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": ("true", "false"),
 }
+STOCK_SHUFFLE_PARTITIONS = "200"
+INITIAL_PARTITIONS_PER_CORE = 4
 LOCAL_CONF = {"spark.sql.session.timeZone": "UTC"}  # local sessions only (tests, bench)
 
 
@@ -56,6 +60,14 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, ours)
             except Exception:  # static conf on an already-running session
                 pass
+    # A fixed 200 shuffle partitions would put ~500 GB in each partition of a
+    # 100 TB shuffle. When the launcher left it at 200, start AQE at a number that
+    # follows the cluster (4 per core) and let it coalesce small shuffles down.
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if (spark.conf.get("spark.sql.shuffle.partitions") == STOCK_SHUFFLE_PARTITIONS
+            and spark.conf.get(initial, None) in (None, "")):
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(initial, str(max(int(STOCK_SHUFFLE_PARTITIONS), INITIAL_PARTITIONS_PER_CORE * cores)))
     checkpoint_root(spark)
     return spark
 
