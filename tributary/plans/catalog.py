@@ -64,6 +64,15 @@ def q5_turnstile_summary(spark, sf_dir):
     return T.turnstile_summary(E.turnstile_messages(_t(spark, sf_dir, "events")))
 
 
+def d12_summary_counts(spark, sf_dir):
+    """The summary topic read back (D12): Q5's messages as a topic, decoded from
+    their upper-case keys, last message per station."""
+    summary = T.turnstile_summary(E.turnstile_messages(_t(spark, sf_dir, "events")))
+    env = E.envelope(summary, F.col("value"), S.TOPICS["turnstile_summary"],
+                     F.col("key").cast("long"), key=F.col("key"))
+    return T.summary_counts(env)
+
+
 def a1_running_count(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     return running_count(li.select(F.col("l_partkey").alias("station_id")), "station_id")
@@ -209,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q4_stations_table": q4_stations_table,
     "a4_line_stations": a4_line_stations,
     "q5_turnstile_summary": q5_turnstile_summary,
+    "d12_summary_counts": d12_summary_counts,
     "a1_running_count": a1_running_count,
     "a2_upsert_count": a2_upsert_count,
     "a3_latest_by_key": a3_latest_by_key,
@@ -331,6 +341,9 @@ WHERE rn = 1
 SELECT CAST(station_id AS VARCHAR) AS key,
        CAST(to_json({'STATION_ID': station_id, 'COUNT': n}) AS VARCHAR) AS value
 FROM (SELECT CAST(event_id % 37 AS INTEGER) AS station_id, count(*) AS n FROM events GROUP BY 1)
+""",
+    "d12_summary_counts": """
+SELECT CAST(event_id % 37 AS INTEGER) AS station_id, count(*) AS count FROM events GROUP BY 1
 """,
     "a1_running_count": """
 SELECT l_partkey AS station_id, count(l_partkey) AS count FROM lineitem
