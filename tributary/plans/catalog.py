@@ -22,6 +22,7 @@ from ..sources.files import envelope_stream, write_envelope
 from ..sources.jdbc import incremental_slice
 from ..sources.tables import table
 from ..streaming import jobs
+from ..streaming.sinks import to_changelog
 from . import encode as E
 from . import passthrough as P
 from . import risk as R
@@ -56,6 +57,13 @@ def q4_stations_table(spark, sf_dir):
     return T.stations_table(E.station_messages(_t(spark, sf_dir, "part")))
 
 
+def s11_station_changelog(spark, sf_dir):
+    """Every station record as a changelog message of the station table:
+    key = station_id, value = {station_id, station_name, order, line}."""
+    log = T.station_changelog(E.station_messages(_t(spark, sf_dir, "part")))
+    return to_changelog(log.drop("offset"), ["station_id"])
+
+
 def a4_line_stations(spark, sf_dir):
     return T.line_stations(E.station_messages(_t(spark, sf_dir, "part")))
 
@@ -216,6 +224,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q3_risk_events": q3_risk_events,
     "d2_json_field": d2_json_field,
     "q4_stations_table": q4_stations_table,
+    "s11_station_changelog": s11_station_changelog,
     "a4_line_stations": a4_line_stations,
     "q5_turnstile_summary": q5_turnstile_summary,
     "d12_summary_counts": d12_summary_counts,
@@ -335,6 +344,12 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM ev
 SELECT station_id, station_name, "order", line FROM (
   SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY ord DESC) AS rn FROM ({_CHANGELOG}))
 WHERE rn = 1
+""",
+    "s11_station_changelog": f"""
+SELECT CAST(station_id AS VARCHAR) AS key,
+       CAST(to_json({{'station_id': station_id, 'station_name': station_name, 'order': "order",
+                     'line': line}}) AS VARCHAR) AS value
+FROM ({_CHANGELOG})
 """,
     "a4_line_stations": _LINE_STATIONS,
     "q5_turnstile_summary": """

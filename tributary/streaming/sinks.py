@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.decode import encode_json, encode_record
+from ..functions.decode import encode_record
 from ..operators.state import latest_by_key
 from ..session import scratch_path
 
@@ -61,14 +61,15 @@ def to_records(df: DataFrame, key_cols: Sequence[str] | None, value_cols: Sequen
 
 
 # S11 ---------------------------------------------------------------------------
-def to_changelog(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Keyed upsert messages: key = the key column(s) as text, value = row JSON."""
+def to_changelog(df: DataFrame, key_cols: Sequence[str], keep_nulls: bool = True) -> DataFrame:
+    """Keyed upsert messages: key = the key column(s) as text, value = row JSON.
+    A changelog record spells out null fields (``"line": null``) unless
+    ``keep_nulls`` is off."""
     key_cols = list(key_cols)
-    if len(key_cols) == 1:
-        return encode_json(df, key_cols[0])
-    keyed = df.withColumn("__key", F.to_json(F.struct(*key_cols)))
-    return keyed.select(F.col("__key").alias("key"),
-                        F.to_json(F.struct(*[c for c in df.columns])).alias("value"))
+    opts = {"ignoreNullFields": "false"} if keep_nulls else {}
+    key = (F.col(key_cols[0]).cast("string") if len(key_cols) == 1
+           else F.to_json(F.struct(*key_cols)))
+    return df.select(key.alias("key"), F.to_json(F.struct(*df.columns), opts).alias("value"))
 
 
 VERSION = "__version"
