@@ -12,6 +12,7 @@ from pyspark.sql.types import BinaryType, StructType
 
 from .. import schemas as S
 
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -79,10 +80,11 @@ def encode_json(df: DataFrame, key: str | None, cols: Sequence[str] | None = Non
 
 
 def encode_record(df: DataFrame, key_cols: Sequence[str] | None,
-                  value_cols: Sequence[str]) -> DataFrame:
-    """S10 helper: JSON key struct + JSON value struct (key null when no key columns)."""
+                  value_cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """S10 helper: JSON key struct + JSON value struct (key null when no key columns);
+    ``keep`` columns pass through next to them."""
     key = F.to_json(F.struct(*key_cols)) if key_cols else F.lit(None).cast("string")
-    return df.select(key.alias("key"), F.to_json(F.struct(*value_cols)).alias("value"))
+    return df.select(*keep, key.alias("key"), F.to_json(F.struct(*value_cols)).alias("value"))
 
 
 # D9 ----------------------------------------------------------------------------

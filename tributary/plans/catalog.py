@@ -81,6 +81,12 @@ def d12_summary_counts(spark, sf_dir):
     return T.summary_counts(env)
 
 
+def s10_turnstile_records(spark, sf_dir):
+    """Producer records (S10): key JSON {timestamp: epoch ms}, value JSON {station_id,
+    station_name, line}, one per turnstile entry."""
+    return E.turnstile_records(_t(spark, sf_dir, "events")).select("event_id", "key", "value")
+
+
 def a1_running_count(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     return running_count(li.select(F.col("l_partkey").alias("station_id")), "station_id")
@@ -227,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s11_station_changelog": s11_station_changelog,
     "a4_line_stations": a4_line_stations,
     "q5_turnstile_summary": q5_turnstile_summary,
+    "s10_turnstile_records": s10_turnstile_records,
     "d12_summary_counts": d12_summary_counts,
     "a1_running_count": a1_running_count,
     "a2_upsert_count": a2_upsert_count,
@@ -356,6 +363,14 @@ FROM ({_CHANGELOG})
 SELECT CAST(station_id AS VARCHAR) AS key,
        CAST(to_json({'STATION_ID': station_id, 'COUNT': n}) AS VARCHAR) AS value
 FROM (SELECT CAST(event_id % 37 AS INTEGER) AS station_id, count(*) AS n FROM events GROUP BY 1)
+""",
+    "s10_turnstile_records": f"""
+SELECT event_id,
+       CAST(to_json({{'timestamp': epoch_us(ts) // 1000}}) AS VARCHAR) AS key,
+       CAST(to_json({{'station_id': CAST(event_id % 37 AS INTEGER),
+                     'station_name': 'S' || CAST(event_id % 37 AS INTEGER),
+                     'line': {_LINE.format(k='user_id')}}}) AS VARCHAR) AS value
+FROM events
 """,
     "d12_summary_counts": """
 SELECT CAST(event_id % 37 AS INTEGER) AS station_id, count(*) AS count FROM events GROUP BY 1

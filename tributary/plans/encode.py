@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.decode import encode_record
 from ..operators.window import ordered_neighbours
 
 EPOCH = 1704067200  # 2024-01-01T00:00:00Z, base of synthetic message timestamps
@@ -110,8 +111,14 @@ def _line_of(id_col: str) -> Column:
                         (F.col(id_col) % len(S.LINES)).cast("int") + 1)
 
 
+def epoch_millis(ts="ts") -> Column:
+    """Epoch milliseconds of a wall-clock timestamp, independent of the session time zone."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                  f"cast({ts} as timestamp_ntz))")
+
+
 def _event_key(ts="ts") -> Column:
-    return F.to_json(F.struct(F.unix_millis(F.col(ts).cast("timestamp")).alias("timestamp")))
+    return F.to_json(F.struct(epoch_millis(ts).alias("timestamp")))
 
 
 def arrivals_from_events(events: DataFrame, block_width: int | None = None) -> DataFrame:
@@ -142,13 +149,20 @@ def arrival_messages(events: DataFrame, block_width: int | None = None) -> DataF
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
-def turnstile_messages(events: DataFrame) -> DataFrame:
+def turnstile_records(events: DataFrame) -> DataFrame:
+    """One turnstile entry per event as (key JSON {timestamp}, value JSON
+    {station_id, station_name, line}), plus the event id and time for the envelope."""
     sid = (F.col("event_id") % TURNSTILE_IDS).cast("int")
-    value = F.to_json(F.struct(sid.alias("station_id"),
-                               F.concat(F.lit("S"), sid.cast("string")).alias("station_name"),
-                               _line_of("user_id").alias("line")))
-    return envelope(events, value, S.TOPICS["turnstile"], F.col("event_id"),
-                    key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
+    rows = events.select("event_id", "ts", epoch_millis().alias("timestamp"), sid.alias("station_id"),
+                         F.concat(F.lit("S"), sid.cast("string")).alias("station_name"),
+                         _line_of("user_id").alias("line"))
+    return encode_record(rows, ["timestamp"], ["station_id", "station_name", "line"], keep=("event_id", "ts"))
+
+
+def turnstile_messages(events: DataFrame) -> DataFrame:
+    recs = turnstile_records(events)
+    return envelope(recs, F.col("value"), S.TOPICS["turnstile"], F.col("event_id"),
+                    key=F.col("key"), timestamp=F.col("ts").cast("timestamp"))
 
 
 def weather_messages(events: DataFrame) -> DataFrame:
