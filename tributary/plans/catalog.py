@@ -224,6 +224,25 @@ def t3_stream_status_board(spark, sf_dir):
     return T.board_from_tables(spark, f"{root}/tables")
 
 
+def t4_stream_upsert_count(spark, sf_dir):
+    """A2 as a stream: per micro-batch, the latest message per message key is looked
+    up against the message table and turned into +1/-1 count deltas; run, restart
+    after the rest of the messages arrive, read back the summed counts."""
+    root = scratch_path(spark, "t4-upsert-count")
+    msgs = _t(spark, sf_dir, "events").select(F.date_trunc("minute", "ts").alias("msg_key"),
+                                              "user_id", "event_id")
+    msgs.where(F.col("event_id") % 2 == 0).write.parquet(f"{root}/messages")
+
+    def run():
+        stream = spark.readStream.schema(msgs.schema).parquet(f"{root}/messages")
+        jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", f"{root}/table", f"{root}/ckpt")
+
+    run()
+    msgs.where(F.col("event_id") % 2 == 1).write.mode("append").parquet(f"{root}/messages")
+    run()
+    return jobs.read_upsert_count(spark, f"{root}/table", "user_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -252,6 +271,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t1_stream_risk_graph": t1_stream_risk_graph,
     "t2_stream_slot_occupancy": t2_stream_slot_occupancy,
     "t3_stream_status_board": t3_stream_status_board,
+    "t4_stream_upsert_count": t4_stream_upsert_count,
 }
 
 
@@ -467,3 +487,4 @@ WHERE p_partkey > (SELECT floor(max(p_partkey) / 2) FROM part)
 ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
 ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
 ORACLE["t3_stream_status_board"] = ORACLE["q6_line_status_board"]
+ORACLE["t4_stream_upsert_count"] = ORACLE["a2_upsert_count"]
