@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructType
 
 from .. import schemas as S
+from .avro import REGISTRY_PREFIX_BYTES, avro_available, from_avro_column  # noqa: F401
 
 
 def _c(c) -> Column:
@@ -88,27 +89,15 @@ def encode_record(df: DataFrame, key_cols: Sequence[str] | None,
 
 
 # D9 ----------------------------------------------------------------------------
-REGISTRY_PREFIX_BYTES = 5  # magic byte + 4-byte schema id ahead of the Avro body
-
-
-def avro_available(spark) -> bool:
-    """True when the external spark-avro package is on the classpath."""
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
-        return True
-    except Exception:
-        return False
-
-
 def decode_avro(env: DataFrame, schema_json: str, keep: Sequence[str] = (),
-                registry_framed: bool = True) -> DataFrame:
-    """Avro value -> flat columns. Registry-framed messages carry a 5-byte prefix."""
-    from pyspark.sql.avro.functions import from_avro
-
-    body = F.col("value")
+                registry_framed: bool = True, col: str = "value") -> DataFrame:
+    """Avro value -> flat columns. Registry-framed messages carry a 5-byte prefix.
+    Spark's own ``from_avro`` when the spark-avro package is present, else the
+    Arrow-batched fallback of ``functions.avro``."""
+    body = F.col(col)
     if registry_framed:
-        body = F.expr(f"substring(value, {REGISTRY_PREFIX_BYTES + 1})")
-    return env.select(*keep, F.inline(F.array(from_avro(body, schema_json))))
+        body = F.expr(f"substring(`{col}`, {REGISTRY_PREFIX_BYTES + 1})")
+    return env.select(*keep, F.inline(F.array(from_avro_column(body, schema_json))))
 
 
 def decode_message(env: DataFrame, schema: StructType, fmt: str = "json",

@@ -146,6 +146,23 @@ def w1_line_topology(spark, sf_dir):
     return _line_topology(cust)
 
 
+# ---- Avro topics (D9) ----------------------------------------------------------
+def d9_avro_arrivals(spark, sf_dir):
+    """Arrival messages in registry-framed Avro (nullable unions for prev_*) decoded
+    back to rows: Spark's from_avro when spark-avro is present, else the Arrow fallback."""
+    return T.decode_arrivals(E.arrival_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
+
+
+def d9_avro_turnstile_summary(spark, sf_dir):
+    """Q5 as the original pipeline runs it: the turnstile topic is Avro (D9 -> A1)."""
+    return T.turnstile_summary(E.turnstile_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
+
+
+def d9_avro_weather(spark, sf_dir):
+    """Q7 read with the Avro decoder (the board consumer's default format)."""
+    return T.weather_display(E.weather_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
+
+
 def q10_raw_messages(spark, sf_dir):
     return P.passthrough(E.passthrough_messages(_t(spark, sf_dir, "events")))
 
@@ -265,6 +282,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_first_by_name": a7_first_by_name,
     "w1_line_topology": w1_line_topology,
     "q10_raw_messages": q10_raw_messages,
+    "d9_avro_arrivals": d9_avro_arrivals,
+    "d9_avro_turnstile_summary": d9_avro_turnstile_summary,
+    "d9_avro_weather": d9_avro_weather,
     "d10_constraints": d10_constraints,
     "p14_slug": p14_slug,
     "s6_incremental_load": s6_incremental_load,
@@ -484,6 +504,18 @@ SELECT p_partkey, p_name, (SELECT max(p_partkey) FROM part) AS high_water FROM p
 WHERE p_partkey > (SELECT floor(max(p_partkey) / 2) FROM part)
 """,
 }
+ORACLE["d9_avro_arrivals"] = f"""
+SELECT event_id AS "offset", CAST(event_id % 40 AS INTEGER) AS station_id,
+       CASE WHEN (event_id // 40) % 2 = 0 THEN 'a' ELSE 'b' END AS direction,
+       {_LINE.format(k='user_id')} AS line, 'T' || user_id AS train_id,
+       CASE event_type WHEN 'error' THEN 'broken_down' WHEN 'signup' THEN 'out_of_service'
+                       ELSE 'in_service' END AS train_status,
+       lag(CAST(event_id % 40 AS INTEGER)) OVER w AS prev_station_id,
+       lag(CASE WHEN (event_id // 40) % 2 = 0 THEN 'a' ELSE 'b' END) OVER w AS prev_direction
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
+"""
+ORACLE["d9_avro_turnstile_summary"] = ORACLE["q5_turnstile_summary"]
+ORACLE["d9_avro_weather"] = ORACLE["q7_current_weather"]
 ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
 ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
 ORACLE["t3_stream_status_board"] = ORACLE["q6_line_status_board"]

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.avro import to_avro_column
 from ..functions.decode import encode_record
 from ..operators.window import ordered_neighbours
 
@@ -23,6 +24,9 @@ STATION_IDS = 40    # stops map onto p_partkey % 40 stations
 TURNSTILE_IDS = 37  # turnstile entries map onto event_id % 37 (ids 37-39 never counted)
 DIRECTION_RUN = 40  # arrivals alternate direction every 40 event ids
 
+# Registry schema ids of the synthetic Avro topics (any fixed ids; decoders skip the frame).
+SCHEMA_IDS = {"event_key": 1, "arrivals": 2, "turnstile": 3, "weather": 4}
+
 # event_type -> train status / weather status (fixed mapping of the synthetic data)
 TRAIN_STATUS_OF = {"error": "broken_down", "signup": "out_of_service"}  # others: in_service
 WEATHER_OF = {"view": "sunny", "click": "partly_cloudy", "purchase": "cloudy",
@@ -149,14 +153,43 @@ def arrival_messages(events: DataFrame, block_width: int | None = None) -> DataF
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
-def turnstile_records(events: DataFrame) -> DataFrame:
-    """One turnstile entry per event as (key JSON {timestamp}, value JSON
-    {station_id, station_name, line}), plus the event id and time for the envelope."""
+def _avro_key(ts="ts") -> Column:
+    return to_avro_column(F.struct(epoch_millis(ts).alias("timestamp")), S.AVRO_EVENT_KEY,
+                          SCHEMA_IDS["event_key"])
+
+
+def arrival_avro_messages(events: DataFrame, block_width: int | None = None) -> DataFrame:
+    """Arrivals as the producer writes them: registry-framed Avro key {timestamp} and value."""
+    arr = arrivals_from_events(events, block_width)
+    value = to_avro_column(F.struct(*[f.name for f in S.ARRIVAL.fields]), S.AVRO_ARRIVAL,
+                           SCHEMA_IDS["arrivals"])
+    return envelope(arr, value, S.TOPICS["arrivals"], F.col("offset"),
+                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
+
+
+def turnstile_rows(events: DataFrame) -> DataFrame:
+    """One turnstile entry per event: event_id, ts, timestamp (epoch ms), station_id,
+    station_name, line."""
     sid = (F.col("event_id") % TURNSTILE_IDS).cast("int")
-    rows = events.select("event_id", "ts", epoch_millis().alias("timestamp"), sid.alias("station_id"),
+    return events.select("event_id", "ts", epoch_millis().alias("timestamp"), sid.alias("station_id"),
                          F.concat(F.lit("S"), sid.cast("string")).alias("station_name"),
                          _line_of("user_id").alias("line"))
-    return encode_record(rows, ["timestamp"], ["station_id", "station_name", "line"], keep=("event_id", "ts"))
+
+
+def turnstile_records(events: DataFrame) -> DataFrame:
+    """One turnstile entry per event as (key JSON {timestamp}, value JSON
+    {station_id, station_name, line}), plus the event id and time for the envelope."""
+    return encode_record(turnstile_rows(events), ["timestamp"], ["station_id", "station_name", "line"],
+                         keep=("event_id", "ts"))
+
+
+def turnstile_avro_messages(events: DataFrame) -> DataFrame:
+    """Turnstile entries as the producer writes them: registry-framed Avro key and value."""
+    rows = turnstile_rows(events)
+    value = to_avro_column(F.struct("station_id", "station_name", "line"), S.AVRO_TURNSTILE,
+                           SCHEMA_IDS["turnstile"])
+    return envelope(rows, value, S.TOPICS["turnstile"], F.col("event_id"),
+                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
 def turnstile_messages(events: DataFrame) -> DataFrame:
@@ -172,6 +205,15 @@ def weather_messages(events: DataFrame) -> DataFrame:
                     key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
 
 
+def weather_avro_messages(events: DataFrame) -> DataFrame:
+    """Weather readings as registry-framed Avro (what the board's consumer expects by default)."""
+    status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in WEATHER_OF.items()])
+    value = to_avro_column(F.struct(F.col("value").cast("float").alias("temperature"), status.alias("status")),
+                           S.AVRO_WEATHER, SCHEMA_IDS["weather"])
+    return envelope(events, value, S.TOPICS["weather"], F.col("event_id"),
+                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
+
+
 def ridership_seed_from_suppliers(supplier: DataFrame) -> DataFrame:
     """Seed rows (``schemas.RIDERSHIP_SEED``): one per supplier-as-station."""
     bal = F.col("s_acctbal")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.columns import display_status, display_temperature, known_lines, total_steps, transform_station
-from ..functions.decode import decode_json, decode_message, decode_station, decode_summary
+from ..functions.decode import decode_message, decode_station, decode_summary
 from ..operators.joins import expected_entries as _expected_entries, status_board
 from ..operators.state import current_weather as _current_weather
 from ..operators.state import latest_by_key, running_count, slot_occupancy as _slot_occupancy, upsert_count
@@ -43,8 +43,9 @@ def line_stations(station_env: DataFrame) -> DataFrame:
 
 
 # Q5 ----------------------------------------------------------------------------
-def turnstile_counts(turnstile_env: DataFrame, mode: str = "count") -> DataFrame:
-    """(station_id, count) over turnstile entries.
+def turnstile_counts(turnstile_env: DataFrame, mode: str = "count", fmt: str = "json") -> DataFrame:
+    """(station_id, count) over turnstile entries; ``fmt="avro"`` reads the
+    registry-framed Avro values the producers write (D9).
 
     ``count`` (default, A1): every entry counts - the intended result of
     ``COUNT(station_id) GROUP BY station_id``.
@@ -52,17 +53,17 @@ def turnstile_counts(turnstile_env: DataFrame, mode: str = "count") -> DataFrame
     message key replace each other (last by offset) before counting.
     """
     if mode == "count":
-        return running_count(decode_json(turnstile_env, S.TURNSTILE, "value"), "station_id")
+        return running_count(decode_message(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE), "station_id")
     if mode == "upsert":
-        entries = decode_json(turnstile_env, S.TURNSTILE, "value", keep=("key", "offset"))
+        entries = decode_message(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE, keep=("key", "offset"))
         return upsert_count(entries.withColumn("key", F.col("key").cast("string")),
                             "key", "station_id", "offset")
     raise ValueError(mode)
 
 
-def turnstile_summary(turnstile_env: DataFrame, mode: str = "count") -> DataFrame:
+def turnstile_summary(turnstile_env: DataFrame, mode: str = "count", fmt: str = "json") -> DataFrame:
     """Q5: summary table messages, key = station id, value = {STATION_ID, COUNT}."""
-    counts = turnstile_counts(turnstile_env, mode).select(F.col("station_id").alias("STATION_ID"),
+    counts = turnstile_counts(turnstile_env, mode, fmt).select(F.col("station_id").alias("STATION_ID"),
                                                           F.col("count").alias("COUNT"))
     return to_changelog(counts, ["STATION_ID"])
 
@@ -74,20 +75,21 @@ def summary_counts(summary_env: DataFrame) -> DataFrame:
 
 
 # A5 ----------------------------------------------------------------------------
-def slot_occupancy(arrival_env: DataFrame) -> DataFrame:
-    arrivals = decode_json(arrival_env, S.ARRIVAL, "value", keep=("offset",))
-    return _slot_occupancy(arrivals, "offset")
+def decode_arrivals(arrival_env: DataFrame, fmt: str = "json") -> DataFrame:
+    """Arrival messages (JSON, or registry-framed Avro with ``fmt="avro"``) -> (offset, ARRIVAL fields)."""
+    return decode_message(arrival_env, S.ARRIVAL, fmt, S.AVRO_ARRIVAL, keep=("offset",))
 
 
-# Q7 ----------------------------------------------------------------------------
-WEATHER_AVRO = ('{"type": "record", "name": "weather_value", "fields": ['
-                '{"name": "temperature", "type": "float"}, {"name": "status", "type": "string"}]}')
+def slot_occupancy(arrival_env: DataFrame, fmt: str = "json") -> DataFrame:
+    arrivals = decode_arrivals(arrival_env, fmt)
+    return _slot_occupancy(arrivals, "offset")
 
 
+# Q7 ----------------------------------------------------------------------------
 def current_weather(weather_env: DataFrame, fmt: str = "json") -> DataFrame:
     """Latest (temperature, status), defaults 70.0 / sunny before any event.
     Weather is published as plain JSON; ``fmt="avro"`` reads registry-framed Avro."""
-    decoded = decode_message(weather_env, S.WEATHER, fmt, WEATHER_AVRO, keep=("offset",))
+    decoded = decode_message(weather_env, S.WEATHER, fmt, S.AVRO_WEATHER, keep=("offset",))
     return _current_weather(decoded, "offset")
 
 
