@@ -247,3 +247,15 @@ def test_turnstile_count_modes(spark):
                    keys=['{"timestamp":1}', '{"timestamp":1}', '{"timestamp":2}'])
     assert rows(T.turnstile_counts(env)) == [(5, 2), (6, 1)]
     assert rows(T.turnstile_counts(env, mode="upsert")) == [(5, 1), (6, 1)]
+
+
+def test_entry_records_one_row_per_entry(spark):
+    """The producer's per-entry emission: 0 entries emit nothing, n entries emit n rows
+    numbered 1..n, and counting the records gives back the sum of entries."""
+    ts = dt.datetime(2024, 1, 1, 8)
+    expected = spark.createDataFrame(
+        [(1, "A", "blue", ts, 0), (1, "A", "blue", ts, 3), (2, "B", "red", ts, 1), (3, "C", "red", ts, -2)],
+        "station_id int, station_name string, line string, ts timestamp, entries int")
+    recs = T.entry_records(expected)
+    assert rows(recs, "station_id", "entry") == [(1, 1), (1, 2), (1, 3), (2, 1)]
+    assert rows(running_count(recs, "station_id")) == [(1, 3), (2, 1)]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..functions.columns import slug
-from ..functions.decode import check_constraints, decode_json
+from ..functions.decode import check_constraints, decode_json, encode_record
 from ..operators.state import first_by_name, latest_by_key, running_count, upsert_count
 from ..operators.window import line_topology as _line_topology
 from ..session import scratch_path
@@ -126,6 +126,24 @@ def q8_expected_entries(spark, sf_dir):
     return out.select("event_id", "station_id", "hour", "entries", "entries_corrected")
 
 
+def s10_turnstile_entries(spark, sf_dir):
+    """Q8 -> S10 -> Q5: every expected entry (corrected calendar and steps) becomes one
+    turnstile record {station_id, station_name, line} keyed by its tick's epoch ms, as
+    the turnstile producer writes them; the topic is then counted per station."""
+    events = _t(spark, sf_dir, "events")
+    seed = E.ridership_seed_from_suppliers(_t(spark, sf_dir, "supplier"))
+    ticks = events.select("event_id", F.col("user_id").cast("int").alias("station_id"), "ts")
+    expected = T.expected_entries(ticks, seed, E.curve_from_events(events), 300,
+                                  calendar="corrected", steps_mode="corrected")
+    named = expected.join(seed.select("station_id", F.col("stationame").alias("station_name")),
+                          "station_id").withColumn("line", E.line_of("station_id"))
+    recs = T.entry_records(named).withColumn("timestamp", E.epoch_millis())
+    env = E.envelope(encode_record(recs, ["timestamp"], ["station_id", "station_name", "line"], keep=("ts",)),
+                     F.col("value"), S.TOPICS["turnstile"], F.monotonically_increasing_id(),
+                     key=F.col("key"), timestamp=F.col("ts").cast("timestamp"))
+    return T.turnstile_counts(env)
+
+
 def q9_line_topology(spark, sf_dir):
     return T.line_topology(E.stops_from_parts(_t(spark, sf_dir, "part")))
 
@@ -278,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q6_line_status_board": q6_line_status_board,
     "q7_current_weather": q7_current_weather,
     "q8_expected_entries": q8_expected_entries,
+    "s10_turnstile_entries": s10_turnstile_entries,
     "q9_line_topology": q9_line_topology,
     "a7_first_by_name": a7_first_by_name,
     "w1_line_topology": w1_line_topology,
@@ -514,6 +533,22 @@ SELECT event_id AS "offset", CAST(event_id % 40 AS INTEGER) AS station_id,
        lag(CASE WHEN (event_id // 40) % 2 = 0 THEN 'a' ELSE 'b' END) OVER w AS prev_direction
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
 """
+ORACLE["s10_turnstile_entries"] = """
+WITH curve AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) / (SELECT count(*) FROM events) AS ratio
+               FROM events GROUP BY 1),
+seed AS (SELECT CAST(s_suppkey AS INTEGER) AS station_id,
+                CAST(round_even(s_acctbal, 0) AS INTEGER) AS wd,
+                CAST(round_even(s_acctbal - 100, 0) AS INTEGER) AS sa,
+                CAST(round_even(s_acctbal - 200, 0) AS INTEGER) AS su
+         FROM supplier),
+expected AS (
+  SELECT s.station_id,
+         CAST(greatest(floor(CASE WHEN isodow(e.ts) <= 5 THEN s.wd WHEN isodow(e.ts) = 6 THEN s.sa
+                                  ELSE s.su END * c.ratio / 12), 0) AS INTEGER) AS n
+  FROM events e JOIN seed s ON CAST(e.user_id AS INTEGER) = s.station_id
+                JOIN curve c ON CAST(hour(e.ts) AS INTEGER) = c.hour)
+SELECT station_id, CAST(sum(n) AS BIGINT) AS count FROM expected WHERE n > 0 GROUP BY station_id
+"""
 ORACLE["d9_avro_turnstile_summary"] = ORACLE["q5_turnstile_summary"]
 ORACLE["d9_avro_weather"] = ORACLE["q7_current_weather"]
 ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]

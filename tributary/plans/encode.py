@@ -110,7 +110,7 @@ def station_messages(part: DataFrame) -> DataFrame:
                     F.col("stop_id"))
 
 
-def _line_of(id_col: str) -> Column:
+def line_of(id_col: str) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in S.LINES]),
                         (F.col(id_col) % len(S.LINES)).cast("int") + 1)
 
@@ -137,7 +137,7 @@ def arrivals_from_events(events: DataFrame, block_width: int | None = None) -> D
         (F.col("event_id") % STATION_IDS).cast("int").alias("station_id"),
         F.when(F.floor(F.col("event_id") / DIRECTION_RUN) % 2 == 0, F.lit("a"))
          .otherwise(F.lit("b")).alias("direction"),
-        _line_of("user_id").alias("line"),
+        line_of("user_id").alias("line"),
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("train_id"),
         train_status.alias("train_status"))
     kw = {} if block_width is None else {"block_width": block_width}
@@ -173,7 +173,7 @@ def turnstile_rows(events: DataFrame) -> DataFrame:
     sid = (F.col("event_id") % TURNSTILE_IDS).cast("int")
     return events.select("event_id", "ts", epoch_millis().alias("timestamp"), sid.alias("station_id"),
                          F.concat(F.lit("S"), sid.cast("string")).alias("station_name"),
-                         _line_of("user_id").alias("line"))
+                         line_of("user_id").alias("line"))
 
 
 def turnstile_records(events: DataFrame) -> DataFrame:

@@ -124,6 +124,17 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_s
     return _expected_entries(ticks, seed, curve, variants=resolved)
 
 
+def entry_records(expected: DataFrame, entries: str = "entries",
+                  cols: tuple[str, ...] = ("station_id", "station_name", "line", "ts")) -> DataFrame:
+    """The turnstile producer's emission: each (station, tick) row becomes
+    ``entries`` entry rows (the deterministic part; no random jitter).
+
+    A row-local explode, so there is no shuffle, and a row's output is bounded
+    by its own count. The ``entry`` column numbers the entries of a tick from 1."""
+    return (expected.where(F.col(entries) > 0)
+                    .select(*cols, F.explode(F.sequence(F.lit(1), F.col(entries))).alias("entry")))
+
+
 # Q9 ----------------------------------------------------------------------------
 def stops_by_line(stops: DataFrame) -> DataFrame:
     """P12 for all three colours at once: one row per (line, stop) whose flag is true."""
