@@ -17,6 +17,10 @@ p = argparse.ArgumentParser()
 p.add_argument("--servers", default="localhost:9092")
 p.add_argument("--root", required=True, help="shared folder for the tables and checkpoints")
 p.add_argument("--refresh", default="10 seconds")
+p.add_argument("--value-format", default="avro", choices=("avro", "json"),
+               help="arrival and turnstile values (the producers write registry-framed Avro)")
+p.add_argument("--weather-format", default="json", choices=("avro", "json"),
+               help="weather values (published as JSON through the REST proxy)")
 args = p.parse_args()
 
 spark = get_session(app="status-board")
@@ -29,7 +33,9 @@ topics = {
     "weather": dict(topic=TOPICS["weather"]),
 }
 envs = [kafka_stream(spark, args.servers, **kw) for kw in topics.values()]
-queries = T.run_board_tables(*envs, args.root, trigger={"processingTime": args.refresh}, wait=False)
+formats = {"arrivals": args.value_format, "turnstile": args.value_format, "weather": args.weather_format}
+queries = T.run_board_tables(*envs, args.root, trigger={"processingTime": args.refresh}, wait=False,
+                             formats=formats)
 for q in queries:
     q.awaitTermination(60)  # let the first micro-batches land
 order_board(T.board_from_tables(spark, args.root)).show(200, truncate=False)

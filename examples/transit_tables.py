@@ -18,6 +18,8 @@ from tributary.streaming.sinks import to_changelog, to_kafka
 p = argparse.ArgumentParser()
 p.add_argument("--servers", default="localhost:9092")
 p.add_argument("--checkpoint-root", required=True)
+p.add_argument("--value-format", default="avro", choices=("avro", "json"),
+               help="turnstile values (the producers write registry-framed Avro)")
 args = p.parse_args()
 
 spark = get_session(app="transit-tables")
@@ -29,7 +31,7 @@ q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, TOPICS["sta
 turnstile = kafka_stream(spark, args.servers, topic=TOPICS["turnstile"])
 # The count mode (A1) is one stateful aggregation. The table-semantics mode (A2)
 # chains two and runs per micro-batch through tributary.streaming.jobs.run_upsert_count.
-summary = T.turnstile_summary(turnstile)
+summary = T.turnstile_summary(turnstile, fmt=args.value_format)
 q2 = to_kafka(summary, args.servers, TOPICS["turnstile_summary"], f"{args.checkpoint_root}/summary", mode="update")
 for q in (q1, q2):
     q.awaitTermination()

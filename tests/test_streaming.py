@@ -185,3 +185,19 @@ def test_customer_arriving_after_the_score_still_joins(spark):
     run()  # the customer arrives in a later batch and meets the stored score
     got = [json.loads(r["value"]) for r in spark.read.parquet(out).collect()]
     assert got == [{"customer": "late@x", "score": "3.5", "email": "late@x", "birthYear": "1971"}]
+
+
+def test_board_from_avro_topics_equals_json_board(spark, events):
+    """The board's tables read arrivals and turnstile entries as registry-framed
+    Avro (as the producers write them) in update-mode streams: same board as
+    the batch plan over the JSON topics."""
+    part = table(spark, SF, "part")
+    envs = (E.station_messages(part), E.arrival_avro_messages(events),
+            E.turnstile_avro_messages(events), E.weather_avro_messages(events))
+    paths = [_topic(spark, e, 3, n) for e, n in zip(envs, ["st", "arr-avro", "turn-avro", "wx-avro"])]
+    root = _dir(spark, "board-avro")
+    T.run_board_tables(*[envelope_stream(spark, p, 1) for p in paths], root,
+                       formats={"arrivals": "avro", "turnstile": "avro", "weather": "avro"})
+    got = T.board_from_tables(spark, root)
+    want = T.line_status_board(*T.board_inputs(part, events))
+    assert rows(got.select(*want.columns)) == rows(want)

@@ -157,13 +157,21 @@ BOARD_TABLES = {  # table -> key columns
 
 
 def run_board_tables(station_env: DataFrame, arrival_env: DataFrame, turnstile_env: DataFrame,
-                     weather_env: DataFrame, root: str, trigger: dict | None = None, wait: bool = True):
+                     weather_env: DataFrame, root: str, trigger: dict | None = None, wait: bool = True,
+                     formats: dict[str, str] | None = None):
     """Start the four keyed tables behind the board as update-mode streams, each
-    with its own checkpoint, appending changed keys to its changelog under ``root``."""
+    with its own checkpoint, appending changed keys to its changelog under ``root``.
+
+    ``formats`` picks the value format of the arrival, turnstile and weather
+    topics (``"json"`` by default; the original producers write arrivals and
+    turnstile entries as registry-framed Avro)."""
     from ..streaming.jobs import run_table
 
-    plans = {"stations": line_stations(station_env), "slots": slot_occupancy(arrival_env),
-             "counts": turnstile_counts(turnstile_env), "weather": current_weather(weather_env)}
+    fmt = {"arrivals": "json", "turnstile": "json", "weather": "json", **(formats or {})}
+    plans = {"stations": line_stations(station_env),
+             "slots": slot_occupancy(arrival_env, fmt["arrivals"]),
+             "counts": turnstile_counts(turnstile_env, fmt=fmt["turnstile"]),
+             "weather": current_weather(weather_env, fmt["weather"])}
     queries = []
     for name, plan in plans.items():
         q = run_table(plan, BOARD_TABLES[name], f"{root}/{name}", f"{root}/_checkpoints/{name}", trigger)
