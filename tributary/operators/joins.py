@@ -106,7 +106,8 @@ def hourly_curve(curve: DataFrame) -> DataFrame:
 
 def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
                      step_seconds_divisor: int | None = None, calendar: str = "reference",
-                     variants: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+                     variants: dict[str, tuple[str, int]] | None = None,
+                     seed_cols: tuple[str, ...] = ()) -> DataFrame:
     """Deterministic turnstile entries for each simulation tick.
 
     ticks: (station_id, ts, ...) one row per station and step.
@@ -117,11 +118,13 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
            the broadcast side is at most 24 rows whatever the input.
     variants: output column -> (calendar, divisor); all computed in the same
            pass. Default: ``{"entries": (calendar, step_seconds_divisor)}``.
+    seed_cols: further seed columns carried through the same join (e.g. the
+           station name), so no second join with the seed is needed.
     """
     if variants is None:
         variants = {"entries": (calendar, step_seconds_divisor)}
     riders = seed.select(
-        "station_id",
+        "station_id", *[F.col(f"`{c}`") for c in seed_cols],
         whole_rides("avg_weekday_rides").alias("__weekday"),
         whole_rides("avg_saturday_rides").alias("__saturday"),
         whole_rides("`avg_sunday-holiday_rides`").alias("__sunday"))

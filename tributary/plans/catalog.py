@@ -133,10 +133,10 @@ def s10_turnstile_entries(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
     seed = E.ridership_seed_from_suppliers(_t(spark, sf_dir, "supplier"))
     ticks = events.select("event_id", F.col("user_id").cast("int").alias("station_id"), "ts")
-    expected = T.expected_entries(ticks, seed, E.curve_from_events(events), 300,
-                                  calendar="corrected", steps_mode="corrected")
-    named = expected.join(seed.select("station_id", F.col("stationame").alias("station_name")),
-                          "station_id").withColumn("line", E.line_of("station_id"))
+    expected = T.expected_entries(ticks, seed, E.curve_from_events(events), 300, calendar="corrected",
+                                  steps_mode="corrected", seed_cols=("stationame",))
+    named = expected.select("station_id", F.col("stationame").alias("station_name"),
+                            E.line_of("station_id").alias("line"), "ts", "entries")
     recs = T.entry_records(named).withColumn("timestamp", E.epoch_millis())
     env = E.envelope(encode_record(recs, ["timestamp"], ["station_id", "station_name", "line"], keep=("ts",)),
                      F.col("value"), S.TOPICS["turnstile"], F.monotonically_increasing_id(),

@@ -113,7 +113,8 @@ def line_status_board(station_env: DataFrame, arrival_env: DataFrame, turnstile_
 # Q8 ----------------------------------------------------------------------------
 def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_seconds: int = 300,
                      calendar: str = "reference", steps_mode: str = "reference",
-                     variants: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+                     variants: dict[str, tuple[str, str]] | None = None,
+                     seed_cols: tuple[str, ...] = ()) -> DataFrame:
     """Q8: deterministic part of the turnstile simulator for each (station, ts) tick.
 
     ``variants`` maps output columns to (calendar, steps_mode) pairs computed in
@@ -121,7 +122,7 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_s
     if variants is None:
         variants = {"entries": (calendar, steps_mode)}
     resolved = {k: (cal, total_steps(step_seconds, mode)) for k, (cal, mode) in variants.items()}
-    return _expected_entries(ticks, seed, curve, variants=resolved)
+    return _expected_entries(ticks, seed, curve, variants=resolved, seed_cols=seed_cols)
 
 
 def entry_records(expected: DataFrame, entries: str = "entries",
