@@ -29,14 +29,17 @@ from . import risk as R
 from . import transit as T
 
 
-def _t(spark, sf_dir, name):
-    return table(spark, sf_dir, name)
+def _t(spark, sf_dir, name, spread_rows=False):
+    """A driver table. ``spread_rows`` where heavy per-row work (message encoding and
+    decoding, per-entry explode) runs before the first shuffle: a table that is one
+    row group (one scan task) is then spread over the cores; a large table is not touched."""
+    return table(spark, sf_dir, name, spread_rows)
 
 
 # ---- risk scoring ----------------------------------------------------------------
 def q1_risk_graph(spark, sf_dir):
-    return R.risk_graph(E.risk_event_messages(_t(spark, sf_dir, "events")),
-                        E.customer_sorted_set_messages(_t(spark, sf_dir, "customer")))
+    return R.risk_graph(E.risk_event_messages(_t(spark, sf_dir, "events", True)),
+                        E.customer_sorted_set_messages(_t(spark, sf_dir, "customer", True)))
 
 
 def q2_customer_birth_year(spark, sf_dir):
@@ -130,7 +133,7 @@ def s10_turnstile_entries(spark, sf_dir):
     """Q8 -> S10 -> Q5: every expected entry (corrected calendar and steps) becomes one
     turnstile record {station_id, station_name, line} keyed by its tick's epoch ms, as
     the turnstile producer writes them; the topic is then counted per station."""
-    events = _t(spark, sf_dir, "events")
+    events = _t(spark, sf_dir, "events", True)
     seed = E.ridership_seed_from_suppliers(_t(spark, sf_dir, "supplier"))
     ticks = events.select("event_id", F.col("user_id").cast("int").alias("station_id"), "ts")
     expected = T.expected_entries(ticks, seed, E.curve_from_events(events), 300, calendar="corrected",

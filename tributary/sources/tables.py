@@ -9,5 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_rows else df
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than that.
+
+    A parquet row group is the smallest scan split, so a small file with one row
+    group is read by one task, and every per-row step before the first shuffle
+    (decoding, encoding, explode) would run on one core. A large input already
+    has at least one split per core and is returned unchanged, with no shuffle.
+    Filters and column pruning still reach the scan below the repartition.
+    Meant for a plain scan (its partition count is known from planning alone),
+    feeding per-row work that costs more than one shuffle of its rows.
+    """
+    want = partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
