@@ -83,3 +83,23 @@ def test_subscribe_pattern(spark):
     b = env_rows(spark, ["y"], topic=S.TOPICS["stations"])
     got = subscribe_pattern(a.unionByName(b), S.TOPICS["arrivals_pattern"])
     assert [r["topic"] for r in got.collect()] == [S.TOPICS["arrivals"]]
+
+
+def test_spread_only_touches_under_partitioned_scans(spark):
+    from tributary.session import scratch_path
+    from tributary.sources.tables import spread
+
+    one = scratch_path(spark, "spread-one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    small = spark.read.parquet(one)
+    assert small.rdd.getNumPartitions() == 1
+    spread_small = spread(small)
+    assert spread_small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in spread_small.collect()) == list(range(1000))
+    many = scratch_path(spark, "spread-many")
+    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(many)
+    big = spark.read.parquet(many)
+    assert spread(big) is big  # enough splits already: unchanged plan, no shuffle
+    # pruning and filters still reach the scan below the repartition
+    plan = spread(small).where("id > 10").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,10)]" in plan
