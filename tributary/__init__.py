@@ -4,6 +4,7 @@ Every operator is a ``DataFrame -> DataFrame`` function that gives the same
 answer on a batch table and on a Structured Streaming source.
 """
 
+from .functions.avro import from_avro_column, to_avro_column
 from .functions.columns import (birth_year, colour_code, day_kind, display_status, display_temperature,
                                 display_train, line_colour, slug, step_entries, transform_station,
                                 valid_customers, whole_rides)
@@ -15,6 +16,8 @@ from .operators.order import order_board, order_stops, union_lines
 from .operators.state import (current_weather, first_by_name, latest_by_key, running_count, slot_occupancy,
                               upsert_count)
 from .operators.window import line_topology, ordered_neighbours
+from .plans.transit import entry_records
 from .session import checkpoint_root, get_session
+from .sources.tables import spread
 
 __version__ = "0.1.0"
