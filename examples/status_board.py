@@ -2,7 +2,12 @@
 as a batch join of their current snapshots (run the last step as often as the
 board should refresh).
 
-    spark-submit --packages ... examples/status_board.py --root <shared folder>
+    spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>,\
+        org.apache.spark:spark-avro_2.13:<spark version> examples/status_board.py --root <shared folder>
+
+Arrival and turnstile values are registry-framed Avro by default (``--value-format``).
+With spark-avro on the classpath they decode JVM-side; without it, the Arrow-batched
+fallback of ``tributary.functions.avro`` runs.
 """
 
 import argparse

@@ -4,7 +4,11 @@ Stations: every station record becomes a transformed-station update keyed by
 station_id (append: the changelog of the last-value-wins table). Summary: the
 running count per station in update mode, one message per changed station.
 
-    spark-submit --packages ... examples/transit_tables.py --checkpoint-root <shared folder>
+    spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>,\
+        org.apache.spark:spark-avro_2.13:<spark version> examples/transit_tables.py --checkpoint-root <shared folder>
+
+Turnstile values are registry-framed Avro by default (``--value-format``); spark-avro is
+optional (without it the Arrow-batched fallback decodes them).
 """
 
 import argparse
