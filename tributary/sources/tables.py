@@ -7,6 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Upper bound of a spread: a scan with fewer splits than cores is small (under one
+# split per core), so a few hundred partitions carry its per-row work; one per core
+# of a thousand-executor cluster would be thousands of near-empty tasks.
+SPREAD_MAX_PARTITIONS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
@@ -27,7 +31,7 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     Meant for a plain scan (its partition count is known from planning alone),
     feeding per-row work that costs more than one shuffle of its rows.
     """
-    want = partitions or df.sparkSession.sparkContext.defaultParallelism
+    want = partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
