@@ -120,14 +120,14 @@ TOPICS = {
 # JSON; its Avro schema serves the ``fmt="avro"`` reading.
 AVRO_EVENT_KEY = ('{"type": "record", "name": "key", "fields": ['
                   '{"name": "timestamp", "type": "long"}]}')
-AVRO_ARRIVAL = ('{"type": "record", "name": "arrival_value", "namespace": "org.chicago.cta", "fields": ['
+AVRO_ARRIVAL = ('{"type": "record", "name": "arrival_value", "fields": ['
                 '{"name": "station_id", "type": "int"}, {"name": "direction", "type": "string"}, '
                 '{"name": "line", "type": "string"}, {"name": "train_id", "type": "string"}, '
                 '{"name": "train_status", "type": "string"}, '
                 '{"name": "prev_station_id", "type": ["int", "null"]}, '
                 '{"name": "prev_direction", "type": ["string", "null"]}]}')
-AVRO_TURNSTILE = ('{"type": "record", "name": "turnstile_value", "namespace": "org.chicago.cta", "fields": ['
+AVRO_TURNSTILE = ('{"type": "record", "name": "turnstile_value", "fields": ['
                   '{"name": "station_id", "type": "int"}, {"name": "station_name", "type": "string"}, '
                   '{"name": "line", "type": "string"}]}')
-AVRO_WEATHER = ('{"type": "record", "name": "weather_value", "namespace": "org.chicago.cta", "fields": ['
+AVRO_WEATHER = ('{"type": "record", "name": "weather_value", "fields": ['
                 '{"name": "temperature", "type": "float"}, {"name": "status", "type": "string"}]}')
