@@ -31,7 +31,9 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     Meant for a plain scan (its partition count is known from planning alone),
     feeding per-row work that costs more than one shuffle of its rows.
     """
-    want = partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
