@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.avro import to_avro_column
 from ..functions.decode import encode_record
 from ..operators.state import latest_by_key
 from ..session import scratch_path
@@ -55,9 +56,22 @@ def publish(df: DataFrame, servers: str, topic: str) -> None:
 
 
 # S10 ---------------------------------------------------------------------------
-def to_records(df: DataFrame, key_cols: Sequence[str] | None, value_cols: Sequence[str]) -> DataFrame:
-    """JSON key struct + JSON value struct ready for S8 / S9."""
-    return encode_record(df, key_cols, value_cols)
+def to_records(df: DataFrame, key_cols: Sequence[str] | None, value_cols: Sequence[str],
+               fmt: str = "json", key_schema: str | None = None, value_schema: str | None = None,
+               schema_ids: tuple[int, int] | None = None) -> DataFrame:
+    """Key struct + value struct ready for S8 / S9: JSON (as the REST proxy
+    publishes weather), or registry-framed Avro with the given writer schemas
+    (as the station and turnstile producers publish)."""
+    if fmt == "json":
+        return encode_record(df, key_cols, value_cols)
+    if fmt != "avro":
+        raise ValueError(f"unknown format {fmt!r}")
+    if value_schema is None or (key_cols and key_schema is None):
+        raise ValueError("avro records need the key and value writer schemas")
+    key_id, value_id = schema_ids or (None, None)
+    key = (to_avro_column(F.struct(*key_cols), key_schema, key_id) if key_cols
+           else F.lit(None).cast("binary"))
+    return df.select(key.alias("key"), to_avro_column(F.struct(*value_cols), value_schema, value_id).alias("value"))
 
 
 # S11 ---------------------------------------------------------------------------
