@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StructType
+from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from .avro import REGISTRY_PREFIX_BYTES, avro_available, from_avro_column  # noqa: F401
@@ -43,9 +43,9 @@ def decode_json(df: DataFrame, schema: StructType, col="value",
     parse instead of being pushed below it with a copy of the whole
     ``from_json`` each, so every message is parsed exactly once.
     """
-    src = _c(col)
-    if isinstance(col, str) and isinstance(df.schema[col].dataType, BinaryType):
-        src = src.cast("string")
+    # Binary values become text; on a string column the cast is a no-op that
+    # Catalyst removes (and no schema lookup is needed to decide).
+    src = _c(col).cast("string")
     return df.select(*keep, F.inline(F.array(F.from_json(src, schema))))
 
 
