@@ -128,9 +128,15 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame,
         whole_rides("avg_weekday_rides").alias("__weekday"),
         whole_rides("avg_saturday_rides").alias("__saturday"),
         whole_rides("`avg_sunday-holiday_rides`").alias("__sunday"))
+    hourly = hourly_curve(curve)
+    if ticks.isStreaming and not curve.isStreaming:
+        # Position functions are not allowed anywhere in a streaming plan, so the
+        # reduced static curve (<= 24 rows) is checkpointed to the shared
+        # checkpoint folder, which cuts its lineage; batch plans are unchanged.
+        hourly = hourly.checkpoint()
     out = (ticks.join(riders, "station_id", "inner")
                 .withColumn("hour", F.hour("ts"))
-                .join(F.broadcast(hourly_curve(curve)), "hour", "inner"))
+                .join(F.broadcast(hourly), "hour", "inner"))
     for name, (cal, divisor) in variants.items():
         kind = day_kind("ts", cal)
         rides = (F.when(kind == "weekday", F.col("__weekday")).when(kind == "saturday", F.col("__saturday"))
