@@ -178,7 +178,10 @@ def from_avro_column(body, schema_json: str) -> Column:
 
 
 def to_avro_column(record: Column, schema_json: str, schema_id: int | None = None) -> Column:
-    """Struct column -> Avro body; registry-framed when ``schema_id`` is given."""
+    """Struct column -> Avro body; registry-framed when ``schema_id`` is given.
+
+    In the fallback the rows arrive as pandas columns, where a null float and a
+    NaN look the same: a NaN is written as null (an error in a non-union field)."""
     prefix = b"" if schema_id is None else b"\x00" + int(schema_id).to_bytes(4, "big")
     if avro_available():
         from pyspark.sql.avro.functions import to_avro
