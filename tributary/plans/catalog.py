@@ -281,6 +281,23 @@ def t4_stream_upsert_count(spark, sf_dir):
     return jobs.read_upsert_count(spark, f"{root}/table", "user_id")
 
 
+def t5_stream_avro_turnstile_counts(spark, sf_dir):
+    """A1 over the Avro turnstile topic as an update-mode stream (D9 decode in every
+    micro-batch): run, restart after more entries arrive, read back the counts table."""
+    root = scratch_path(spark, "t5-avro-counts")
+    first, rest = _halves(E.turnstile_avro_messages(_t(spark, sf_dir, "events")))
+    write_envelope(first, f"{root}/turnstile")
+
+    def run():
+        counts = T.turnstile_counts(envelope_stream(spark, f"{root}/turnstile"), fmt="avro")
+        jobs.run_table(counts, ["station_id"], f"{root}/table", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/turnstile")
+    run()
+    return jobs.read_table(spark, f"{root}/table", ["station_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -314,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t2_stream_slot_occupancy": t2_stream_slot_occupancy,
     "t3_stream_status_board": t3_stream_status_board,
     "t4_stream_upsert_count": t4_stream_upsert_count,
+    "t5_stream_avro_turnstile_counts": t5_stream_avro_turnstile_counts,
 }
 
 
@@ -558,3 +576,4 @@ ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
 ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
 ORACLE["t3_stream_status_board"] = ORACLE["q6_line_status_board"]
 ORACLE["t4_stream_upsert_count"] = ORACLE["a2_upsert_count"]
+ORACLE["t5_stream_avro_turnstile_counts"] = ORACLE["d12_summary_counts"]
