@@ -14,8 +14,16 @@ SPREAD_MAX_PARTITIONS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``).
+
+    The driver tables are read-only, so each is opened once per session (file
+    listing and parquet footer schema) and the lazy DataFrame is reused by every
+    query; no rows are cached."""
+    opened = spark.__dict__.setdefault("_tributary_tables", {})
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    df = opened[path]
     return spread(df) if spread_rows else df
 
 
