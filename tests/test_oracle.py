@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ENTRY
+from tributary.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-BATCH = [k for k in ENTRY.queries() if not k.startswith("t")]
+BATCH = [k for k in QUERIES if not k.startswith("t")]
 
 
 def _norm(v):
@@ -28,7 +29,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(ENTRY.queries()) == set(ENTRY.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):
