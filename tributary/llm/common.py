@@ -6,6 +6,9 @@ import os
 import shutil
 import tempfile
 
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,3 +84,39 @@ def prefix_sums(df: DataFrame, group: list[str], order: str, weights: list[str],
     for w in weights:
         out = out.withColumn(f"before_{w}", F.col(f"_base_{w}") + F.coalesce(F.sum(w).over(within), F.lit(0)))
     return out.drop("_bucket", *[f"_base_{w}" for w in weights])
+
+
+MEMBER_BITS = 27
+BITMAP_BYTES = 4096  # of one row of Spark's bitmap functions
+
+
+def membership(hashes: DataFrame, column: str, bits: int = MEMBER_BITS) -> Broadcast:
+    """A bitmap of ``2**bits`` bits (16 MB by default, whatever the input) of the 64-bit hashes in ``column``.
+
+    The top bits of a hash are its place. The bitmap is built by Spark's bitmap aggregation in rows of
+    4 KB, and broadcast. A hash whose bit isn't set isn't among them; one whose bit is set may not be
+    either, so it serves only to leave rows out early, before an exact join."""
+    place = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
+    rows = (hashes.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("at"))
+            .groupBy("b").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        whole[(r.b - 1) * BITMAP_BYTES:][:len(part)] = part
+    return hashes.sparkSession.sparkContext.broadcast(whole)
+
+
+def is_member(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """False where a hash (uint64) is surely not in the bitmap."""
+    place = hashes >> np.uint64(65 - int(len(bitmap) * 8).bit_length())
+    return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def maybe_member(members: Broadcast, column: Column) -> Column:
+    """``is_member`` of a column of hashes."""
+
+    @F.pandas_udf("boolean")
+    def test(hashes: pd.Series) -> pd.Series:
+        return pd.Series(is_member(members.value, hashes.to_numpy().view(np.uint64)))
+
+    return test(column)

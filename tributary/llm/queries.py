@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import fingerprints, mixing, ring, secret_scan
+from tributary.llm import chosen_path, fingerprints, mixing, ring, secret_scan
+from tributary.llm import toxicity as tox
 from tributary.llm.common import prepare, table
 
 
@@ -12,10 +13,19 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(prepare(spark), sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.jaccard_classes(table(prepare(spark), sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_documents(table(prepare(spark), sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(prepare(spark), sf_dir, "documents"))
 
@@ -24,5 +34,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op3_sharding, op7_secrets, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op7_secrets, op9_mixing)}
 ORACLE: dict[str, str] = {}

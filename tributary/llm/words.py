@@ -40,6 +40,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """UTF-8 with ASCII and Latin-1 capitals made small; lengths stay."""
+    out = _LOWER[data]
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    capital = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
+    out[capital] += 32
+    return out
+
+
 @dataclass
 class Words:
     """Words of a batch in order: byte range, 64-bit hash, row of each."""
