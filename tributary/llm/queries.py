@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import chosen_path, fingerprints, mixing, ring, secret_scan
+from tributary.llm import chosen_path, decontaminate, fingerprints, mixing, ring, secret_scan, templates
 from tributary.llm import toxicity as tox
 from tributary.llm.common import prepare, table
 
@@ -26,13 +26,23 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(prepare(spark), sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract_main_text(table(prepare(spark), sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op7_secrets, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op5_decontamination, op7_secrets,
+                                  op8_html_extraction, op9_mixing)}
 ORACLE: dict[str, str] = {}
