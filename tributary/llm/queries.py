@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import chosen_path, decontaminate, fingerprints, mixing, ring, secret_scan, templates
+from tributary.llm import chosen_path, decontaminate, fingerprints, mixing, pii, ring, secret_scan, substrings, templates
 from tributary.llm import toxicity as tox
 from tributary.llm.common import prepare, table
 
@@ -31,6 +31,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(prepare(spark), sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(prepare(spark), sf_dir, "documents"))
 
@@ -43,6 +47,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(prepare(spark), sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op5_decontamination, op7_secrets,
-                                  op8_html_extraction, op9_mixing)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(prepare(spark), sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op5_decontamination, op6_personal_data,
+                                  op7_secrets, op8_html_extraction, op9_mixing, op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
