@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
-from tributary.llm.common import maybe_member, membership, written
+from tributary.llm.common import keyed, maybe_member, membership, row_keys, written
 from tributary.llm.components import components
 
 SHINGLE, SIMILARITY, RECALL, SEED = 5, 0.8, 0.999, 7
@@ -331,7 +331,7 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     """Near-duplicate classes of ``docs`` (doc_id, text; other columns are ignored).
 
     Returns one row for each row: doc_id, text_hash (of the text, so that (doc_id, text_hash) names the
-    row), class_id (the least doc_id that its links reach, null only if all ids are null), class_hash (of
+    row), size (its shingles), class_id (the least doc_id that its links reach, null only if all ids are null), class_hash (of
     the document that stays for the class: least doc_id, then least text_hash), n_links (other
     rows whose shingle sets are at least ``similarity`` like its own) and n_texts (distinct other sets among
     them). Rows with equal sets are links of each other, but compared once for all. A text without words (null
@@ -355,12 +355,28 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
         roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", F.coalesce("root", "sid").alias("root"),
         (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"))
-    placed = written(embedded.drop("tokens", "size").join(known, "sid", "left"), "placed")
+    placed = written(embedded.drop("tokens").join(known, "sid", "left"), "placed")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = placed.where("sid is not null").groupBy("root").agg(F.min(key).alias("kept"))
     return placed.join(kept, "root", "left").select(
-        "doc_id", "text_hash",
+        "doc_id", "text_hash", "size",
         F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("kept.doc_id")).alias("class_id"),
         F.when(F.col("sid").isNull(), F.col("text_hash")).otherwise(F.col("kept.text_hash")).alias("class_hash"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).cast("long").alias("n_texts"))
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs``, all columns as they are, with one row of each near-duplicate class: the one with the least
+    doc_id, then the least hash of its text. Of rows equal in both, one stays. Texts without words stay."""
+    classes = written(keyed(jaccard_classes(docs, similarity)), "classes")
+    rows, keys = row_keys(docs)
+    own = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
+    listed = classes.where("size > 0").groupBy(*keys).agg(F.max(own).alias("first"), F.count("*").alias("times"))
+    # what isn't listed here stays as it is: the only row of its key, and first in its class
+    listed = written(listed.where("not first or times > 1"), "not-alone")
+    test = maybe_member(membership(listed, "row_hash"), F.col("row_hash"))
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy("row_hash"))
+    some = rows.where(test).join(listed, keys, "left").withColumn("turn", turn)
+    some = some.where(F.col("first").isNull() | (F.col("first") & (F.col("turn") == 1)))
+    return rows.where(~test).select("row.*").union(some.select("row.*"))

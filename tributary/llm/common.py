@@ -120,3 +120,31 @@ def maybe_member(members: Broadcast, column: Column) -> Column:
         return pd.Series(is_member(members.value, hashes.to_numpy().view(np.uint64)))
 
     return test(column)
+
+
+LEAST_LONG = -(1 << 63)
+
+
+def row_keys(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows of ``docs`` as a struct column ``row``, whatever their columns are called, with key columns
+    (no nulls among them): the id and the hash of the text."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(doc_id, F.lit(LEAST_LONG)).alias("row_id"), F.xxhash64(text).alias("row_hash"))
+    return rows, ["row_id", "row_hash"]
+
+
+def keyed(listed: DataFrame) -> DataFrame:
+    """Columns doc_id and text_hash of an operator's result as the keys of ``row_keys``."""
+    return listed.withColumns({"row_id": F.coalesce("doc_id", F.lit(LEAST_LONG)), "row_hash": F.col("text_hash")})
+
+
+def without(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id and text_hash are in ``listed``.
+
+    Rows that a bitmap of the listed hashes tells apart are never shuffled; only the others are joined."""
+    rows, keys = row_keys(docs)
+    gone = written(keyed(listed).select(*keys).distinct(), "listed")
+    test = maybe_member(membership(gone, "row_hash"), F.col("row_hash"))
+    stay = rows.where(~test).select("row.*")
+    return stay.union(rows.where(test).join(gone, keys, "left_anti").select("row.*"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
-from tributary.llm.common import written
+from tributary.llm.common import without, written
 
 WINDOW = 8
 #: Of a window's tokens, so many at least are words, not placeholders (half of a shorter item's).
@@ -187,3 +187,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         F.max("same").alias("exact")).withColumn("coverage", F.col("matched") / F.col("windows")).where(
         F.col("coverage") >= coverage).select(
         "doc_id", "text_hash", "item_id", "windows", "matched", "coverage", "exact")
+
+
+def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, in which no item is leaked."""
+    return without(docs, find_leaks(docs, benchmark))

@@ -200,6 +200,17 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(doc_id.alias("doc_id"), (remainder(doc_id) == 1).alias("held_out"), "text").mapInArrow(run, OUT)
 
 
+def keep_harmless(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is under ``THRESHOLD``."""
+    model = train(docs, labels)
+
+    @F.arrow_udf("boolean")
+    def harmless(text: pa.Array) -> pa.Array:
+        return pa.array(_score(model, text)[0] < THRESHOLD)
+
+    return docs.where(harmless("text"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``score_documents`` with a model of ``train``; without labels of both classes all scores are 0."""
     return score_documents(docs, train(docs, labels))
