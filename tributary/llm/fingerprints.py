@@ -166,7 +166,9 @@ def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> Dat
     # bounds[i] is the least key of range i, and is the key of some row
     rng = _range_of(bounds)
     own = rows.withColumn("rng", rng("key")).withColumn("guest", F.lit(False))
-    firsts = (rows.join(spark.createDataFrame([(b,) for b in bounds], "key long"), "key").groupBy("key")
+    # a long for each range
+    starts = F.broadcast(spark.createDataFrame([(b,) for b in bounds], "key long"))
+    firsts = (rows.join(starts, "key").groupBy("key")
               .agg(F.min(F.struct("tie", "text", "doc_id")).alias("first")))
     guests = firsts.select("first.doc_id", "first.text", "key", "first.tie",
                            F.pmod(rng("key") - 1, F.lit(len(bounds))).cast("int").alias("rng"),
