@@ -32,7 +32,7 @@ ALLOWED = (
     r"EXAMPLE", r"(?i)(example|placeholder|changeme|dummy|sample|xxxx)",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)0123456789abcdef", r"(?i)abcdefghijklmnop", r"(?i)(deadbeef){2}",
-    r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
+    r"^/?([A-Za-z]+[0-9]{0,4}[-_/])*[A-Za-z]*[0-9]{0,4}$",
 )
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 
