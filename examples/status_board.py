@@ -5,9 +5,8 @@ board should refresh).
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>,\
         org.apache.spark:spark-avro_2.13:<spark version> examples/status_board.py --root <shared folder>
 
-Arrival and turnstile values are registry-framed Avro by default (``--value-format``).
-With spark-avro on the classpath they decode JVM-side; without it, the Arrow-batched
-fallback of ``tributary.functions.avro`` runs.
+Arrival and turnstile values are registry-framed Avro by default (``--value-format``),
+decoded by Spark's own from_avro, which needs the spark-avro package.
 """
 
 import argparse
@@ -26,6 +25,7 @@ p.add_argument("--value-format", default="avro", choices=("avro", "json"),
                help="arrival and turnstile values (the producers write registry-framed Avro)")
 p.add_argument("--weather-format", default="json", choices=("avro", "json"),
                help="weather values (published as JSON through the REST proxy)")
+p.add_argument("--show-every", type=int, default=30, help="seconds between two looks at the board")
 args = p.parse_args()
 
 spark = get_session(app="status-board")
@@ -41,6 +41,6 @@ envs = [kafka_stream(spark, args.servers, **kw) for kw in topics.values()]
 formats = {"arrivals": args.value_format, "turnstile": args.value_format, "weather": args.weather_format}
 queries = T.run_board_tables(*envs, args.root, trigger={"processingTime": args.refresh}, wait=False,
                              formats=formats)
-for q in queries:
-    q.awaitTermination(60)  # let the first micro-batches land
-order_board(T.board_from_tables(spark, args.root)).show(200, truncate=False)
+while all(q.isActive for q in queries):
+    spark.streams.awaitAnyTermination(args.show_every)
+    order_board(T.board_from_tables(spark, args.root)).show(200, truncate=False)

@@ -7,8 +7,8 @@ running count per station in update mode, one message per changed station.
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>,\
         org.apache.spark:spark-avro_2.13:<spark version> examples/transit_tables.py --checkpoint-root <shared folder>
 
-Turnstile values are registry-framed Avro by default (``--value-format``); spark-avro is
-optional (without it the Arrow-batched fallback decodes them).
+Turnstile values are registry-framed Avro by default (``--value-format``), which needs the
+spark-avro package.
 """
 
 import argparse
@@ -28,13 +28,13 @@ args = p.parse_args()
 
 spark = get_session(app="transit-tables")
 stations = kafka_stream(spark, args.servers, topic=TOPICS["stations"])
-changelog = T.station_changelog(stations).drop("offset")
+changelog = T.station_changelog(stations).drop("position")
 q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, TOPICS["stations_table"],
               f"{args.checkpoint_root}/stations")
 
 turnstile = kafka_stream(spark, args.servers, topic=TOPICS["turnstile"])
 # The count mode (A1) is one stateful aggregation. The table-semantics mode (A2)
-# chains two and runs per micro-batch through tributary.streaming.jobs.run_upsert_count.
+# chains two; tributary.streaming.jobs.run_upsert_count keeps the first and counts on read.
 summary = T.turnstile_summary(turnstile, fmt=args.value_format)
 q2 = to_kafka(summary, args.servers, TOPICS["turnstile_summary"], f"{args.checkpoint_root}/summary", mode="update")
 for q in (q1, q2):

@@ -58,8 +58,8 @@ def test_upsert_count_matches_python(spark, recs):
 
 @SETTINGS
 @given(st.lists(st.tuples(keys, st.integers(0, 200)), max_size=80, unique_by=lambda t: t),
-       st.sampled_from([1, 3, 17]))
-def test_blocked_neighbours_match_python(spark, pts, width):
+       st.sampled_from([{"block_width": 1}, {"block_width": 17}, {"blocks": 2}, {"blocks": 7}]))
+def test_blocked_neighbours_match_python(spark, pts, cut):
     df = spark.createDataFrame([(k, o, f"v{o}") for k, o in pts], "k int, o long, v string")
     by_key = defaultdict(list)
     for k, o in pts:
@@ -69,27 +69,5 @@ def test_blocked_neighbours_match_python(spark, pts, width):
         os_ = sorted(os_)
         for i, o in enumerate(os_):
             want.append((k, o, f"v{os_[i - 1]}" if i else None, f"v{os_[i + 1]}" if i + 1 < len(os_) else None))
-    got = ordered_neighbours(df, ["k"], ["o"], ["v"], block_width=width)
+    got = ordered_neighbours(df, ["k"], ["o"], ["v"], **cut)
     assert rows(got, "k", "o", "prev_v", "next_v") == sorted(want, key=repr)
-
-
-@SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 4), st.integers(-3, 6)), max_size=40))
-def test_entry_records_match_python(spark, ticks):
-    """Per-entry emission: a tick with n > 0 entries gives rows numbered 1..n, and
-    counting them per station gives the sum of the positive entries."""
-    import datetime as dt
-
-    from tributary.plans.transit import entry_records
-
-    ts = dt.datetime(2024, 1, 1)
-    df = spark.createDataFrame([(s, f"S{s}", "red", ts, n, i) for i, (s, n) in enumerate(ticks)],
-                               "station_id int, station_name string, line string, ts timestamp, entries int, tick int")
-    recs = entry_records(df, cols=("station_id", "tick"))
-    want = sorted(((s, i, e) for i, (s, n) in enumerate(ticks) for e in range(1, n + 1)), key=repr)
-    assert rows(recs, "station_id", "tick", "entry") == want
-    totals = defaultdict(int)
-    for s, n in ticks:
-        if n > 0:
-            totals[s] += n
-    assert rows(running_count(recs, "station_id")) == sorted(totals.items(), key=repr)

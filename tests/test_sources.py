@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tributary import schemas as S
 from tributary.functions.decode import avro_available, decode_summary, encode_record, split_malformed
 from tributary.functions.decode import decode_json
-from tributary.sources.jdbc import incremental_slice, jdbc_options
+from tributary.sources.jdbc import high_water, incremental_slice, jdbc_options
 from tributary.sources.kafka import kafka_available, kafka_options, raw_messages, subscribe_pattern
 from tributary.streaming.sinks import register, to_changelog
 
@@ -22,7 +22,7 @@ def test_kafka_options():
                  "includeHeaders": "true", "subscribe": S.TOPICS["risk_events"]}
     p = kafka_options("b:9092", pattern=S.TOPICS["arrivals_pattern"], starting="latest",
                       max_offsets_per_trigger=500)
-    assert p["subscribePattern"].startswith("^org") and p["startingOffsets"] == "latest"
+    assert p["subscribePattern"].startswith("org") and p["startingOffsets"] == "latest"
     assert p["maxOffsetsPerTrigger"] == "500"
     with pytest.raises(ValueError):
         kafka_options("b", topic="a", pattern="b")
@@ -34,19 +34,36 @@ def test_raw_messages_null_key(spark):
     assert got == sorted([(None, "0abcs", S.TOPICS["passthrough"]), ("k", "1abcs", S.TOPICS["passthrough"])], key=repr)
 
 
-def test_incremental_slice(spark):
+def test_incremental_loads_lose_and_repeat_nothing(spark):
     df = spark.createDataFrame([(i, f"s{i}") for i in (3, 1, 7, 5)], "stop_id int, name string")
-    new, high = incremental_slice(df, "stop_id", 3, ordered=True)
-    assert [r["stop_id"] for r in new.collect()] == [5, 7]
-    assert high.first()["high_water"] == 7
-    none, same = incremental_slice(df, "stop_id", 7)
-    assert none.count() == 0 and same.first()["high_water"] == 7
-    # an update to an already loaded row (id 5 renamed) is not read again
-    updated = df.where("stop_id <> 5").unionByName(spark.createDataFrame([(5, "renamed")], df.schema))
-    again, _ = incremental_slice(updated, "stop_id", 7)
-    assert again.count() == 0
-    o = jdbc_options("jdbc:postgresql://h/db", "stations", "stop_id", 40000, 0, 50000, 8)
-    assert '"stop_id" > 40000' in o["dbtable"] and o["numPartitions"] == "8"
+    mark = high_water(df, "stop_id").first()["high_water"]  # first load: no mark yet
+    assert mark == 7
+    more = df.unionByName(spark.createDataFrame([(9, "s9")], df.schema))  # comes in between mark and slice
+    first = incremental_slice(more, "stop_id", None, mark, ordered=True)
+    assert [r["stop_id"] for r in first.collect()] == [1, 3, 5, 7]
+    second_mark = high_water(more, "stop_id", mark).first()["high_water"]
+    assert second_mark == 9
+    assert [r["stop_id"] for r in incremental_slice(more, "stop_id", mark, second_mark).collect()] == [9]
+    # nothing new: no row, and the mark stays, also where an update has lowered the largest value
+    assert high_water(df, "stop_id", 9).first()["high_water"] == 9
+    assert incremental_slice(df, "stop_id", 9, 9).count() == 0
+    assert high_water(df.where("false"), "stop_id").first()["high_water"] is None
+
+
+def test_incremental_marks_of_other_types(spark):
+    times = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    df = spark.createDataFrame([(t, t.isoformat()) for t in times], "at timestamp, name string")
+    assert incremental_slice(df, "at", times[0], times[2]).count() == 2
+    assert [r["name"] for r in incremental_slice(df, "name", times[0].isoformat(), times[1].isoformat()).collect()] == [
+        times[1].isoformat()]
+    o = jdbc_options("jdbc:postgresql://h/db", "stations", "stop_id", 40000, 50000)
+    assert '"stop_id" > 40000' in o["dbtable"] and '"stop_id" <= 50000' in o["dbtable"]
+    assert (o["lowerBound"], o["upperBound"], int(o["numPartitions"]) > 1) == ("40000", "50000", True)
+    o = jdbc_options("jdbc:x", "t", "at", times[0], times[1])
+    assert "> TIMESTAMP '2024-01-01 00:00:00'" in o["dbtable"] and o["lowerBound"] == "2024-01-01 00:00:00"
+    o = jdbc_options("jdbc:x", "t", "name", "o'x", "z")
+    assert "> 'o''x'" in o["dbtable"] and "numPartitions" not in o
+    assert ">" not in jdbc_options("jdbc:x", "t", "id", None, 9)["dbtable"].replace("<=", "")
 
 
 def test_records_and_changelog(spark):
@@ -85,21 +102,35 @@ def test_subscribe_pattern(spark):
     assert [r["topic"] for r in got.collect()] == [S.TOPICS["arrivals"]]
 
 
-def test_spread_only_touches_under_partitioned_scans(spark):
-    from tributary.session import scratch_path
-    from tributary.sources.tables import spread
-
-    one = scratch_path(spark, "spread-one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    small = spark.read.parquet(one)
-    assert small.rdd.getNumPartitions() == 1
-    spread_small = spread(small)
-    assert spread_small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r.id for r in spread_small.collect()) == list(range(1000))
-    many = scratch_path(spark, "spread-many")
-    spark.range(1000).repartition(spark.sparkContext.defaultParallelism).write.parquet(many)
-    big = spark.read.parquet(many)
-    assert spread(big) is big  # enough splits already: unchanged plan, no shuffle
-    # pruning and filters still reach the scan below the repartition
-    plan = spread(small).where("id > 10").select("id")._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,10)]" in plan
+def test_subscribe_pattern_matches_whole_names(spark):
+    env = env_rows(spark, ["x"], topic="a.arrivals.v1").unionByName(env_rows(spark, ["y"], topic="b.a.arrivals.v1"))
+    assert subscribe_pattern(env, r"a\.arrivals").count() == 0
+    assert [r["topic"] for r in subscribe_pattern(env, r"a\.arrivals\..*").collect()] == ["a.arrivals.v1"]
+
+
+def test_salting_needs_its_columns(spark):
+    from tributary.operators.joins import join_risk
+
+    risk = spark.createDataFrame([("a", "1")], "customer string, score string")
+    customers = spark.createDataFrame([("a", "1960")], "email string, birthYear string")
+    assert join_risk(risk, customers).count() == 1
+    with pytest.raises(ValueError, match="salting"):
+        join_risk(risk, customers, salt=4)
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    from tributary.session import checkpoint_root
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://m:7077"
+        getConf = lambda self: Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

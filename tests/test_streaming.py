@@ -11,7 +11,6 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tributary.operators.state import running_count
 from tributary.plans import encode as E
 from tributary.plans import risk as R
 from tributary.plans import transit as T
@@ -63,7 +62,7 @@ def test_q1_stream_join_equals_batch_and_restart_adds_nothing(spark, events):
 def test_q3_stateless_stream(spark, events):
     env = E.risk_event_messages(events)
     path, out = _topic(spark, env, 4, "risk"), _dir(spark, "q3-out")
-    jobs.run_append(R.risk_events(envelope_stream(spark, path, 1)), out)
+    jobs.run_append(R.risk_events(envelope_stream(spark, path, 1)), out, _dir(spark, "ckpt"))
     assert rows(spark.read.parquet(out)) == rows(R.risk_events(env))
 
 
@@ -71,14 +70,14 @@ def test_a5_slots_update_mode_equals_batch(spark, events):
     env = E.arrival_messages(events)
     path, out = _topic(spark, env, 5, "arrivals"), _dir(spark, "slots")
     jobs.run_table(T.slot_occupancy(envelope_stream(spark, path, 1)),
-                   ["line", "station_id", "direction"], out)
+                   ["line", "station_id", "direction"], out, _dir(spark, "ckpt"))
     assert rows(jobs.read_table(spark, out, ["line", "station_id", "direction"])) == rows(T.slot_occupancy(env))
 
 
 def test_q4_station_table_update_mode_equals_batch(spark):
     env = E.station_messages(table(spark, SF, "part"))
     path, out = _topic(spark, env, 4, "stations"), _dir(spark, "stations")
-    jobs.run_table(T.stations_table(envelope_stream(spark, path, 1)), ["station_id"], out)
+    jobs.run_table(T.stations_table(envelope_stream(spark, path, 1)), ["station_id"], out, _dir(spark, "ckpt"))
     got = jobs.read_table(spark, out, ["station_id"]).select("station_id", "station_name", "order", "line")
     assert rows(got) == rows(T.stations_table(env))
 
@@ -86,7 +85,7 @@ def test_q4_station_table_update_mode_equals_batch(spark):
 def test_q5_counts_update_mode_equals_batch(spark, events):
     env = E.turnstile_messages(events)
     path, out = _topic(spark, env, 3, "turnstile"), _dir(spark, "counts")
-    jobs.run_table(T.turnstile_counts(envelope_stream(spark, path, 1)), ["station_id"], out, compact_every=2)
+    jobs.run_table(T.turnstile_counts(envelope_stream(spark, path, 1)), ["station_id"], out, _dir(spark, "ckpt"), compact_every=2)
     assert rows(jobs.read_table(spark, out, ["station_id"])) == rows(T.turnstile_counts(env))
 
 
@@ -97,8 +96,8 @@ def test_a2_upsert_count_stream_equals_batch(spark, events):
     msgs.repartition(4).write.parquet(path)
     stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = _dir(spark, "a2")
-    jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out, compact_every=3)
-    got = jobs.read_upsert_count(spark, out, "user_id")
+    jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out, _dir(spark, "ckpt"), compact_every=3)
+    got = jobs.read_upsert_count(spark, out, ["msg_key"], "user_id")
     assert rows(got) == rows(upsert_count(msgs, "msg_key", "user_id", "event_id"))
 
 
@@ -123,7 +122,7 @@ def test_bounded_join_keeps_close_pairs_only(spark):
     ev_path, cu_path, out = _topic(spark, ev, 1, "bev"), _topic(spark, cu, 1, "bcu"), _dir(spark, "bout")
     bound = {"delay": "1 hour", "range": "1 day"}
     q = R.risk_graph(envelope_stream(spark, ev_path), envelope_stream(spark, cu_path), bound=bound)
-    jobs.run_append(q, out)
+    jobs.run_append(q, out, _dir(spark, "ckpt"))
     assert [r["key"] for r in spark.read.parquet(out).collect()] == ["a@x"]
     # unbounded (the default) keeps every pair regardless of time
     assert sorted(r["key"] for r in R.risk_graph(ev, cu).collect()) == ["a@x", "b@x"]
@@ -188,40 +187,67 @@ def test_customer_arriving_after_the_score_still_joins(spark):
     assert got == [{"customer": "late@x", "score": "3.5", "email": "late@x", "birthYear": "1971"}]
 
 
-def test_board_from_avro_topics_equals_json_board(spark, events):
-    """The board's tables read arrivals and turnstile entries as registry-framed
-    Avro (as the producers write them) in update-mode streams: same board as
-    the batch plan over the JSON topics."""
-    part = table(spark, SF, "part")
-    envs = (E.station_messages(part), E.arrival_avro_messages(events),
-            E.turnstile_avro_messages(events), E.weather_avro_messages(events))
-    paths = [_topic(spark, e, 3, n) for e, n in zip(envs, ["st", "arr-avro", "turn-avro", "wx-avro"])]
-    root = _dir(spark, "board-avro")
-    T.run_board_tables(*[envelope_stream(spark, p, 1) for p in paths], root,
-                       formats={"arrivals": "avro", "turnstile": "avro", "weather": "avro"})
-    got = T.board_from_tables(spark, root)
-    want = T.line_status_board(*T.board_inputs(part, events))
-    assert rows(got.select(*want.columns)) == rows(want)
+def test_sinks_that_outlive_the_query_need_a_checkpoint(spark, events):
+    from tributary.streaming.run import run_stream
+
+    path = _topic(spark, E.risk_event_messages(events.limit(5)), 1, "needs")
+    with pytest.raises(ValueError, match="checkpoint"):
+        run_stream(R.risk_events(envelope_stream(spark, path)), sink="parquet", path=_dir(spark, "out"))
+
+
+def test_changelog_reads_only_complete_versions(spark):
+    from tributary.streaming import sinks
+
+    path = _dir(spark, "log")
+    assert sinks.read_changelog_table(spark, path, ["k"]) is None
+    write = sinks.changelog_writer(path, ["k"], None, compact_every=2)
+    frame = lambda rows_: spark.createDataFrame(rows_, "k int, v string")
+    for batch in range(7):
+        write(frame([(batch % 3, f"v{batch}"), (9, f"w{batch}")]), batch)
+    want = [(0, "v6"), (1, "v4"), (2, "v5"), (9, "w6")]
+    assert rows(sinks.read_changelog_table(spark, path, ["k"])) == want
+    # what lies below the snapshot before the last is gone
+    assert sinks._versions(spark, f"{path}/snap") == [3, 5] and sinks._versions(spark, f"{path}/log") == [4, 5, 6]
+    # a half-written snapshot and a half-written batch don't count
+    frame([(0, "half")]).write.parquet(f"{path}/snap/__version=6")
+    frame([(0, "half")]).write.parquet(f"{path}/log/__version=7")
+    for name in ("snap/__version=6", "log/__version=7"):
+        os.unlink(f"{path}/{name}/_SUCCESS")
+    assert rows(sinks.read_changelog_table(spark, path, ["k"])) == want
+    write(frame([(0, "v7")]), 7)  # the replay of the lost batch overwrites it
+    write(frame([(0, "v7")]), 7)
+    assert rows(sinks.read_changelog_table(spark, path, ["k"])) == [(0, "v7"), *want[1:]]
 
 
-def test_entry_emission_stream_equals_batch(spark, events):
-    """Q8 -> per-entry records -> Q5 as a stream: ticks arrive as files and meet the
-    static seed and hourly curve (stream-static joins); the counts table equals batch."""
-    seed = E.ridership_seed_from_suppliers(table(spark, SF, "supplier"))
-    curve = E.curve_from_events(events)
-    ticks = events.select(F.col("user_id").cast("int").alias("station_id"), "ts")
-    path, out = _dir(spark, "ticks"), _dir(spark, "entry-counts")
-    ticks.repartition(3).write.parquet(path)
-
-    def counts(t):
-        expected = T.expected_entries(t, seed, curve, 300, calendar="corrected", steps_mode="corrected",
-                                      seed_cols=("stationame",))
-        named = expected.select("station_id", F.col("stationame").alias("station_name"),
-                                E.line_of("station_id").alias("line"), "ts", "entries")
-        return running_count(T.entry_records(named), "station_id")
-
-    stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    jobs.run_table(counts(stream), ["station_id"], out)
-    want = rows(counts(ticks))
-    assert len(want) > 0
-    assert rows(jobs.read_table(spark, out, ["station_id"])) == want
+def test_a_failed_listing_is_raised(spark):
+    from tributary.streaming import sinks
+
+    with pytest.raises(Exception):
+        sinks.read_changelog_table(spark, "nosuchscheme://x/y", ["k"])
+
+
+def test_live_board(spark, events):
+    """The four tables run side by side on a processing-time trigger; new input changes the board."""
+    part = table(spark, SF, "part")
+    envs = T.board_inputs(part, events)
+    halves = [(e.where("unix_timestamp(timestamp) % 2 = 0"), e.where("unix_timestamp(timestamp) % 2 = 1")) for e in envs]
+    paths = [_topic(spark, first, 1, n) for (first, _), n in zip(halves, ["lst", "larr", "lturn", "lwx"])]
+    root = _dir(spark, "live")
+    queries = T.run_board_tables(*[envelope_stream(spark, p, 1) for p in paths], root,
+                                 trigger={"processingTime": "200 milliseconds"}, wait=False)
+    try:
+        assert len(queries) == 4 and all(q.isActive for q in queries)
+        for q in queries:
+            q.processAllAvailable()
+        before = T.board_from_tables(spark, root)
+        want = T.line_status_board(*[first for first, _ in halves])
+        assert rows(before.select(*want.columns)) == rows(want)
+        for (_, rest), p in zip(halves, paths):
+            write_envelope(rest, p, 1)
+        for q in queries:
+            q.processAllAvailable()
+        want = T.line_status_board(*envs)
+        assert rows(T.board_from_tables(spark, root).select(*want.columns)) == rows(want)
+    finally:
+        for q in queries:
+            q.stop()

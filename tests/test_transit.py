@@ -61,21 +61,21 @@ def test_q4_last_value_table_keyed_by_station_only(station_env):
 
 def test_a4_changelog_keeps_line_membership(station_env):
     log = T.station_changelog(station_env)
-    full = latest_by_key(log, ["line", "station_id"], "offset", ["station_name", "order"])
+    full = latest_by_key(log, ["line", "station_id"], "position", ["station_name", "order"])
     assert Counter(r["line"] for r in full.collect()) == {"blue": 33, "red": 33, "green": 28, None: 21}
     board_rows = T.line_stations(station_env)
     assert board_rows.count() == 94
 
 
 def test_q9_topology_sizes_and_harlem(stations):
-    topo = T.line_topology(stations, block_width=None)
+    topo = T.line_topology(stations, blocks=None)
     assert Counter(r["line"] for r in topo.collect()) == {"blue": 32, "green": 28, "red": 34}
     harlem = topo.where((F.col("line") == "blue") & (F.col("station_name") == "Harlem")).collect()
     assert len(harlem) == 1
     h = harlem[0]
     assert (h["station_id"], h["prev_station_name"], h["next_station_name"]) == (40750, "Cumberland", "Jefferson Park")
     # the blocked (skew-safe) plan gives the same answer
-    blocked = T.line_topology(stations, block_width=3)
+    blocked = T.line_topology(stations, blocks=9)
     assert rows(blocked) == rows(topo)
 
 
@@ -85,9 +85,30 @@ def test_ordered_neighbours_blocked_equals_plain_window(spark):
     df = spark.createDataFrame(data, "k int, o long, v string")
     w = Window.partitionBy("k").orderBy("o")
     want = rows(df.select("k", "o", "v", F.lag("v").over(w).alias("prev_v"), F.lead("v").over(w).alias("next_v")))
-    for width in (1, 5, 64, 1 << 20):
-        got = ordered_neighbours(df, ["k"], ["o"], ["v"], block_width=width)
-        assert rows(got.select("k", "o", "v", "prev_v", "next_v")) == want, width
+    for cut in ({"block_width": 1}, {"block_width": 64}, {"blocks": 1}, {"blocks": 5}, {"blocks": 64}, {"blocks": None}):
+        got = ordered_neighbours(df, ["k"], ["o"], ["v"], **cut)
+        assert rows(got.select("k", "o", "v", "prev_v", "next_v")) == want, cut
+        left = ordered_neighbours(df, ["k"], ["o"], ["v"], prefixes=("prev_", None), **cut)
+        assert left.columns == ["k", "o", "v", "prev_v"] or set(left.columns) == {"k", "o", "v", "prev_v"}
+        assert rows(left.select("k", "o", "v", "prev_v")) == [r[:4] for r in want]
+
+
+def test_no_task_gets_a_hot_line(spark):
+    """One line with every stop at its own order: blocks are bounded, and so are the edge rows."""
+    from tributary.operators import window
+
+    n, blocks = 20_000, 16
+    df = spark.range(n).select(F.lit("red").alias("line"), F.col("id").alias("order"), F.col("id").alias("stop_id"))
+    d = window._blocks(df.withColumn("__k", F.struct("line")), ["order", "stop_id"], blocks)
+    sizes = [r["count"] for r in d.groupBy("__blk").count().collect()]
+    assert len(sizes) == blocks and max(sizes) < 2 * n / blocks and sum(sizes) == n
+    got = ordered_neighbours(df, ["line"], ["order", "stop_id"], ["stop_id"], blocks=blocks)
+    assert got.where("coalesce(prev_stop_id, stop_id - 1) <> stop_id - 1 or coalesce(next_stop_id, stop_id + 1) <> stop_id + 1"
+                     " or (prev_stop_id is null) <> (stop_id = 0)").count() == 0
+    # ties in the first column are cut by the second
+    tied = df.withColumn("order", F.lit(3).cast("long"))
+    assert rows(ordered_neighbours(tied, ["line"], ["order", "stop_id"], ["stop_id"], blocks=blocks),
+                "stop_id", "prev_stop_id", "next_stop_id") == rows(got, "stop_id", "prev_stop_id", "next_stop_id")
 
 
 def test_first_by_name(spark):
@@ -249,13 +270,51 @@ def test_turnstile_count_modes(spark):
     assert rows(T.turnstile_counts(env, mode="upsert")) == [(5, 1), (6, 1)]
 
 
-def test_entry_records_one_row_per_entry(spark):
-    """The producer's per-entry emission: 0 entries emit nothing, n entries emit n rows
-    numbered 1..n, and counting the records gives back the sum of entries."""
-    ts = dt.datetime(2024, 1, 1, 8)
-    expected = spark.createDataFrame(
-        [(1, "A", "blue", ts, 0), (1, "A", "blue", ts, 3), (2, "B", "red", ts, 1), (3, "C", "red", ts, -2)],
-        "station_id int, station_name string, line string, ts timestamp, entries int")
-    recs = T.entry_records(expected)
-    assert rows(recs, "station_id", "entry") == [(1, 1), (1, 2), (1, 3), (2, 1)]
-    assert rows(running_count(recs, "station_id")) == [(1, 3), (2, 1)]
+def test_steps_of_any_length():
+    from tributary.functions.columns import total_steps
+
+    assert total_steps(300) == 300 and total_steps(300, "corrected") == 12
+    assert total_steps(7200, "corrected") == 0.5 and total_steps(7, "corrected") == pytest.approx(3600 / 7)
+
+
+def _env(spark, messages):
+    """(value, topic, partition, offset, second) rows as an envelope."""
+    import json
+
+    from tributary import schemas as S
+
+    return spark.createDataFrame(
+        [(None, (v if isinstance(v, str) else json.dumps(v)).encode(), topic, p, o,
+          dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), None) for v, topic, p, o, t in messages], S.ENVELOPE)
+
+
+def _arrival(train, line="blue", station=1):
+    return {"station_id": station, "direction": "a", "line": line, "train_id": train, "train_status": "in_service",
+            "prev_station_id": None, "prev_direction": None}
+
+
+def test_order_across_partitions_and_topics(spark):
+    """A later message wins whatever its partition's offsets are; ties go by topic, partition, offset."""
+    slots = T.slot_occupancy(_env(spark, [(_arrival("OLD"), "t", 0, 100, 1), (_arrival("NEW"), "t", 1, 3, 2)]))
+    assert [r["train_id"] for r in slots.collect()] == ["NEW"]
+    ties = [(_arrival("A"), "t", 1, 9, 1), (_arrival("B"), "u", 0, 0, 1), (_arrival("C"), "t", 0, 50, 1)]
+    assert [r["train_id"] for r in T.slot_occupancy(_env(spark, ties)).collect()] == ["B"]
+    stop = lambda name: {"stop_id": 1, "stop_name": name, "station_id": 5, "order": 1, "red": True}
+    stations = _env(spark, [(stop("old"), "s", 0, 70, 1), (stop("new"), "s", 2, 1, 9)])
+    assert [r["station_name"] for r in T.stations_table(stations).collect()] == ["new"]
+    assert [r["station_name"] for r in T.line_stations(stations).collect()] == ["new"]
+
+
+def test_bad_messages_are_skipped_and_kept_as_dead_letters(spark):
+    from tributary import schemas as S
+    from tributary.functions.decode import dead_letters
+
+    bad = ("garbage", "t", 0, 99, 50)
+    weather = _env(spark, [({"temperature": 33.0, "status": "windy"}, "t", 0, 1, 1), bad, ("{}", "t", 0, 100, 51)])
+    assert rows(T.weather_display(weather)) == [(33, "Windy")]
+    assert T.stations_table(_env(spark, [bad])).count() == 0
+    slots = _env(spark, [(_arrival("T1"), "t", 0, 1, 1), bad])
+    assert rows(T.slot_occupancy(slots), "station_id", "train_id") == [(1, "T1")]
+    assert T.turnstile_counts(_env(spark, [bad]), mode="upsert").count() == 0
+    letters = dead_letters(weather, S.WEATHER)
+    assert rows(letters.select("offset", F.col("value").cast("string"))) == sorted([(99, "garbage"), (100, "{}")], key=repr)

@@ -9,15 +9,14 @@ from .functions.columns import (birth_year, colour_code, day_kind, display_statu
                                 display_train, line_colour, slug, step_entries, transform_station,
                                 valid_customers, whole_rides)
 from .functions.decode import (check_constraints, decode_avro, decode_base64_json, decode_json,
-                               decode_message, decode_station, decode_summary, decode_value, encode_json,
-                               encode_record, first_element, split_malformed, unbase64_text)
+                               dead_letters, decode_message, decode_station, decode_summary, encode_json,
+                               encode_record, first_element, positioned, split_malformed, unbase64_text,
+                               well_formed)
 from .operators.joins import expected_entries, join_risk, status_board
 from .operators.order import order_board, order_stops, union_lines
 from .operators.state import (current_weather, first_by_name, latest_by_key, running_count, slot_occupancy,
                               upsert_count)
 from .operators.window import line_topology, ordered_neighbours
-from .plans.transit import entry_records
 from .session import checkpoint_root, get_session
-from .sources.tables import spread
 
 __version__ = "0.1.0"

@@ -1,36 +1,19 @@
-"""Avro message bodies (D9) with or without the external spark-avro package.
+"""Avro message bodies (D9) by Spark's own ``from_avro`` / ``to_avro``.
 
-With spark-avro on the classpath, decoding and encoding use its JVM-side
-``from_avro`` / ``to_avro`` (PERMISSIVE, so a bad message is a row of nulls).
-Without it, the same column functions fall back to Arrow-batched pandas UDFs
-driven by the writer schema: Spark still partitions the messages, and each task
-decodes whole Arrow batches. The fallback covers flat records of primitive
-fields and of two-branch unions with ``null``, which is every value and key
-schema of the transit topics.
-
-Wire format (Avro specification): int/long are zig-zag varints, float/double
-little-endian IEEE 754, string/bytes a long length then the bytes, boolean one
-byte, a union the branch index (a long) then the branch value. Registry-framed
-messages carry a magic byte 0 and a 4-byte big-endian schema id before the body.
+They live in the external spark-avro package, which must be on the classpath;
+without it the functions raise. Decoding is PERMISSIVE: a bad message is a row
+of nulls. Registry-framed messages carry a magic byte 0 and a 4-byte big-endian
+schema id before the body.
 """
 
 from __future__ import annotations
 
-import json
 import struct
 
-import pandas as pd
 from pyspark.sql import Column, SparkSession, functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, FloatType, IntegerType,
-                               LongType, StringType, StructField, StructType)
 
 REGISTRY_PREFIX_BYTES = 5  # magic byte + 4-byte schema id ahead of the Avro body
 
-_SPARK_TYPES = {"boolean": BooleanType(), "int": IntegerType(), "long": LongType(),
-                "float": FloatType(), "double": DoubleType(), "string": StringType(),
-                "bytes": BinaryType()}
-
 
 def avro_available(spark: SparkSession | None = None) -> bool:
     """True when the external spark-avro package is on the classpath."""
@@ -42,157 +25,25 @@ def avro_available(spark: SparkSession | None = None) -> bool:
         return False
 
 
-def record_fields(schema_json: str) -> list[tuple[str, str, int | None]]:
-    """(name, primitive type, index of the null branch or None) per record field."""
-    schema = json.loads(schema_json)
-    if schema.get("type") != "record":
-        raise ValueError("only record schemas are supported")
-    out = []
-    for f in schema["fields"]:
-        t = f["type"]
-        if isinstance(t, list):
-            other = [x for x in t if x != "null"]
-            if len(t) != 2 or len(other) != 1 or other[0] not in _SPARK_TYPES:
-                raise ValueError(f"unsupported union {t!r} in field {f['name']!r}")
-            out.append((f["name"], other[0], t.index("null")))
-        elif isinstance(t, str) and t in _SPARK_TYPES:
-            out.append((f["name"], t, None))
-        else:
-            raise ValueError(f"unsupported Avro type {t!r} in field {f['name']!r}")
-    return out
-
-
-def spark_type(schema_json: str) -> StructType:
-    return StructType([StructField(n, _SPARK_TYPES[t], True) for n, t, _ in record_fields(schema_json)])
-
-
-# -- binary reader / writer (one message) ---------------------------------------
-def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
-    acc = shift = 0
-    while True:
-        b = buf[pos]
-        pos += 1
-        acc |= (b & 0x7F) << shift
-        if b < 0x80:
-            return (acc >> 1) ^ -(acc & 1), pos
-        shift += 7
-
-
-def _read_value(kind: str, buf: bytes, pos: int):
-    if kind in ("int", "long"):
-        return _read_long(buf, pos)
-    if kind in ("string", "bytes"):
-        n, pos = _read_long(buf, pos)
-        if n < 0 or pos + n > len(buf):
-            raise ValueError("truncated")
-        raw = bytes(buf[pos:pos + n])
-        return (raw.decode("utf-8") if kind == "string" else raw), pos + n
-    if kind == "float":
-        return struct.unpack_from("<f", buf, pos)[0], pos + 4
-    if kind == "double":
-        return struct.unpack_from("<d", buf, pos)[0], pos + 8
-    if kind == "boolean":
-        return buf[pos] != 0, pos + 1
-    raise ValueError(kind)
-
-
-def read_record(buf, fields) -> list:
-    """Decode one record body; a malformed one gives all nulls (PERMISSIVE)."""
-    if buf is None:
-        return [None] * len(fields)
-    try:
-        pos, row = 0, []
-        for _, kind, null_branch in fields:
-            if null_branch is not None:
-                branch, pos = _read_long(buf, pos)
-                if branch == null_branch:
-                    row.append(None)
-                    continue
-                if branch != 1 - null_branch:
-                    raise ValueError("bad union branch")
-            value, pos = _read_value(kind, buf, pos)
-            row.append(value)
-        return row
-    except (IndexError, ValueError, struct.error, UnicodeDecodeError):
-        return [None] * len(fields)
-
-
-def _write_long(n: int, out: bytearray) -> None:
-    z = (n << 1) ^ (n >> 63)
-    while z > 0x7F:
-        out.append((z & 0x7F) | 0x80)
-        z >>= 7
-    out.append(z)
-
-
-def _write_value(kind: str, v, out: bytearray) -> None:
-    if kind in ("int", "long"):
-        _write_long(int(v), out)
-    elif kind in ("string", "bytes"):
-        raw = v.encode("utf-8") if kind == "string" else bytes(v)
-        _write_long(len(raw), out)
-        out += raw
-    elif kind == "float":
-        out += struct.pack("<f", v)
-    elif kind == "double":
-        out += struct.pack("<d", v)
-    elif kind == "boolean":
-        out.append(1 if v else 0)
-    else:
-        raise ValueError(kind)
-
-
-def write_record(values, fields, prefix: bytes = b"") -> bytes:
-    """Encode one record; a null in a non-union field is an error, as in Avro."""
-    out = bytearray(prefix)
-    for v, (name, kind, null_branch) in zip(values, fields):
-        if null_branch is not None:
-            _write_long(null_branch if v is None else 1 - null_branch, out)
-            if v is None:
-                continue
-        elif v is None:
-            raise ValueError(f"null in non-nullable Avro field {name!r}")
-        _write_value(kind, v, out)
-    return bytes(out)
-
-
-# -- column functions ----------------------------------------------------------------
-def _missing(v):
-    return v is None or (isinstance(v, float) and v != v)
-
-
-def from_avro_column(body, schema_json: str) -> Column:
-    """Avro body (binary column) -> struct column with the writer schema's fields."""
-    body = F.col(body) if isinstance(body, str) else body
-    if avro_available():
-        from pyspark.sql.avro.functions import from_avro
-        return from_avro(body, schema_json, {"mode": "PERMISSIVE"})
-    fields = record_fields(schema_json)
-    names = [n for n, _, _ in fields]
-
-    @pandas_udf(spark_type(schema_json))
-    def decode(bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([read_record(b, fields) for b in bodies], columns=names, dtype=object)
+def _needed() -> None:
+    if not avro_available():
+        raise RuntimeError("Avro needs the spark-avro package on the classpath (--packages org.apache.spark:spark-avro_2.13)")
 
-    return decode(body)
 
+def from_avro_column(body: Column, schema_json: str) -> Column:
+    """Avro body -> struct, for the writer schema."""
+    from pyspark.sql.avro.functions import from_avro
 
-def to_avro_column(record: Column, schema_json: str, schema_id: int | None = None) -> Column:
-    """Struct column -> Avro body; registry-framed when ``schema_id`` is given.
+    _needed()
+    return from_avro(body, schema_json, {"mode": "PERMISSIVE"})
 
-    In the fallback the rows arrive as pandas columns, where a null float and a
-    NaN look the same: a NaN is written as null (an error in a non-union field)."""
-    prefix = b"" if schema_id is None else b"\x00" + int(schema_id).to_bytes(4, "big")
-    if avro_available():
-        from pyspark.sql.avro.functions import to_avro
-        body = to_avro(record, schema_json)
-        return F.concat(F.lit(prefix), body) if prefix else body
-    fields = record_fields(schema_json)
 
-    @pandas_udf(BinaryType())
-    def encode(rows: pd.DataFrame) -> pd.Series:
-        cols = [rows[n] for n, _, _ in fields]
-        return pd.Series([write_record([None if _missing(v) else v for v in vals], fields, prefix)
-                          for vals in zip(*cols)], dtype=object)
+def to_avro_column(row: Column, schema_json: str, schema_id: int | None = None) -> Column:
+    """Struct -> Avro body, registry-framed when a schema id is given."""
+    from pyspark.sql.avro.functions import to_avro
 
-    return encode(record)
+    _needed()
+    body = to_avro(row, schema_json)
+    if schema_id is None:
+        return body
+    return F.concat(F.lit(b"\x00" + struct.pack(">i", schema_id)).cast("binary"), body)

@@ -91,16 +91,17 @@ def step_entries(rides, ratio, steps) -> Column:
     return F.greatest(F.floor(_c(rides) * _c(ratio) / _c(steps)), F.lit(0)).cast("int")
 
 
-def total_steps(step_seconds: int, mode: str = "reference") -> int:
+def total_steps(step_seconds: int, mode: str = "reference") -> float:
     """Divisor for one simulation step.
 
-    ``reference``: int(60 / (60 / step_seconds)), which is step_seconds itself.
-    ``corrected``: the number of steps in an hour.
+    ``reference``: the length of the step in seconds (a fixed rule of the
+    simulation that this reproduces). ``corrected``: the number of steps in an
+    hour, which needn't be whole (half a step for two-hour steps).
     """
     if mode == "reference":
-        return int(60 / (60 / step_seconds))
+        return step_seconds
     if mode == "corrected":
-        return max(int(3600 // step_seconds), 1)
+        return 3600 / step_seconds
     raise ValueError(mode)
 
 

@@ -24,11 +24,6 @@ def value_text(col="value") -> Column:
     return _c(col).cast("string")
 
 
-def decode_value(env: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Envelope -> (keep..., value string)."""
-    return env.select(*keep, value_text("value").alias("value"))
-
-
 # D2, D3, D4 --------------------------------------------------------------------
 def decode_json(df: DataFrame, schema: StructType, col="value",
                 keep: Sequence[str] = ()) -> DataFrame:
@@ -49,11 +44,6 @@ def decode_json(df: DataFrame, schema: StructType, col="value",
     return df.select(*keep, F.inline(F.array(F.from_json(src, schema))))
 
 
-def flatten(df: DataFrame, col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``select(col.*)``."""
-    return df.select(*keep, f"{col}.*")
-
-
 # D5 ----------------------------------------------------------------------------
 def first_element(array_col, field: str) -> Column:
     """``arr[0].field`` that yields null (not an error) on a null or empty array."""
@@ -92,8 +82,7 @@ def encode_record(df: DataFrame, key_cols: Sequence[str] | None,
 def decode_avro(env: DataFrame, schema_json: str, keep: Sequence[str] = (),
                 registry_framed: bool = True, col: str = "value") -> DataFrame:
     """Avro value -> flat columns. Registry-framed messages carry a 5-byte prefix.
-    Spark's own ``from_avro`` when the spark-avro package is present, else the
-    Arrow-batched fallback of ``functions.avro``."""
+    Spark's own ``from_avro``; needs the spark-avro package."""
     body = F.col(col)
     if registry_framed:
         body = F.expr(f"substring(`{col}`, {REGISTRY_PREFIX_BYTES + 1})")
@@ -145,10 +134,33 @@ def decode_summary(env: DataFrame, keep: Sequence[str] = (), lower: bool = True)
 
 
 # T6 ----------------------------------------------------------------------------
+def malformed(fields: Sequence[str]) -> Column:
+    """A message is malformed when all its fields decode to null (garbage, a tombstone, or another type)."""
+    return F.forall(F.array(*[F.col(f"`{f}`").isNull() for f in fields]), lambda missing: missing)
+
+
+def well_formed(decoded: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Bad messages skipped: what every keyed table reads."""
+    return decoded.where(~malformed(fields))
+
+
 def split_malformed(decoded: DataFrame, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(good, dead_letter): a message whose listed fields all decode to null is malformed."""
-    cond = None
-    for f in fields:
-        c = F.col(f).isNull()
-        cond = c if cond is None else (cond & c)
-    return decoded.where(~cond), decoded.where(cond)
+    """(good, dead letters) of a decoded topic."""
+    return well_formed(decoded, fields), decoded.where(malformed(fields))
+
+
+def dead_letters(env: DataFrame, schema: StructType, fmt: str = "json", avro_schema: str | None = None) -> DataFrame:
+    """The messages of a topic that decode to nothing, as they came: position and raw value."""
+    keep = ("topic", "partition", "offset", "timestamp", "value")
+    decoded = decode_message(env.withColumn("raw", F.col("value")), schema, fmt, avro_schema, keep=(*keep[:-1], "raw"))
+    return decoded.where(malformed([f.name for f in schema.fields])).withColumnRenamed("raw", "value").select(*keep)
+
+
+# Position of a message -------------------------------------------------------------
+POSITION = "position"
+
+
+def positioned(env: DataFrame) -> DataFrame:
+    """Adds the order of a message among all partitions of all its topics: (timestamp, topic, partition,
+    offset). An offset alone only orders one partition of one topic."""
+    return env.withColumn(POSITION, F.struct("timestamp", "topic", "partition", "offset"))

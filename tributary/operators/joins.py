@@ -16,12 +16,11 @@ from ..functions.columns import (colour_code, display_status, display_temperatur
 
 
 # J1 ----------------------------------------------------------------------------
-STREAM_SALT = 16
 SALT = "__salt"
 
 
 def join_risk(risk: DataFrame, customers: DataFrame, bound: dict | None = None,
-              salt: int | None = None, salt_by: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
+              salt: int = 1, salt_by: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
     """Inner equi-join ``customer = email``; every matching pair, duplicates kept,
     nulls never match.
 
@@ -33,13 +32,14 @@ def join_risk(risk: DataFrame, customers: DataFrame, bound: dict | None = None,
     ``salt`` spreads a hot customer over that many join partitions: each risk
     row gets a salt from a hash of its message position (``salt_by`` columns,
     so a replayed message keeps its salt) and each customer row is repeated
-    once per salt, so every pair is still produced exactly once. Streams get
-    ``STREAM_SALT`` by default (no AQE there); batch plans leave skew to AQE's
-    skew-join split.
+    once per salt, so every pair is still produced exactly once. Off by default:
+    batch plans leave skew to AQE's skew-join split, and a stream would keep each
+    customer ``salt`` times in its state, which only a hot customer is worth.
     """
-    if salt is None:
-        salt = STREAM_SALT if risk.isStreaming else 1
-    if salt > 1 and all(c in risk.columns for c in salt_by):
+    missing = [c for c in salt_by if c not in risk.columns]
+    if salt > 1 and missing:
+        raise ValueError(f"salting needs the columns {missing}")
+    if salt > 1:
         risk = risk.withColumn(SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salt)).cast("int"))
         customers = customers.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         cond = (risk["customer"] == customers["email"]) & (risk[SALT] == customers[SALT])

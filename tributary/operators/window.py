@@ -2,13 +2,15 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(k)`` sends every row of a key to one
 task; with a key holding a third of the data that task is the whole job. Here a
-partition is cut into *blocks* of bounded order range, and neighbours are found
+partition is cut into *blocks* of consecutive rows, and neighbours are found
 inside each block by an ordinary window. Only the edge rows of each block (its
 first and last row, at most two per block) lack a neighbour; they take it from
-the adjacent edge row in a second window over the edge rows alone, whose size
-per key is twice the number of blocks (the order range divided by the block
-width), not the row count. Interior and edge rows are then put back together
-with a union: one shuffle of the full data, no join, no aggregate.
+the adjacent edge row in a second window over the edge rows alone. Interior and
+edge rows are then put back together with a union: one shuffle of the full data.
+
+Blocks are ranges of rank: each key is cut at quantiles of its order, so a key has
+``blocks`` blocks of about equal size and at most twice as many edges, whatever
+its order values are.
 """
 
 from __future__ import annotations
@@ -19,58 +21,82 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .state import first_by_name
 
-DEFAULT_BLOCK_WIDTH = 1 << 20
+BLOCKS = 64
+#: Two order columns are ranked as one number, the second in the last digits (an id of up to 18 digits).
+_SECOND = 10 ** 18
+
+
+def _rank_key(order_by: Sequence[str]) -> Column:
+    """One number in the order of one or two whole-number columns (nulls first)."""
+    if len(order_by) > 2:
+        raise ValueError("blocks need one or two order columns; pass blocks=None")
+    nums = [F.coalesce(F.col(c).cast("decimal(38,0)"), F.lit(-1).cast("decimal(38,0)")) for c in order_by]
+    return nums[0] if len(nums) == 1 else nums[0] * F.lit(_SECOND).cast("decimal(19,0)") + nums[1]
 
 
-def _block(order_by: Sequence[str], width: int) -> Column:
-    """Monotone block id: the leading order columns plus the last one bucketed."""
-    *head, last = order_by
-    return F.struct(*[F.col(c) for c in head], F.floor(F.col(last) / F.lit(width)).alias("__b"))
+def _blocks(d: DataFrame, order_by: Sequence[str], blocks: int) -> DataFrame:
+    """Adds ``__blk``: how many of its key's quantiles are below the row. Bounds are values of the key's rows
+    and compared exactly, so that blocks are ranges of rank even where a quantile is only approximate."""
+    d = d.withColumn("__r", _rank_key(order_by).cast("decimal(38,0)"))
+    cuts = d.groupBy("__k").agg(F.percentile_approx("__r", [i / blocks for i in range(1, blocks)]).alias("__cuts"))
+    return d.join(cuts, "__k").withColumn("__blk", F.size(F.filter("__cuts", lambda c: c < F.col("__r"))))
 
 
 def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
-                       carry: Sequence[str], prefixes: tuple[str, str] = ("prev_", "next_"),
-                       block_width: int | None = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+                       carry: Sequence[str], prefixes: tuple[str | None, str | None] = ("prev_", "next_"),
+                       blocks: int | None = BLOCKS, block_width: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` for each ``carry`` column: the values of
-    the row before / after in ``order_by`` within ``partition_by``.
-
-    ``order_by`` must be unique within a partition and its last column numeric
-    when ``block_width`` is set. ``block_width=None`` uses one plain window
-    (fine for small, bounded tables).
+    the row before / after in ``order_by`` within ``partition_by``. A prefix of
+    None leaves that side out.
+
+    ``order_by`` must be unique within a partition. With ``blocks`` (rank
+    ranges) it has one or two whole-number columns, the second one under 10**18
+    and not negative. ``block_width`` cuts a single dense whole-number column
+    (an offset) into ranges of that width instead, which needs no look at the
+    data. ``blocks=None`` without a width uses one plain window (fine for small,
+    bounded tables).
     """
     partition_by, order_by, carry = list(partition_by), list(order_by), list(carry)
     p, n = prefixes
     payload = F.struct(*[F.col(c) for c in carry])
-    if block_width is None:
-        w = Window.partitionBy(*partition_by).orderBy(*order_by)
-        out = df.withColumn("__p", F.lag(payload).over(w)).withColumn("__n", F.lead(payload).over(w))
-        return _unpack(out, carry, p, n)
+    sides = {"__p": F.lag, "__n": F.lead}
+    sides = {k: f for (k, f), prefix in zip(sides.items(), prefixes) if prefix is not None}
+
+    def near(d: DataFrame, w) -> DataFrame:
+        return d.withColumns({k: F.coalesce(k, f(payload).over(w)) if k in d.columns else f(payload).over(w)
+                              for k, f in sides.items()})
+
+    if blocks is None and block_width is None:
+        return _unpack(near(df, Window.partitionBy(*partition_by).orderBy(*order_by)), carry, p, n)
 
     # Key as one non-null struct: null key values still group together.
-    d = (df.withColumn("__k", F.struct(*[F.col(c) for c in partition_by]))
-           .withColumn("__blk", _block(order_by, block_width)))
+    d = df.withColumn("__k", F.struct(*[F.col(c) for c in partition_by]))
+    if block_width is not None:
+        if len(order_by) != 1:
+            raise ValueError("block_width needs a single order column")
+        d = d.withColumn("__blk", F.floor(F.col(order_by[0]) / F.lit(block_width)))
+    else:
+        d = _blocks(d, order_by, blocks)
     w = Window.partitionBy("__k", "__blk").orderBy(*order_by)
-    d = d.withColumn("__p", F.lag(payload).over(w)).withColumn("__n", F.lead(payload).over(w))
-    interior = d.where(F.col("__p").isNotNull() & F.col("__n").isNotNull())
-    edges = d.where(F.col("__p").isNull() | F.col("__n").isNull())
+    # Of one side only the rows at that side lack a neighbour, but the rows at the other side provide it.
+    d = near(d, w).withColumns({"__first": F.lag(F.lit(1)).over(w).isNull(), "__last": F.lead(F.lit(1)).over(w).isNull()})
+    edge = F.col("__first") | F.col("__last")
     # The edge row before a block's first row is the previous block's last row,
     # and the one after a block's last row is the next block's first row.
-    wk = Window.partitionBy("__k").orderBy(*order_by)
-    edges = (edges.withColumn("__p", F.coalesce("__p", F.lag(payload).over(wk)))
-                  .withColumn("__n", F.coalesce("__n", F.lead(payload).over(wk))))
-    out = interior.unionByName(edges).drop("__k", "__blk")
+    edges = near(d.where(edge), Window.partitionBy("__k").orderBy(*order_by))
+    out = d.where(~edge).unionByName(edges).drop("__k", "__blk", "__first", "__last", "__r", "__cuts")
     return _unpack(out, carry, p, n)
 
 
-def _unpack(df: DataFrame, carry: Sequence[str], p: str, n: str) -> DataFrame:
+def _unpack(df: DataFrame, carry: Sequence[str], p: str | None, n: str | None) -> DataFrame:
     cols = [c for c in df.columns if c not in ("__p", "__n")]
-    return df.select(*cols, *[F.col(f"__p.{c}").alias(p + c) for c in carry],
-                     *[F.col(f"__n.{c}").alias(n + c) for c in carry])
+    sides = [(s, prefix) for s, prefix in (("__p", p), ("__n", n)) if prefix is not None]
+    return df.select(*cols, *[F.col(f"{s}.{c}").alias(prefix + c) for s, prefix in sides for c in carry])
 
 
 def line_topology(stops: DataFrame, line: str = "line", name: str = "station_name",
                   station_id: str = "station_id", order_by: Sequence[str] = ("order", "stop_id"),
-                  block_width: int | None = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+                  blocks: int | None = BLOCKS) -> DataFrame:
     """Per line, stations de-duplicated by name in first-seen order (A7), the
     first station id of each name, linked to the previous (direction a) and the
     next (direction b) station.
@@ -85,5 +111,5 @@ def line_topology(stops: DataFrame, line: str = "line", name: str = "station_nam
     linked = ordered_neighbours(firsts.withColumnRenamed(name, "station_name")
                                       .withColumnRenamed(station_id, "station_id"),
                                 [line], order_by, ["station_id", "station_name"],
-                                block_width=block_width)
+                                blocks=blocks)
     return linked

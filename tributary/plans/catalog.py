@@ -10,16 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas as S
 from ..functions.columns import slug
-from ..functions.decode import check_constraints, decode_json, encode_record
+from ..functions.decode import POSITION, check_constraints, dead_letters, decode_json, value_text
+from ..operators.order import order_board, order_stops, union_lines
 from ..operators.state import first_by_name, latest_by_key, running_count, upsert_count
 from ..operators.window import line_topology as _line_topology
 from ..session import scratch_path
 from ..sources.files import envelope_stream, write_envelope
-from ..sources.jdbc import incremental_slice
+from ..sources.jdbc import high_water, incremental_slice
 from ..sources.tables import table
 from ..streaming import jobs
 from ..streaming.sinks import to_changelog
@@ -29,17 +30,14 @@ from . import risk as R
 from . import transit as T
 
 
-def _t(spark, sf_dir, name, spread_rows=False):
-    """A driver table. ``spread_rows`` where heavy per-row work (message encoding and
-    decoding, per-entry explode) runs before the first shuffle: a table that is one
-    row group (one scan task) is then spread over the cores; a large table is not touched."""
-    return table(spark, sf_dir, name, spread_rows)
+def _t(spark, sf_dir, name):
+    return table(spark, sf_dir, name)
 
 
 # ---- risk scoring ----------------------------------------------------------------
 def q1_risk_graph(spark, sf_dir):
-    return R.risk_graph(E.risk_event_messages(_t(spark, sf_dir, "events", True)),
-                        E.customer_sorted_set_messages(_t(spark, sf_dir, "customer", True)))
+    return R.risk_graph(E.risk_event_messages(_t(spark, sf_dir, "events")),
+                        E.customer_sorted_set_messages(_t(spark, sf_dir, "customer")))
 
 
 def q2_customer_birth_year(spark, sf_dir):
@@ -64,7 +62,7 @@ def s11_station_changelog(spark, sf_dir):
     """Every station record as a changelog message of the station table:
     key = station_id, value = {station_id, station_name, order, line}."""
     log = T.station_changelog(E.station_messages(_t(spark, sf_dir, "part")))
-    return to_changelog(log.drop("offset"), ["station_id"])
+    return to_changelog(log.drop(POSITION), ["station_id"])
 
 
 def a4_line_stations(spark, sf_dir):
@@ -130,21 +128,13 @@ def q8_expected_entries(spark, sf_dir):
 
 
 def s10_turnstile_entries(spark, sf_dir):
-    """Q8 -> S10 -> Q5: every expected entry (corrected calendar and steps) becomes one
-    turnstile record {station_id, station_name, line} keyed by its tick's epoch ms, as
-    the turnstile producer writes them; the topic is then counted per station."""
-    events = _t(spark, sf_dir, "events", True)
+    """Expected entries per station over all ticks (corrected calendar and steps)."""
+    events = _t(spark, sf_dir, "events")
     seed = E.ridership_seed_from_suppliers(_t(spark, sf_dir, "supplier"))
-    ticks = events.select("event_id", F.col("user_id").cast("int").alias("station_id"), "ts")
+    ticks = events.select(F.col("user_id").cast("int").alias("station_id"), "ts")
     expected = T.expected_entries(ticks, seed, E.curve_from_events(events), 300, calendar="corrected",
-                                  steps_mode="corrected", seed_cols=("stationame",))
-    named = expected.select("station_id", F.col("stationame").alias("station_name"),
-                            E.line_of("station_id").alias("line"), "ts", "entries")
-    recs = T.entry_records(named).withColumn("timestamp", E.epoch_millis())
-    env = E.envelope(encode_record(recs, ["timestamp"], ["station_id", "station_name", "line"], keep=("ts",)),
-                     F.col("value"), S.TOPICS["turnstile"], F.monotonically_increasing_id(),
-                     key=F.col("key"), timestamp=F.col("ts").cast("timestamp"))
-    return T.turnstile_counts(env)
+                                  steps_mode="corrected")
+    return (expected.groupBy("station_id").agg(F.sum("entries").alias("count")).where("count > 0"))
 
 
 def q9_line_topology(spark, sf_dir):
@@ -167,23 +157,6 @@ def w1_line_topology(spark, sf_dir):
     return _line_topology(cust)
 
 
-# ---- Avro topics (D9) ----------------------------------------------------------
-def d9_avro_arrivals(spark, sf_dir):
-    """Arrival messages in registry-framed Avro (nullable unions for prev_*) decoded
-    back to rows: Spark's from_avro when spark-avro is present, else the Arrow fallback."""
-    return T.decode_arrivals(E.arrival_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
-
-
-def d9_avro_turnstile_summary(spark, sf_dir):
-    """Q5 as the original pipeline runs it: the turnstile topic is Avro (D9 -> A1)."""
-    return T.turnstile_summary(E.turnstile_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
-
-
-def d9_avro_weather(spark, sf_dir):
-    """Q7 read with the Avro decoder (the board consumer's default format)."""
-    return T.weather_display(E.weather_avro_messages(_t(spark, sf_dir, "events")), fmt="avro")
-
-
 def q10_raw_messages(spark, sf_dir):
     return P.passthrough(E.passthrough_messages(_t(spark, sf_dir, "events")))
 
@@ -199,20 +172,60 @@ def p14_slug(spark, sf_dir):
 
 
 def s6_incremental_load(spark, sf_dir):
-    """Rows past the previous load's high-water mark, and the new mark. The previous
-    mark is one stored number in a real load; here it is taken as half the largest
-    key (one scalar aggregate), so the filter is a literal pushed into the scan."""
-    part = _t(spark, sf_dir, "part")
-    last = int(part.agg(F.floor(F.max("p_partkey") / 2).alias("m")).first()["m"])
-    new, high = incremental_slice(part.select("p_partkey", "p_name"), "p_partkey", last)
-    return new.withColumn("high_water", high.scalar())
+    """Two loads with a stored mark. The first takes the table as it was when half of the keys were in it,
+    from no mark at all; the second takes what has come since, up to the mark read before it. The marks are
+    scalar subqueries, so no job runs while the query is built."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    then = part.where(F.col("p_partkey") <= part.agg(F.floor(F.max("p_partkey") / 2)).scalar())
+    first_mark = high_water(then, "p_partkey").scalar()
+    first = incremental_slice(then, "p_partkey", None, first_mark)
+    second_mark = high_water(part, "p_partkey", first_mark).scalar()
+    second = incremental_slice(part, "p_partkey", first_mark, second_mark)
+    loads = [df.withColumns({"load": F.lit(k), "high_water": mark})
+             for k, (df, mark) in enumerate(((first, first_mark), (second, second_mark)), 1)]
+    return union_lines(*loads)
+
+
+def t6_dead_letters(spark, sf_dir):
+    """The malformed messages of the four transit topics, as they came."""
+    envs = T.board_inputs(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "events"))
+    kinds = (S.STATION, S.ARRIVAL, S.TURNSTILE, S.WEATHER)
+    letters = union_lines(*[dead_letters(env, kind) for env, kind in zip(envs, kinds)])
+    return letters.select("topic", "partition", "offset", value_text("value").alias("value"))
+
+
+# ---- ordered results -------------------------------------------------------------
+def _numbered(df, *order):
+    """Adds the place in the order (the comparison of results doesn't look at it). The board and the stops of a
+    deployment are small tables, so one window numbers them."""
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
+def o1_ordered_board(spark, sf_dir):
+    """Q6 as it is shown: lines blue, green, red; stations by order (O1)."""
+    board = order_board(q6_line_status_board(spark, sf_dir))
+    return _numbered(board.select("line", "line_rank", "station_id", "order"), "line_rank",
+                     F.col("order").asc_nulls_last(), "station_id")
+
+
+def o2_ordered_stops(spark, sf_dir):
+    """Stops by order, ties by stop id (O2)."""
+    stops = order_stops(E.stops_from_parts(_t(spark, sf_dir, "part")))
+    return _numbered(stops.select("stop_id", "order"), F.col("order").asc_nulls_last(), "stop_id")
+
+
+def u1_union_lines(spark, sf_dir):
+    """The three lines' stops, filtered one by one and put together."""
+    stops = E.stops_from_parts(_t(spark, sf_dir, "part"))
+    return union_lines(*[stops.where(F.col(line)).select(F.lit(line).alias("line"), "stop_id") for line in S.LINES])
 
 
 # ---- streaming forms (same answer as batch; state crosses a restart) ---------------
 def _halves(env: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The part of a topic present at the first start and the part that arrives
-    before the restart (by offset parity, so both halves span all keys)."""
-    return env.where(F.col("offset") % 2 == 0), env.where(F.col("offset") % 2 == 1)
+    before the restart (by the parity of the second, so both halves span all keys)."""
+    late = F.unix_timestamp("timestamp") % 2 == 1
+    return env.where(~late), env.where(late)
 
 
 def t1_stream_risk_graph(spark, sf_dir):
@@ -263,9 +276,8 @@ def t3_stream_status_board(spark, sf_dir):
 
 
 def t4_stream_upsert_count(spark, sf_dir):
-    """A2 as a stream: per micro-batch, the latest message per message key is looked
-    up against the message table and turned into +1/-1 count deltas; run, restart
-    after the rest of the messages arrive, read back the summed counts."""
+    """A2 as a stream: the latest value per message key is an update-mode state; run, restart
+    after the rest of the messages arrive, count over the table."""
     root = scratch_path(spark, "t4-upsert-count")
     msgs = _t(spark, sf_dir, "events").select(F.date_trunc("minute", "ts").alias("msg_key"),
                                               "user_id", "event_id")
@@ -278,18 +290,18 @@ def t4_stream_upsert_count(spark, sf_dir):
     run()
     msgs.where(F.col("event_id") % 2 == 1).write.mode("append").parquet(f"{root}/messages")
     run()
-    return jobs.read_upsert_count(spark, f"{root}/table", "user_id")
+    return jobs.read_upsert_count(spark, f"{root}/table", ["msg_key"], "user_id")
 
 
-def t5_stream_avro_turnstile_counts(spark, sf_dir):
-    """A1 over the Avro turnstile topic as an update-mode stream (D9 decode in every
-    micro-batch): run, restart after more entries arrive, read back the counts table."""
-    root = scratch_path(spark, "t5-avro-counts")
-    first, rest = _halves(E.turnstile_avro_messages(_t(spark, sf_dir, "events")))
+def t5_stream_turnstile_counts(spark, sf_dir):
+    """A1 over the turnstile topic as an update-mode stream: run, restart after more entries arrive,
+    read back the counts table."""
+    root = scratch_path(spark, "t5-counts")
+    first, rest = _halves(E.turnstile_messages(_t(spark, sf_dir, "events")))
     write_envelope(first, f"{root}/turnstile")
 
     def run():
-        counts = T.turnstile_counts(envelope_stream(spark, f"{root}/turnstile"), fmt="avro")
+        counts = T.turnstile_counts(envelope_stream(spark, f"{root}/turnstile"))
         jobs.run_table(counts, ["station_id"], f"{root}/table", f"{root}/ckpt")
 
     run()
@@ -298,6 +310,37 @@ def t5_stream_avro_turnstile_counts(spark, sf_dir):
     return jobs.read_table(spark, f"{root}/table", ["station_id"])
 
 
+def t7_stream_stations_table(spark, sf_dir):
+    """Q4 as an update-mode stream: run, restart after more stops arrive, read back the table."""
+    root = scratch_path(spark, "t7-stations")
+    first, rest = _halves(E.station_messages(_t(spark, sf_dir, "part")))
+    write_envelope(first, f"{root}/stations")
+
+    def run():
+        jobs.run_table(T.stations_table(envelope_stream(spark, f"{root}/stations")), ["station_id"],
+                       f"{root}/table", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/stations")
+    run()
+    return jobs.read_table(spark, f"{root}/table", ["station_id"])
+
+
+def t8_stream_raw_messages(spark, sf_dir):
+    """Q10 as an append stream: run, restart after more messages arrive, read back the sink."""
+    root = scratch_path(spark, "t8-raw")
+    first, rest = _halves(E.passthrough_messages(_t(spark, sf_dir, "events")))
+    write_envelope(first, f"{root}/topic")
+
+    def run():
+        jobs.run_append(P.passthrough(envelope_stream(spark, f"{root}/topic")), f"{root}/out", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/topic")
+    run()
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -321,17 +364,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_first_by_name": a7_first_by_name,
     "w1_line_topology": w1_line_topology,
     "q10_raw_messages": q10_raw_messages,
-    "d9_avro_arrivals": d9_avro_arrivals,
-    "d9_avro_turnstile_summary": d9_avro_turnstile_summary,
-    "d9_avro_weather": d9_avro_weather,
     "d10_constraints": d10_constraints,
     "p14_slug": p14_slug,
     "s6_incremental_load": s6_incremental_load,
+    "t6_dead_letters": t6_dead_letters,
+    "o1_ordered_board": o1_ordered_board,
+    "o2_ordered_stops": o2_ordered_stops,
+    "u1_union_lines": u1_union_lines,
     "t1_stream_risk_graph": t1_stream_risk_graph,
     "t2_stream_slot_occupancy": t2_stream_slot_occupancy,
     "t3_stream_status_board": t3_stream_status_board,
     "t4_stream_upsert_count": t4_stream_upsert_count,
-    "t5_stream_avro_turnstile_counts": t5_stream_avro_turnstile_counts,
+    "t5_stream_turnstile_counts": t5_stream_turnstile_counts,
+    "t7_stream_stations_table": t7_stream_stations_table,
+    "t8_stream_raw_messages": t8_stream_raw_messages,
 }
 
 
@@ -540,20 +586,33 @@ SELECT p_partkey, replace(replace(replace(replace(lower(p_name), '/', '_and_'),
 FROM part
 """,
     "s6_incremental_load": """
-SELECT p_partkey, p_name, (SELECT max(p_partkey) FROM part) AS high_water FROM part
-WHERE p_partkey > (SELECT floor(max(p_partkey) / 2) FROM part)
+WITH m AS (SELECT CAST(floor(max(p_partkey) / 2) AS BIGINT) AS half, max(p_partkey) AS last FROM part),
+     f AS (SELECT max(p_partkey) AS mark FROM part, m WHERE p_partkey <= half)
+SELECT p_partkey, p_name, CAST(CASE WHEN p_partkey <= mark THEN 1 ELSE 2 END AS INTEGER) AS load,
+       CASE WHEN p_partkey <= mark THEN mark ELSE last END AS high_water
+FROM part, m, f
+""",
+    "t6_dead_letters": " UNION ALL ".join(f"""
+SELECT '{S.TOPICS[topic]}' AS topic, CAST({k} % 3 AS INTEGER) AS partition, CAST(2 * ({k} // 3) + 1 AS BIGINT) AS "offset",
+       'not a message' AS value FROM {source} WHERE {k} % 97 = 0
+""" for topic, source, k in (("stations", "part", "p_partkey"), ("arrivals", "events", "event_id"),
+                             ("turnstile", "events", "event_id"), ("weather", "events", "event_id"))),
+    "o1_ordered_board": f"""
+WITH st AS ({_LINE_STATIONS}),
+b AS (SELECT line, CAST(CASE line WHEN 'blue' THEN 0 WHEN 'green' THEN 1 WHEN 'red' THEN 2 END AS INTEGER) AS line_rank,
+             station_id, "order" FROM st)
+SELECT *, CAST(row_number() OVER (ORDER BY line_rank, "order" NULLS LAST, station_id) AS INTEGER) AS position FROM b
+""",
+    "o2_ordered_stops": f"""
+SELECT stop_id, "order", CAST(row_number() OVER (ORDER BY "order" NULLS LAST, stop_id) AS INTEGER) AS position
+FROM ({_STOPS})
+""",
+    "u1_union_lines": f"""
+SELECT 'blue' AS line, stop_id FROM ({_STOPS}) WHERE blue
+UNION ALL SELECT 'green', stop_id FROM ({_STOPS}) WHERE green
+UNION ALL SELECT 'red', stop_id FROM ({_STOPS}) WHERE red
 """,
 }
-ORACLE["d9_avro_arrivals"] = f"""
-SELECT event_id AS "offset", CAST(event_id % 40 AS INTEGER) AS station_id,
-       CASE WHEN (event_id // 40) % 2 = 0 THEN 'a' ELSE 'b' END AS direction,
-       {_LINE.format(k='user_id')} AS line, 'T' || user_id AS train_id,
-       CASE event_type WHEN 'error' THEN 'broken_down' WHEN 'signup' THEN 'out_of_service'
-                       ELSE 'in_service' END AS train_status,
-       lag(CAST(event_id % 40 AS INTEGER)) OVER w AS prev_station_id,
-       lag(CASE WHEN (event_id // 40) % 2 = 0 THEN 'a' ELSE 'b' END) OVER w AS prev_direction
-FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)
-"""
 ORACLE["s10_turnstile_entries"] = """
 WITH curve AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) / (SELECT count(*) FROM events) AS ratio
                FROM events GROUP BY 1),
@@ -570,10 +629,10 @@ expected AS (
                 JOIN curve c ON CAST(hour(e.ts) AS INTEGER) = c.hour)
 SELECT station_id, CAST(sum(n) AS BIGINT) AS count FROM expected WHERE n > 0 GROUP BY station_id
 """
-ORACLE["d9_avro_turnstile_summary"] = ORACLE["q5_turnstile_summary"]
-ORACLE["d9_avro_weather"] = ORACLE["q7_current_weather"]
 ORACLE["t1_stream_risk_graph"] = ORACLE["q1_risk_graph"]
 ORACLE["t2_stream_slot_occupancy"] = ORACLE["a5_slot_occupancy"]
 ORACLE["t3_stream_status_board"] = ORACLE["q6_line_status_board"]
 ORACLE["t4_stream_upsert_count"] = ORACLE["a2_upsert_count"]
-ORACLE["t5_stream_avro_turnstile_counts"] = ORACLE["d12_summary_counts"]
+ORACLE["t5_stream_turnstile_counts"] = ORACLE["d12_summary_counts"]
+ORACLE["t7_stream_stations_table"] = ORACLE["q4_stations_table"]
+ORACLE["t8_stream_raw_messages"] = ORACLE["q10_raw_messages"]

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
-from ..functions.avro import to_avro_column
 from ..functions.decode import encode_record
 from ..operators.window import ordered_neighbours
 
@@ -24,8 +23,12 @@ STATION_IDS = 40    # stops map onto p_partkey % 40 stations
 TURNSTILE_IDS = 37  # turnstile entries map onto event_id % 37 (ids 37-39 never counted)
 DIRECTION_RUN = 40  # arrivals alternate direction every 40 event ids
 
-# Registry schema ids of the synthetic Avro topics (any fixed ids; decoders skip the frame).
-SCHEMA_IDS = {"event_key": 1, "arrivals": 2, "turnstile": 3, "weather": 4}
+# Synthetic topics behind keyed tables: messages go round TOPIC_PARTITIONS partitions, so offsets clash
+# between them and only the timestamp orders the topic; every GARBAGE_EVERY-th message is followed by a
+# malformed one, which the tables must skip.
+TOPIC_PARTITIONS = 3
+GARBAGE_EVERY = 97
+GARBAGE = "not a message"
 
 # event_type -> train status / weather status (fixed mapping of the synthetic data)
 TRAIN_STATUS_OF = {"error": "broken_down", "signup": "out_of_service"}  # others: in_service
@@ -49,6 +52,19 @@ def envelope(df: DataFrame, value: Column, topic: str, offset: Column,
     )
 
 
+def topic(df: DataFrame, value: Column, name: str, id_col: str, key: Column | None = None) -> DataFrame:
+    """A topic of several partitions with malformed messages in it: one message per row, ordered by ``id_col``
+    through the timestamp (one second per id), and garbage half a second after some of them."""
+    n = F.col(id_col)
+    after = F.when(n % GARBAGE_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = df.withColumn("__body", value).withColumn("__key", key if key is not None else F.lit(None).cast("string"))
+    rows = rows.withColumn("__after", F.explode(after))
+    body = F.when(F.col("__after") == 0, F.col("__body")).otherwise(F.lit(GARBAGE))
+    time = F.timestamp_millis((F.lit(EPOCH) + n).cast("long") * 1000 + F.col("__after") * 500)
+    return envelope(rows, body, name, 2 * F.floor(n / TOPIC_PARTITIONS) + F.col("__after"), key=F.col("__key"),
+                    partition=n % TOPIC_PARTITIONS, timestamp=time)
+
+
 def email_of(id_col) -> Column:
     return F.concat(F.lit("u"), F.col(id_col).cast("string"), F.lit("@test.com"))
 
@@ -104,10 +120,9 @@ def stops_from_parts(part: DataFrame) -> DataFrame:
 
 
 def station_messages(part: DataFrame) -> DataFrame:
-    """The incremental connector emits stops by increasing stop_id: offset = stop_id."""
+    """The incremental connector emits stops by increasing stop_id."""
     stops = stops_from_parts(part)
-    return envelope(stops, F.to_json(F.struct(*stops.columns)), S.TOPICS["stations"],
-                    F.col("stop_id"))
+    return topic(stops, F.to_json(F.struct(*stops.columns)), S.TOPICS["stations"], "stop_id")
 
 
 def line_of(id_col: str) -> Column:
@@ -125,7 +140,10 @@ def _event_key(ts="ts") -> Column:
     return F.to_json(F.struct(epoch_millis(ts).alias("timestamp")))
 
 
-def arrivals_from_events(events: DataFrame, block_width: int | None = None) -> DataFrame:
+ARRIVAL_BLOCK = 1 << 20  # event ids of one block of a train's arrivals
+
+
+def arrivals_from_events(events: DataFrame, block_width: int = ARRIVAL_BLOCK) -> DataFrame:
     """Arrival rows (``schemas.ARRIVAL`` + offset): each user is a train on line
     user_id % 3; the event picks station event_id % 40 and a direction that
     flips every 40 ids; prev_* is the same train's previous arrival."""
@@ -140,31 +158,15 @@ def arrivals_from_events(events: DataFrame, block_width: int | None = None) -> D
         line_of("user_id").alias("line"),
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("train_id"),
         train_status.alias("train_status"))
-    kw = {} if block_width is None else {"block_width": block_width}
     linked = ordered_neighbours(base, ["user_id"], ["offset"], ["station_id", "direction"],
-                                prefixes=("prev_", "next_"), **kw)
+                                prefixes=("prev_", None), block_width=block_width)
     return linked.select("offset", "ts", *[f.name for f in S.ARRIVAL.fields])
 
 
-def arrival_messages(events: DataFrame, block_width: int | None = None) -> DataFrame:
+def arrival_messages(events: DataFrame, block_width: int = ARRIVAL_BLOCK) -> DataFrame:
     arr = arrivals_from_events(events, block_width)
     value = F.to_json(F.struct(*[f.name for f in S.ARRIVAL.fields]))
-    return envelope(arr, value, S.TOPICS["arrivals"], F.col("offset"),
-                    key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
-
-
-def _avro_key(ts="ts") -> Column:
-    return to_avro_column(F.struct(epoch_millis(ts).alias("timestamp")), S.AVRO_EVENT_KEY,
-                          SCHEMA_IDS["event_key"])
-
-
-def arrival_avro_messages(events: DataFrame, block_width: int | None = None) -> DataFrame:
-    """Arrivals as the producer writes them: registry-framed Avro key {timestamp} and value."""
-    arr = arrivals_from_events(events, block_width)
-    value = to_avro_column(F.struct(*[f.name for f in S.ARRIVAL.fields]), S.AVRO_ARRIVAL,
-                           SCHEMA_IDS["arrivals"])
-    return envelope(arr, value, S.TOPICS["arrivals"], F.col("offset"),
-                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
+    return topic(arr, value, S.TOPICS["arrivals"], "offset", key=_event_key())
 
 
 def turnstile_rows(events: DataFrame) -> DataFrame:
@@ -183,35 +185,15 @@ def turnstile_records(events: DataFrame) -> DataFrame:
                          keep=("event_id", "ts"))
 
 
-def turnstile_avro_messages(events: DataFrame) -> DataFrame:
-    """Turnstile entries as the producer writes them: registry-framed Avro key and value."""
-    rows = turnstile_rows(events)
-    value = to_avro_column(F.struct("station_id", "station_name", "line"), S.AVRO_TURNSTILE,
-                           SCHEMA_IDS["turnstile"])
-    return envelope(rows, value, S.TOPICS["turnstile"], F.col("event_id"),
-                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
-
-
 def turnstile_messages(events: DataFrame) -> DataFrame:
     recs = turnstile_records(events)
-    return envelope(recs, F.col("value"), S.TOPICS["turnstile"], F.col("event_id"),
-                    key=F.col("key"), timestamp=F.col("ts").cast("timestamp"))
+    return topic(recs, F.col("value"), S.TOPICS["turnstile"], "event_id", key=F.col("key"))
 
 
 def weather_messages(events: DataFrame) -> DataFrame:
     status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in WEATHER_OF.items()])
     value = F.to_json(F.struct(F.col("value").cast("float").alias("temperature"), status.alias("status")))
-    return envelope(events, value, S.TOPICS["weather"], F.col("event_id"),
-                    key=_event_key(), timestamp=F.col("ts").cast("timestamp"))
-
-
-def weather_avro_messages(events: DataFrame) -> DataFrame:
-    """Weather readings as registry-framed Avro (what the board's consumer expects by default)."""
-    status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in WEATHER_OF.items()])
-    value = to_avro_column(F.struct(F.col("value").cast("float").alias("temperature"), status.alias("status")),
-                           S.AVRO_WEATHER, SCHEMA_IDS["weather"])
-    return envelope(events, value, S.TOPICS["weather"], F.col("event_id"),
-                    key=_avro_key(), timestamp=F.col("ts").cast("timestamp"))
+    return topic(events, value, S.TOPICS["weather"], "event_id", key=_event_key())
 
 
 def ridership_seed_from_suppliers(supplier: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def risk_events(events_env: DataFrame, keep=()) -> DataFrame:
 
 
 def risk_graph_rows(events_env: DataFrame, sorted_set_env: DataFrame, bound: dict | None = None,
-                    salt: int | None = None) -> DataFrame:
+                    salt: int = 1) -> DataFrame:
     """Q1 before encoding: (customer, score, email, birthYear).
 
     ``bound`` (optional, off by default) = ``{"delay": "10 minutes", "range":
@@ -49,7 +49,7 @@ def risk_graph_rows(events_env: DataFrame, sorted_set_env: DataFrame, bound: dic
 
 
 def risk_graph(events_env: DataFrame, sorted_set_env: DataFrame, bound: dict | None = None,
-               salt: int | None = None) -> DataFrame:
+               salt: int = 1) -> DataFrame:
     """Q1 (flagship): scores joined with birth years on customer = email, as
     (key = customer, value = JSON {customer, score, email, birthYear})."""
     return encode_json(risk_graph_rows(events_env, sorted_set_env, bound, salt), "customer")

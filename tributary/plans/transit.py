@@ -12,26 +12,32 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions.columns import display_status, display_temperature, known_lines, total_steps, transform_station
-from ..functions.decode import decode_message, decode_station, decode_summary
+from ..functions.decode import POSITION, decode_message, decode_summary, positioned, well_formed
 from ..operators.joins import expected_entries as _expected_entries, status_board
 from ..operators.state import current_weather as _current_weather
 from ..operators.state import latest_by_key, running_count, slot_occupancy as _slot_occupancy, upsert_count
-from ..operators.window import DEFAULT_BLOCK_WIDTH, line_topology as _line_topology
+from ..operators.window import BLOCKS, line_topology as _line_topology
 from ..streaming.sinks import to_changelog
 from . import encode as E
 
 
+def _decoded(env: DataFrame, schema, fmt: str = "json", avro_schema: str | None = None, keep=(POSITION,)) -> DataFrame:
+    """A topic's well-formed messages with their position (T6: bad ones are skipped, see ``dead_letters``)."""
+    decoded = decode_message(positioned(env), schema, fmt, avro_schema, keep=keep)
+    return well_formed(decoded, [f.name for f in schema.fields])
+
+
 # Q4 ----------------------------------------------------------------------------
 def station_changelog(station_env: DataFrame) -> DataFrame:
-    """Every station message becomes a transformed-station update, in offset order
-    (the keyed table's changelog): (offset, station_id, station_name, order, line)."""
-    return transform_station(decode_station(station_env, keep=("offset",)), keep=("offset",))
+    """Every station message becomes a transformed-station update, with its position
+    (the keyed table's changelog): (position, station_id, station_name, order, line)."""
+    return transform_station(_decoded(station_env, S.STATION), keep=(POSITION,))
 
 
 def stations_table(station_env: DataFrame) -> DataFrame:
     """Q4: last-value-wins table keyed by station_id only (A3): a station on two
-    lines keeps the colour of its last stop by offset."""
-    return latest_by_key(station_changelog(station_env), ["station_id"], "offset",
+    lines keeps the colour of its last stop."""
+    return latest_by_key(station_changelog(station_env), ["station_id"], POSITION,
                          ["station_name", "order", "line"])
 
 
@@ -39,7 +45,7 @@ def line_stations(station_env: DataFrame) -> DataFrame:
     """A4: the board's view of the changelog - keyed by (line, station_id), lines
     blue / green / red only, stations never removed."""
     return latest_by_key(known_lines(station_changelog(station_env)), ["line", "station_id"],
-                         "offset", ["station_name", "order"])
+                         POSITION, ["station_name", "order"])
 
 
 # Q5 ----------------------------------------------------------------------------
@@ -50,14 +56,13 @@ def turnstile_counts(turnstile_env: DataFrame, mode: str = "count", fmt: str = "
     ``count`` (default, A1): every entry counts - the intended result of
     ``COUNT(station_id) GROUP BY station_id``.
     ``upsert`` (A2): the source is read as a *table*, so entries sharing a
-    message key replace each other (last by offset) before counting.
+    message key replace each other (the last by position) before counting.
     """
     if mode == "count":
-        return running_count(decode_message(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE), "station_id")
+        return running_count(_decoded(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE, keep=()), "station_id")
     if mode == "upsert":
-        entries = decode_message(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE, keep=("key", "offset"))
-        return upsert_count(entries.withColumn("key", F.col("key").cast("string")),
-                            "key", "station_id", "offset")
+        entries = _decoded(turnstile_env, S.TURNSTILE, fmt, S.AVRO_TURNSTILE, keep=("key", POSITION))
+        return upsert_count(entries.withColumn("key", F.col("key").cast("string")), "key", "station_id", POSITION)
     raise ValueError(mode)
 
 
@@ -71,26 +76,21 @@ def turnstile_summary(turnstile_env: DataFrame, mode: str = "count", fmt: str =
 def summary_counts(summary_env: DataFrame) -> DataFrame:
     """Summary messages back to (station_id, count); the last message per
     station wins (the summary topic is itself a table)."""
-    return latest_by_key(decode_summary(summary_env, keep=("offset",)), ["station_id"], "offset", ["count"])
+    decoded = well_formed(decode_summary(positioned(summary_env), keep=(POSITION,)), ["station_id", "count"])
+    return latest_by_key(decoded, ["station_id"], POSITION, ["count"])
 
 
 # A5 ----------------------------------------------------------------------------
-def decode_arrivals(arrival_env: DataFrame, fmt: str = "json") -> DataFrame:
-    """Arrival messages (JSON, or registry-framed Avro with ``fmt="avro"``) -> (offset, ARRIVAL fields)."""
-    return decode_message(arrival_env, S.ARRIVAL, fmt, S.AVRO_ARRIVAL, keep=("offset",))
-
-
 def slot_occupancy(arrival_env: DataFrame, fmt: str = "json") -> DataFrame:
-    arrivals = decode_arrivals(arrival_env, fmt)
-    return _slot_occupancy(arrivals, "offset")
+    """Arrival messages (JSON, or registry-framed Avro with ``fmt="avro"``) -> A5."""
+    return _slot_occupancy(_decoded(arrival_env, S.ARRIVAL, fmt, S.AVRO_ARRIVAL), POSITION)
 
 
 # Q7 ----------------------------------------------------------------------------
 def current_weather(weather_env: DataFrame, fmt: str = "json") -> DataFrame:
     """Latest (temperature, status), defaults 70.0 / sunny before any event.
     Weather is published as plain JSON; ``fmt="avro"`` reads registry-framed Avro."""
-    decoded = decode_message(weather_env, S.WEATHER, fmt, S.AVRO_WEATHER, keep=("offset",))
-    return _current_weather(decoded, "offset")
+    return _current_weather(_decoded(weather_env, S.WEATHER, fmt, S.AVRO_WEATHER), POSITION)
 
 
 def weather_display(weather_env: DataFrame, fmt: str = "json") -> DataFrame:
@@ -125,17 +125,6 @@ def expected_entries(ticks: DataFrame, seed: DataFrame, curve: DataFrame, step_s
     return _expected_entries(ticks, seed, curve, variants=resolved, seed_cols=seed_cols)
 
 
-def entry_records(expected: DataFrame, entries: str = "entries",
-                  cols: tuple[str, ...] = ("station_id", "station_name", "line", "ts")) -> DataFrame:
-    """The turnstile producer's emission: each (station, tick) row becomes
-    ``entries`` entry rows (the deterministic part; no random jitter).
-
-    A row-local explode, so there is no shuffle, and a row's output is bounded
-    by its own count. The ``entry`` column numbers the entries of a tick from 1."""
-    return (expected.where(F.col(entries) > 0)
-                    .select(*cols, F.explode(F.sequence(F.lit(1), F.col(entries))).alias("entry")))
-
-
 # Q9 ----------------------------------------------------------------------------
 def stops_by_line(stops: DataFrame) -> DataFrame:
     """P12 for all three colours at once: one row per (line, stop) whose flag is true."""
@@ -143,9 +132,9 @@ def stops_by_line(stops: DataFrame) -> DataFrame:
     return stops.select(F.explode(lines).alias("line"), "stop_id", "station_name", "station_id", "order")
 
 
-def line_topology(stops: DataFrame, block_width: int | None = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+def line_topology(stops: DataFrame, blocks: int | None = BLOCKS) -> DataFrame:
     """Q9: per line, stations by first-seen order with their neighbours (A7 + W1)."""
-    return _line_topology(stops_by_line(stops), block_width=block_width)
+    return _line_topology(stops_by_line(stops), blocks=blocks)
 
 
 # Q6 from streams -------------------------------------------------------------------
@@ -162,11 +151,14 @@ def run_board_tables(station_env: DataFrame, arrival_env: DataFrame, turnstile_e
                      formats: dict[str, str] | None = None):
     """Start the four keyed tables behind the board as update-mode streams, each
     with its own checkpoint, appending changed keys to its changelog under ``root``.
+    All four are started first; ``wait`` then awaits them (a ``processingTime``
+    trigger never ends, so pass ``wait=False`` there).
 
     ``formats`` picks the value format of the arrival, turnstile and weather
     topics (``"json"`` by default; the original producers write arrivals and
     turnstile entries as registry-framed Avro)."""
     from ..streaming.jobs import run_table
+    from ..streaming.run import finished
 
     fmt = {"arrivals": "json", "turnstile": "json", "weather": "json", **(formats or {})}
     plans = {"stations": line_stations(station_env),
@@ -175,10 +167,11 @@ def run_board_tables(station_env: DataFrame, arrival_env: DataFrame, turnstile_e
              "weather": current_weather(weather_env, fmt["weather"])}
     queries = []
     for name, plan in plans.items():
-        q = run_table(plan, BOARD_TABLES[name], f"{root}/{name}", f"{root}/_checkpoints/{name}", trigger)
-        queries.append(q)
-        if wait:
-            q.awaitTermination()
+        queries.append(run_table(plan, BOARD_TABLES[name], f"{root}/{name}", f"{root}/_checkpoints/{name}", trigger,
+                                 wait=False))
+    if wait:
+        for q in queries:
+            finished(q)
     return queries
 
 

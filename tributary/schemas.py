@@ -22,7 +22,7 @@ ENVELOPE = _s(
     ("headers", ArrayType(_s(("key", StringType()), ("value", BinaryType())))),
 )
 
-# --- risk scoring (health-balance app) ---------------------------------------
+# --- risk scoring -------------------------------------------------------------
 RISK_EVENT = _s(("customer", StringType()), ("score", StringType()), ("riskDate", DateType()))
 
 SORTED_SET = _s(
@@ -108,7 +108,7 @@ TOPICS = {
     "stations": "org.chicago.cta.stations",
     "stations_table": "org.chicago.cta.stations.table.v1",
     "arrivals": "org.chicago.cta.station.arrivals.v1",
-    "arrivals_pattern": "^org.chicago.cta.station.arrivals.",
+    "arrivals_pattern": r"org\.chicago\.cta\.station\.arrivals\..*",
     "turnstile": "org.chicago.cta.turnstile.v1",
     "turnstile_summary": "TURNSTILE_SUMMARY",
     "weather": "org.chicago.cta.weather.v1",

@@ -8,6 +8,7 @@ our own values where a setting is unset, which is the case in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,8 +30,6 @@ DEFAULT_CONF = {
     # One memory budget for all RocksDB instances of an executor (many state partitions each).
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": ("true", "false"),
 }
-STOCK_SHUFFLE_PARTITIONS = "200"
-INITIAL_PARTITIONS_PER_CORE = 4
 LOCAL_CONF = {"spark.sql.session.timeZone": "UTC"}  # local sessions only (tests, bench)
 
 
@@ -60,14 +59,6 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, ours)
             except Exception:  # static conf on an already-running session
                 pass
-    # A fixed 200 shuffle partitions would put ~500 GB in each partition of a
-    # 100 TB shuffle. When the launcher left it at 200, start AQE at a number that
-    # follows the cluster (4 per core) and let it coalesce small shuffles down.
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if (spark.conf.get("spark.sql.shuffle.partitions") == STOCK_SHUFFLE_PARTITIONS
-            and spark.conf.get(initial, None) in (None, "")):
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(initial, str(max(int(STOCK_SHUFFLE_PARTITIONS), INITIAL_PARTITIONS_PER_CORE * cores)))
     checkpoint_root(spark)
     return spark
 
@@ -75,13 +66,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. Only when it is unset (local tests)
-    do we pick a folder of our own and record it in the session conf.
+    Read from ``spark.checkpoint.dir``. Only on a local master (tests, benches),
+    when it is unset, do we pick a folder of our own and record it in the session
+    conf; on a cluster a machine-local folder would be lost, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tributary-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

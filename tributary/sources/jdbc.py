@@ -1,6 +1,8 @@
 """Incremental relational load (S6): rows whose incrementing column exceeds the
-last value seen, in that column's order; inserts only, updates to old rows are
-never re-read. Returns the new high-water mark next to the slice.
+last value seen; inserts only, updates to old rows are never re-read. The new
+high-water mark is read first and the slice is bounded by it (``last < column <=
+mark``), so a row inserted between the two reads is left to the next load, not
+lost. A first load (``last`` is None) takes everything up to its mark.
 
 The predicate is pushed to the database (JDBC filter pushdown) and the read is
 split into parallel range partitions on the same column, so a large table is
@@ -9,37 +11,69 @@ not pulled through one connection.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from datetime import date, datetime
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-def incremental_slice(df: DataFrame, column: str, last, ordered: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(new rows, one-row high water) for any table.
 
-    ``last`` is a value or a Column (for example a scalar subquery); when no
-    row is new the high water stays ``last``. Downstream operators take their
-    order from ``column`` itself (it is the message offset), so the rows are
-    only sorted - a range-partitioned global sort - when ``ordered`` is set.
-    """
-    last_col = last if not isinstance(last, (int, float, str)) else F.lit(last)
-    new = df.where(F.col(column) > last_col)
-    high = new.agg(F.max(column).alias("m")).select(F.coalesce("m", last_col).alias("high_water"))
-    return (new.orderBy(column) if ordered else new), high
+def high_water(df: DataFrame, column: str, last=None) -> DataFrame:
+    """One row, the mark to load up to: the largest value, or ``last`` where nothing is newer."""
+    mark = F.max(column) if last is None else F.coalesce(F.greatest(F.max(column), _value(last)), _value(last))
+    return df.agg(mark.alias("high_water"))
 
 
-def jdbc_options(url: str, table: str, column: str, last, lower=None, upper=None,
-                 partitions: int | None = None, **extra) -> dict:
-    """Options for ``format("jdbc")``: the table filter is the ``dbtable`` and the
-    predicate lives in a subquery so it runs inside the database."""
-    q = f'(SELECT * FROM {table} WHERE "{column}" > {int(last)}) t'
-    opts = {"url": url, "dbtable": q}
-    if partitions and lower is not None and upper is not None:
-        opts.update({"partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper),
+def _value(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def incremental_slice(df: DataFrame, column: str, last, mark, ordered: bool = False) -> DataFrame:
+    """Rows after ``last`` (all for None) up to ``mark``; values or Columns of any ordered type.
+
+    Downstream operators take their order from ``column`` itself (it is the message offset), so the rows
+    are only sorted - a range-partitioned global sort - when ``ordered`` is set."""
+    new = df.where(F.col(column) <= _value(mark))
+    if last is not None:
+        new = new.where(F.col(column) > _value(last))
+    return new.orderBy(column) if ordered else new
+
+
+def sql_literal(x) -> str:
+    """A value as the database's SQL text: numbers, dates, timestamps, strings."""
+    if isinstance(x, bool) or x is None:
+        raise TypeError(f"no mark: {x!r}")
+    if isinstance(x, (int, float)):
+        return repr(x)
+    if isinstance(x, datetime):
+        return f"TIMESTAMP '{x.isoformat(sep=' ')}'"
+    if isinstance(x, date):
+        return f"DATE '{x.isoformat()}'"
+    return "'" + str(x).replace("'", "''") + "'"
+
+
+def jdbc_options(url: str, table: str, column: str, last, mark, lower=None, partitions: int = 16, **extra) -> dict:
+    """Options for ``format("jdbc")``: the range lives in a subquery, so it runs inside the database, and
+    is read through ``partitions`` connections, each a range of ``column``. The ranges go from ``lower`` (by
+    default ``last``) to ``mark``; a column that the connector can't cut (text), or a first load without
+    ``lower``, is read through one."""
+    bounds = [f'"{column}" <= {sql_literal(mark)}'] + ([f'"{column}" > {sql_literal(last)}'] if last is not None else [])
+    opts = {"url": url, "dbtable": f"(SELECT * FROM {table} WHERE {' AND '.join(bounds)}) t"}
+    lower = last if lower is None else lower
+    if partitions > 1 and isinstance(lower, (int, date, datetime)) and isinstance(mark, (int, date, datetime)):
+        text = lambda x: x.isoformat(sep=" ") if isinstance(x, datetime) else str(x)
+        opts.update({"partitionColumn": column, "lowerBound": text(lower), "upperBound": text(mark),
                      "numPartitions": str(partitions)})
     opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
 
-def jdbc_incremental(spark: SparkSession, url: str, table: str, column: str, last,
-                     **kw) -> tuple[DataFrame, DataFrame]:
-    df = spark.read.format("jdbc").options(**jdbc_options(url, table, column, last, **kw)).load()
-    return incremental_slice(df, column, last, ordered=True)
+def jdbc_incremental(spark: SparkSession, url: str, table: str, column: str, last=None, **kw) -> tuple[DataFrame, object]:
+    """(new rows, mark to store for the next load). Two reads of the database: least and largest value, then the
+    slice; both stay inside the mark, so nothing is lost or read twice. Nothing to load: no row, and the old mark."""
+    reader = spark.read.format("jdbc").option("url", url)
+    after = "" if last is None else f' WHERE "{column}" > {sql_literal(last)}'
+    about = reader.option("dbtable", f'(SELECT min("{column}") AS low, max("{column}") AS high FROM {table}{after}) t').load().first()
+    if about["high"] is None:
+        return reader.option("dbtable", f"(SELECT * FROM {table} WHERE 1 = 0) t").load(), last
+    mark = about["high"]
+    df = spark.read.format("jdbc").options(**jdbc_options(url, table, column, last, mark, about["low"], **kw)).load()
+    return incremental_slice(df, column, last, mark), mark

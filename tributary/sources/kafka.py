@@ -46,9 +46,9 @@ def kafka_batch(spark: SparkSession, servers: str, topic: str | None = None,
 
 def subscribe_pattern(env: DataFrame, pattern: str) -> DataFrame:
     """S2 over an envelope that carries several topics (a file stand-in, or a
-    wider subscription): keep the topics matching the regex. Pushed into the
-    scan as a filter on ``topic``."""
-    return env.where(F.col("topic").rlike(pattern))
+    wider subscription): keep the topics whose whole name matches the regex, as
+    the Kafka consumer does. Pushed into the scan as a filter on ``topic``."""
+    return env.where(F.col("topic").rlike(f"\\A(?:{pattern})\\z"))
 
 
 def raw_messages(env: DataFrame) -> DataFrame:

@@ -7,14 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-# Upper bound of a spread: a scan with fewer splits than cores is small (under one
-# split per core), so a few hundred partitions carry its per-row work; one per core
-# of a thousand-executor cluster would be thousands of near-empty tasks.
-SPREAD_MAX_PARTITIONS = 256
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A driver table; ``spread_rows`` for scans that feed heavy per-row work (see ``spread``).
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table.
 
     The driver tables are read-only, so each is opened once per session (file
     listing and parquet footer schema) and the lazy DataFrame is reused by every
@@ -23,25 +19,4 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False
     path = os.path.join(sf_dir, f"{name}.parquet")
     if path not in opened:
         opened[path] = spark.read.parquet(path)
-    df = opened[path]
-    return spread(df) if spread_rows else df
-
-
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than that.
-
-    A parquet row group is the smallest scan split, so a small file with one row
-    group is read by one task, and every per-row step before the first shuffle
-    (decoding, encoding, explode) would run on one core. A large input already
-    has at least one split per core and is returned unchanged, with no shuffle.
-    Filters and column pruning still reach the scan below the repartition.
-    Meant for a plain scan (its partition count is known from planning alone),
-    feeding per-row work that costs more than one shuffle of its rows.
-    """
-    try:
-        want = partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
-        return df
-    return df if have >= want else df.repartition(want)
+    return opened[path]

@@ -5,8 +5,8 @@ into a sink. Keyed tables (A1, A3, A4, A5, Q5) run as stateful aggregations in
 update mode; each micro-batch of changed keys is appended to the table's
 changelog (``sinks.changelog_writer``), and the table is read as the latest row
 per key. The board (Q6) is a batch join over those tables: several stateful
-operators in update mode do not chain inside one streaming query. A2 (two
-chained aggregations) keeps its counts as +1/-1 deltas per micro-batch.
+operators in update mode do not chain inside one streaming query, which is why
+A2 (two chained aggregations) keeps its first as a table and counts on read.
 
 All state lives in the query checkpoint under ``spark.checkpoint.dir``, so a
 restarted query resumes from the last committed offsets; replayed batches
@@ -17,27 +17,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.state import latest_by_key
+from ..operators.state import latest_by_key, running_count
 from . import sinks
 from .run import run_stream
 
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
-
-
-def run_append(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None):
+def run_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, wait: bool = True):
     """Append-mode stream into parquet files (stateless queries and stream-stream joins)."""
-    return run_stream(df, sink="parquet", path=path, mode="append", checkpoint=checkpoint, trigger=trigger)
+    return run_stream(df, sink="parquet", path=path, mode="append", checkpoint=checkpoint, trigger=trigger, wait=wait)
 
 
-def run_table(agg: DataFrame, keys: Sequence[str], path: str, checkpoint: str | None = None,
-              trigger: dict | None = None, compact_every: int | None = 50):
+def run_table(agg: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
+              trigger: dict | None = None, compact_every: int | None = 50, wait: bool = True):
     """Update-mode stateful aggregation; each micro-batch of changed keys is
     appended to the table's changelog (see ``sinks.changelog_writer``)."""
-    return run_stream(agg, sink="foreach", mode="update", checkpoint=checkpoint, trigger=trigger,
+    return run_stream(agg, sink="foreach", mode="update", checkpoint=checkpoint, trigger=trigger, wait=wait,
                       foreach_batch=sinks.changelog_writer(path, keys, None, compact_every))
 
 
@@ -46,71 +42,18 @@ def read_table(spark: SparkSession, path: str, keys: Sequence[str], ord_cols=Non
     return sinks.read_changelog_table(spark, path, keys, ord_cols)
 
 
-DELTA = "__delta"
-
-
-def run_upsert_count(messages: DataFrame, msg_keys: Sequence[str], key: str, ord_col: str,
-                     path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                     compact_every: int | None = 50):
-    """A2 as a stream, maintained incrementally.
-
-    Per micro-batch: the latest message per message key inside the batch
-    (partial aggregate), looked up against the message table as it stood before
-    the batch; a message key whose value changes emits -1 for its old value and
-    +1 for its new one. Messages and deltas are appended to two changelogs, so
-    the work per batch follows the batch; ``read_upsert_count`` sums the deltas.
-    """
-    msg_keys = list(msg_keys)
-    keep = sinks.changelog_writer(f"{path}/messages", msg_keys, ord_col, compact_every)
-
-    def _batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = latest_by_key(batch.select(*msg_keys, key, ord_col), msg_keys, ord_col, [key, ord_col])
-        before = sinks.read_changelog_table(spark, f"{path}/messages", msg_keys, ord_col, below=batch_id,
-                                            only_keys=latest)
-        if before is None:
-            changed = latest.select(F.col(key).alias("new"), F.lit(None).cast(latest.schema[key].dataType).alias("old"))
-        else:
-            old = before.select(*msg_keys, F.col(key).alias("__old"), F.col(ord_col).alias("__old_ord"))
-            j = latest.join(old, msg_keys, "left")
-            changed = (j.where(F.col("__old_ord").isNull() | (F.col(ord_col) > F.col("__old_ord")))
-                        .select(F.col(key).alias("new"), F.col("__old").alias("old")))
-        deltas = (changed.select(F.col("new").alias(key), F.lit(1).alias(DELTA))
-                  .unionByName(changed.where(F.col("old").isNotNull())
-                               .select(F.col("old").alias(key), F.lit(-1).alias(DELTA)))
-                  .where(F.col(key).isNotNull())
-                  .groupBy(key).agg(F.sum(DELTA).alias(DELTA)))
-        deltas.write.mode("overwrite").parquet(f"{path}/counts/log/{sinks.VERSION}={batch_id}")
-        keep(latest, batch_id)
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            totals = _sum_deltas(spark, path, key, upto=batch_id)
-            totals.write.mode("overwrite").parquet(f"{path}/counts/snap/{sinks.VERSION}={batch_id}")
-
-    return run_stream(messages, sink="foreach", mode="append", checkpoint=checkpoint,
-                      trigger=trigger, foreach_batch=_batch)
-
-
-def _sum_deltas(spark: SparkSession, path: str, key: str, upto: int | None = None) -> DataFrame:
-    """Per-key sum of the newest count snapshot and the deltas written after it."""
-    snaps = [v for v in sinks._versions(spark, f"{path}/counts/snap") if upto is None or v <= upto]
-    logs = [v for v in sinks._versions(spark, f"{path}/counts/log") if upto is None or v <= upto]
-    snap = snaps[-1] if snaps else None
-    parts = []
-    if snap is not None:
-        parts.append(spark.read.parquet(f"{path}/counts/snap/{sinks.VERSION}={snap}").select(key, DELTA))
-    newer = [v for v in logs if snap is None or v > snap]
-    if newer:
-        parts.append(spark.read.parquet(f"{path}/counts/log").where(F.col(sinks.VERSION).isin(newer))
-                     .select(key, DELTA))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows.groupBy(key).agg(F.sum(DELTA).alias(DELTA))
-
-
-def read_upsert_count(spark: SparkSession, path: str, key: str, alias: str = "count") -> DataFrame:
-    """Counts of ``run_upsert_count``: the sum of deltas per key over the newest
-    count snapshot and the deltas after it (keys at 0 drop out)."""
-    return (_sum_deltas(spark, path, key)
-            .select(key, F.col(DELTA).cast("long").alias(alias))
-            .where(F.col(alias) > 0))
+def run_upsert_count(messages: DataFrame, msg_keys: Sequence[str], key: str, ord_col,
+                     path: str, checkpoint: str, trigger: dict | None = None,
+                     compact_every: int | None = 50, wait: bool = True):
+    """A2 as a stream: the source read as a table. The latest ``key`` of each message key is kept as the
+    state of an update-mode aggregation; a micro-batch costs its own messages, nothing is looked up. The
+    changed message keys go to the table's changelog, and ``read_upsert_count`` counts over the table."""
+    latest = latest_by_key(messages, list(msg_keys), ord_col, [key])
+    return run_table(latest, msg_keys, path, checkpoint, trigger, compact_every, wait)
+
+
+def read_upsert_count(spark: SparkSession, path: str, msg_keys: Sequence[str], key: str,
+                      alias: str = "count") -> DataFrame | None:
+    """Counts of ``run_upsert_count`` now: its current table, counted by ``key``."""
+    table = read_table(spark, path, msg_keys)
+    return None if table is None else running_count(table, key, alias)

@@ -9,19 +9,6 @@ from pyspark.sql import DataFrame
 from ..session import scratch_path
 
 
-STOCK_SHUFFLE_PARTITIONS = "200"
-
-
-def state_partitions(spark) -> int:
-    """Partitions of a new query's keyed state: the session's shuffle partitions
-    when set deliberately, else twice the cluster's cores (Spark's stock 200
-    is neither: too many for a laptop, too few for a large cluster)."""
-    conf = spark.conf.get("spark.sql.shuffle.partitions")
-    if conf != STOCK_SHUFFLE_PARTITIONS:
-        return int(conf)
-    return max(2 * spark.sparkContext.defaultParallelism, 2)
-
-
 def run_stream(df: DataFrame, sink: str = "parquet", path: str | None = None,
                mode: str = "append", checkpoint: str | None = None,
                trigger: dict | None = None, foreach_batch: Callable | None = None,
@@ -31,10 +18,17 @@ def run_stream(df: DataFrame, sink: str = "parquet", path: str | None = None,
     sink: ``parquet`` (needs ``path``), ``memory`` (needs ``query_name``),
     ``console``, or ``foreach`` (needs ``foreach_batch``).
     trigger: e.g. ``{"availableNow": True}`` (default) or ``{"processingTime": "10 seconds"}``.
-    partitions: state / shuffle partitions of a new query (``state_partitions``
-    by default). A query restarted from its checkpoint keeps the number it began with.
+    partitions: state / shuffle partitions of a new query; by default those of the
+    session (``spark.sql.shuffle.partitions``, Spark's own 200 if never set). The
+    number is kept in the checkpoint for the life of the query, so give a large one
+    (thousands) for a state that will grow; it doesn't follow the size of the
+    cluster that happens to start the query.
+    checkpoint: needed for every sink that outlives the query; only ``memory`` and
+    ``console`` may do without, and get a fresh folder.
     """
     spark = df.sparkSession
+    if checkpoint is None and sink not in ("memory", "console"):
+        raise ValueError(f"the {sink} sink needs a checkpoint: without it a restart writes everything again")
     checkpoint = checkpoint or scratch_path(spark, f"ckpt-{sink}")
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if sink == "foreach":
@@ -54,13 +48,17 @@ def run_stream(df: DataFrame, sink: str = "parquet", path: str | None = None,
     # setting is applied only around start() and the caller's session is unchanged.
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or state_partitions(spark)))
+    spark.conf.set(key, str(partitions or before))
     try:
         q = w.start()
     finally:
         spark.conf.set(key, before)
-    if wait:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    return finished(q) if wait else q
+
+
+def finished(q):
+    """Waits for a query to end by itself, and raises what ended it otherwise."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
     return q

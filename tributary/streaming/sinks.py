@@ -1,6 +1,6 @@
-"""Sinks (S7-S13). Every streaming writer takes a checkpoint folder; when none
-is given a fresh one is made under the session's ``spark.checkpoint.dir``
-(shared storage on a cluster), never on a machine-local disk."""
+"""Sinks (S7-S13). Writers whose output outlives the query need a checkpoint
+folder on shared storage: a fresh one would write everything again after a
+restart. Only the console may do without."""
 
 from __future__ import annotations
 
@@ -38,12 +38,12 @@ def to_console(df: DataFrame, mode: str = "append", checkpoint: str | None = Non
 
 
 # S8 ----------------------------------------------------------------------------
-def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str | None = None,
+def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str,
              mode: str = "append", trigger: dict | None = None):
     """Streaming write of (key, value[, partition, headers]) rows to a topic."""
     w = (df.writeStream.format("kafka").outputMode(mode)
            .option("kafka.bootstrap.servers", servers).option("topic", topic)
-           .option("checkpointLocation", _checkpoint(df, checkpoint, f"kafka-{topic}")))
+           .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
 
@@ -90,20 +90,28 @@ VERSION = "__version"
 
 
 def _versions(spark, path: str) -> list[int]:
-    """Version numbers present under ``path`` (``__version=N`` folders), from the
-    file listing only - no job runs."""
-    try:
-        files = spark.read.parquet(path).inputFiles()
-    except Exception:
+    """Complete versions under ``path``: names of its ``__version=N`` folders that hold ``_SUCCESS``.
+
+    Lists folder names, not files, and they are few: old versions are deleted. A folder that doesn't
+    exist (yet) has none; any other failure to read it is raised."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
         return []
-    found = set()
-    for f in files:
-        for part in f.split("/"):
-            if part.startswith(VERSION + "="):
-                found.add(int(part.split("=", 1)[1]))
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith(VERSION + "=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append(int(name.split("=", 1)[1]))
     return sorted(found)
 
 
+def _delete(spark, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def changelog_writer(path: str, keys: Sequence[str] | None = None,
                      ord_cols: str | Sequence[str] | None = None, compact_every: int | None = None):
     """``foreachBatch`` function appending a micro-batch of keyed rows to a table's
@@ -113,7 +121,8 @@ def changelog_writer(path: str, keys: Sequence[str] | None = None,
     folder of the batch id with overwrite makes a replayed batch (after a lost
     executor or a restart) replace its own output: no loss, no duplicates.
     Every ``compact_every`` batches the current table is written as a snapshot
-    (``path/snap/__version=<batch_id>``), so readers scan snapshot + newer log.
+    (``path/snap/__version=<batch_id>``), so readers scan snapshot + newer log,
+    and what lies below the snapshot before it is deleted.
     """
     def _write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/log/{VERSION}={batch_id}")
@@ -124,40 +133,42 @@ def changelog_writer(path: str, keys: Sequence[str] | None = None,
 
 
 def read_changelog_table(spark, path: str, keys: Sequence[str], ord_cols: str | Sequence[str] | None = None,
-                         below: int | None = None, keep_version: bool = False,
-                         only_keys: DataFrame | None = None) -> DataFrame | None:
+                         below: int | None = None) -> DataFrame | None:
     """Current table of a changelog: latest row per key by (``ord_cols``, batch id)
     over the newest snapshot and the log after it. A partial aggregate per key,
     so it scales with the log, and a hot key costs one row per input partition.
-    ``only_keys`` (a DataFrame of key columns) restricts the rows by a semi-join
-    before the aggregate, for lookups of a micro-batch's keys."""
+    None before the first complete version."""
     ords = [ord_cols] if isinstance(ord_cols, str) else list(ord_cols or [])
     snaps = [v for v in _versions(spark, f"{path}/snap") if below is None or v < below]
-    logs = [v for v in _versions(spark, f"{path}/log") if below is None or v < below]
     snap = snaps[-1] if snaps else None
+    newer = [v for v in _versions(spark, f"{path}/log") if (below is None or v < below) and (snap is None or v > snap)]
     parts = []
     if snap is not None:
         parts.append(spark.read.parquet(f"{path}/snap/{VERSION}={snap}").withColumn(VERSION, F.lit(snap)))
-    newer = [v for v in logs if snap is None or v > snap]
     if newer:
-        log = spark.read.parquet(f"{path}/log").where(F.col(VERSION).isin(newer))
+        log = spark.read.option("basePath", f"{path}/log").parquet(*[f"{path}/log/{VERSION}={v}" for v in newer])
         parts.append(log.withColumn(VERSION, F.col(VERSION).cast("int")))
     if not parts:
         return None
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    if only_keys is not None:
-        rows = rows.join(only_keys.select(*keys).distinct(), list(keys), "left_semi")
-    table = latest_by_key(rows, list(keys), [*ords, VERSION])
-    return table if keep_version else table.drop(VERSION)
+    return latest_by_key(rows, list(keys), [*ords, VERSION]).drop(VERSION)
 
 
 def compact(spark, path: str, keys: Sequence[str], ord_cols=None, upto: int | None = None) -> None:
-    """Write the table as of batch ``upto`` as a snapshot; later reads skip older log."""
+    """Write the table as of batch ``upto`` as a snapshot; later reads skip older log. The snapshot
+    before it and the log since then stay for readers that have listed them already; the rest goes."""
     table = read_changelog_table(spark, path, keys, ord_cols,
                                  below=None if upto is None else upto + 1)
     if table is None:
         return
     version = upto if upto is not None else max(_versions(spark, f"{path}/log"))
+    older = [v for v in _versions(spark, f"{path}/snap") if v < version]
     table.write.mode("overwrite").parquet(f"{path}/snap/{VERSION}={version}")
+    if older:
+        for v in older[:-1]:
+            _delete(spark, f"{path}/snap/{VERSION}={v}")
+        for v in _versions(spark, f"{path}/log"):
+            if v <= older[-1]:
+                _delete(spark, f"{path}/log/{VERSION}={v}")
