@@ -14,7 +14,8 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.jaccard_classes(table(prepare(spark), sf_dir, "documents"))
+    classes = chosen_path.jaccard_classes(table(prepare(spark), sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_links")
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,9 +49,50 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.dedup_substrings(table(prepare(spark), sf_dir, "documents"))
+    return substrings.dedup_substrings(table(prepare(spark), sf_dir, "documents")).drop("removed")
 
 
 QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_jaccard_join, op3_sharding, op4_toxicity, op5_decontamination, op6_personal_data,
                                   op7_secrets, op8_html_extraction, op9_mixing, op10_substring_dedup)}
-ORACLE: dict[str, str] = {}
+# The others learn, hash, or match patterns with code point offsets; tests/llm has their brute-force versions.
+ORACLE: dict[str, str] = {
+    "op2_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, sh FROM (
+    SELECT rid, unnest(CASE WHEN len(ws) >= 5
+                            THEN list_transform(generate_series(1, len(ws) - 4), lambda k: array_to_string(ws[k:k + 4], ' '))
+                            WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+    FROM d)),
+z AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.rid <> b.rid GROUP BY 1, 2),
+l AS (
+  SELECT p.a, p.b FROM p JOIN z x ON x.rid = p.a JOIN z y ON y.rid = p.b
+  WHERE p.c >= 0.8 * (x.n + y.n - p.c) - 1e-9),
+r AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+cls AS (SELECT r.a AS rid, min(d.doc_id) AS class_id FROM r JOIN d ON d.rid = r.b GROUP BY r.a),
+n AS (SELECT a AS rid, count(*) AS n_links FROM l GROUP BY a)
+SELECT d.doc_id, cls.class_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links
+FROM d JOIN cls USING (rid) LEFT JOIN n USING (rid)
+""",
+    "op10_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+runs AS (SELECT rid, k, ws[k:k + 34] AS run FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 34)) AS k FROM d)),
+again AS (SELECT run FROM runs GROUP BY run HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT rid, k + i AS pos
+  FROM (SELECT rid, k, unnest(generate_series(0, 34)) AS i FROM runs SEMI JOIN again USING (run))),
+words AS (SELECT rid, unnest(ws) AS w, unnest(generate_series(1, len(ws))) AS pos FROM d),
+kept AS (SELECT rid, string_agg(w, ' ' ORDER BY pos) AS t FROM words ANTI JOIN gone USING (rid, pos) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid) LEFT JOIN n USING (rid)
+""",
+}
