@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
+from tributary.llm.common import written
 
 #: Labelled rows that are used for fitting, at most, of each class.
 FIT_TOXIC, FIT_CLEAN = 1500, 3000
 #: A feature is tried if it is in so many toxic documents of the sample at least, and so many times as frequent there.
-LEAST_DOCUMENTS, LEAST_LIFT = 4, 4.0
+LEAST_DOCUMENTS, LEAST_LIFT = 6, 4.0
 PREFIXES = (4, 5, 6)
 THRESHOLD, OFFENDING = 0.7, 0.5
 STEPS, RATE, L2 = 600, 0.1, 1e-4
@@ -77,51 +78,57 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(texts: pa.Array, toxic: np.ndarray) -> Model:
-    """Weights that make the noisy-or of the sentences match the labels (balanced, L2, Adam)."""
-    none = Model(np.zeros(0, np.uint64), np.zeros(0), -40.0)
-    if not len(toxic) or toxic.all() or not toxic.any():
-        return none
+def count_features(texts: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of a batch, with the number of toxic and of clean documents that have them."""
     bag = instances(texts)
     row = np.repeat(bag.words.row, bag.features.shape[1])
-    once = np.unique(np.stack([bag.features.ravel(), row.astype(np.uint64)], axis=1), axis=0)
-    names, feature = np.unique(once[:, 0], return_inverse=True)
-    label = toxic[once[:, 1].astype(np.int64)]
-    hits = np.bincount(feature, weights=label, minlength=len(names))
-    misses = np.bincount(feature, weights=~label, minlength=len(names))
-    lift = (hits / toxic.sum()) / ((misses + 1) / (~toxic).sum())
-    tried = names[(hits >= LEAST_DOCUMENTS) & (lift >= LEAST_LIFT)]
-    model = Model(tried, np.zeros(len(tried)), 0.0)
-    at = model.evidence(bag.features)
+    every = bag.features.ravel()
+    _, once = np.unique(W.mix(every + W.mix(row.astype(np.uint64))), return_index=True)
+    names, feature = np.unique(every[once], return_inverse=True)
+    label = toxic[row[once]]
+    return (names, np.bincount(feature, weights=label, minlength=len(names)).astype(np.int64),
+            np.bincount(feature, weights=~label, minlength=len(names)).astype(np.int64))
+
+
+def evidence(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sentences of each row; and (row, sentence, feature) of every feature that is in ``features``, once a sentence."""
+    bag = instances(texts)
+    at = Model(features, features, 0.0).evidence(bag.features)
     word, column = np.nonzero(at >= 0)
-    # one entry for each feature of a sentence; sentences without any are alike and only counted
-    pairs = np.unique(np.stack([bag.sentence[word], bag.words.row[word], at[word, column]], axis=1), axis=0)
-    sentences, sentence = np.unique(pairs[:, 0], return_inverse=True)
-    document = np.zeros(len(sentences), np.int64)
-    document[sentence] = pairs[:, 1]
-    feature = pairs[:, 2]
-    docs = len(toxic)
-    _, first = np.unique(bag.sentence, return_index=True)
-    plain = np.bincount(bag.words.row[first], minlength=docs) - np.bincount(document, minlength=docs)
+    found = np.unique(np.stack([bag.words.row[word], bag.sentence[word], at[word, column]], axis=1), axis=0)
+    first = np.flatnonzero(np.concatenate(([True], bag.sentence[1:] != bag.sentence[:-1]))) if len(bag.sentence) else []
+    return np.bincount(bag.words.row[first], minlength=len(texts)), found
+
+
+def fit(features: np.ndarray, toxic: np.ndarray, sentences: np.ndarray, found: np.ndarray) -> Model:
+    """Weights of ``features`` that make the noisy-or of the sentences match the labels (balanced, L2, Adam).
+
+    ``sentences`` counts them for each document; ``found`` has (document, sentence, feature) rows."""
+    if not len(toxic) or toxic.all() or not toxic.any():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0)
+    docs, tried = len(toxic), len(features)
+    with_some, sentence = np.unique(found[:, :2], axis=0, return_inverse=True)
+    document, feature = with_some[:, 0], found[:, 2]
+    # sentences without any feature are alike, and only counted
+    plain = sentences - np.bincount(document, minlength=docs)
     share = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
 
-    theta = np.concatenate([np.full(len(tried), 1.0), [-6.0]])
+    theta = np.concatenate([np.full(tried, 1.0), [-6.0]])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         weights, bias = theta[:-1], theta[-1]
-        p = _sigmoid(bias + np.bincount(sentence, weights=weights[feature], minlength=len(sentences)))
+        p = _sigmoid(bias + np.bincount(sentence, weights=weights[feature], minlength=len(with_some)))
         p0 = _sigmoid(np.array(bias))
         clean = plain * np.log1p(-p0) + np.bincount(document, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=docs)
         odds = np.exp(clean) / np.maximum(-np.expm1(clean), 1e-12)  # (1 - P) / P
         slope = share * np.where(toxic, -np.minimum(odds, 1e6), 1.0)  # of the loss, by -log(1 - P)
         pull = slope[document] * p
-        grad = np.concatenate([np.bincount(feature, weights=pull[sentence], minlength=len(tried)) + L2 * weights,
+        grad = np.concatenate([np.bincount(feature, weights=pull[sentence], minlength=tried) + L2 * weights,
                                [pull.sum() + (slope * plain).sum() * p0]])
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad ** 2
         theta = theta - RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-10)
-    order = np.argsort(tried)
-    return Model(tried[order], theta[:-1][order], float(theta[-1]))
+    return Model(features, theta[:-1], float(theta[-1]))
 
 
 def _score(model: Model, column: pa.Array) -> tuple[np.ndarray, list[list[dict]]]:
@@ -169,10 +176,46 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = some(1, FIT_TOXIC).unionByName(some(0, FIT_CLEAN))
     # at most FIT_TOXIC + FIT_CLEAN ids of 12 bytes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    sample = rows.select("text", "toxic").orderBy(F.xxhash64("text"), "toxic").toArrow()
-    texts = sample.column("text").combine_chunks()
-    texts = texts.cast(pa.string()) if not isinstance(texts, pa.ChunkedArray) else pa.concat_arrays(texts.chunks)
-    return fit(texts, np.asarray(sample.column("toxic").to_numpy() == 1))
+    rows = written(rows.select(F.coalesce("text", F.lit("")).alias("text"), "toxic").withColumn(
+        "text_hash", F.xxhash64("text")), "toxic-sample")
+    of = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if not of.get(1) or not of.get(0):
+        return fit(*(np.zeros(0),) * 4)
+    counts = rows.mapInArrow(_count, "feature long, hits long, misses long").groupBy("feature").agg(
+        F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    lift = F.col("hits") / of[1] / ((F.col("misses") + 1) / of[0])
+    tried = counts.where((F.col("hits") >= LEAST_DOCUMENTS) & (lift >= LEAST_LIFT)).select("feature")
+    features = np.sort(tried.toArrow().column("feature").to_numpy().view(np.uint64))
+    found = rows.mapInArrow(_find(features), FOUND).orderBy("text_hash", "toxic").toArrow()
+    places = found.column("places").to_pylist()
+    triples = [(d, p["sentence"], p["feature"]) for d, of_one in enumerate(places) for p in of_one]
+    return fit(features, found.column("toxic").to_numpy() == 1, found.column("sentences").to_numpy(),
+               np.array(triples, np.int64).reshape(-1, 3))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, hits, misses = count_features(batch.column("text"), batch.column("toxic").to_numpy() == 1)
+        yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(hits), pa.array(misses)],
+                                         names=["feature", "hits", "misses"])
+
+
+FOUND = "text_hash long, toxic int, sentences long, places array<struct<sentence:long,feature:long>>"
+
+
+def _find(features: np.ndarray):
+    kind = pa.list_(pa.struct([("sentence", pa.int64()), ("feature", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            sentences, found = evidence(texts, features)
+            places: list[list[dict]] = [[] for _ in range(len(texts))]
+            for row, sentence, feature in found.tolist():
+                places[row].append({"sentence": sentence, "feature": feature})
+            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), batch.column("toxic"), pa.array(sentences.astype(np.int64)),
+                                              pa.array(places, kind)], names=["text_hash", "toxic", "sentences", "places"])
+    return run
 
 
 OUT = ("doc_id long, held_out boolean, score double, predicted int,"
