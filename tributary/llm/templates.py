@@ -48,7 +48,7 @@ NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense
 #: Page headers; a header inside the article holds its title and stays.
 PAGE_HEADERS = frozenset(("header",))
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)",
                   re.S)
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I)
