@@ -16,8 +16,8 @@ from tributary.session import configure, scratch_path
 
 # Rows of an Arrow batch handed to Python. Whole texts travel in one row, so the
 # batch is kept small; Spark also cuts batches by bytes.
-ARROW_ROWS = 512
-ARROW_BYTES = 8 << 20
+ARROW_ROWS = 256
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

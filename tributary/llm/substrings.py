@@ -33,7 +33,7 @@ from tributary.llm.common import is_member, maybe_member, membership, shuffle_pa
 
 WINDOW, GRAM = 35, 8
 #: An index holds so many words, and more only where one minimizer has them.
-INDEX_WORDS = 1 << 19
+INDEX_WORDS = 1 << 18
 #: Minimizers with more different segments than this are counted run by run.
 SPLIT_SEGMENTS = 4000
 
@@ -314,6 +314,18 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(intervals, kind)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "removed"])
 
 
+def _untouched(marked):
+    """``_remove`` of the rows that have no marks, by the bitmap of those that may have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.filter(pa.array(~is_member(marked.value, batch.column("text_hash").to_numpy().view(_U))))
+            none = pa.nulls(rest.num_rows)
+            yield from _remove([pa.RecordBatch.from_arrays([rest.column("doc_id"), rest.column("text"), none],
+                                                           names=["doc_id", "text", "marks"])])
+    return run
+
+
 LEAST = -(1 << 63)
 
 
@@ -346,9 +358,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     masks = masks.unionByName(_split_masks(hot.select("value", "segment", "n", "content")))
     marked = found.select("id", "text_hash", "value", "segment", "at").join(masks, ["value", "segment"])
     marks = written(marked.groupBy("id", "text_hash").agg(
-        F.array_distinct(F.collect_list(F.struct("at", "mask"))).alias("marks")), "marks")
+        F.collect_list(F.struct("at", "mask")).alias("marks")), "marks")
+    # texts that surely have no mark aren't shuffled
     some = membership(marks, "text_hash")
-    test = maybe_member(some, F.col("text_hash"))
-    touched = rows.where(test).join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "marks")
-    whole = rows.where(~test).select("doc_id", "text", F.lit(None).cast("array<struct<at:int,mask:long>>").alias("marks"))
-    return touched.union(whole).mapInArrow(_remove, OUT)
+    touched = rows.where(maybe_member(some, F.col("text_hash"))).join(marks, ["id", "text_hash"], "left")
+    whole = rows.select("doc_id", "text", "text_hash").mapInArrow(_untouched(some), OUT)
+    return touched.select("doc_id", "text", "marks").mapInArrow(_remove, OUT).union(whole)

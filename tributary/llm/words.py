@@ -12,7 +12,7 @@ _RATIO = _U(0x9E3779B97F4A7C15)                 # odd, so it has an inverse modu
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = _U(0xD6E8FEB86659FD93)
 #: A block of words is hashed at a time, so that a very long text needs no more memory than a short one.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Bytes of ``[\x20\x09-\x0D]``.
 SPACES = np.zeros(256, bool)
