@@ -33,14 +33,14 @@ from tributary.llm.components import components
 SHINGLE, SIMILARITY, RECALL, SEED = 5, 0.8, 0.999, 7
 PLACES = 128
 #: Nodes of up to so many sets are compared by brute force.
-SMALL_NODE = 64
+SMALL_NODE = 1024
 #: An estimate from the tokens' low bytes has a standard deviation of 0.035 at 0.8; candidates are taken from this on.
 CANDIDATE = 0.68
 #: In a large node, a set this like the pivot leaves. What is like such a set is like the pivot too (Jaccard
 #: distance is a metric), so everything from LINKED on is linked with the pivot, and no pair is lost.
 LEAVES, LINKED = 0.8, 0.45
 #: Of an exact comparison: sets and bytes of a block.
-BLOCK_SETS, BLOCK_BYTES = 128, 4 << 20
+BLOCK_SETS, BLOCK_BYTES = 512, 4 << 20
 
 _U = np.uint64
 _I64 = pa.int64()
@@ -94,22 +94,48 @@ def tokens(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-EMBEDDED = "doc_id long, text_hash long, sid long, size int, tokens binary"
+def set_ids(h: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each row's set (equal sets, equal hashes), and its size."""
+    size = np.bincount(row, minlength=rows)
+    sums = np.concatenate(([_U(0)], np.cumsum(W.mix(h), dtype=_U)))
+    bounds = np.searchsorted(row, np.arange(rows + 1))
+    return W.mix(sums[bounds[1:]] - sums[bounds[:-1]] + size.astype(_U)), size
 
 
-def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+EMBEDDED = "doc_id long, text_hash long, sid long, size int, nodes array<long>"
+
+
+def _embed(runs: int, similarity: float, seed: int):
+    """Of each document the id and size of its set, and the nodes it goes to from the roots of all runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            h, row = shingle_sets(batch.column("text"))
+            sid, size = set_ids(h, row, rows)
+            embedded = tokens(h, row, rows)
+            owner, nodes = [], []
+            for k in range(runs):
+                node = np.full(rows, W.mix(np.array([seed * 1000 + k], _U))[0])
+                r, child = children(node, embedded, similarity, seed)
+                owner.append(r), nodes.append(child)
+            owner, nodes = np.concatenate(owner), np.concatenate(nodes)
+            order = np.argsort(owner, kind="stable")
+            bounds = np.searchsorted(owner[order], np.arange(rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_hash"), pa.array(sid.view(np.int64), mask=size == 0),
+                pa.array(size.astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(nodes[order].view(np.int64)))],
+                names=["doc_id", "text_hash", "sid", "size", "nodes"])
+    return run
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h, row = shingle_sets(batch.column("text"))
-        rows = batch.num_rows
-        size = np.bincount(row, minlength=rows)
-        sums = np.concatenate(([_U(0)], np.cumsum(W.mix(h), dtype=_U)))
-        bounds = np.searchsorted(row, np.arange(rows + 1))
-        sid = W.mix(sums[bounds[1:]] - sums[bounds[:-1]] + size.astype(_U))
-        embedded = tokens(h, row, rows)
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), batch.column("text_hash"), pa.array(sid.view(np.int64), mask=size == 0),
-            pa.array(size.astype(np.int32)), pa.array([t.tobytes() for t in embedded], pa.binary())],
-            names=["doc_id", "text_hash", "sid", "size", "tokens"])
+            batch.column("sid"), pa.array([t.tobytes() for t in tokens(h, row, batch.num_rows)], pa.binary())],
+            names=["sid", "tokens"])
 
 
 # --- recursion --------------------------------------------------------------------------------------------
@@ -129,18 +155,6 @@ def children(node: np.ndarray, embedded: np.ndarray, similarity: float, seed: in
     return row, child
 
 
-def _roots(runs: int, similarity: float, seed: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            embedded, sid = _matrix(batch.column("tokens")), batch.column("sid").to_numpy()
-            for k in range(runs):
-                node = np.full(len(sid), W.mix(np.array([seed * 1000 + k], _U))[0])
-                row, child = children(node, embedded, similarity, seed)
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(sid[row])],
-                                                 names=["node", "sid"])
-    return run
-
-
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity of token rows, from the low byte of each token."""
     match = (a.astype(np.uint8) == b.astype(np.uint8)).mean(axis=-1)
@@ -168,6 +182,20 @@ def _pivot_step(similarity: float, seed: int):
     return run
 
 
+def _stars(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, first of its component) that connect what a symmetric matrix connects."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.where(linked, label, len(linked)).min(axis=1, initial=len(linked))
+        least = np.minimum(label, least)
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    some = np.flatnonzero(label != np.arange(len(linked)))
+    return some, label[some]
+
+
 def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows hold the sets of a small node, all compared; links that connect the similar ones."""
     for batch in batches:
@@ -175,39 +203,44 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for members in batch.column("members").to_pylist():
             sid = np.array([m["sid"] for m in members])
             code = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(-1, PLACES).astype(np.uint8)
-            near = [(i, j) for i in range(1, len(sid)) for j in np.flatnonzero(alike(code[:i], code[i]) >= CANDIDATE)]
-            for i, j in _forest(near):
-                a.append(int(sid[i])), b.append(int(sid[j]))
+            near = np.stack([alike(code, row) for row in code]) >= CANDIDATE
+            i, j = _stars(near)
+            a += sid[i].tolist()
+            b += sid[j].tolist()
         yield pa.RecordBatch.from_arrays([pa.array(a, _I64), pa.array(b, _I64)], names=["a", "b"])
 
 
-def candidate_links(sets: DataFrame, similarity: float, runs: int, seed: int) -> DataFrame:
-    """Links (a, b) between sets (sid, tokens) that connect all similar pairs, with the recall of the runs."""
-    members = written(sets.select("sid", "tokens").mapInArrow(_roots(runs, similarity, seed), "node long, sid long"),
-                      "path-roots")
+def _nodes(members: DataFrame) -> DataFrame:
+    """The rows (node, sid) of ``members`` whose node has others, with its size and pivot. Written."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(
+        F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot")).where("n > 1")
+    return written(members.join(sizes, "node"), "path-nodes")
+
+
+def candidate_links(members: DataFrame, sets: DataFrame, similarity: float, seed: int) -> DataFrame:
+    """Links (a, b) that connect all similar pairs, with the recall of the runs.
+
+    ``members`` has the nodes under the roots (as ``_nodes`` gives them), ``sets`` the tokens of all their sets."""
     found, small = [], []
     while True:
-        sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(
-            F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot")).where("n > 1")
-        sizes = written(sizes, "path-nodes")
-        few = members.join(sizes.where(F.col("n") <= SMALL_NODE).select("node"), "node")
-        small.append(few.groupBy("node").agg(F.sort_array(F.collect_set("sid")).alias("sids"))
-                     .where("size(sids) > 1").select("sids"))
-        large = sizes.where(F.col("n") > SMALL_NODE)
+        small.append(members.where(F.col("n") <= SMALL_NODE).groupBy("node")
+                     .agg(F.sort_array(F.collect_set("sid")).alias("sids")).where("size(sids) > 1").select("sids"))
+        large = members.where(F.col("n") > SMALL_NODE)
         if large.isEmpty():
             break
-        pivots = large.join(sets.select(F.col("sid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
-        rows = members.join(pivots.select("node", "pivot", "pivot_tokens"), "node").join(sets.select("sid", "tokens"), "sid")
+        pivots = large.select("node", "pivot").distinct().join(
+            sets.select(F.col("sid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
+        rows = large.select("node", "sid").join(pivots, "node").join(sets, "sid")
         step = written(rows.select("node", "sid", "pivot", "tokens", "pivot_tokens")
                        .mapInArrow(_pivot_step(similarity, seed + 1), "node long, sid long, other long"), "path-step")
         found.append(step.where("node is null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
-        members = step.where("node is not null").select("node", "sid")
+        members = _nodes(step.where("node is not null").select("node", "sid"))
     lists = small[0]
     for x in small[1:]:
         lists = lists.union(x)
     # runs bring the same sets together again and again: each list is compared once
     lists = lists.distinct().withColumn("list", F.xxhash64("sids"))
-    groups = (lists.select("list", F.explode("sids").alias("sid")).join(sets.select("sid", "tokens"), "sid")
+    groups = (lists.select("list", F.explode("sids").alias("sid")).join(sets, "sid")
               .groupBy("list").agg(F.collect_list(F.struct("sid", "tokens")).alias("members")).select("members"))
     links = groups.mapInArrow(_brute_force, "a long, b long")
     for x in found:
@@ -248,24 +281,6 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _forest(pairs: list) -> list[tuple[int, int]]:
-    """Links that connect what ``pairs`` connects: at most one for each node."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    out = []
-    for a, b in pairs:
-        x, y = root(a), root(b)
-        if x != y:
-            parent[x] = y
-            out.append((a, b))
-    return out
-
-
 VERIFIED = "sid long, copies long, texts long, other long"
 
 
@@ -292,9 +307,11 @@ def _verify(similarity: float):
                 copies += (link[some] @ n).tolist()
                 texts += link[some].sum(axis=1).tolist()
                 other += [None] * len(some)
-                a, b = np.nonzero(np.triu(link))
-                for x, y in _forest(np.stack([own[a], own[b]], axis=1).tolist()):
-                    sid.append(x), copies.append(0), texts.append(0), other.append(y)
+                a, b = _stars(link)
+                sid += own[a].tolist()
+                copies += [0] * len(a)
+                texts += [0] * len(a)
+                other += own[b].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(x, _I64) for x in (sid, copies, texts, other)],
                                              names=["sid", "copies", "texts", "other"])
     return run
@@ -338,16 +355,19 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     or empty) has no links and is a class of its own id. An empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))
                        .alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    embedded = written(rows.mapInArrow(_embed, EMBEDDED), "embedded")
+    embedded = written(rows.mapInArrow(_embed(runs_for(recall), similarity, seed), EMBEDDED), "embedded")
     sets = written(embedded.where("sid is not null").groupBy("sid").agg(
-        F.count("*").alias("copies"), F.first("size").alias("size"), F.first("tokens").alias("tokens"),
-        F.min("text_hash").alias("text_hash")), "sets")
-    links = candidate_links(sets, similarity, runs_for(recall), seed)
-    groups = written(components(links), "candidate-groups")
-    # the texts that are compared: one for each set of a group
-    wanted = written(groups.select(F.col("node").alias("sid")).join(sets.select("sid", "text_hash"), "sid"), "wanted")
+        F.count("*").alias("copies"), F.first("size").alias("size"), F.min("text_hash").alias("text_hash"),
+        F.first("nodes").alias("nodes")), "sets")
+    members = _nodes(sets.select(F.explode("nodes").alias("node"), "sid"))
+    # from here on only sets that share a node with another matter; one text for each of them
+    wanted = members.select("sid").distinct().join(sets.select("sid", "text_hash"), "sid")
+    wanted = written(wanted, "wanted")
     some = rows.select("text_hash", "text").where(maybe_member(membership(wanted, "text_hash"), F.col("text_hash")))
     texts = some.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash").select("sid", "text")
+    texts = written(texts, "wanted-texts")
+    embeddings = written(texts.mapInArrow(_tokens, "sid long, tokens binary"), "tokens")
+    groups = written(components(candidate_links(members, embeddings, similarity, seed)), "candidate-groups")
     verified = verified_links(groups, sets, texts, similarity)
     near = verified.groupBy("sid").agg(F.sum("copies").alias("near"), F.sum("texts").alias("texts"))
     roots = components(verified.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
@@ -355,7 +375,7 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
         roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", F.coalesce("root", "sid").alias("root"),
         (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_texts"))
-    placed = written(embedded.drop("tokens").join(known, "sid", "left"), "placed")
+    placed = written(embedded.drop("nodes").join(known, "sid", "left"), "placed")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = placed.where("sid is not null").groupBy("root").agg(F.min(key).alias("kept"))
     return placed.join(kept, "root", "left").select(
