@@ -26,6 +26,8 @@ def test_reparameterised_question(spark):
     assert got[(0, 0)].exact and got[(0, 0)].coverage == 1.0
     assert (1, 0) in got and not got[(1, 0)].exact
     assert got.get((2, 0)) is None  # one value of the item stands for two here
+    plain = corpus.prose(12, 30)
+    assert set(leaks(spark, [plain.upper()], [plain])) == {(0, 0)}  # words all in capitals aren't names
     assert (3, 0) not in got and (4, 0) not in got and (5, 0) not in got
     assert got[(7, 0)].exact  # each alignment is judged on its own
 
@@ -49,7 +51,7 @@ def windows(t):
         number = w[0].isdigit()
         unit = i and kinds[i - 1] == 1 and w.lower() in dc.UNITS
         inner = i and not re.search(r'[.!?:;"\n]', t[words[i - 1][2]:a])
-        kinds.append(1 if number else 2 if unit else 3 if w[0].isupper() and inner else 0)
+        kinds.append(1 if number else 2 if unit else 3 if w[0].isupper() and w[1:2].islower() and inner else 0)
     for i in range(len(words) - 7):
         if sum(k == 0 for k in kinds[i:i + 8]) >= 4:
             out.append(tuple(w.lower() if k == 0 else k for (w, _, _), k in zip(words[i:i + 8], kinds[i:i + 8])))

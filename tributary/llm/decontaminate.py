@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts become templates: words in small letters, with numbers, units after a
-number and names replaced by typed placeholders. Windows of a benchmark item's
+number and names (words with one capital inside a sentence) replaced by typed placeholders. Windows of a benchmark item's
 template are hash-joined with those of the documents, so a question asked again
 with other numbers or names still matches. The replaced words are the slots; a
 match counts only if they are consistent, that is, if one and the same value of
@@ -71,7 +71,12 @@ class Templates:
         capital = data[start] != self.data[start] if len(start) else np.zeros(0, bool)
         if len(start):
             second = np.minimum(start + 1, len(data) - 1)
-            capital |= (data[start] == 0xC3) & (data[second] != self.data[second])
+            wide = (data[start] == 0xC3) & (data[second] != self.data[second])
+            # a small letter must follow: words all in capitals aren't names
+            after = start + 1 + wide
+            c, d = (data[np.minimum(after + k, len(data) - 1)] for k in (0, 1))
+            small = (c >= 97) & (c <= 122) | (c == 0xC3) & (d >= 0xA0) | (c >= 0x80) & (c != 0xC3)
+            capital = (capital | wide) & small & (after < end)
         stops = np.concatenate(([0], np.cumsum(_STOPS[data], dtype=np.int64)))
         inner = np.zeros(len(start), bool)  # no full stop, quote or line break since the word before
         inner[1:] = follows[1:] & (stops[start[1:]] == stops[end[:-1]])
