@@ -1,5 +1,6 @@
 """op2: classes and links against a comparison of all pairs."""
 
+import itertools
 import os
 import random
 import re
@@ -134,6 +135,31 @@ def test_embedding_agrees_as_the_sets_do():
     assert (np.bincount(row, minlength=4) == [len(s), len(t), 1, 0]).all() and not code[3].any()
 
 
+def test_every_node_draws_a_place():
+    node = np.arange(3000, dtype=np.uint64)
+    embedded = np.random.default_rng(2).integers(0, 1 << 32, (3000, cp.PLACES)).astype(np.uint32)
+    for draws in (1, cp.DRAW, cp.FIRST_DRAW, cp.PLACES):
+        row, child = cp.children(node, embedded, draws, 8)
+        times = np.bincount(row, minlength=3000)
+        assert times.min() >= int(draws) and abs(times.mean() - draws) < 0.05 and (np.diff(row) >= 0).all()
+        assert len(set(zip(row.tolist(), child.tolist()))) == len(row)
+
+
+def test_pairs_all_of_whose_tokens_are_in_large_nodes(spark, monkeypatch):
+    # every text is five of twelve passages and a few words of its own; only twins share five
+    monkeypatch.setattr(cp, "SMALL_NODE", 24)
+    rng, passages = random.Random(6), [corpus.prose(500 + i, 30) for i in range(12)]
+    chosen = [c for c in itertools.combinations(range(12), 5)]
+    rng.shuffle(chosen)
+    texts = []
+    for i, c in enumerate(chosen[:600]):
+        for _ in range(2 if i < 200 else 1):
+            texts.append(" ".join(passages[k] for k in c) + f" own{len(texts)}" + " and" * 8)
+    rows = list(enumerate(texts))
+    assert sum(brute(rows)[0].values()) >= 400
+    check(cp.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), rows)
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 200 + i) for i in range(60)] + [

@@ -2,14 +2,15 @@
 
 A document is the set of its word shingles. Each set is embedded as 128 tokens
 (place, least hash of the shingles that fall there), so that two sets agree in a
-share of tokens equal to their similarity. Runs of a recursion bring similar
-sets together: at a node, about 1 / similarity places are drawn, the same for
-all sets of the node, and each set goes to one child node for each drawn place,
-named by its token there. Nodes with few sets are compared by brute force. In a
-large node all sets are compared with one of them; those like it are linked and
-leave, the others are split again, until no large node is left. A pair at the
-threshold shares a child of a run with probability 1 - 1/e, so the number of
-runs follows from the target recall.
+share of tokens equal to their similarity. A recursion brings similar sets
+together: at a node, different places are drawn, the same for all sets of the
+node, and each set goes to one child node for each drawn place, named by its
+token there. Nodes with few sets are compared by brute force. In a large node
+all sets are compared with one of them; those like it are linked and leave, the
+others are split again, until no large node is left. Every node draws a place at
+least. The root draws as many as the target recall asks for; below it the draws
+make a pair at the threshold share more than one child of a node on average, so
+that its chance to stay together doesn't go to zero with the depth.
 
 What the recursion links are candidates, joined into groups; within a group all
 sets are then compared exactly, block by block. So a pair that the recursion
@@ -39,6 +40,12 @@ CANDIDATE = 0.68
 #: In a large node, a set this like the pivot leaves. What is like such a set is like the pivot too (Jaccard
 #: distance is a metric), so everything from LINKED on is linked with the pivot, and no pair is lost.
 LEAVES, LINKED = 0.8, 0.45
+#: Places drawn in a large node under the root, and, on average, in one further down. At 0.8 a pair shares 1.13 children
+#: of the latter, and a set of the former stays with it with probability 0.86 at any depth; sets less like each other
+#: than 0.7 share less than one, so that the recursion ends.
+FIRST_DRAW, DRAW = 4, 1.41
+#: Levels of large nodes that the target recall is kept for.
+DEPTH = 16
 #: Of an exact comparison: sets and bytes of a block.
 BLOCK_SETS, BLOCK_BYTES = 512, 4 << 20
 
@@ -105,8 +112,8 @@ def set_ids(h: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.n
 EMBEDDED = "doc_id long, text_hash long, sid long, size int, nodes array<long>"
 
 
-def _embed(runs: int, similarity: float, seed: int):
-    """Of each document the id and size of its set, and the nodes it goes to from the roots of all runs."""
+def _embed(draws: int, seed: int):
+    """Of each document the id and size of its set, and the nodes it goes to from the root."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,18 +121,13 @@ def _embed(runs: int, similarity: float, seed: int):
             h, row = shingle_sets(batch.column("text"))
             sid, size = set_ids(h, row, rows)
             embedded = tokens(h, row, rows)
-            owner, nodes = [], []
-            for k in range(runs):
-                node = np.full(rows, W.mix(np.array([seed * 1000 + k], _U))[0])
-                r, child = children(node, embedded, similarity, seed)
-                owner.append(r), nodes.append(child)
-            owner, nodes = np.concatenate(owner), np.concatenate(nodes)
-            order = np.argsort(owner, kind="stable")
-            bounds = np.searchsorted(owner[order], np.arange(rows + 1)).astype(np.int32)
+            root = np.full(rows, W.mix(np.array([seed * 1000], _U))[0])
+            owner, nodes = children(root, embedded, draws, seed)
+            bounds = np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array(sid.view(np.int64), mask=size == 0),
                 pa.array(size.astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array(bounds), pa.array(nodes[order].view(np.int64)))],
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(nodes.view(np.int64)))],
                 names=["doc_id", "text_hash", "sid", "size", "nodes"])
     return run
 
@@ -145,12 +147,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-def children(node: np.ndarray, embedded: np.ndarray, similarity: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and the child nodes they go to: places are drawn by node, so alike for all its sets."""
-    chance = _U(int(2.0 ** 64 / (similarity * PLACES)))
+def children(node: np.ndarray, embedded: np.ndarray, draws: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (ascending) and the child nodes they go to: ``draws`` different places on average, one less or more if
+    that isn't whole, never none. Places and their number follow from the node, so are alike for all its sets."""
     salts = W.mix(np.arange(PLACES, dtype=_U) + _U(seed << 32))
     draw = W.mix(node[:, None] ^ salts[None, :])
-    row, place = np.nonzero(draw < chance)
+    whole = min(max(1, int(draws)), PLACES)
+    more = W.mix(node + _U(seed)) < _U(int(2.0 ** 64 * max(0.0, draws - whole)))
+    most = min(whole + 1, PLACES)
+    places = np.sort(np.argpartition(draw, most - 1, axis=1)[:, :most], axis=1) if len(node) else np.zeros((0, most), int)
+    # the last place by its draw is the one that some nodes leave out
+    last = np.take_along_axis(draw, places, axis=1).argmax(axis=1) if len(node) else np.zeros(0, int)
+    taken = more[:, None] | (np.arange(most)[None, :] != last[:, None]) if most > whole else np.ones(places.shape, bool)
+    row, k = np.nonzero(taken)
+    place = places[row, k]
     child = W.mix(draw[row, place] + W.mix(embedded[row, place].astype(_U) + salts[place]))
     return row, child
 
@@ -161,8 +171,12 @@ def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (match - 1 / 256) / (1 - 1 / 256)
 
 
-def _pivot_step(similarity: float, seed: int):
-    """Rows of large nodes with their pivot: links (node null) and, of the sets that stay, child nodes."""
+STEP = "node long, sid long, other long, tied long"
+
+
+def _pivot_step(draws: float, seed: int):
+    """Rows of large nodes with their pivot: links (node null) and, of the sets that stay, child nodes. ``tied`` is
+    the pivot if the set is linked with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,13 +186,16 @@ def _pivot_step(similarity: float, seed: int):
             sid, pivot = batch.column("sid").to_numpy(), batch.column("pivot").to_numpy()
             like = alike(embedded, pivots)
             link = (like >= LINKED) & (sid != pivot)
-            yield pa.RecordBatch.from_arrays([pa.nulls(int(link.sum()), _I64), pa.array(sid[link]),
-                                              pa.array(pivot[link])], names=["node", "sid", "other"])
+            none = pa.nulls(int(link.sum()), _I64)
+            names = ["node", "sid", "other", "tied"]
+            yield pa.RecordBatch.from_arrays([none, pa.array(sid[link]), pa.array(pivot[link]), none], names=names)
             stay = np.flatnonzero((like < LEAVES) & (sid != pivot))
             node = batch.column("node").to_numpy().view(_U)[stay]
-            row, child = children(W.mix(node), embedded[stay], similarity, seed)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(sid[stay[row]]),
-                                              pa.nulls(len(row), _I64)], names=["node", "sid", "other"])
+            row, child = children(W.mix(node), embedded[stay], draws, seed)
+            row = stay[row]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(child.view(np.int64)), pa.array(sid[row]), pa.nulls(len(row), _I64),
+                pa.array(pivot[row], mask=~link[row])], names=names)
     return run
 
 
@@ -211,17 +228,20 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    """The rows (node, sid) of ``members`` whose node has others, with its size and pivot. Written."""
-    sizes = members.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(
-        F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot")).where("n > 1")
-    return written(members.join(sizes, "node"), "path-nodes")
+    """The rows (node, sid) of ``members`` (node, sid, tied) whose node has others, with its size and pivot.
+    Nodes whose sets are all linked with one and the same pivot are in one group already, and go. Written."""
+    sizes = members.groupBy("node").agg(
+        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot"),
+        F.count("tied").alias("ties"), F.min("tied").alias("least"), F.max("tied").alias("most"))
+    open_ = sizes.where("n > 1 and (ties < n or least != most)").select("node", "n", "pivot")
+    return written(members.select("node", "sid").join(open_, "node"), "path-nodes")
 
 
-def candidate_links(members: DataFrame, sets: DataFrame, similarity: float, seed: int) -> DataFrame:
-    """Links (a, b) that connect all similar pairs, with the recall of the runs.
+def candidate_links(members: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
+    """Links (a, b) that connect all similar pairs, with the recall of the draws.
 
     ``members`` has the nodes under the roots (as ``_nodes`` gives them), ``sets`` the tokens of all their sets."""
-    found, small = [], []
+    found, small, draws = [], [], FIRST_DRAW
     while True:
         small.append(members.where(F.col("n") <= SMALL_NODE).groupBy("node")
                      .agg(F.sort_array(F.collect_set("sid")).alias("sids")).where("size(sids) > 1").select("sids"))
@@ -232,13 +252,13 @@ def candidate_links(members: DataFrame, sets: DataFrame, similarity: float, seed
             sets.select(F.col("sid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
         rows = large.select("node", "sid").join(pivots, "node").join(sets, "sid")
         step = written(rows.select("node", "sid", "pivot", "tokens", "pivot_tokens")
-                       .mapInArrow(_pivot_step(similarity, seed + 1), "node long, sid long, other long"), "path-step")
+                       .mapInArrow(_pivot_step(draws, seed + 1), STEP), "path-step")
         found.append(step.where("node is null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
-        members = _nodes(step.where("node is not null").select("node", "sid"))
+        members, draws = _nodes(step.where("node is not null").select("node", "sid", "tied")), DRAW
     lists = small[0]
     for x in small[1:]:
         lists = lists.union(x)
-    # runs bring the same sets together again and again: each list is compared once
+    # draws bring the same sets together again and again: each list is compared once
     lists = lists.distinct().withColumn("list", F.xxhash64("sids"))
     groups = (lists.select("list", F.explode("sids").alias("sid")).join(sets, "sid")
               .groupBy("list").agg(F.collect_list(F.struct("sid", "tokens")).alias("members")).select("members"))
@@ -338,9 +358,22 @@ def verified_links(groups: DataFrame, sets: DataFrame, texts: DataFrame, similar
 # --- the join ---------------------------------------------------------------------------------------------
 
 
-def runs_for(recall: float) -> int:
-    """Runs that find a pair at the threshold with this probability (one finds it with 1 - 1/e)."""
-    return max(1, math.ceil(-math.log(1 - recall)))
+def draws_for(recall: float, similarity: float = SIMILARITY) -> int:
+    """Places the root draws so that a pair at ``similarity`` meets in a small node, or is linked on its way, with
+    this probability, with large nodes on DEPTH levels, averaged over the spread of the share of tokens it agrees in."""
+    spread = math.sqrt(similarity * (1 - similarity) / PLACES)
+    z = np.linspace(-3.5, 3.5, 71)
+    weight = np.exp(-z * z / 2) / np.exp(-z * z / 2).sum()
+    agree = np.clip(similarity + z * spread, 0.05, 0.999)
+    lost = np.zeros_like(agree)
+    for _ in range(DEPTH - 1):  # of a pair in a node: no child keeps it
+        out = 1 - agree + agree * lost
+        lost = out * (1 - (DRAW - 1) + (DRAW - 1) * out)
+    lost = (1 - agree + agree * lost) ** FIRST_DRAW
+    k = 1
+    while k < PLACES and (weight * (1 - agree + agree * lost) ** k).sum() > 1 - recall:
+        k += 1
+    return k
 
 
 def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
@@ -355,11 +388,11 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     or empty) has no links and is a class of its own id. An empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))
                        .alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
-    embedded = written(rows.mapInArrow(_embed(runs_for(recall), similarity, seed), EMBEDDED), "embedded")
+    embedded = written(rows.mapInArrow(_embed(draws_for(recall, similarity), seed), EMBEDDED), "embedded")
     sets = written(embedded.where("sid is not null").groupBy("sid").agg(
         F.count("*").alias("copies"), F.first("size").alias("size"), F.min("text_hash").alias("text_hash"),
         F.first("nodes").alias("nodes")), "sets")
-    members = _nodes(sets.select(F.explode("nodes").alias("node"), "sid"))
+    members = _nodes(sets.select(F.explode("nodes").alias("node"), "sid", F.lit(None).cast("long").alias("tied")))
     # from here on only sets that share a node with another matter; one text for each of them
     wanted = members.select("sid").distinct().join(sets.select("sid", "text_hash"), "sid")
     wanted = written(wanted, "wanted")
@@ -367,7 +400,7 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     texts = some.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash").select("sid", "text")
     texts = written(texts, "wanted-texts")
     embeddings = written(texts.mapInArrow(_tokens, "sid long, tokens binary"), "tokens")
-    groups = written(components(candidate_links(members, embeddings, similarity, seed)), "candidate-groups")
+    groups = written(components(candidate_links(members, embeddings, seed)), "candidate-groups")
     verified = verified_links(groups, sets, texts, similarity)
     near = verified.groupBy("sid").agg(F.sum("copies").alias("near"), F.sum("texts").alias("texts"))
     roots = components(verified.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
