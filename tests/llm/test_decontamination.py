@@ -32,6 +32,19 @@ def test_reparameterised_question(spark):
     assert got[(7, 0)].exact  # each alignment is judged on its own
 
 
+def test_verbatim_runs_of_any_words(spark):
+    pad, long = corpus.prose(3, 50), corpus.prose(40, 600)
+    names = "Did Anna Meet Olga And Maria Near Paris Or Berlin With Peter"
+    items = ["Compute 17 + 25 - 9", "3 5 8 13 21 34 55 89", names, long, f"{ITEM} {pad}"]
+    part = " ".join(long.split()[200:280])
+    texts = [f"{pad} compute 17 + 25 - 9 {pad}", "Now: 3 5 8 13 21 34 55 89.", names.lower(), names.upper(),
+             f"x {part} y", f"{ITEM.replace('120 seats', '121 seats')} {pad}", "compute 17 + 26 - 9", "3 5 8 13 21 34 55 90",
+             " ".join(long.split()[200:212])]
+    got = set(leaks(spark, texts, items))
+    assert got >= {(0, 0), (1, 1), (2, 2), (3, 2), (4, 3), (5, 4)}
+    assert not {x for x in got if x[0] in (6, 7, 8)}
+
+
 def test_whole_table_against_substrings(spark):
     sf = "/root/testdata/sf0.01"
     docs, bench = corpus.read(spark, "documents", sf), corpus.read(spark, "benchmark", sf)

@@ -6,12 +6,15 @@ template are hash-joined with those of the documents, so a question asked again
 with other numbers or names still matches. The replaced words are the slots; a
 match counts only if they are consistent, that is, if one and the same value of
 the item is always replaced by one and the same value in the document and the
-other way round. A copy without any change is consistent as well.
+other way round. A copy without any change is consistent as well. Beside that,
+a run of consecutive words of an item, as they are but for capitals, is a leak
+on its own, whatever numbers and names it has and whatever else was changed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ WINDOW = 8
 LITERALS = 4
 #: An item is leaked if consistent matches cover this share of its windows.
 COVERAGE = 0.3
+#: So many consecutive words of an item, or all of a shorter one, are a leak whatever they cover.
+RUN = 13
 #: Item windows are looked up in blocks of so many at most: a bounded broadcast however large the benchmark.
 BLOCK_WINDOWS = 1 << 20
 
@@ -82,6 +87,7 @@ class Templates:
         inner[1:] = follows[1:] & (stops[start[1:]] == stops[end[:-1]])
         name = capital & inner & ~number & ~unit
         self.kind = np.select([number, unit, name], [1, 2, 3], 0).astype(np.int8)
+        self.literal = self.words.hash
         self.words.hash = np.select([number, unit, name], [NUMBER, UNIT, NAME], self.words.hash).astype(_U)
 
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +97,11 @@ class Templates:
         enough = plain[at + n] - plain[at] >= min(LITERALS, -(-n // 2))
         return h[enough] + _U(n), at[enough]
 
+    def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows of the words themselves, and their first tokens."""
+        h, at = W.windows(replace(self.words, hash=self.literal), n)
+        return W.mix(h + _U(n)), at
+
     def slots(self, i: int, n: int) -> list[str]:
         """Type and value of each slot of a window."""
         w = self.words
@@ -98,6 +109,7 @@ class Templates:
                 for k in range(i, i + n) if self.kind[k]]
 
 
+#: n is below 0 for a run of words as they are, which has no slots.
 ITEM_WINDOWS = "item_id long, n int, window long, place int, windows int, slots array<string>"
 
 
@@ -114,6 +126,9 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             part = Templates(batch.column("text").slice(r, 1))
             h, at = part.windows(n)
             out += [(item, n, int(x), int(a), len(at), part.slots(int(a), n)) for x, a in zip(h.view(np.int64), at)]
+            n, windows = min(RUN, length), len(at)
+            h, at = part.runs(n)
+            out += [(item, -n, int(x), int(a), windows, []) for x, a in zip(h.view(np.int64), at)]
         columns = list(zip(*out)) if out else [[]] * 6
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
@@ -134,12 +149,12 @@ def _doc_windows(wanted, lengths: list[int]):
             keys = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             out = []
             for n in lengths:
-                h, at = t.windows(n)
+                h, at = t.windows(n) if n > 0 else t.runs(-n)
                 hit = np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h)
                 for k in hit:
                     r = t.words.row[at[k]]
                     out.append((keys[0][r], keys[1][r], int(h[k].view(np.int64)), int(at[k] - first[r]),
-                                t.slots(int(at[k]), n)))
+                                t.slots(int(at[k]), n) if n > 0 else []))
             if out:
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
@@ -155,8 +170,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored. Returns one
     row for each document and item of which consistent matches cover ``coverage`` or more of the item's
-    windows: doc_id, text_hash (of the text; names the row with doc_id), item_id, windows of the item,
-    matched windows, coverage, exact (a match with the item's own values throughout). An item shorter than a
+    windows, or of which RUN consecutive words (all, if it has fewer) are in the document: doc_id, text_hash (of the text; names the row with doc_id), item_id, windows of the item,
+    matched windows, coverage (0 without windows), exact (a match with the item's own values throughout). An item shorter than a
     window is one window. Null or empty texts have no window; repeated rows are reported once; rows
     of a null id keep it. An empty table on either side gives an empty result."""
     spark: SparkSession = docs.sparkSession
@@ -182,15 +197,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     # a match of an item goes along one diagonal; slots are compared along it
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     runs = met.groupBy("doc_id", "text_hash", "item_id", "windows", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set("place").alias("places"),
+        F.collect_set(F.when(F.col("n") > 0, F.col("place"))).alias("places"), F.max(F.col("n") < 0).alias("run"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
     given = lambda k: F.size(F.array_distinct(F.transform("pairs", lambda p: p[k])))
-    runs = runs.where((given("a") == F.size("pairs")) & (given("b") == F.size("pairs"))).withColumn(
-        "same", F.forall("pairs", lambda p: p["a"] == p["b"]))
+    consistent = (given("a") == F.size("pairs")) & (given("b") == F.size("pairs"))
+    runs = runs.where(consistent | F.col("run")).withColumns({
+        "places": F.when(consistent, F.col("places")).otherwise(F.array().cast("array<int>")),
+        "same": F.forall("pairs", lambda p: p["a"] == p["b"])})
     return runs.groupBy("doc_id", "text_hash", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
-        F.max("same").alias("exact")).withColumn("coverage", F.col("matched") / F.col("windows")).where(
-        F.col("coverage") >= coverage).select(
+        F.max("same").alias("exact"), F.max("run").alias("run")).withColumn(
+        "coverage", F.when(F.col("windows") > 0, F.col("matched") / F.col("windows")).otherwise(0.0)).where(
+        (F.col("coverage") >= coverage) & (F.col("windows") > 0) | F.col("run")).select(
         "doc_id", "text_hash", "item_id", "windows", "matched", "coverage", "exact")
 
 
