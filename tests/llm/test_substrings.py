@@ -70,6 +70,15 @@ def test_odd_documents_and_empty_table(spark):
     assert sub.dedup_substrings(corpus.frame(spark, [])).collect() == []
 
 
+def test_marks_of_repeated_rows_are_kept_once(spark, monkeypatch):
+    kept, written = {}, sub.written
+    monkeypatch.setattr(sub, "written", lambda df, name: kept.setdefault(name, written(df, name)))
+    rows = [(1, corpus.prose(30, 90))] * 40 + [(None, corpus.prose(31, 80))] * 20
+    check(sub.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), rows)
+    marks = [[tuple(m) for m in r.marks] for r in kept["marks"].collect()]
+    assert len(marks) == 2 and all(len(m) == len(set(m)) for m in marks)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(1, 4), min_size=1, max_size=120), st.integers(1, 20))
 def test_matching_statistics(symbols, most):

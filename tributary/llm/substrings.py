@@ -357,8 +357,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     hot = distinct.join(sized.where(F.col("kinds") > SPLIT_SEGMENTS).select("value"), "value")
     masks = masks.unionByName(_split_masks(hot.select("value", "segment", "n", "content")))
     marked = found.select("id", "text_hash", "value", "segment", "at").join(masks, ["value", "segment"])
+    # a set: rows of one id and text bring the same marks, and a list must not grow with their number
     marks = written(marked.groupBy("id", "text_hash").agg(
-        F.collect_list(F.struct("at", "mask")).alias("marks")), "marks")
+        F.collect_set(F.struct("at", "mask")).alias("marks")), "marks")
     # texts that surely have no mark aren't shuffled
     some = membership(marks, "text_hash")
     touched = rows.where(maybe_member(some, F.col("text_hash"))).join(marks, ["id", "text_hash"], "left")
