@@ -39,14 +39,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back, in folders by a column if one is named.
 
     Cuts the lineage: an executor lost later costs no recomputation, and every
     executor can read every file."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -90,11 +90,11 @@ MEMBER_BITS = 27
 BITMAP_BYTES = 4096  # of one row of Spark's bitmap functions
 
 
-def membership(hashes: DataFrame, column: str, bits: int = MEMBER_BITS) -> Broadcast:
+def member_bits(hashes: DataFrame, column: str, bits: int = MEMBER_BITS) -> np.ndarray:
     """A bitmap of ``2**bits`` bits (16 MB by default, whatever the input) of the 64-bit hashes in ``column``.
 
     The top bits of a hash are its place. The bitmap is built by Spark's bitmap aggregation in rows of
-    4 KB, and broadcast. A hash whose bit isn't set isn't among them; one whose bit is set may not be
+    4 KB. A hash whose bit isn't set isn't among them; one whose bit is set may not be
     either, so it serves only to leave rows out early, before an exact join."""
     place = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
     rows = (hashes.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("at"))
@@ -103,7 +103,12 @@ def membership(hashes: DataFrame, column: str, bits: int = MEMBER_BITS) -> Broad
     for r in rows:
         part = np.frombuffer(bytes(r.bits), np.uint8)
         whole[(r.b - 1) * BITMAP_BYTES:][:len(part)] = part
-    return hashes.sparkSession.sparkContext.broadcast(whole)
+    return whole
+
+
+def membership(hashes: DataFrame, column: str, bits: int = MEMBER_BITS) -> Broadcast:
+    """``member_bits``, broadcast."""
+    return hashes.sparkSession.sparkContext.broadcast(member_bits(hashes, column, bits))
 
 
 def is_member(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
