@@ -99,7 +99,7 @@ def test_no_task_gets_a_hot_line(spark):
 
     n, blocks = 20_000, 16
     df = spark.range(n).select(F.lit("red").alias("line"), F.col("id").alias("order"), F.col("id").alias("stop_id"))
-    d = window._blocks(df.withColumn("__k", F.struct("line")), ["order", "stop_id"], blocks)
+    d = window._ranges(df.withColumn("__k", F.struct("line")), ["order", "stop_id"], blocks)
     sizes = [r["count"] for r in d.groupBy("__blk").count().collect()]
     assert len(sizes) == blocks and max(sizes) < 2 * n / blocks and sum(sizes) == n
     got = ordered_neighbours(df, ["line"], ["order", "stop_id"], ["stop_id"], blocks=blocks)
@@ -111,6 +111,55 @@ def test_no_task_gets_a_hot_line(spark):
                 "stop_id", "prev_stop_id", "next_stop_id") == rows(got, "stop_id", "prev_stop_id", "next_stop_id")
 
 
+def test_ranges_of_a_hot_line_among_many(spark):
+    """One line has a third of all rows, thousands of lines share the rest: no range holds more than its share."""
+    from tributary.operators import window
+
+    n, blocks = 30_000, 16
+    line = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("l"), (F.col("id") % 4001).cast("string")))
+    df = spark.range(n).select(line.alias("line"), F.col("id").alias("order"), (F.col("id") * 7 % n).alias("stop_id"))
+    d = window._ranges(df.withColumn("__k", F.struct("line")), ["order", "stop_id"], blocks)
+    sizes = {r["__blk"]: r["count"] for r in d.groupBy("__blk").count().collect()}
+    assert max(sizes.values()) < 2 * n / blocks and sum(sizes.values()) == n
+    assert d.where("line = 'hot'").select("__blk").distinct().count() >= blocks // 4
+    w = Window.partitionBy("line").orderBy("order", "stop_id")
+    want = df.select("line", "stop_id", F.lag("stop_id").over(w).alias("prev_stop_id"), F.lead("stop_id").over(w).alias("next_stop_id"))
+    got = ordered_neighbours(df, ["line"], ["order", "stop_id"], ["stop_id"], blocks=blocks)
+    assert rows(got, *want.columns) == rows(want)
+
+
+def test_numbered_is_the_place_in_the_order(spark):
+    from tributary.operators.order import numbered, order_stops
+
+    df = spark.createDataFrame([(None if i % 11 == 0 else i * 37 % 50, i) for i in range(500)], "order int, stop_id int")
+    want = df.withColumn("position", F.row_number().over(Window.orderBy(F.col("order").asc_nulls_last(), "stop_id")))
+    got = numbered(order_stops(df.repartition(7)))
+    assert rows(got, "order", "stop_id", "position") == rows(want)
+    # the position is that of the given order, whatever it is
+    down = numbered(df.repartition(5).orderBy(F.col("stop_id").desc()), "place")
+    assert rows(down, "stop_id", "place") == sorted(((i, 500 - i) for i in range(500)), key=repr)
+    assert numbered(order_stops(df.where("false"))).count() == 0
+    # no window sees more rows than the sort has partitions
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clashes_with_a_stored_table(spark):
+    from tributary.functions.decode import clashes, maybe_among
+
+    stored = spark.range(50_000).select((F.col("id") * 2).alias("a"), F.lit("x").alias("b"), F.lit(1).alias("other"))
+    stored = stored.unionByName(spark.createDataFrame([(None, "x", 1), (4, "x", 2)], "a long, b string, other int"))
+    new = spark.createDataFrame([(1, "x", "n1"), (4, "x", "n2"), (4, "x", "n3"), (4, "y", "n4"), (None, "x", "n5"), (99_998, "x", "n6")],
+                                "a long, b string, name string")
+    assert rows(clashes(new, stored, ["a", "b"]), "name") == [("n2",), ("n3",), ("n6",)]
+    # the bitmap leaves out nearly all of the stored rows, and none that matters
+    left = maybe_among(stored, new, ["a", "b"])
+    assert left.count() < 50 and left.where("a in (4, 99998)").count() == 3
+    # a tiny bitmap lets more through, the result stays
+    assert maybe_among(stored, new, ["a", "b"], bits=15).count() >= left.count()
+    assert clashes(new.where("false"), stored, ["a", "b"]).count() == 0
+    assert clashes(new, stored.where("false"), ["a", "b"]).count() == 0
+
+
 def test_first_by_name(spark):
     df = spark.createDataFrame([("a", 1, 10), ("b", 2, 20), ("a", 3, 30), ("b", 0, 40)], "name string, o int, id int")
     got = rows(first_by_name(df, [], "name", "o", ["id"]), "name", "id", "first_seen")

@@ -8,38 +8,32 @@ first and last row, at most two per block) lack a neighbour; they take it from
 the adjacent edge row in a second window over the edge rows alone. Interior and
 edge rows are then put back together with a union: one shuffle of the full data.
 
-Blocks are ranges of rank: each key is cut at quantiles of its order, so a key has
-``blocks`` blocks of about equal size and at most twice as many edges, whatever
-its order values are.
+Blocks are ranges of (key, order): Spark's range partitioning cuts the rows of all keys together into
+ranges of about equal size, so a hot key spans as many of them as its share asks for, however many keys there are. The
+rows are written with their range to the shared checkpoint folder, as ranges are sampled anew whenever they are made.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import scratch_path
 from .state import first_by_name
 
-BLOCKS = 64
-#: Two order columns are ranked as one number, the second in the last digits (an id of up to 18 digits).
-_SECOND = 10 ** 18
+#: Ranges of ``ordered_neighbours``: 0 stands for as many as the session has shuffle partitions.
+BLOCKS = 0
 
 
-def _rank_key(order_by: Sequence[str]) -> Column:
-    """One number in the order of one or two whole-number columns (nulls first)."""
-    if len(order_by) > 2:
-        raise ValueError("blocks need one or two order columns; pass blocks=None")
-    nums = [F.coalesce(F.col(c).cast("decimal(38,0)"), F.lit(-1).cast("decimal(38,0)")) for c in order_by]
-    return nums[0] if len(nums) == 1 else nums[0] * F.lit(_SECOND).cast("decimal(19,0)") + nums[1]
-
-
-def _blocks(d: DataFrame, order_by: Sequence[str], blocks: int) -> DataFrame:
-    """Adds ``__blk``: how many of its key's quantiles are below the row. Bounds are values of the key's rows
-    and compared exactly, so that blocks are ranges of rank even where a quantile is only approximate."""
-    d = d.withColumn("__r", _rank_key(order_by).cast("decimal(38,0)"))
-    cuts = d.groupBy("__k").agg(F.percentile_approx("__r", [i / blocks for i in range(1, blocks)]).alias("__cuts"))
-    return d.join(cuts, "__k").withColumn("__blk", F.size(F.filter("__cuts", lambda c: c < F.col("__r"))))
+def _ranges(d: DataFrame, order_by: Sequence[str], blocks: int) -> DataFrame:
+    """Adds ``__blk``, the range of (``__k``, order) that a row is in; of ``blocks`` ranges."""
+    spark = d.sparkSession
+    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = d.repartitionByRange(blocks, "__k", *order_by).withColumn("__blk", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    d.write.parquet(path)
+    return spark.read.schema(d.schema).parquet(path)
 
 
 def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -49,12 +43,11 @@ def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Seq
     the row before / after in ``order_by`` within ``partition_by``. A prefix of
     None leaves that side out.
 
-    ``order_by`` must be unique within a partition. With ``blocks`` (rank
-    ranges) it has one or two whole-number columns, the second one under 10**18
-    and not negative. ``block_width`` cuts a single dense whole-number column
-    (an offset) into ranges of that width instead, which needs no look at the
-    data. ``blocks=None`` without a width uses one plain window (fine for small,
-    bounded tables).
+    ``order_by`` must be unique within a partition; nulls come first. ``blocks`` ranges
+    of (partition, order) are cut, see above. ``block_width`` cuts a single dense whole-number
+    column (an offset) into ranges of that width instead, which needs no look at the
+    data and no table on the way. ``blocks=None`` without a width uses one plain window (fine for
+    small, bounded tables).
     """
     partition_by, order_by, carry = list(partition_by), list(order_by), list(carry)
     p, n = prefixes
@@ -76,7 +69,7 @@ def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Seq
             raise ValueError("block_width needs a single order column")
         d = d.withColumn("__blk", F.floor(F.col(order_by[0]) / F.lit(block_width)))
     else:
-        d = _blocks(d, order_by, blocks)
+        d = _ranges(d, order_by, blocks)
     w = Window.partitionBy("__k", "__blk").orderBy(*order_by)
     # Of one side only the rows at that side lack a neighbour, but the rows at the other side provide it.
     d = near(d, w).withColumns({"__first": F.lag(F.lit(1)).over(w).isNull(), "__last": F.lead(F.lit(1)).over(w).isNull()})
@@ -84,7 +77,7 @@ def ordered_neighbours(df: DataFrame, partition_by: Sequence[str], order_by: Seq
     # The edge row before a block's first row is the previous block's last row,
     # and the one after a block's last row is the next block's first row.
     edges = near(d.where(edge), Window.partitionBy("__k").orderBy(*order_by))
-    out = d.where(~edge).unionByName(edges).drop("__k", "__blk", "__first", "__last", "__r", "__cuts")
+    out = d.where(~edge).unionByName(edges).drop("__k", "__blk", "__first", "__last")
     return _unpack(out, carry, p, n)
 
 
