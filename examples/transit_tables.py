@@ -34,7 +34,7 @@ q1 = to_kafka(to_changelog(changelog, ["station_id"]), args.servers, TOPICS["sta
 
 turnstile = kafka_stream(spark, args.servers, topic=TOPICS["turnstile"])
 # The count mode (A1) is one stateful aggregation. The table-semantics mode (A2)
-# chains two; tributary.streaming.jobs.run_upsert_count keeps the first and counts on read.
+# chains two; tributary.streaming.jobs.run_upsert_count keeps it as a live table.
 summary = T.turnstile_summary(turnstile, fmt=args.value_format)
 q2 = to_kafka(summary, args.servers, TOPICS["turnstile_summary"], f"{args.checkpoint_root}/summary", mode="update")
 for q in (q1, q2):

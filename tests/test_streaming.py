@@ -97,10 +97,94 @@ def test_a2_upsert_count_stream_equals_batch(spark, events):
     stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = _dir(spark, "a2")
     jobs.run_upsert_count(stream, ["msg_key"], "user_id", "event_id", out, _dir(spark, "ckpt"), compact_every=3)
-    got = jobs.read_upsert_count(spark, out, ["msg_key"], "user_id")
+    got = jobs.read_upsert_count(spark, out, "user_id")
     assert rows(got) == rows(upsert_count(msgs, "msg_key", "user_id", "event_id"))
 
 
+def test_a_newer_message_takes_back_what_the_older_counted(spark):
+    """Messages out of order, with nulls, moves between keys, repeats and a hot message key, over several batches."""
+    import random
+
+    from tributary.operators.state import upsert_count
+
+    rnd = random.Random(5)
+    data = [(rnd.choice(["a", "b", "c", "hot", "hot", "hot", None]), rnd.choice([1, 2, 3, None]), n if n % 50 else None)
+            for n in rnd.sample(range(600), 600)]
+    schema = "msg string, k int, at int"
+    src, out, ckpt = _dir(spark, "retract-src"), _dir(spark, "retract"), _dir(spark, "ckpt")
+    seen = []
+    for part in (data[:200], data[200:210], data[210:]):
+        spark.createDataFrame(part, schema).repartition(3).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        jobs.run_upsert_count(stream, ["msg"], "k", "at", out, ckpt, compact_every=2)
+        seen += part
+        want = upsert_count(spark.createDataFrame([r for r in seen if r[2] is not None], schema), "msg", "k", "at")
+        assert rows(jobs.read_upsert_count(spark, out, "k")) == rows(want)
+    # a message that takes its key out of all counts
+    spark.createDataFrame([("hot", None, 10_000)], schema).write.mode("append").parquet(src)
+    jobs.run_upsert_count(spark.readStream.schema(schema).parquet(src), ["msg"], "k", "at", out, ckpt, compact_every=2)
+    want = upsert_count(spark.createDataFrame([r for r in seen if r[2] is not None] + [("hot", None, 10_000)], schema), "msg", "k", "at")
+    assert rows(jobs.read_upsert_count(spark, out, "k")) == rows(want)
+    # the log holds changes of counts, not messages
+    log = [f"{out}/log/__version={v}" for v in sinks_versions(spark, out)]
+    assert spark.read.option("basePath", f"{out}/log").parquet(*log).columns[:2] == ["k", "count"]
+
+
+def sinks_versions(spark, path):
+    from tributary.streaming import sinks
+
+    return [v for v in sinks._versions(spark, f"{path}/log") if sinks._buckets(spark, f"{path}/log/__version={v}")]
+
+
+def test_checked_topic_rows_and_dead_letters(spark):
+    """Both outputs of every batch, once each, across a restart and a repeated batch."""
+    from helpers import env_rows
+    from tributary import schemas as S
+    from tributary.functions.decode import check_messages
+    from tributary.streaming import sinks
+
+    path, out, ckpt = _dir(spark, "checked-src"), _dir(spark, "checked"), _dir(spark, "ckpt")
+    write_envelope(env_rows(spark, ['{"STATION_ID": 1, "COUNT": 2}', "junk", None]), path)
+
+    def run():
+        jobs.run_checked(envelope_stream(spark, path), S.TURNSTILE_SUMMARY, out, ckpt)
+        return (rows(jobs.read_checked_rows(spark, out, S.TURNSTILE_SUMMARY), "STATION_ID", "COUNT"),
+                rows(jobs.read_dead_letters(spark, out, S.TURNSTILE_SUMMARY).select("offset", F.col("value").cast("string").alias("v")), "offset", "v"))
+
+    assert jobs.read_checked_rows(spark, out, S.TURNSTILE_SUMMARY).count() == 0
+    assert run() == ([(1, 2)], [(1, "junk"), (2, None)])
+    more = env_rows(spark, ['{"STATION_ID": 3, "COUNT": 4}', "{", '{"COUNT": 9}'], start_offset=10)
+    write_envelope(more, path)
+    want = ([(1, 2), (3, 4), (None, 9)], [(1, "junk"), (11, "{"), (2, None)])
+    assert run() == want
+    assert run() == want  # nothing new
+    # a batch that is repeated replaces both outputs; one that wasn't committed counts in neither
+    write = sinks.checked_writer(out)
+    write(check_messages(more, S.TURNSTILE_SUMMARY), 1)
+    assert run() == want
+    write(check_messages(env_rows(spark, ["x", '{"COUNT": 1}']), S.TURNSTILE_SUMMARY), 7)
+    os.unlink(f"{out}/__version=7/_SUCCESS")
+    assert run() == want
+
+
+def test_expiring_join_drops_state(spark):
+    """State rows fall while the topics go on; every pair within the range is found, late scores included."""
+    from tributary.plans import catalog
+
+    root = _dir(spark, "expiring")
+    held = []
+    for q in catalog.expiring_join_runs(spark, SF, root):
+        progress = [p for p in q.recentProgress if p["stateOperators"]]
+        held += [p["stateOperators"][0]["numRowsTotal"] for p in progress]
+        assert all(p["stateOperators"][0]["numRowsDroppedByWatermark"] == 0 for p in progress)
+    total = table(spark, SF, "events").count() + table(spark, SF, "customer").count()
+    assert max(held) < 0.8 * total and held[-1] < max(held)
+    ev = E.risk_event_messages(table(spark, SF, "events"))
+    cu = E.customer_sorted_set_messages(table(spark, SF, "customer"), spread_days=catalog.SLICES * catalog.SLICE_DAYS)
+    bound = {"delay": "10 days", "range": f"{catalog.RANGE_DAYS} days"}
+    assert rows(spark.read.parquet(f"{root}/out")) == rows(R.risk_graph(ev, cu, bound=bound))
+
+
 
 def test_bounded_join_keeps_close_pairs_only(spark):
     import datetime as dt
@@ -206,19 +290,59 @@ def test_changelog_reads_only_complete_versions(spark):
         write(frame([(batch % 3, f"v{batch}"), (9, f"w{batch}")]), batch)
     want = [(0, "v6"), (1, "v4"), (2, "v5"), (9, "w6")]
     assert rows(sinks.read_changelog_table(spark, path, ["k"])) == want
-    # what lies below the snapshot before the last is gone
-    assert sinks._versions(spark, f"{path}/snap") == [3, 5] and sinks._versions(spark, f"{path}/log") == [4, 5, 6]
+    # log below the snapshot before the last is gone
+    assert sinks._versions(spark, f"{path}/snap")[-2:] == [3, 5] and sinks._versions(spark, f"{path}/log") == [4, 5, 6]
     # a half-written snapshot and a half-written batch don't count
-    frame([(0, "half")]).write.parquet(f"{path}/snap/__version=6")
-    frame([(0, "half")]).write.parquet(f"{path}/log/__version=7")
-    for name in ("snap/__version=6", "log/__version=7"):
-        os.unlink(f"{path}/{name}/_SUCCESS")
+    frame([(0, "half")]).write.parquet(f"{path}/snap/__version=6/__bucket=0")
+    frame([(0, "half")]).write.parquet(f"{path}/log/__version=7/__bucket=0")
     assert rows(sinks.read_changelog_table(spark, path, ["k"])) == want
     write(frame([(0, "v7")]), 7)  # the replay of the lost batch overwrites it
     write(frame([(0, "v7")]), 7)
     assert rows(sinks.read_changelog_table(spark, path, ["k"])) == [(0, "v7"), *want[1:]]
 
 
+def test_compaction_rewrites_only_the_buckets_that_changed(spark):
+    from tributary.streaming import sinks
+
+    path = _dir(spark, "buckets")
+    write = sinks.changelog_writer(path, ["k"], None, compact_every=1, buckets=8)
+    frame = lambda rows_: spark.createDataFrame(rows_, "k int, v string")
+    table_ = {k: "v0" for k in range(200)}
+    write(frame(list(table_.items())), 0)
+    held = lambda v: sinks._buckets(spark, f"{path}/snap/__version={v}")
+    assert held(0) == list(range(8))
+    for batch in range(1, 6):
+        change = {7: f"v{batch}", 200 + batch: "new"}
+        write(frame(list(change.items())), batch)
+        table_ |= change
+        assert rows(sinks.read_changelog_table(spark, path, ["k"])) == sorted(table_.items(), key=repr)
+        assert len(held(batch)) <= 2  # the buckets of two keys, whatever the table holds
+    layout = sinks._Layout(spark, path)
+    assert layout.floor == 5 and sorted(layout.newest(5)) == list(range(8))
+    # of each bucket at most what the last and the one before it read is left
+    assert sum(len(held(v)) for v in layout.snaps) <= 8 + 2
+    # a batch without rows changes nothing
+    write(frame([]), 6)
+    assert rows(sinks.read_changelog_table(spark, path, ["k"])) == sorted(table_.items(), key=repr)
+    # batch 5 is repeated with its compaction, as after a crash between the two
+    write(frame([(7, "v5"), (205, "new")]), 5)
+    assert rows(sinks.read_changelog_table(spark, path, ["k"])) == sorted(table_.items(), key=repr)
+
+
+def test_sums_are_kept_through_compaction(spark):
+    from tributary.streaming import sinks
+
+    path = _dir(spark, "sums")
+    write = sinks.changelog_writer(path, ["k"], None, compact_every=3, merge="sum", buckets=4)
+    frame = lambda rows_: spark.createDataFrame(rows_, "k int, count long")
+    for batch in range(8):
+        write(frame([(batch % 4, 1), (9, 2), (batch % 2, -1)]), batch)
+    write(frame([(3, 1), (9, 2), (1, -1)]), 7)  # repeated
+    assert rows(sinks.read_changelog_table(spark, path, ["k"], merge="sum")) == [(0, -2), (1, -2), (2, 2), (3, 2), (9, 16)]
+    with pytest.raises(ValueError, match="merge"):
+        sinks.read_changelog_table(spark, path, ["k"], merge="product")
+
+
 def test_a_failed_listing_is_raised(spark):
     from tributary.streaming import sinks
 

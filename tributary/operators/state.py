@@ -4,8 +4,8 @@ All are ordinary ``groupBy().agg()`` plans: Spark runs a partial (map-side)
 aggregate before the shuffle, so a key holding a third of all rows costs one
 row per input partition on the wire. On a streaming DataFrame the same plans
 run as stateful aggregations (update / complete mode) with state partitioned by
-key; A2 is two chained aggregations, of which the first runs as a stream and the
-second on read (``streaming.jobs.run_upsert_count``).
+key; A2 is two chained aggregations, as a stream a keyed state and a table of sums
+(``streaming.jobs.run_upsert_count``).
 """
 
 from __future__ import annotations
