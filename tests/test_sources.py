@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tributary import schemas as S
 from tributary.functions.decode import avro_available, decode_summary, encode_record, split_malformed
 from tributary.functions.decode import decode_json
-from tributary.sources.jdbc import high_water, incremental_slice, jdbc_options
+from tributary.sources.jdbc import (cuts_query, high_water, incremental_slice, load_next, quantile_cuts, range_predicates,
+                                   read_loads, stored_loads)
 from tributary.sources.kafka import kafka_available, kafka_options, raw_messages, subscribe_pattern
 from tributary.streaming.sinks import register, to_changelog
 
@@ -56,14 +57,98 @@ def test_incremental_marks_of_other_types(spark):
     assert incremental_slice(df, "at", times[0], times[2]).count() == 2
     assert [r["name"] for r in incremental_slice(df, "name", times[0].isoformat(), times[1].isoformat()).collect()] == [
         times[1].isoformat()]
-    o = jdbc_options("jdbc:postgresql://h/db", "stations", "stop_id", 40000, 50000)
-    assert '"stop_id" > 40000' in o["dbtable"] and '"stop_id" <= 50000' in o["dbtable"]
-    assert (o["lowerBound"], o["upperBound"], int(o["numPartitions"]) > 1) == ("40000", "50000", True)
-    o = jdbc_options("jdbc:x", "t", "at", times[0], times[1])
-    assert "> TIMESTAMP '2024-01-01 00:00:00'" in o["dbtable"] and o["lowerBound"] == "2024-01-01 00:00:00"
-    o = jdbc_options("jdbc:x", "t", "name", "o'x", "z")
-    assert "> 'o''x'" in o["dbtable"] and "numPartitions" not in o
-    assert ">" not in jdbc_options("jdbc:x", "t", "id", None, 9)["dbtable"].replace("<=", "")
+
+
+def test_connections_get_equal_shares_of_sparse_ids(spark):
+    """A thousand ids under a thousand, and as many spread over a billion: equal widths would put half of the rows, and a
+    quarter of them again, into single connections."""
+    ids = [*range(1000), *range(10 ** 9, 10 ** 9 + 1000 * 10 ** 6, 10 ** 6)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    cuts = quantile_cuts(df, "id", 8)
+    predicates = range_predicates("id", None, ids[-1], cuts)
+    sizes = [df.where(p.replace('"', "`")).count() for p in predicates]
+    assert len(sizes) == 8 and sum(sizes) == len(ids) and max(sizes) <= 2 * len(ids) / 8
+    # of a slice only the cuts inside it matter, and every row of it meets one predicate
+    predicates = range_predicates("id", 400, 10 ** 9 + 5, cuts)
+    assert predicates[0].startswith('"id" > 400') and predicates[-1].endswith(f'"id" <= {10 ** 9 + 5}')
+    assert sum(df.where(p.replace('"', "`")).count() for p in predicates) == 599 + 1
+    assert range_predicates("id", 3, 3, [3]) == ['"id" > 3 AND "id" <= 3']
+
+
+def test_ranges_of_other_types():
+    days = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    assert range_predicates("at", days[0], days[2], [days[1]]) == [
+        "\"at\" > TIMESTAMP '2024-01-01 00:00:00' AND \"at\" <= TIMESTAMP '2024-01-02 00:00:00'",
+        "\"at\" > TIMESTAMP '2024-01-02 00:00:00' AND \"at\" <= TIMESTAMP '2024-01-03 00:00:00'"]
+    assert range_predicates("name", None, "o'x", ["b"]) == ["\"name\" <= 'b'", "\"name\" > 'b' AND \"name\" <= 'o''x'"]
+    asked = cuts_query("stations", "stop_id", 40000, 50000, 16)
+    assert 'ntile(16) OVER (ORDER BY "stop_id")' in asked and '"stop_id" > 40000 AND "stop_id" <= 50000' in asked
+
+
+def test_the_cuts_query_in_a_database():
+    """The SQL text that a database gets, run by DuckDB over a table in memory."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT range * range AS id FROM range(1000)")
+    cuts = [r[0] for r in con.execute("SELECT * FROM " + cuts_query("t", "id", 99, 810_000, 10)).fetchall()]
+    sizes = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in range_predicates("id", 99, 810_000, cuts)]
+    assert len(sizes) == 10 and sum(sizes) == 891 and max(sizes) - min(sizes) <= 1
+
+
+def test_a_mark_lives_and_dies_with_its_load(spark, tmp_path):
+    path = str(tmp_path / "stations")
+    at = lambda n: dt.datetime(2024, 1, n)
+    source = lambda ids: spark.createDataFrame([(i, at(i)) for i in ids], "id long, at timestamp")
+
+    def state():
+        return {n: m for n, m in stored_loads(spark, path).items()}
+
+    load_next(path, "at", lambda last: source([]))
+    assert state() == {}
+    load_next(path, "at", lambda last: source([1, 3]))
+    assert rows(read_loads(spark, path), "id", "load") == [(1, 1), (3, 1)]
+    # broken off after files were written, before the commit: neither its rows nor its mark count
+    load_next(path, "at", lambda last: source([1, 3, 5, 7]))
+    (tmp_path / "stations" / "load=2" / "_SUCCESS").unlink()
+    assert list(state()) == [1] and read_loads(spark, path).count() == 2
+
+    # broken off in the middle of the job
+    def failing(last):
+        rows_ = source([1, 3, 5, 7])
+        if last is None:
+            return rows_
+        bad = F.udf(lambda i: 1 // 0 if i == 7 else i, "long")
+        return rows_.withColumn("id", bad("id"))
+
+    with pytest.raises(Exception):
+        load_next(path, "at", failing)
+    assert list(state()) == [1] and read_loads(spark, path).count() == 2
+    # repeated from the mark before it, with what has come in between
+    load_next(path, "at", lambda last: source([1, 3, 5, 7, 8]))
+    assert rows(read_loads(spark, path), "id", "load") == [(1, 1), (3, 1), (5, 2), (7, 2), (8, 2)]
+    load_next(path, "at", lambda last: source([1, 3, 5, 7, 8]))  # nothing new
+    assert list(state()) == [1, 2]
+    assert [r["high_water"] for r in read_loads(spark, path).select(F.col("high_water").cast("timestamp").alias("high_water"))
+            .distinct().orderBy("high_water").collect()] == [at(3), at(8)]
+
+
+def test_bad_lines_go_to_quarantine(spark, tmp_path):
+    from tributary.sources.files import CORRUPT, read_csv, read_csv_checked, split_corrupt
+
+    schema = S._s(("id", S.IntegerType()), ("name", S.StringType()), ("order", S.IntegerType()))
+    lines = ["id,name,order", '1,"a, b",10', "x,c,20", "2,d", "3,e,30,40", "4,,", '5,"q""uote",50', "6,f,1.5"]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    checked = read_csv_checked(spark, str(tmp_path / "a.csv"), schema)
+    good, bad = split_corrupt(checked)
+    assert rows(good) == [(1, "a, b", 10), (4, None, None), (5, 'q"uote', 50)]
+    assert sorted(r["line"] for r in bad.collect()) == ["2,d", "3,e,30,40", "6,f,1.5", "x,c,20"]
+    # the verdict on a line doesn't depend on the columns that are asked for
+    assert good.select("id").count() == 3 and bad.count() == 4 and checked.count() == 7
+    assert rows(checked.where(F.col(CORRUPT).isNull()).select("id")) == [(1,), (4,), (5,)]
+    assert rows(checked.select(CORRUPT).where(F.col(CORRUPT).isNotNull()).select(F.length(CORRUPT))) == [(3,), (6,), (7,), (9,)]
+    # without the check bad values become nulls in silence
+    assert read_csv(spark, str(tmp_path / "a.csv"), schema).where("id is null").count() == 1
 
 
 def test_records_and_changelog(spark):

@@ -120,6 +120,40 @@ def check_constraints(df: DataFrame, not_null: Iterable[str], unique: Iterable[s
     return null_rows.unionByName(dup_rows)
 
 
+MEMBER_BITS = 26
+_ROW_BITS = 32768  # of one row of Spark's bitmap functions
+
+
+def _place(keys: Sequence[str], bits: int) -> Column:
+    """Where a key's bit is in a bitmap of ``2**bits`` bits, from 1."""
+    return F.shiftrightunsigned(F.xxhash64(*keys), 64 - bits) + 1
+
+
+def maybe_among(rows: DataFrame, others: DataFrame, keys: Sequence[str], bits: int = MEMBER_BITS) -> DataFrame:
+    """``rows`` without those whose key is surely not among ``others``: a bitmap of their hashes, of 8 MB at most by
+    default, is made by Spark's bitmap aggregation and broadcast, so ``rows`` aren't shuffled. It lets some
+    through that aren't among them; an exact join has to follow."""
+    at = others.select(F.bitmap_bucket_number(_place(keys, bits)).alias("__row"),
+                       F.bitmap_bit_position(_place(keys, bits)).alias("__bit"))
+    bitmap = at.groupBy("__row").agg(F.bitmap_construct_agg("__bit").alias("__bits"))
+    bit = F.bitmap_bit_position(_place(keys, bits))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("__row", F.bitmap_bucket_number(_place(keys, bits))).join(F.broadcast(bitmap), "__row")
+    return found.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*[f"`{c}`" for c in rows.columns])
+
+
+def clashes(new: DataFrame, stored: DataFrame, unique: Sequence[str]) -> DataFrame:
+    """D10 across loads: the rows of a new slice whose ``unique`` columns a stored row has already, each once. Nulls
+    never clash.
+
+    The stored table may be far larger than the slice: its rows are first cut down by a bitmap of the slice's keys, and
+    only what is left of them (one row a key) is joined exactly."""
+    unique = list(unique)
+    keyed = new.dropna(subset=unique)
+    known = maybe_among(stored.select(*unique).dropna(), keyed, unique).distinct()
+    return keyed.join(known, unique, "left_semi").select(*new.columns)
+
+
 # D11, D12 ----------------------------------------------------------------------
 def decode_station(env: DataFrame, keep: Sequence[str] = ("offset",)) -> DataFrame:
     return decode_json(env, S.STATION, "value", keep)
@@ -156,6 +190,18 @@ def dead_letters(env: DataFrame, schema: StructType, fmt: str = "json", avro_sch
     return decoded.where(malformed([f.name for f in schema.fields])).withColumnRenamed("raw", "value").select(*keep)
 
 
+def check_messages(env: DataFrame, schema: StructType, fmt: str = "json", avro_schema: str | None = None) -> DataFrame:
+    """Every message of a topic, parsed once: position, body (the decoded fields), dead (nothing could be decoded)
+    and letter (the raw value of a dead one). Both outputs of a checked topic come from these rows."""
+    fields = [f.name for f in schema.fields]
+    keep = F.struct("topic", "partition", "offset", "timestamp", "value").alias("__message")
+    decoded = decode_message(env.select(keep, "value"), schema, fmt, avro_schema, keep=("__message",))
+    dead = malformed(fields)
+    at = F.struct(*[F.col(f"__message.{c}").alias(c) for c in ("topic", "partition", "offset", "timestamp")])
+    return decoded.select(at.alias(POSITION), F.struct(*[F.col(f"`{f}`") for f in fields]).alias("body"),
+                          dead.alias("dead"), F.when(dead, F.col("__message.value")).alias("letter"))
+
+
 # Position of a message -------------------------------------------------------------
 POSITION = "position"
 

@@ -12,11 +12,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table.
 
-    The driver tables are read-only, so each is opened once per session (file
-    listing and parquet footer schema) and the lazy DataFrame is reused by every
-    query; no rows are cached."""
+    A table is opened once (file listing and parquet footer schema) and the lazy DataFrame is reused by the
+    queries of the session, as long as its path has the same modification time and size; no rows are cached."""
     opened = spark.__dict__.setdefault("_tributary_tables", {})
     path = os.path.join(sf_dir, f"{name}.parquet")
-    if path not in opened:
-        opened[path] = spark.read.parquet(path)
-    return opened[path]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    status = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(folder)
+    now = status.getModificationTime(), status.getLen()
+    if opened.get(path, (None,))[0] != now:
+        opened[path] = now, spark.read.parquet(path)
+    return opened[path][1]
