@@ -10,17 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..functions.columns import slug
-from ..functions.decode import POSITION, check_constraints, dead_letters, decode_json, value_text
-from ..operators.order import order_board, order_stops, union_lines
+from ..functions.decode import POSITION, check_constraints, clashes, dead_letters, decode_json, value_text
+from ..operators.order import numbered, order_board, order_stops, union_lines
 from ..operators.state import first_by_name, latest_by_key, running_count, upsert_count
 from ..operators.window import line_topology as _line_topology
 from ..session import scratch_path
-from ..sources.files import envelope_stream, write_envelope
-from ..sources.jdbc import high_water, incremental_slice
+from ..sources.files import envelope_stream, read_csv_checked, split_corrupt, write_envelope
+from ..sources.jdbc import high_water, incremental_slice, load_next, read_loads
 from ..sources.tables import table
 from ..streaming import jobs
 from ..streaming.sinks import to_changelog
@@ -186,6 +186,50 @@ def s6_incremental_load(spark, sf_dir):
     return union_lines(*loads)
 
 
+def s6_resumed_loads(spark, sf_dir):
+    """S6 with marks kept by the table: the first load takes the table as it was when half of the keys were in it, the
+    second what has come since. Between them lies a load that was broken off (files, but no commit); its rows don't
+    count, and the second load takes its place."""
+    root = scratch_path(spark, "s6-loads")
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    then = part.where(F.col("p_partkey") <= part.agg(F.floor(F.max("p_partkey") / 2)).scalar())
+    load_next(root, "p_partkey", lambda last: then)
+    part.where("p_partkey % 3 = 0").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{root}/load=2/high_water=0")
+    load_next(root, "p_partkey", lambda last: part)
+    return read_loads(spark, root).select("p_partkey", "p_name", F.col("load").cast("int").alias("load"),
+                                          F.col("high_water").cast("long").alias("high_water"))
+
+
+def s5_checked_csv(spark, sf_dir):
+    """A station file with bad lines, read as rows and quarantine in one scan (S5): after every 97th stop follow a line
+    whose id isn't a number, one with too few values and one with too many."""
+    path = scratch_path(spark, "s5-stations")
+    stops = E.stops_from_parts(_t(spark, sf_dir, "part"))
+    quoted = F.concat(F.lit('"'), F.regexp_replace("station_name", '"', '""'), F.lit('"'))
+    line = F.concat_ws(",", "stop_id", quoted, "station_id", "order")
+    n = F.col("stop_id").cast("string")
+    bad = F.array(line, F.concat(F.lit("x"), line), F.concat(n, F.lit(",short")), F.concat(line, F.lit(",1,2")))
+    lines = F.when(F.col("stop_id") % E.GARBAGE_EVERY == 0, bad).otherwise(F.array(line))
+    stops.select(F.explode(lines).alias("value")).write.text(path)
+    schema = S._s(("stop_id", S.IntegerType()), ("station_name", S.StringType()), ("station_id", S.IntegerType()),
+                  ("order", S.IntegerType()))
+    good, bad = split_corrupt(read_csv_checked(spark, path, schema, header=False))
+    empty = {"stop_id": "int", "station_name": "string", "station_id": "int", "order": "int"}
+    return union_lines(
+        good.select(F.lit("row").alias("output"), *empty, F.lit(None).cast("string").alias("line")),
+        bad.select(F.lit("bad").alias("output"), *[F.lit(None).cast(t).alias(c) for c, t in empty.items()], "line"))
+
+
+def d10_across_loads(spark, sf_dir):
+    """Uniqueness across two loads (D10): the rows of the second half of the parts whose name and brand a row of the first
+    half has already."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    half = part.agg(F.floor(F.max("p_partkey") / 2)).scalar()
+    stored, new = part.where(F.col("p_partkey") <= half), part.where(F.col("p_partkey") > half)
+    return clashes(new, stored, ["p_name", "p_brand"])
+
+
 def t6_dead_letters(spark, sf_dir):
     """The malformed messages of the four transit topics, as they came."""
     envs = T.board_inputs(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "events"))
@@ -195,23 +239,16 @@ def t6_dead_letters(spark, sf_dir):
 
 
 # ---- ordered results -------------------------------------------------------------
-def _numbered(df, *order):
-    """Adds the place in the order (the comparison of results doesn't look at it). The board and the stops of a
-    deployment are small tables, so one window numbers them."""
-    return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
-
-
 def o1_ordered_board(spark, sf_dir):
-    """Q6 as it is shown: lines blue, green, red; stations by order (O1)."""
+    """Q6 as it is shown: lines blue, green, red; stations by order (O1). The position of a row is its place in the
+    operator's output."""
     board = order_board(q6_line_status_board(spark, sf_dir))
-    return _numbered(board.select("line", "line_rank", "station_id", "order"), "line_rank",
-                     F.col("order").asc_nulls_last(), "station_id")
+    return numbered(board.select("line", "line_rank", "station_id", "order"))
 
 
 def o2_ordered_stops(spark, sf_dir):
-    """Stops by order, ties by stop id (O2)."""
-    stops = order_stops(E.stops_from_parts(_t(spark, sf_dir, "part")))
-    return _numbered(stops.select("stop_id", "order"), F.col("order").asc_nulls_last(), "stop_id")
+    """Stops by order, ties by stop id (O2), with their place in the operator's output."""
+    return numbered(order_stops(E.stops_from_parts(_t(spark, sf_dir, "part"))).select("stop_id", "order"))
 
 
 def u1_union_lines(spark, sf_dir):
@@ -276,8 +313,8 @@ def t3_stream_status_board(spark, sf_dir):
 
 
 def t4_stream_upsert_count(spark, sf_dir):
-    """A2 as a stream: the latest value per message key is an update-mode state; run, restart
-    after the rest of the messages arrive, count over the table."""
+    """A2 as a live count: the state of a message key hands on a retraction when a newer message replaces it; run,
+    restart after the rest of the messages arrive, read the count table."""
     root = scratch_path(spark, "t4-upsert-count")
     msgs = _t(spark, sf_dir, "events").select(F.date_trunc("minute", "ts").alias("msg_key"),
                                               "user_id", "event_id")
@@ -290,7 +327,7 @@ def t4_stream_upsert_count(spark, sf_dir):
     run()
     msgs.where(F.col("event_id") % 2 == 1).write.mode("append").parquet(f"{root}/messages")
     run()
-    return jobs.read_upsert_count(spark, f"{root}/table", ["msg_key"], "user_id")
+    return jobs.read_upsert_count(spark, f"{root}/table", "user_id")
 
 
 def t5_stream_turnstile_counts(spark, sf_dir):
@@ -341,6 +378,56 @@ def t8_stream_raw_messages(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+def t6_stream_checked_topic(spark, sf_dir):
+    """The turnstile topic as a stream with both outputs (T6): its rows and its dead letters, parsed once; run, restart
+    after more messages arrive, read both tables."""
+    root = scratch_path(spark, "t6-checked")
+    first, rest = _halves(E.turnstile_messages(_t(spark, sf_dir, "events")))
+    write_envelope(first, f"{root}/turnstile")
+
+    def run():
+        jobs.run_checked(envelope_stream(spark, f"{root}/turnstile"), S.TURNSTILE, f"{root}/out", f"{root}/ckpt")
+
+    run()
+    write_envelope(rest, f"{root}/turnstile")
+    run()
+    none = F.lit(None).cast("string")
+    good = jobs.read_checked_rows(spark, f"{root}/out", S.TURNSTILE)
+    dead = jobs.read_dead_letters(spark, f"{root}/out", S.TURNSTILE)
+    return union_lines(
+        good.select(F.lit("row").alias("output"), f"{POSITION}.partition", f"{POSITION}.offset", "station_id", "line",
+                    none.alias("letter")),
+        dead.select(F.lit("dead").alias("output"), "partition", "offset", F.lit(None).cast("int").alias("station_id"),
+                    none.alias("line"), value_text("value").alias("letter")))
+
+
+SLICES, SLICE_DAYS, RANGE_DAYS, DELAY_DAYS = 4, 8, 6, 10
+
+
+def expiring_join_runs(spark, sf_dir, root):
+    """Runs of ``t9_stream_expiring_join``, one for each slice of the topics; yields the ended queries."""
+    events = E.risk_event_messages(_t(spark, sf_dir, "events"))
+    customers = E.customer_sorted_set_messages(_t(spark, sf_dir, "customer"), spread_days=SLICES * SLICE_DAYS)
+    days = F.floor((F.unix_timestamp("timestamp") - E.EPOCH) / (86400 * SLICE_DAYS))
+    late = F.when(F.col("offset") % 10 == 0, 1).otherwise(0)
+    bound = {"delay": f"{DELAY_DAYS} days", "range": f"{RANGE_DAYS} days"}
+    for part in range(SLICES):
+        write_envelope(events.where(F.least(days + late, F.lit(SLICES - 1)) == part), f"{root}/events")
+        write_envelope(customers.where(days == part), f"{root}/customers")
+        q = R.risk_graph(envelope_stream(spark, f"{root}/events"), envelope_stream(spark, f"{root}/customers"), bound=bound)
+        yield jobs.run_append(q, f"{root}/out", f"{root}/ckpt")
+
+
+def t9_stream_expiring_join(spark, sf_dir):
+    """Q1 with state that expires (J1, T2): a score meets customer records sent within six days of it. Both topics
+    come in four slices of eight days, with a restart after each; every tenth score comes a slice late, which the
+    watermark's delay of ten days allows for. What can't meet anything any more leaves the state."""
+    root = scratch_path(spark, "t9-expiring")
+    for _ in expiring_join_runs(spark, sf_dir, root):
+        pass
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_risk_graph": q1_risk_graph,
     "q2_customer_birth_year": q2_customer_birth_year,
@@ -378,6 +465,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "t5_stream_turnstile_counts": t5_stream_turnstile_counts,
     "t7_stream_stations_table": t7_stream_stations_table,
     "t8_stream_raw_messages": t8_stream_raw_messages,
+    "s5_checked_csv": s5_checked_csv,
+    "s6_resumed_loads": s6_resumed_loads,
+    "d10_across_loads": d10_across_loads,
+    "t6_stream_checked_topic": t6_stream_checked_topic,
+    "t9_stream_expiring_join": t9_stream_expiring_join,
 }
 
 
@@ -601,10 +693,10 @@ SELECT '{S.TOPICS[topic]}' AS topic, CAST({k} % 3 AS INTEGER) AS partition, CAST
 WITH st AS ({_LINE_STATIONS}),
 b AS (SELECT line, CAST(CASE line WHEN 'blue' THEN 0 WHEN 'green' THEN 1 WHEN 'red' THEN 2 END AS INTEGER) AS line_rank,
              station_id, "order" FROM st)
-SELECT *, CAST(row_number() OVER (ORDER BY line_rank, "order" NULLS LAST, station_id) AS INTEGER) AS position FROM b
+SELECT *, row_number() OVER (ORDER BY line_rank, "order" NULLS LAST, station_id) AS position FROM b
 """,
     "o2_ordered_stops": f"""
-SELECT stop_id, "order", CAST(row_number() OVER (ORDER BY "order" NULLS LAST, stop_id) AS INTEGER) AS position
+SELECT stop_id, "order", row_number() OVER (ORDER BY "order" NULLS LAST, stop_id) AS position
 FROM ({_STOPS})
 """,
     "u1_union_lines": f"""
@@ -636,3 +728,30 @@ ORACLE["t4_stream_upsert_count"] = ORACLE["a2_upsert_count"]
 ORACLE["t5_stream_turnstile_counts"] = ORACLE["d12_summary_counts"]
 ORACLE["t7_stream_stations_table"] = ORACLE["q4_stations_table"]
 ORACLE["t8_stream_raw_messages"] = ORACLE["q10_raw_messages"]
+ORACLE["t6_stream_checked_topic"] = f"""
+SELECT 'row' AS output, CAST(event_id % 3 AS INTEGER) AS partition, CAST(2 * (event_id // 3) AS BIGINT) AS "offset",
+       CAST(event_id % 37 AS INTEGER) AS station_id, {_LINE.format(k='user_id')} AS line, CAST(NULL AS VARCHAR) AS letter
+FROM events
+UNION ALL
+SELECT 'dead', CAST(event_id % 3 AS INTEGER), CAST(2 * (event_id // 3) + 1 AS BIGINT), NULL, NULL, 'not a message'
+FROM events WHERE event_id % 97 = 0
+"""
+ORACLE["t9_stream_expiring_join"] = ORACLE["q1_risk_graph"].rstrip() + f"""
+WHERE e.ts BETWEEN TIMESTAMP '2024-01-01' + to_seconds(CAST(c.c_custkey * {E.SPREAD_SECONDS} % {86400 * SLICES * SLICE_DAYS} AS INTEGER)) - INTERVAL {RANGE_DAYS} DAY
+               AND TIMESTAMP '2024-01-01' + to_seconds(CAST(c.c_custkey * {E.SPREAD_SECONDS} % {86400 * SLICES * SLICE_DAYS} AS INTEGER)) + INTERVAL {RANGE_DAYS} DAY
+"""
+ORACLE["s6_resumed_loads"] = ORACLE["s6_incremental_load"]
+ORACLE["s5_checked_csv"] = f"""
+SELECT 'row' AS output, stop_id, station_name, station_id, "order", CAST(NULL AS VARCHAR) AS line FROM ({_STOPS})
+UNION ALL
+SELECT 'bad', NULL, NULL, NULL, NULL, unnest([
+  'x' || stop_id || ',"' || station_name || '",' || station_id || ',' || "order",
+  stop_id || ',short',
+  stop_id || ',"' || station_name || '",' || station_id || ',' || "order" || ',1,2'])
+FROM ({_STOPS}) WHERE stop_id % 97 = 0
+"""
+ORACLE["d10_across_loads"] = """
+WITH m AS (SELECT floor(max(p_partkey) / 2) AS half FROM part)
+SELECT p_partkey, p_name, p_brand FROM part, m
+WHERE p_partkey > half AND (p_name, p_brand) IN (SELECT (p_name, p_brand) FROM part, m WHERE p_partkey <= half)
+"""

@@ -21,6 +21,7 @@ BIRTH_BASE = "1930-01-01"
 BIRTH_SPAN_DAYS = 25000
 STATION_IDS = 40    # stops map onto p_partkey % 40 stations
 TURNSTILE_IDS = 37  # turnstile entries map onto event_id % 37 (ids 37-39 never counted)
+SPREAD_SECONDS = 293_003  # step of customer messages that are spread over days
 DIRECTION_RUN = 40  # arrivals alternate direction every 40 event ids
 
 # Synthetic topics behind keyed tables: messages go round TOPIC_PARTITIONS partitions, so offsets clash
@@ -74,9 +75,10 @@ def _ts_seconds(id_col: str) -> Column:
 
 
 # -- risk scoring --------------------------------------------------------------
-def customer_sorted_set_messages(customer: DataFrame) -> DataFrame:
+def customer_sorted_set_messages(customer: DataFrame, spread_days: int | None = None) -> DataFrame:
     """One sorted-set message per customer; the customer JSON is base64 inside
-    ``zSetEntries[0].element``."""
+    ``zSetEntries[0].element``. The messages are a second apart by key or, with ``spread_days``, spread over so
+    many days (``SPREAD_SECONDS`` apart by key, round and round)."""
     birth = F.date_add(F.lit(BIRTH_BASE).cast("date"),
                        (F.col("c_custkey") % BIRTH_SPAN_DAYS).cast("int"))
     cust = F.to_json(F.struct(
@@ -89,8 +91,9 @@ def customer_sorted_set_messages(customer: DataFrame) -> DataFrame:
         F.lit("__Customer__").alias("key"), F.lit("NotExists").alias("existType"),
         F.lit("false").alias("Ch"), F.lit(False).alias("Incr"),
         F.array(entry).alias("zSetEntries")))
-    return envelope(customer, value, S.TOPICS["customers"], F.col("c_custkey"),
-                    timestamp=_ts_seconds("c_custkey"))
+    time = _ts_seconds("c_custkey") if spread_days is None else F.timestamp_seconds(
+        F.lit(EPOCH) + F.col("c_custkey") * SPREAD_SECONDS % (86400 * spread_days))
+    return envelope(customer, value, S.TOPICS["customers"], F.col("c_custkey"), timestamp=time)
 
 
 def risk_event_messages(events: DataFrame) -> DataFrame:
