@@ -44,7 +44,8 @@ STAGES = [
     ("sharding", shard),
 ]
 
-# Learned scores and hashed joins are beyond SQL: tests/llm compares each stage with a brute-force version.
+# Learned scores and hashed joins are beyond SQL. tests/llm compares the operators with brute force (toxicity: held-out
+# accuracy), and what each stage keeps with what its operator says of the rows.
 ORACLE_SQL = None
 
 
