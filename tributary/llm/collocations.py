@@ -8,8 +8,9 @@ shard once: so lengths are counted side by side, and a phrase's count is exact a
 one full cycle. No list of possible phrases is made: what stands in a shard is counted
 if its subphrases are active.
 
-A scan leaves most phrases out early by a bitmap of fixed size; what it lets through
-is checked against the exact table of subphrases once it could reach the threshold.
+Up to a bounded number of active phrases a scan has their table, and counts exactly what is
+active. Beyond that it leaves most phrases out by a bitmap of fixed size, and what the bitmap lets
+through is joined with the table of subphrases once it could reach the threshold.
 Counts of the last cycle are kept by phrase, one number for each shard, so that a phrase
 counted too early by the bitmap loses those scans again.
 """
@@ -25,13 +26,12 @@ from pyspark.sql import functions as F
 
 from tributary.llm import words as W
 from tributary.llm.common import is_member, member_bits, written
-from tributary.session import scratch_path
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SHARDS = 3
 #: Bits (a power of two) of the bitmaps of active phrases; fewer let more through that is left out later.
 BITS = 25
-#: Up to so many active phrases (8 MB, by the bits set) are broadcast to the joins with them; more are shuffled.
+#: Up to so many active phrases (12 bytes each) are broadcast as a table; more as a bitmap, and joined.
 BROADCAST_PHRASES = 1 << 19
 #: A task sums its phrases when it holds so many, and hands them on if so many are different.
 HELD, DIFFERENT = 1 << 21, 1 << 20
@@ -103,84 +103,100 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Counts:
-    """Sums of phrases: length, hash, hashes of both subphrases, occurrences."""
+    """Sums of phrases: length, hash, hashes of both subphrases, the scan that activated it, occurrences."""
 
     def __init__(self):
         self.held: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, k: int, phrase: np.ndarray, left: np.ndarray, right: np.ndarray, n: np.ndarray | None = None) -> None:
+    def add(self, k: int, phrase: np.ndarray, left: np.ndarray, right: np.ndarray, active: np.ndarray) -> None:
         if not len(phrase):
             return
         same = np.argsort(phrase, kind="stable")
         phrase = phrase[same]
         first = np.flatnonzero(np.append(True, phrase[1:] != phrase[:-1]))
-        times = np.diff(np.append(first, len(phrase))) if n is None else np.add.reduceat(n[same], first)
         at = same[first]
         self.held.append(np.stack((np.full(len(first), k, np.int64), phrase[first].view(np.int64),
-                                   left[at].view(np.int64), right[at].view(np.int64), times.astype(np.int64))))
+                                   left[at].view(np.int64), right[at].view(np.int64), active[at].astype(np.int64),
+                                   np.diff(np.append(first, len(phrase))))))
         self.size += len(first)
 
     def summed(self) -> np.ndarray:
         if not self.held:
-            return np.zeros((5, 0), np.int64)
+            return np.zeros((6, 0), np.int64)
         rows = np.concatenate(self.held, axis=1)
         order = np.argsort(rows[1], kind="stable")
         rows = rows[:, order]
         first = np.flatnonzero(np.append(True, rows[1, 1:] != rows[1, :-1]))
         out = rows[:, first]
-        out[4] = np.add.reduceat(rows[4], first)
+        out[5] = np.add.reduceat(rows[5], first)
         self.held, self.size = [out], out.shape[1]
         return out
 
 
-COUNTED = "k int, phrase long, left long, right long, n long"
+class Active:
+    """What a scan knows of the phrases counted often enough: the scan in which each was (exact), or bitmaps of all
+    of them and of those of the last cycle."""
 
+    def __init__(self, phrases: np.ndarray | None = None, reached: np.ndarray | None = None,
+                 every: np.ndarray | None = None, lately: np.ndarray | None = None):
+        self.phrases, self.reached, self.every, self.lately = phrases, reached, every, lately
 
-def _scan(often, lately, words_too: bool, longest: int):
-    """Phrases of a shard. ``often`` is a bitmap of subphrases counted often enough, ``lately`` of those among them
-    that were so in the last cycle only (None: all of them)."""
+    def look_up(self, phrase: np.ndarray, oldest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each phrase the scan (-1: not known which) in which it was counted often enough, 0 if it wasn't yet, and
+        whether that was in scan ``oldest`` or later."""
+        if self.phrases is None:
+            often = is_member(self.every, phrase)
+            return np.where(often, -1, 0), often & is_member(self.lately, phrase)
+        if not len(self.phrases):
+            return np.zeros(len(phrase), np.int64), np.zeros(len(phrase), bool)
+        at = np.minimum(np.searchsorted(self.phrases, phrase), len(self.phrases) - 1)
+        scan = np.where(self.phrases[at] == phrase, self.reached[at], 0)
+        return scan, scan >= oldest
+
+
+COUNTED = "k int, phrase long, left long, right long, active int, n long"
+
+
+def _scan(active, step: int, shards: int, longest: int):
+    """Phrases of a shard that are active in scan ``step``; words and the number of all words in the first cycle."""
 
     def batch_of(rows: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(rows[0].astype(np.int32)), *(pa.array(x) for x in rows[1:])],
-                                          names=["k", "phrase", "left", "right", "n"])
+        k, phrase, left, right, since, n = rows
+        return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(phrase), pa.array(left), pa.array(right),
+                                           pa.array(since.astype(np.int32)), pa.array(n)],
+                                          names=["k", "phrase", "left", "right", "active", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts()
+        counts, oldest = Counts(), step - shards
         for batch in batches:
             blobs = batch.column("tokens").to_pylist()
             h = np.frombuffer(b"".join(blobs), _U)
             root = np.repeat(batch.column("root").to_numpy().view(_U), [len(b) // 8 for b in blobs])
-            word = h > 0
+            word = np.append(h > 0, False)
             at = np.flatnonzero(word)
             if not len(at):
                 continue
             now = np.zeros(len(h) + 1, _U)
             now[at] = longer(root[at], h[at])
-            if words_too:
+            if step <= shards:
                 none = np.zeros(len(at), _U)
-                counts.add(1, now[at], root[at], none)
-                counts.add(0, root[at], none, none)
+                counts.add(1, now[at], root[at], none, none)
+                counts.add(0, root[at], none, none, none)
             for k in range(2, longest + 1):
-                if often is None:
+                if step == 1:
                     break
-                # both subphrases of k - 1 words
-                known = np.zeros(len(h) + 1, bool)
-                known[at] = is_member(often.value, now[at])
-                pair = at[known[at] & known[at + 1]]
-                pair = pair[np.append(word, False)[pair + k - 1]]
-                if lately is not None:
-                    # phrases whose subphrases both were known before that are done; others need a late one
-                    late = np.zeros(len(h) + 1, bool)
-                    late[at] = known[at] & is_member(lately.value, now[at])
-                    some = pair[late[pair] | late[pair + 1]]
-                else:
-                    some = pair
+                # the subphrases of k - 1 words that begin here and at the next word
+                scan, late = np.zeros(len(h) + 1, np.int64), np.zeros(len(h) + 1, bool)
+                scan[at], late[at] = active.value.look_up(now[at], oldest)
+                pair = at[(scan[at] != 0) & (scan[at + 1] != 0) & word[at + k - 1]]
                 if not len(pair):
                     break
                 new = np.zeros(len(h) + 1, _U)
                 new[pair] = longer(now[pair], h[pair + k - 1])
-                counts.add(k, new[some], now[some], now[some + 1])
+                # a phrase both of whose subphrases were known before the last cycle is done
+                some = pair[late[pair] | late[pair + 1]]
+                counts.add(k, new[some], now[some], now[some + 1], np.maximum(scan[some], scan[some + 1]))
                 now, at = new, pair
             if counts.size > HELD:
                 rows = counts.summed()
@@ -191,10 +207,10 @@ def _scan(often, lately, words_too: bool, longest: int):
     return run
 
 
-ACTIVE = "k int, phrase long, left long, right long, active int, a long, fresh boolean, step int"
+# --- cycles -----------------------------------------------------------------------------------------------
 
 
-# --- cycles -----------------------------------------------------------------------------------------------
+PHRASES = ["k", "phrase", "left", "right", "a"]
 
 
 def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST) -> DataFrame:
@@ -204,62 +220,79 @@ def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST)
     ``shards_of`` has the shards (root, tokens). Scans go round the shards until each phrase has seen all of them."""
     spark, shards = shards_of[0].sparkSession, len(shards_of)
     slots = [f"n{i}" for i in range(shards)]
-    total = " + ".join(slots)
-    share = spark.sparkContext.broadcast
-    folder = scratch_path(spark, "phrases-active")
-    state = known = None
-    # bitmaps of the phrases that have reached the threshold: in each scan of the last cycle, and in all
+    total = sum((F.col(s) for s in slots[1:]), F.col(slots[0]))
+    # the active phrases and their scans: a table of all, arrays while they are few, bitmaps afterwards
+    known: DataFrame | None = None
+    phrases, reached = np.zeros(0, _U), np.zeros(0, np.int32)
+    every: np.ndarray | None = None
     last: list[np.ndarray] = []
-    every = np.zeros((1 << BITS) // 8, np.uint8)
-    step = 0
-    while step < shards or any(bits.any() for bits in last):
+    state, done, fresh_in, step = None, [], [True], 0
+    while step < shards or any(fresh_in[-shards:]):
         step += 1
-        often = share(every) if step > 1 else None
-        lately = share(np.bitwise_or.reduce(last)) if step > shards + 1 else None
-        now = f"n{step % shards}"
-        rows = shards_of[(step - 1) % shards].mapInArrow(_scan(often, lately, step <= shards, longest), COUNTED).select(
-            "k", "phrase", "left", "right", *[
+        exact, now = every is None, f"n{step % shards}"
+        active = spark.sparkContext.broadcast(
+            Active(phrases, reached) if exact else Active(every=every, lately=np.bitwise_or.reduce(last)))
+        rows = shards_of[(step - 1) % shards].mapInArrow(_scan(active, step, shards, longest), COUNTED).select(
+            "k", "phrase", "left", "right", "active", F.lit(None).cast("int").alias("reached"), *[
                 (F.col("n") if s == now else F.lit(0).cast("long")).alias(s) for s in slots])
         if state is not None:
             # the slot of this scan has its count of the last cycle still; words are done after one cycle
-            before = state.withColumn(now, F.lit(0).cast("long"))
-            rows = rows.unionByName(before.where(f"{total} > 0" + (" and k > 1" if step > shards else "")))
-        state = written(rows.groupBy("phrase").agg(
+            before = state.withColumn(now, F.lit(0).cast("long")).where(total > 0)
+            rows = rows.unionByName(before.where("k > 1") if step > shards else before)
+        summed = rows.groupBy("phrase").agg(
             F.first("k").alias("k"), F.first("left").alias("left"), F.first("right").alias("right"),
-            *[F.sum(s).alias(s) for s in slots]), "phrase-counts")
-        # what was counted before the phrase was active doesn't count
-        counted = sum((F.when(F.col("active") < t, F.col(f"n{t % shards}")).otherwise(0)
-                       for t in range(max(1, step - shards + 1), step + 1)), F.lit(0))
-        active = _activated(state.where(f"{total} >= {least}"), known).withColumn("a", counted.cast("long"))
-        active.where((F.col("a") >= least) & (F.col("active") >= step - shards)).select(
-            "k", "phrase", "left", "right", "active", "a",
-            (F.col("reached").isNull() & F.col("k").between(1, longest - 1)).alias("fresh")).write.parquet(f"{folder}/step={step}")
-        counts = spark.read.schema(ACTIVE).parquet(folder)
-        known = counts.where("fresh").select("phrase", F.col("step").alias("reached"))
-        last = [*last, member_bits(known.where(F.col("reached") == step), "phrase", BITS)][-shards:]
-        every = every | last[-1]
-        if np.bitwise_count(every).sum() <= BROADCAST_PHRASES:
-            known = F.broadcast(known)
-        for shared in (often, lately):
-            if shared is not None:
-                shared.destroy()
-    # a full cycle after it was activated, a phrase has its whole count
-    return counts.where(F.col("active") == F.col("step") - shards).select("k", "phrase", "left", "right", "a")
-
-
-def _activated(many: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Adds ``active``: the scan after which both subphrases had been counted often enough; 0 for words. Phrases of
-    which one hasn't are left out. ``reached`` is the scan in which the phrase itself was, null if it wasn't before."""
-    if known is None:
-        return many.where("k < 2").withColumns({"active": F.lit(0), "reached": F.lit(None).cast("int")})
+            F.max("active").alias("active"), F.min("reached").alias("reached"), *[F.sum(s).alias(s) for s in slots])
+        if exact:
+            often = F.when(total >= least, F.lit(step))
+            state = written(summed.withColumn("reached", F.coalesce("reached", often)), "phrase-counts")
+            found = state.where(total >= least).withColumn("a", total)
+        else:
+            state = written(summed, "phrase-counts")
+            found = _activated(state.where(total >= least), known, step, slots, least)
+        if step >= shards:
+            # a full cycle after it was activated, a phrase has its whole count
+            done.append(found.where(F.col("active") == step - shards).select(*PHRASES))
+        fresh = found.where((F.col("reached") == step) & F.col("k").between(1, longest - 1)).select("phrase", "reached")
+        known = fresh if known is None else known.union(fresh)
+        if exact:
+            new = fresh.select("phrase").limit(BROADCAST_PHRASES - len(phrases) + 1).toArrow().column("phrase").to_numpy()
+            fresh_in.append(len(new) > 0)
+            if len(phrases) + len(new) <= BROADCAST_PHRASES:
+                phrases, reached = np.append(phrases, new.view(_U)), np.append(reached, np.full(len(new), step, np.int32))
+                order = np.argsort(phrases)
+                phrases, reached = phrases[order], reached[order]
+            else:
+                by_scan = [member_bits(known.where(F.col("reached") == t), "phrase", BITS) for t in range(1, step + 1)]
+                every, last = np.bitwise_or.reduce(by_scan), by_scan[-shards:]
+        else:
+            last = [*last, member_bits(fresh, "phrase", BITS)][-shards:]
+            fresh_in.append(bool(last[-1].any()))
+            every = every | last[-1]
+        active.destroy()
+    out = done[0]
+    for x in done[1:]:
+        out = out.union(x)
+    return written(out, "phrases")
+
+
+def _activated(many: DataFrame, known: DataFrame, step: int, slots: list[str], least: int) -> DataFrame:
+    """Of phrases counted by bitmaps, those of which both subphrases had been counted often enough, with the scan after
+    which they had (``active``; 0 for words), the count since then, ``a``, if it is ``least``, and the
+    scan in which it first was (``reached``). Written."""
     def met(column: str, into: str) -> DataFrame:
         return known.select(F.col("phrase").alias(column), F.col("reached").alias(into))
 
-    own = met("phrase", "reached")
-    words = many.where("k < 2").join(own, "phrase", "left").withColumn("active", F.lit(0))
-    subphrases = many.where("k > 1").join(met("left", "reached_left"), "left").join(met("right", "reached_right"), "right")
-    later = subphrases.join(own, "phrase", "left").withColumn("active", F.greatest("reached_left", "reached_right"))
-    return words.unionByName(later.drop("reached_left", "reached_right"))
+    shards = len(slots)
+    words = many.where("k < 2").drop("reached")
+    longer_ = many.where("k > 1").drop("active", "reached").join(met("left", "one"), "left").join(met("right", "two"), "right")
+    longer_ = longer_.withColumn("active", F.greatest("one", "two")).drop("one", "two")
+    # what was counted before the phrase was active doesn't count
+    counted = sum((F.when(F.col("active") < t, F.col(slots[t % shards])).otherwise(0)
+                   for t in range(max(1, step - shards + 1), step + 1)), F.lit(0))
+    found = words.unionByName(longer_).withColumn("a", counted.cast("long")).where(
+        (F.col("a") >= least) & (F.col("active") >= step - shards))
+    found = found.join(met("phrase", "reached"), "phrase", "left").withColumn("reached", F.coalesce("reached", F.lit(step)))
+    return written(found, "phrases-active")
 
 
 # --- scores -----------------------------------------------------------------------------------------------
