@@ -227,34 +227,40 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, _I64), pa.array(b, _I64)], names=["a", "b"])
 
 
-def _nodes(members: DataFrame) -> DataFrame:
-    """The rows (node, sid) of ``members`` (node, sid, tied) whose node has others, with its size and pivot.
-    Nodes whose sets are all linked with one and the same pivot are in one group already, and go. Written."""
-    sizes = members.groupBy("node").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot"),
-        F.count("tied").alias("ties"), F.min("tied").alias("least"), F.max("tied").alias("most"))
-    open_ = sizes.where("n > 1 and (ties < n or least != most)").select("node", "n", "pivot")
-    return written(members.select("node", "sid").join(open_, "node"), "path-nodes")
-
-
-def candidate_links(members: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
+def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``members`` (node, sid, tied) the nodes that others share: the sets of each small one as a list (sids), and
+    the rows (node, sid, pivot) of the large ones. Both written.
+
+    Nodes whose sets are all linked with one and the same pivot are in one group already, and go. Lists are made of
+    small nodes only, so they are bounded; the rows joined are those of large nodes, with a table of them that has
+    at most a row for every ``SMALL_NODE`` members."""
+    tied = [F.count("*").alias("n"), F.count("tied").alias("ties"), F.min("tied").alias("least"), F.max("tied").alias("most")]
+    open_ = "n > 1 and (ties < n or least != most)"
+    pivot = F.min(F.struct(F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot")
+    large = written(members.groupBy("node").agg(*tied, pivot).where(F.col("n") > SMALL_NODE).select(
+        "node", "pivot", F.expr(open_).alias("open")), "path-large")
+    small = members.join(large.select("node"), "node", "left_anti").groupBy("node").agg(
+        *tied, F.sort_array(F.collect_set("sid")).alias("sids")).where(open_).where("size(sids) > 1").select("sids")
+    rows = members.select("node", "sid").join(large.where("open").select("node", "pivot"), "node")
+    return written(small.distinct(), "path-small"), written(rows, "path-nodes")
+
+
+def candidate_links(lists: DataFrame, large: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
     """Links (a, b) that connect all similar pairs, with the recall of the draws.
 
-    ``members`` has the nodes under the roots (as ``_nodes`` gives them), ``sets`` the tokens of all their sets."""
-    found, small, draws = [], [], FIRST_DRAW
-    while True:
-        small.append(members.where(F.col("n") <= SMALL_NODE).groupBy("node")
-                     .agg(F.sort_array(F.collect_set("sid")).alias("sids")).where("size(sids) > 1").select("sids"))
-        large = members.where(F.col("n") > SMALL_NODE)
-        if large.isEmpty():
-            break
+    ``lists`` and ``large`` are the nodes under the roots (as ``_nodes`` gives them), ``sets`` the tokens of all their
+    sets."""
+    found, small, draws = [], [lists], FIRST_DRAW
+    while not large.isEmpty():
         pivots = large.select("node", "pivot").distinct().join(
             sets.select(F.col("sid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
         rows = large.select("node", "sid").join(pivots, "node").join(sets, "sid")
         step = written(rows.select("node", "sid", "pivot", "tokens", "pivot_tokens")
                        .mapInArrow(_pivot_step(draws, seed + 1), STEP), "path-step")
         found.append(step.where("node is null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
-        members, draws = _nodes(step.where("node is not null").select("node", "sid", "tied")), DRAW
+        lists, large = _nodes(step.where("node is not null").select("node", "sid", "tied"))
+        small.append(lists)
+        draws = DRAW
     lists = small[0]
     for x in small[1:]:
         lists = lists.union(x)
@@ -392,15 +398,16 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     sets = written(embedded.where("sid is not null").groupBy("sid").agg(
         F.count("*").alias("copies"), F.first("size").alias("size"), F.min("text_hash").alias("text_hash"),
         F.first("nodes").alias("nodes")), "sets")
-    members = _nodes(sets.select(F.explode("nodes").alias("node"), "sid", F.lit(None).cast("long").alias("tied")))
+    lists, large = _nodes(sets.select(F.explode("nodes").alias("node"), "sid", F.lit(None).cast("long").alias("tied")))
     # from here on only sets that share a node with another matter; one text for each of them
-    wanted = members.select("sid").distinct().join(sets.select("sid", "text_hash"), "sid")
+    wanted = lists.select(F.explode("sids").alias("sid")).union(large.select("sid")).distinct().join(
+        sets.select("sid", "text_hash"), "sid")
     wanted = written(wanted, "wanted")
     some = rows.select("text_hash", "text").where(maybe_member(membership(wanted, "text_hash"), F.col("text_hash")))
     texts = some.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash").select("sid", "text")
     texts = written(texts, "wanted-texts")
     embeddings = written(texts.mapInArrow(_tokens, "sid long, tokens binary"), "tokens")
-    groups = written(components(candidate_links(members, embeddings, seed)), "candidate-groups")
+    groups = written(components(candidate_links(lists, large, embeddings, seed)), "candidate-groups")
     verified = verified_links(groups, sets, texts, similarity)
     near = verified.groupBy("sid").agg(F.sum("copies").alias("near"), F.sum("texts").alias("texts"))
     roots = components(verified.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
