@@ -25,13 +25,70 @@ def test_reparameterised_question(spark):
     got = leaks(spark, [ITEM, f"{pad} {other} {pad}", twisted, pad, None, "", ITEM.upper(), f"{other} {ITEM}"])
     assert got[(0, 0)].exact and got[(0, 0)].coverage == 1.0
     assert (1, 0) in got and not got[(1, 0)].exact
-    assert got.get((2, 0)) is None  # one value of the item stands for two here
+    # a changed value costs the windows it is in, not those without it
+    assert (2, 0) in got and 0.3 <= got[(2, 0)].coverage < 1
     plain = corpus.prose(12, 30)
     assert set(leaks(spark, [plain.upper()], [plain])) == {(0, 0)}  # words all in capitals aren't names
     assert (3, 0) not in got and (4, 0) not in got and (5, 0) not in got
     assert got[(7, 0)].exact  # each alignment is judged on its own
 
 
+def test_equal_values_of_an_item_asked_as_different_ones(spark):
+    texts = [ITEM.replace("120 people", "57 people").replace("120 seats", b).replace("Berlin", "Rome").replace("Anna", "Ida")
+             for b in ("88 seats", "57 seats")]
+    # the item's values in other places: no alignment of most windows keeps them one for one
+    got = leaks(spark, [*texts, ITEM.replace("120 seats", "121 seats")])
+    assert set(got) == {(0, 0), (1, 0), (2, 0)}
+    assert got[(0, 0)].matched < got[(1, 0)].matched == got[(1, 0)].windows
+    assert not got[(0, 0)].exact and got[(2, 0)].exact  # what is left of the third has the item's own values
+
+
+def test_slot_rule_against_brute_force(spark):
+    """Random items and documents of few words: matched windows by the book."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(9)
+    word = lambda: rng.choice("the of train has km and seats for".split())
+    item = lambda: " ".join(str(rng.randint(1, 3)) if rng.random() < 0.3 else word() for _ in range(14))
+    items = [item() for _ in range(6)]
+    texts = []
+    for _ in range(40):
+        t = rng.choice(items).split()
+        texts.append(" ".join(["x"] * rng.randint(0, 2) + [str(rng.randint(1, 4)) if w.isdigit() and rng.random() < 0.6 else w for w in t]))
+
+    def grams(t):
+        toks = re.findall(r"\w+", t)
+        kind = []
+        for i, w in enumerate(toks):
+            kind.append(1 if w.isdigit() else 2 if i and kind[i - 1] == 1 and w in dc.UNITS else 0)
+        n = min(8, len(toks))
+        return [(k, tuple(w if c == 0 else c for w, c in zip(toks[k:k + n], kind[k:k + n])),
+                 [f"{c}:{w}" for w, c in zip(toks[k:k + n], kind[k:k + n]) if c])
+                for k in range(len(toks) - n + 1) if sum(c == 0 for c in kind[k:k + n]) >= min(dc.LITERALS, -(-n // 2))]
+
+    def matched(item, text):
+        lines = {}
+        for k, g, a in grams(item):
+            for j, h, b in grams(text):
+                if g == h:
+                    lines.setdefault(j - k, set()).add((k, tuple(zip(a, b))))
+        places = set()
+        for met in lines.values():
+            count, kept = Counter(p for _, ps in met for p in ps), []
+            for p in sorted(count, key=lambda p: (-count[p], p[0] != p[1], p)):
+                if not any((p[0] == q[0]) | (p[1] == q[1]) for q in kept):
+                    kept.append(p)
+            places |= {k for k, ps in met if all(p in kept for p in ps)}
+        return len(places)
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in dc.find_leaks(docs, bench, coverage=0.01).collect() if r.matched}
+    want = {(d, i): m for d, t in enumerate(texts) for i, x in enumerate(items) if (m := matched(x, t))}
+    assert got == want and len(want) > 40
+
+
 def test_verbatim_runs_of_any_words(spark):
     pad, long = corpus.prose(3, 50), corpus.prose(40, 600)
     names = "Did Anna Meet Olga And Maria Near Paris Or Berlin With Peter"

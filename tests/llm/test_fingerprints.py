@@ -2,6 +2,7 @@
 
 import hashlib
 import sys
+from collections import Counter
 import os
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -48,6 +49,25 @@ def test_odd_documents(spark):
     assert len(set(by_text.values())) == len(by_text)
 
 
+def test_an_id_that_many_rows_share(spark):
+    """Null ids, and one id, on a third of all rows each: their rows span several ranges, and neighbours stay right."""
+    from pyspark.sql import functions as F
+
+    prepare(spark)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} {corpus.prose(i, 5)}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = df.withColumns({"key": F.coalesce("doc_id", F.lit(fp.LEAST)), "tie": F.xxhash64("text")})
+    bounds = fp._bounds(keyed, 24)
+    assert sum(k == 7 for k, _ in bounds) >= 6 and sum(k == fp.LEAST for k, _ in bounds) >= 6
+    sizes = [r["count"] for r in keyed.groupBy(fp._range_of(bounds)("key", "tie")).count().collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 3 * 600 / 24
+    order = [(r.doc_id, r.text) for r in keyed.orderBy("key", "tie", "text").collect()]
+    want = Counter((d, len(t), hashlib.sha256(fp.edited(t, order[(i + 1) % 600][1]).encode()).hexdigest())
+                   for i, (d, t) in enumerate(order))
+    got = fp.fingerprint_documents(df, partitions=6).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+
+
 def test_empty_table_and_single_document(spark):
     assert fp.fingerprint_documents(corpus.frame(spark, [])).collect() == []
     one = fp.fingerprint_documents(corpus.docs(spark, {3: "ab"})).collect()

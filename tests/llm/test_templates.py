@@ -44,10 +44,32 @@ def test_recurring_boxes_go_and_shared_sentences_stay(spark):
                       f"<ul><li>one {i}</ul></div></body>")
     got = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(12)])).collect()}
     assert got == {i: f"Own text {i}.\nA sentence of all.\none {i}" for i in range(12)}
-    few = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(5)])).collect()}
+    few = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(4)])).collect()}
     assert few[0].startswith("Welcome to this site\nOwn text 0.")
 
 
+def test_an_article_keeps_its_lists_tables_and_names(spark):
+    page = lambda i: (f"<body><div>Site {i % 2}</div><article><h1>T{i}</h1><ul><li>Salt</li><li>Own {i}</li></ul>"
+                      "<table><tr><td>Yes</td><td>No</td></tr></table><section id='related-work'><p>Prior.</p></section>"
+                      "<p id='share-prices'>Up.</p><p class='notice'>Note.</p><h2 class='comments'>Remarks</h2>"
+                      "<div class='ad-hoc'>Quick.</div><div class='ad'>Buy</div><div id=comments>me too</div></article></body>")
+    want = "T{0}\nSalt\nOwn {0}\nYes\nNo\nPrior.\nUp.\nNote.\nRemarks\nQuick."
+    got = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(3)])).collect()}
+    assert got == {i: want.format(i) for i in range(3)}
+    # a box without a telling name goes where the host repeats it; lists and tables stay
+    many = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(12)])).collect()}
+    assert many == {i: want.format(i).replace("Prior.\n", "").replace("\nQuick.", "") for i in range(12)}
+
+
+def test_subtree_counts_decide_where_nothing_is_named(spark):
+    """Two hosts without articles or names: what a fifth of a host's pages share goes, on any number of pages."""
+    page = lambda i: (f"<body><div><b>Shop</b> of things</div><div>Offer {i % 30}</div><div><p>Text {i}</p></div>"
+                      f"<div>{'rare' if i % 10 == 0 else 'one ' + str(i)}</div></body>")
+    for n in (12, 60):
+        got = {r.page_id: r.text for r in tp.extract_main_text(pages(spark, [page(i) for i in range(n)])).collect()}
+        assert got == {i: f"Offer {i % 30}\nText {i}\n" + ("rare" if i % 10 == 0 else f"one {i}") for i in range(n)}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     page = "<body><div><div>All of this</div><div>was published often</div></div></body>"
     got = tp.extract_main_text(pages(spark, [page] * 40)).collect()

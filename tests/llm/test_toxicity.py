@@ -67,3 +67,15 @@ def test_odd_documents_and_tables(spark):
     assert all(r.score < 1e-9 and r.predicted == 0 for r in tox.toxicity(docs, none).collect())
     assert tox.toxicity(corpus.frame(spark, []), labels).collect() == []
     assert tox.keep_harmless(docs, none).collect() == docs.collect()
+
+
+def test_an_id_on_many_rows_gives_one_text(spark, monkeypatch):
+    """The sample that goes to the driver has at most a text for each id, however many rows share the id."""
+    rows = [(1, f"vile words {i}") for i in range(300)] + [(i, f"good words {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    real = tox.written
+    monkeypatch.setattr(tox, "written", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    tox.train(docs, labels)
+    assert seen[0].count() <= 39 and seen[0].where("text like 'vile%'").count() <= 1

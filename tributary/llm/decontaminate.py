@@ -18,7 +18,7 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
@@ -169,7 +169,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """Benchmark items found in documents, asked as they are or with other values.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored. Returns one
-    row for each document and item of which consistent matches cover ``coverage`` or more of the item's
+    row for each document and item of which consistent matches (a value that conflicts costs the windows it is in) cover ``coverage`` or more of the item's
     windows, or of which RUN consecutive words (all, if it has fewer) are in the document: doc_id, text_hash (of the text; names the row with doc_id), item_id, windows of the item,
     matched windows, coverage (0 without windows), exact (a match with the item's own values throughout). An item shorter than a
     window is one window. Null or empty texts have no window; repeated rows are reported once; rows
@@ -197,13 +197,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     # a match of an item goes along one diagonal; slots are compared along it
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     runs = met.groupBy("doc_id", "text_hash", "item_id", "windows", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set(F.when(F.col("n") > 0, F.col("place"))).alias("places"), F.max(F.col("n") < 0).alias("run"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    given = lambda k: F.size(F.array_distinct(F.transform("pairs", lambda p: p[k])))
-    consistent = (given("a") == F.size("pairs")) & (given("b") == F.size("pairs"))
-    runs = runs.where(consistent | F.col("run")).withColumns({
-        "places": F.when(consistent, F.col("places")).otherwise(F.array().cast("array<int>")),
-        "same": F.forall("pairs", lambda p: p["a"] == p["b"])})
+        F.collect_set(F.when(F.col("n") > 0, F.struct("place", pairs.alias("pairs")))).alias("met"), F.max(F.col("n") < 0).alias("run"))
+    runs = runs.withColumn("values", _values("met")).withColumn("met", F.filter(
+        "met", lambda w: F.forall(w["pairs"], lambda p: F.array_contains("values", p))))
+    runs = runs.where((F.size("met") > 0) | F.col("run")).select(
+        "doc_id", "text_hash", "item_id", "windows", "run", F.transform("met", lambda w: w["place"]).alias("places"),
+        F.forall("met", lambda w: F.forall(w["pairs"], lambda p: p["a"] == p["b"])).alias("same"))
     return runs.groupBy("doc_id", "text_hash", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
         F.max("same").alias("exact"), F.max("run").alias("run")).withColumn(
@@ -212,6 +211,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         "doc_id", "text_hash", "item_id", "windows", "matched", "coverage", "exact")
 
 
+def _values(met: str) -> Column:
+    """Which value of the document stands for which of the item along a diagonal, one for one: of pairs that exclude each
+    other, the one in more windows, equal values before others, then the lesser. Windows with other pairs are in
+    conflict with it; what they hold beside is not."""
+    pair = "array<struct<a:string,b:string>>"
+
+    def ranked(all_pairs: Column) -> Column:
+        counted = F.transform(F.array_distinct(all_pairs), lambda p: F.struct(
+            (-F.size(F.filter(all_pairs, lambda q: q == p))).alias("n"), (p["a"] != p["b"]).alias("other"), p.alias("p")))
+        return F.aggregate(F.array_sort(counted), F.array().cast(pair), lambda kept, c: F.when(
+            F.exists(kept, lambda k: (k["a"] == c["p"]["a"]) | (k["b"] == c["p"]["b"])), kept).otherwise(
+            F.concat(kept, F.array(c["p"]))))
+
+    flat = F.flatten(F.transform(met, lambda w: w["pairs"]))
+    return F.get(F.transform(F.array(flat), ranked), 0)
+
+
 def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns as they are, in which no item is leaked."""
     return without(docs, find_leaks(docs, benchmark))

@@ -14,6 +14,7 @@ times), so the cosine of two sums estimates how much of the texts agrees.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,8 +149,9 @@ def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> Dat
     of their text and then the text. A null text is the empty text, whose fingerprint is that of one
     empty paragraph. A single document is its own next one. An empty table gives an empty result.
 
-    Texts are shuffled once: ids are cut into ranges at approximate quantiles of doc_id (as many as
-    ``RANGES_PER_PARTITION`` a partition; a bounded list on the driver). The first document of each
+    Texts are shuffled once: rows are cut into ranges of (doc_id, hash of the text) at approximate quantiles (as
+    many as ``RANGES_PER_PARTITION`` a partition; a bounded list on the driver), so that an id that many rows
+    share spans several ranges. The first document of each
     range is sent along to the range before it, so no document lacks its neighbour; each range is
     sorted and walked in a stream that holds two documents."""
     spark = docs.sparkSession
@@ -157,32 +159,57 @@ def fingerprint_documents(docs: DataFrame, partitions: int | None = None) -> Dat
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumns({
         "key": F.coalesce("doc_id", F.lit(LEAST)), "tie": F.xxhash64("text")})
-    shares = [i / (RANGES_PER_PARTITION * partitions) for i in range(1, RANGES_PER_PARTITION * partitions)]
-    found = rows.agg(F.min("key").alias("least"),
-                     F.percentile_approx("key", shares, 100_000).alias("bounds")).first()
-    if found.least is None:
+    bounds = _bounds(rows, RANGES_PER_PARTITION * partitions)
+    if not bounds:
         return spark.createDataFrame([], OUT)
-    bounds = sorted({found.least, *found.bounds})
-    # bounds[i] is the least key of range i, and is the key of some row
+    # bounds[i] is the least (key, tie) of range i, and that of some row
     rng = _range_of(bounds)
-    own = rows.withColumn("rng", rng("key")).withColumn("guest", F.lit(False))
-    # a long for each range
-    starts = F.broadcast(spark.createDataFrame([(b,) for b in bounds], "key long"))
-    firsts = (rows.join(starts, "key").groupBy("key")
+    own = rows.withColumn("rng", rng("key", "tie")).withColumn("guest", F.lit(False))
+    # two longs for each range; the least tie of a key stands for the first of its rows, whatever theirs is
+    starts = F.broadcast(spark.createDataFrame(
+        [(i, k, None if t == LEAST else t) for i, (k, t) in enumerate(bounds)], "start int, key long, from long"))
+    firsts = (rows.join(starts, "key").where(F.col("from").isNull() | (F.col("tie") == F.col("from"))).groupBy("start", "key")
               .agg(F.min(F.struct("tie", "text", "doc_id")).alias("first")))
     guests = firsts.select("first.doc_id", "first.text", "key", "first.tie",
-                           F.pmod(rng("key") - 1, F.lit(len(bounds))).cast("int").alias("rng"),
+                           F.pmod(F.col("start") - 1, F.lit(len(bounds))).cast("int").alias("rng"),
                            F.lit(True).alias("guest"))
     dealt = own.unionByName(guests).repartition(partitions, "rng")
     return (dealt.sortWithinPartitions("rng", "guest", "key", "tie", "text")
             .select("rng", "doc_id", "text", "guest").mapInArrow(_walk, OUT))
 
 
-def _range_of(bounds: list[int]):
-    cuts = np.array(bounds, np.int64)
+def _bounds(rows: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """The least (key, tie) of each of ``ranges`` ranges at most, ascending. Keys at which several ranges would begin have
+    more rows than a range; those are cut at quantiles of their ties."""
+    shares = [i / ranges for i in range(1, ranges)]
+    found = rows.agg(F.min("key").alias("least"), F.percentile_approx("key", shares, 100_000).alias("bounds")).first()
+    if found.least is None:
+        return []
+    times = Counter([found.least, *found.bounds])
+    bounds = {(k, LEAST) for k in times}
+    hot = {k: n for k, n in times.items() if n > 1}
+    if hot:
+        most = max(hot.values())
+        ties = rows.where(F.col("key").isin(list(hot))).groupBy("key").agg(
+            F.percentile_approx("tie", [i / most for i in range(1, most)], 100_000).alias("cuts"))
+        for r in ties.collect():
+            bounds |= {(r.key, t) for t in r.cuts}
+    return sorted(bounds)
+
+
+def _range_of(bounds: list[tuple[int, int]]):
+    keys, ties = np.array(bounds, np.int64).reshape(-1, 2).T
 
     @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), "right") - 1).astype("int32")
+    def range_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        key, tie = key.to_numpy(), tie.to_numpy()
+        low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+        out = high - 1
+        several = np.flatnonzero(high - low > 1)
+        for k in np.unique(key[several]):  # few: keys with more rows than a range
+            at = several[key[several] == k]
+            a, b = low[at[0]], high[at[0]]
+            out[at] = a + np.searchsorted(ties[a:b], tie[at], "right") - 1
+        return pd.Series(out.astype(np.int32))
 
     return range_of

@@ -3,11 +3,12 @@
 Pages are parsed into element trees. Every block element outside running text
 (lists, navigation, boxes, sections, tables) is hashed as a subtree: its name,
 the words in it and its children. Spark counts, per host, how many pages with
-different articles hold the same subtree; a subtree that recurs on many of them
+different articles hold the same subtree; a subtree that recurs on a share of them
 belongs to the site, not to the page, and is deleted. Copies of one page count
 once, so that a page's own text isn't taken for a template because it was
-published twice. On hosts with few pages, where nothing can recur, the names and
-classes of elements tell what isn't part of the article.
+published twice. Lists and tables inside an article are its text, whatever they share with
+others, and are never counted. On hosts with few pages, where nothing can recur, the names and
+classes of elements tell what isn't part of the article; inside it, only those of boxes do.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import written
 
-#: A subtree is a template from so many pages (with different articles) of a host on.
-TEMPLATE_PAGES = 10
+#: A subtree is a template if it is on this share of a host's pages (with different articles), and on so many at least.
+TEMPLATE_SHARE, TEMPLATE_PAGES = 0.2, 5
 
 # Names of HTML elements, and words of class and id names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +39,10 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    " summary table tbody td tfoot th thead tr ul caption".split())
 #: Elements of running text: never counted, so that a sentence that many articles share stays.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt td th figcaption caption article main body html".split())
+#: Text of an article too, where they stand inside one.
+LISTS = frozenset("ul ol li dl menu table thead tbody tfoot tr".split())
+#: Elements that a class or id can tell to be noise inside an article: boxes, by a whole word of theirs.
+BOXES = frozenset("div aside nav ul ol dl table iframe figure header footer".split())
 #: An opening tag of these ends an open paragraph; the closing tag of a block ends whatever is open in it.
 CLOSES_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption html body summary figcaption".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion"
@@ -61,13 +66,15 @@ _NOT = frozenset(("no", "has", "with", "without", "is", "not"))
 
 
 class Node:
-    __slots__ = ("name", "noise", "children")
+    __slots__ = ("name", "noise", "inside", "children")
 
     def __init__(self, name: str, noise: bool = False):
-        self.name, self.noise, self.children = name, noise, []
+        self.name, self.noise, self.inside, self.children = name, noise, False, []
 
 
-def _is_noise(name: str, attributes: str) -> bool:
+def _is_noise(name: str, attributes: str, inside: bool = False) -> bool:
+    """Whether an element's name, class, id or role tells that it isn't text of the page; ``inside`` an article, words of
+    paragraphs, headings and sections are names of their subject (an id such as related-work) and tell nothing."""
     if name in NOISE:
         return True
     if not attributes or name in ("html", "body", "main", "article"):
@@ -77,6 +84,10 @@ def _is_noise(name: str, attributes: str) -> bool:
         if value in _PAGE_ROLES:
             return True
         for token in value.split():
+            if inside:
+                if name in BOXES and token in NOISE_WORDS:
+                    return True
+                continue
             names = _WORD.findall(token)
             if names and names[0] not in _NOT and not NOISE_WORDS.isdisjoint(names):
                 return True
@@ -126,7 +137,8 @@ def parse(source: str) -> Node:
                     break
                 if stack[k].name in ("ul", "ol", "dl", "table", "select", "menu", "div", "article", "body"):
                     break
-        node = Node(name, _is_noise(name, m[3]))
+        node = Node(name, _is_noise(name, m[3], stack[-1].inside))
+        node.inside = stack[-1].inside or name in ("article", "main")
         stack[-1].children.append(node)
         if name in VOID or m[3].endswith("/") and name not in BLOCKS and name not in RAW:
             continue
@@ -177,7 +189,7 @@ def subtrees(root: Node) -> dict[int, int]:
         sign = "\x01".join(parts)
         h = _digest(sign)
         signs[id(node)] = f"\x02{h}"
-        if node.name in BLOCKS and node.name not in PROSE:
+        if node.name in BLOCKS and node.name not in PROSE and not (node.inside and node.name in LISTS):
             out[id(node)] = h
     return out
 
@@ -270,13 +282,16 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["page_id", "url", "text", "n_chars"])
 
 
-def site_templates(counted: DataFrame, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
-    """(host, subtree) of the subtrees on pages with ``least_pages`` or more different articles of a host."""
-    return (counted.select("host", "subtree", "article").distinct().groupBy("host", "subtree")
-            .agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages).select("host", "subtree"))
+def site_templates(counted: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
+    """(host, subtree) of the subtrees that ``share`` of a host's different articles stand beside, and ``least_pages`` of
+    them at least. What is kept of a page so doesn't depend on how many pages of the host there are."""
+    articles = counted.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    often = (counted.select("host", "subtree", "article").distinct().groupBy("host", "subtree")
+             .agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages))
+    return often.join(articles, "host").where(F.col("pages") >= F.col("articles") * share).select("host", "subtree")
 
 
-def extract_main_text(pages: DataFrame, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
+def extract_main_text(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = TEMPLATE_PAGES) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html; other columns are ignored).
 
     Returns page_id, url, text (blocks of the article in page order, one a line, white space in a block
@@ -293,7 +308,7 @@ def extract_main_text(pages: DataFrame, least_pages: int = TEMPLATE_PAGES) -> Da
         "host": F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))),
         "key": F.xxhash64("url", "html")})
     counted = written(rows.select("host", "key", "html").mapInArrow(_count, COUNTED), "subtrees")
-    templates = site_templates(counted, least_pages)
+    templates = site_templates(counted, share, least_pages)
     lists = counted.join(templates, ["host", "subtree"]).groupBy("key").agg(F.collect_set("subtree").alias("templates"))
     parsed = rows.select("page_id", "url", "key", "html").mapInArrow(_parse, PARSED)
     return parsed.join(lists, "key", "left").select("page_id", "url", "parts", "templates").mapInArrow(

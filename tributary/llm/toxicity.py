@@ -168,16 +168,19 @@ def remainder(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on a bounded sample of the labelled rows that aren't held out: of each class those with the
     least hashes of the id. The sample is chosen among the labels alone; ids with two labels count as
-    toxic, null ids and null labels don't count."""
+    toxic, null ids and null labels don't count. Of an id that several rows share one text is taken, so there are
+    as many texts as ids at most."""
     known = (labels.where("doc_id is not null and toxic is not null")
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(remainder(F.col("doc_id")) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     some = lambda kind, n: known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = some(1, FIT_TOXIC).unionByName(some(0, FIT_CLEAN))
     # at most FIT_TOXIC + FIT_CLEAN ids of 12 bytes
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = written(rows.select(F.coalesce("text", F.lit("")).alias("text"), "toxic").withColumn(
-        "text_hash", F.xxhash64("text")), "toxic-sample")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text")).join(F.broadcast(chosen), "doc_id")
+    # of an id that several rows have one text, the one with the least hash: the sample is bounded in rows too
+    rows = written(rows.groupBy("doc_id", "toxic").agg(F.min(F.struct("text_hash", "text")).alias("least")).select(
+        "least.text", "toxic", "least.text_hash"), "toxic-sample")
     of = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not of.get(1) or not of.get(0):
         return fit(*(np.zeros(0),) * 4)
