@@ -1,7 +1,7 @@
 """Phrases that keep together, mined by dynamic itemset counting.
 
 The corpus is dealt to a few shards, which are scanned one after the other, round and
-round. Single words are counted from the first scan on. A longer phrase is activated as
+round. Single words are counted while the shards are made, which is their full cycle. A longer phrase is activated as
 soon as both its subphrases (without its last, without its first word) have been counted
 often enough, be it in the middle of a round, and is counted until it has seen each
 shard once: so lengths are counted side by side, and a phrase's count is exact after
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
-from tributary.llm.common import is_member, member_bits, written
+from tributary.llm.common import is_member, maybe_member, member_bits, membership, written
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SHARDS = 3
@@ -34,7 +34,7 @@ BITS = 25
 #: Up to so many active phrases (12 bytes each) are broadcast as a table; more as a bitmap, and joined.
 BROADCAST_PHRASES = 1 << 19
 #: A task sums its phrases when it holds so many, and hands them on if so many are different.
-HELD, DIFFERENT = 1 << 21, 1 << 20
+HELD, DIFFERENT = 1 << 20, 1 << 19
 #: Salts of joins and rankings by language, as one language may have nearly all phrases.
 SALTS = 32
 
@@ -66,13 +66,64 @@ def longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return W.mix(prefix * _U(0x9E3779B97F4A7C15) + word)
 
 
-#: Rows with tokens are texts, rows with a word are the words that a task met.
-TOKENS = "shard int, root long, tokens binary, phrase long, word string"
+#: Rows with tokens are texts (shard 0 and up), rows with a word are words that a task met (shard -1), with their number.
+TOKENS = "shard int, root long, tokens binary, phrase long, word string, n long"
+_NAMES = ["shard", "root", "tokens", "phrase", "word", "n"]
+
+
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Byte ranges of UTF-8 as strings."""
+    length = end - start
+    bounds = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+    take = np.repeat(start - bounds[:-1], length) + np.arange(bounds[-1])
+    return pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[take]))])
+
+
+class Vocabulary:
+    """Words that a task has met, each with its language, spelling and number."""
+
+    def __init__(self):
+        self.phrase, self.root, self.text = [], [], []
+        self.seen, self.held, self.size = np.zeros(0, _U), [], 0
+
+    def add(self, phrase: np.ndarray, root: np.ndarray, found: W.Words) -> None:
+        one, where, n = np.unique(phrase, return_index=True, return_counts=True)
+        self.held.append((one, n))
+        self.size += len(one)
+        at = np.minimum(np.searchsorted(self.seen, one), max(0, len(self.seen) - 1))
+        fresh = self.seen[at] != one if len(self.seen) else np.ones(len(one), bool)
+        where = where[fresh]
+        self.phrase.append(one[fresh])
+        self.root.append(root[where])
+        self.text.append(_strings(found.data, found.start[where], found.end[where]))
+        if self.size > HELD:
+            self.merge()
+
+    def merge(self) -> None:
+        phrase, n = (np.concatenate(x) for x in zip(*self.held))
+        order = np.argsort(phrase, kind="stable")
+        phrase, n = phrase[order], n[order]
+        first = np.flatnonzero(np.append(True, phrase[1:] != phrase[:-1]))
+        self.seen = phrase[first]
+        self.held, self.size = [(self.seen, np.add.reduceat(n, first))], len(first)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Each word once; the words are forgotten."""
+        if self.held:
+            self.merge()
+            phrase, root = np.concatenate(self.phrase), np.concatenate(self.root)
+            # a word that was fresh in several batches before a merge is there several times
+            _, where = np.unique(phrase, return_index=True)
+            text = pa.concat_arrays(self.text).take(pa.array(where))
+            count = len(where)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(count, -1, np.int32)), pa.array(root[where].view(np.int64)), pa.nulls(count, pa.binary()),
+                pa.array(self.seen.view(np.int64)), text, pa.array(self.held[0][1].astype(np.int64))], names=_NAMES)
+        self.__init__()
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["shard", "root", "tokens", "phrase", "word"]
-    seen = np.zeros(0, _U)
+    vocabulary = Vocabulary()
     for batch in batches:
         found, begins = pieces(batch.column("text"))
         h = np.maximum(found.hash, _U(1))  # 0 stands between pieces
@@ -82,21 +133,18 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the 0 before a piece belongs to the text of the piece
         first = found.per_row()
         at = np.concatenate(([0], np.cumsum(begins)))[first] + first
-        root = batch.column("root").to_numpy()
+        root = batch.column("root").to_numpy().view(_U)
         blobs = [stream[a:b].tobytes() for a, b in zip(at, at[1:])]
-        none = pa.nulls(batch.num_rows)
+        rows = batch.num_rows
         yield pa.RecordBatch.from_arrays([
-            batch.column("shard"), batch.column("root"), pa.array(blobs, pa.binary()), none.cast(_I64),
-            none.cast(pa.string())], names=names)
-        phrase, where = np.unique(longer(root.view(_U)[found.row], h), return_index=True)
-        fresh = ~np.isin(phrase, seen, assume_unique=True)
-        phrase, where = phrase[fresh], where[fresh]
-        seen = phrase if len(seen) > DIFFERENT else np.union1d(seen, phrase)
-        text = [found.data[a:b].tobytes().decode() for a, b in zip(found.start[where], found.end[where])]
-        none = pa.nulls(len(where))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(where), -1, np.int32)), none.cast(_I64), none.cast(pa.binary()),
-            pa.array(phrase.view(np.int64)), pa.array(text, pa.string())], names=names)
+            batch.column("shard"), batch.column("root"), pa.array(blobs, pa.binary()), pa.nulls(rows, _I64),
+            pa.nulls(rows, pa.string()), pa.nulls(rows, _I64)], names=_NAMES)
+        if len(h):
+            own = root[found.row]
+            vocabulary.add(longer(own, h), own, found)
+            if len(vocabulary.seen) > DIFFERENT:
+                yield from vocabulary.rows()
+    yield from vocabulary.rows()
 
 
 # --- one scan ---------------------------------------------------------------------------------------------
@@ -143,23 +191,23 @@ class Active:
         self.phrases, self.reached, self.every, self.lately = phrases, reached, every, lately
 
     def look_up(self, phrase: np.ndarray, oldest: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each phrase the scan (-1: not known which) in which it was counted often enough, 0 if it wasn't yet, and
-        whether that was in scan ``oldest`` or later."""
+        """Of each phrase the scan in which it was counted often enough (0: a word; any number if only bitmaps are known),
+        -1 if it wasn't yet, and whether that was in scan ``oldest`` or later."""
         if self.phrases is None:
             often = is_member(self.every, phrase)
-            return np.where(often, -1, 0), often & is_member(self.lately, phrase)
+            return np.where(often, 0, -1), often & is_member(self.lately, phrase)
         if not len(self.phrases):
-            return np.zeros(len(phrase), np.int64), np.zeros(len(phrase), bool)
+            return np.full(len(phrase), -1), np.zeros(len(phrase), bool)
         at = np.minimum(np.searchsorted(self.phrases, phrase), len(self.phrases) - 1)
-        scan = np.where(self.phrases[at] == phrase, self.reached[at], 0)
-        return scan, scan >= oldest
+        scan = np.where(self.phrases[at] == phrase, self.reached[at], -1)
+        return scan, (scan >= 0) & (scan >= oldest)
 
 
 COUNTED = "k int, phrase long, left long, right long, active int, n long"
 
 
 def _scan(active, step: int, shards: int, longest: int):
-    """Phrases of a shard that are active in scan ``step``; words and the number of all words in the first cycle."""
+    """Phrases of two words and more of a shard that are active in scan ``step``."""
 
     def batch_of(rows: np.ndarray) -> pa.RecordBatch:
         k, phrase, left, right, since, n = rows
@@ -179,17 +227,11 @@ def _scan(active, step: int, shards: int, longest: int):
                 continue
             now = np.zeros(len(h) + 1, _U)
             now[at] = longer(root[at], h[at])
-            if step <= shards:
-                none = np.zeros(len(at), _U)
-                counts.add(1, now[at], root[at], none, none)
-                counts.add(0, root[at], none, none, none)
             for k in range(2, longest + 1):
-                if step == 1:
-                    break
                 # the subphrases of k - 1 words that begin here and at the next word
-                scan, late = np.zeros(len(h) + 1, np.int64), np.zeros(len(h) + 1, bool)
+                scan, late = np.full(len(h) + 1, -1), np.zeros(len(h) + 1, bool)
                 scan[at], late[at] = active.value.look_up(now[at], oldest)
-                pair = at[(scan[at] != 0) & (scan[at + 1] != 0) & word[at + k - 1]]
+                pair = at[(scan[at] >= 0) & (scan[at + 1] >= 0) & word[at + k - 1]]
                 if not len(pair):
                     break
                 new = np.zeros(len(h) + 1, _U)
@@ -213,21 +255,37 @@ def _scan(active, step: int, shards: int, longest: int):
 PHRASES = ["k", "phrase", "left", "right", "a"]
 
 
-def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST) -> DataFrame:
-    """Counts of all phrases of up to ``longest`` words that occur ``least`` times: k, phrase, left, right (hashes of
-    the phrase and its subphrases) and a, exact. Length 0 stands for all words of a language, and is left of a word.
+def mine(shards_of: list[DataFrame], words: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
+    """Counts of all phrases of 2 to ``longest`` words that occur ``least`` times: k, phrase, left, right (hashes of
+    the phrase and its subphrases) and a, exact.
 
-    ``shards_of`` has the shards (root, tokens). Scans go round the shards until each phrase has seen all of them."""
+    ``shards_of`` has the shards (root, tokens), ``words`` the words (phrase) that occur so often, known before the first
+    scan. Scans go round the shards until each phrase has seen all of them."""
     spark, shards = shards_of[0].sparkSession, len(shards_of)
     slots = [f"n{i}" for i in range(shards)]
     total = sum((F.col(s) for s in slots[1:]), F.col(slots[0]))
     # the active phrases and their scans: a table of all, arrays while they are few, bitmaps afterwards
-    known: DataFrame | None = None
-    phrases, reached = np.zeros(0, _U), np.zeros(0, np.int32)
-    every: np.ndarray | None = None
-    last: list[np.ndarray] = []
-    state, done, fresh_in, step = None, [], [True], 0
-    while step < shards or any(fresh_in[-shards:]):
+    known = words.select("phrase", F.lit(0).alias("reached"))
+    phrases, reached, every, last = np.zeros(0, _U), np.zeros(0, np.int32), None, []
+    state, done, fresh, fresh_in, step = None, [], known, [], 0
+    while True:
+        # what has come since the last scan
+        if every is None:
+            new = fresh.select("phrase").limit(BROADCAST_PHRASES - len(phrases) + 1).toArrow().column("phrase").to_numpy()
+            fresh_in.append(len(new) > 0)
+            if len(phrases) + len(new) <= BROADCAST_PHRASES:
+                phrases, reached = np.append(phrases, new.view(_U)), np.append(reached, np.full(len(new), step, np.int32))
+                order = np.argsort(phrases)
+                phrases, reached = phrases[order], reached[order]
+            else:
+                by_scan = [member_bits(known.where(F.col("reached") == t), "phrase", BITS) for t in range(step + 1)]
+                every, last = np.bitwise_or.reduce(by_scan), by_scan[-shards:]
+        else:
+            last = [*last, member_bits(fresh, "phrase", BITS)][-shards:]
+            fresh_in.append(bool(last[-1].any()))
+            every = every | last[-1]
+        if not any(fresh_in[-shards:]):
+            break
         step += 1
         exact, now = every is None, f"n{step % shards}"
         active = spark.sparkContext.broadcast(
@@ -236,9 +294,8 @@ def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST)
             "k", "phrase", "left", "right", "active", F.lit(None).cast("int").alias("reached"), *[
                 (F.col("n") if s == now else F.lit(0).cast("long")).alias(s) for s in slots])
         if state is not None:
-            # the slot of this scan has its count of the last cycle still; words are done after one cycle
-            before = state.withColumn(now, F.lit(0).cast("long")).where(total > 0)
-            rows = rows.unionByName(before.where("k > 1") if step > shards else before)
+            # the slot of this scan has its count of the last cycle still
+            rows = rows.unionByName(state.withColumn(now, F.lit(0).cast("long")).where(total > 0))
         summed = rows.groupBy("phrase").agg(
             F.first("k").alias("k"), F.first("left").alias("left"), F.first("right").alias("right"),
             F.max("active").alias("active"), F.min("reached").alias("reached"), *[F.sum(s).alias(s) for s in slots])
@@ -252,23 +309,11 @@ def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST)
         if step >= shards:
             # a full cycle after it was activated, a phrase has its whole count
             done.append(found.where(F.col("active") == step - shards).select(*PHRASES))
-        fresh = found.where((F.col("reached") == step) & F.col("k").between(1, longest - 1)).select("phrase", "reached")
-        known = fresh if known is None else known.union(fresh)
-        if exact:
-            new = fresh.select("phrase").limit(BROADCAST_PHRASES - len(phrases) + 1).toArrow().column("phrase").to_numpy()
-            fresh_in.append(len(new) > 0)
-            if len(phrases) + len(new) <= BROADCAST_PHRASES:
-                phrases, reached = np.append(phrases, new.view(_U)), np.append(reached, np.full(len(new), step, np.int32))
-                order = np.argsort(phrases)
-                phrases, reached = phrases[order], reached[order]
-            else:
-                by_scan = [member_bits(known.where(F.col("reached") == t), "phrase", BITS) for t in range(1, step + 1)]
-                every, last = np.bitwise_or.reduce(by_scan), by_scan[-shards:]
-        else:
-            last = [*last, member_bits(fresh, "phrase", BITS)][-shards:]
-            fresh_in.append(bool(last[-1].any()))
-            every = every | last[-1]
+        fresh = found.where((F.col("reached") == step) & (F.col("k") < longest)).select("phrase", "reached")
+        known = known.union(fresh)
         active.destroy()
+    if not done:
+        return spark.createDataFrame([], "k int, phrase long, left long, right long, a long")
     out = done[0]
     for x in done[1:]:
         out = out.union(x)
@@ -277,19 +322,18 @@ def mine(shards_of: list[DataFrame], least: int = LEAST, longest: int = LONGEST)
 
 def _activated(many: DataFrame, known: DataFrame, step: int, slots: list[str], least: int) -> DataFrame:
     """Of phrases counted by bitmaps, those of which both subphrases had been counted often enough, with the scan after
-    which they had (``active``; 0 for words), the count since then, ``a``, if it is ``least``, and the
+    which they had (``active``), the count since then, ``a``, if it is ``least``, and the
     scan in which it first was (``reached``). Written."""
     def met(column: str, into: str) -> DataFrame:
         return known.select(F.col("phrase").alias(column), F.col("reached").alias(into))
 
     shards = len(slots)
-    words = many.where("k < 2").drop("reached")
-    longer_ = many.where("k > 1").drop("active", "reached").join(met("left", "one"), "left").join(met("right", "two"), "right")
-    longer_ = longer_.withColumn("active", F.greatest("one", "two")).drop("one", "two")
+    both = many.drop("active", "reached").join(met("left", "one"), "left").join(met("right", "two"), "right")
+    both = both.withColumn("active", F.greatest("one", "two")).drop("one", "two")
     # what was counted before the phrase was active doesn't count
     counted = sum((F.when(F.col("active") < t, F.col(slots[t % shards])).otherwise(0)
                    for t in range(max(1, step - shards + 1), step + 1)), F.lit(0))
-    found = words.unionByName(longer_).withColumn("a", counted.cast("long")).where(
+    found = both.withColumn("a", counted.cast("long")).where(
         (F.col("a") >= least) & (F.col("active") >= step - shards))
     found = found.join(met("phrase", "reached"), "phrase", "left").withColumn("reached", F.coalesce("reached", F.lit(step)))
     return written(found, "phrases-active")
@@ -303,13 +347,11 @@ def _big(c: Column) -> Column:
 
 
 def _spelled(mined: DataFrame, words: DataFrame, longest: int) -> list[DataFrame]:
-    """The mined phrases by length, from one word on: phrase, root, a, text, last word, counts of their proper beginnings
+    """The words and the mined phrases by length: phrase, root, a, text, last word, counts of their proper beginnings
     and ends by length (``heads``, ``tails``), and both subphrases with whether they occur as often as the phrase."""
     none = F.array().cast("array<long>")
-    level = written(mined.where("k = 1").join(words, "phrase").select(
-        "phrase", F.col("left").alias("root"), "a", F.col("word").alias("text"), F.col("word").alias("last"),
-        none.alias("heads"), none.alias("tails")), "phrases-spelled")
-    out = [level]
+    out = [words.select("phrase", "root", F.col("n").alias("a"), F.col("word").alias("text"), F.col("word").alias("last"),
+                        none.alias("heads"), none.alias("tails"))]
     for k in range(2, longest + 1):
         a, b = out[-1].alias("l"), out[-1].alias("r")
         here = mined.where(F.col("k") == k).alias("m")
@@ -323,6 +365,15 @@ def _spelled(mined: DataFrame, words: DataFrame, longest: int) -> list[DataFrame
     return out
 
 
+def _frequent_words(met: DataFrame, least: int) -> DataFrame:
+    """The words that occur ``least`` times, with language, number and spelling, of rows of ``Vocabulary``. Written. Only
+    hashes and numbers of all words are shuffled, spellings of those that a bitmap lets through."""
+    often = written(met.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrase-words")
+    some = met.where(maybe_member(membership(often, "phrase", BITS), F.col("phrase")))
+    spelt = some.groupBy("phrase").agg(F.first("root").alias("root"), F.first("word").alias("word"))
+    return written(often.join(spelt, "phrase"), "phrase-words")
+
+
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
                  shards: int = SHARDS) -> DataFrame:
     """The phrases of each language of ``docs`` (text, lang; others are ignored) whose words keep together most.
@@ -339,10 +390,9 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
                        F.coalesce("text", F.lit("")).alias("text"))
     dealt = rows.select((F.monotonically_increasing_id() % shards).cast("int").alias("shard"), "root", "text")
     tokens = written(dealt.mapInArrow(_tokenise, TOKENS), "phrase-tokens", by="shard")
-    mined = mine([tokens.where(F.col("shard") == i).select("root", "tokens") for i in range(shards)], least, longest)
-    words = tokens.where("shard = -1").select("phrase", "word")
-    frequent = mined.where("k = 1").select("phrase")
-    words = words.join(frequent, "phrase", "left_semi").groupBy("phrase").agg(F.first("word").alias("word"))
+    words = _frequent_words(tokens.where("shard = -1"), least)
+    totals = tokens.where("shard = -1").groupBy("root").agg(F.sum("n").alias("n"))
+    mined = mine([tokens.where(F.col("shard") == i).select("root", "tokens") for i in range(shards)], words, least, longest)
     levels = _spelled(mined, words, longest)
     names = ["phrase", "root", "a", "text", "heads", "tails"]
     phrases, covered = levels[1].select(*names), []
@@ -354,8 +404,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         for x in covered[1:]:
             gone = gone.union(x)
         phrases = phrases.join(gone.distinct(), "phrase", "left_anti")
-    totals = mined.where("k = 0").select(F.col("phrase").alias("root"), F.col("a").alias("n")).join(
-        rows.groupBy("root").agg(F.first("lang").alias("lang")), "root")
+    totals = totals.join(rows.groupBy("root").agg(F.first("lang").alias("lang")), "root")
     totals = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     both = phrases.withColumn("salt", F.pmod("phrase", F.lit(SALTS)).cast("int")).join(totals, ["root", "salt"])
     whole = F.size("heads") + 1
