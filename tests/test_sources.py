@@ -219,3 +219,18 @@ def test_no_machine_local_checkpoints_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_kafka_writers_reach_the_connector(spark, tmp_path):
+    """S8 and S9 hand their rows to Spark's Kafka writer; where its package is absent, that is what they fail of."""
+    from tributary.sources.files import envelope_stream, write_envelope
+    from tributary.streaming.sinks import publish, to_kafka
+
+    if kafka_available(spark):
+        pytest.skip("the connector is present, and there is no broker to write to")
+    env = env_rows(spark, ["x"], keys=["k"])
+    with pytest.raises(Exception, match="(?i)kafka"):
+        publish(env.select("key", "value", "partition", "topic"), "localhost:9", "t")
+    path = write_envelope(env, str(tmp_path / "topic"))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        to_kafka(envelope_stream(spark, path).select("key", "value"), "localhost:9", "t", str(tmp_path / "ckpt"))
