@@ -99,13 +99,32 @@ def test_sums_in_a_task():
 
     counts = C.Counts()
     u = lambda *x: np.array(x, np.uint64)
-    counts.add(2, u(5, 7, 5), u(1, 2, 1), u(3, 4, 3), u(1, 1, 1))
-    counts.add(3, u(9), u(5), u(7), u(2))
-    counts.add(2, u(7), u(2), u(4), u(1))
-    assert counts.summed().T.tolist() == [[2, 5, 1, 3, 1, 2], [2, 7, 2, 4, 1, 2], [3, 9, 5, 7, 2, 1]]
-    counts.add(2, u(5), u(1), u(3), u(1))
-    assert counts.summed()[5].tolist() == [3, 2, 1]
-    assert C.Counts().summed().shape == (6, 0)
+    counts.add(2, u(5, 7, 5), u(1, 2, 1), u(3, 4, 3))
+    counts.add(3, u(9), u(5), u(7))
+    counts.add(2, u(7), u(2), u(4))
+    assert counts.summed().T.tolist() == [[2, 5, 1, 3, 2], [2, 7, 2, 4, 2], [3, 9, 5, 7, 1]]
+    counts.add(2, u(5), u(1), u(3))
+    assert counts.summed()[4].tolist() == [3, 2, 1]
+    assert C.Counts().summed().shape == (5, 0)
+    tally = C.Tally()
+    assert tally.rows().num_rows == 0
+    tally.add(np.array([5, 3, 5]))
+    tally.merge()
+    tally.add(np.array([4, 3]))
+    assert tally.rows().to_pydict() == {"key": [3, 4, 5], "n": [2, 1, 2]}
+
+
+def test_numbers():
+    import numpy as np
+
+    numbers = C.Numbers(np.array([10, 20, 30], np.uint64))
+    key = lambda k, since, left, right: (k << C.SCAN_BITS | since) << 2 * C.NUMBER_BITS | left << C.NUMBER_BITS | right
+    numbers.add(np.array([key(2, 0, 3, 1), key(2, 0, 1, 2)]), 1)
+    numbers.add(np.array([key(3, 1, 4, 5)]), 2)
+    pair = [a << C.NUMBER_BITS | b for a, b in ((3, 1), (1, 2), (4, 5), (1, 3))]
+    assert numbers.look_up(np.array(pair)).tolist() == [4, 5, 6, 0]
+    assert numbers.reached.tolist() == [0, 0, 0, 0, 1, 1, 2] and numbers.k.tolist() == [1, 1, 1, 1, 2, 2, 3]
+    assert [int(x) for x in C.taken_apart(np.array(key(5, 14, 1 << 19, 7)))] == [5, 14, 1 << 19, 7]
 
 
 def test_pieces():

@@ -46,7 +46,15 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     executor can read every file."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        # a writer for each of a few folders, so that rows needn't be sorted by folder first
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
+        try:
+            df.write.partitionBy(by).parquet(path)
+        finally:
+            spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
     return spark.read.schema(df.schema).parquet(path)
 
 
