@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm import words as W
-from tributary.llm.common import is_member, maybe_member, member_bits, membership, written
+from tributary.llm.common import is_member, maybe_member, member_bits, membership, narrow_batches, written
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 SHARDS = 3
@@ -525,7 +525,8 @@ def _frequent_words(met: DataFrame, least: int) -> DataFrame:
     often = written(met.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrase-words")
     some = met.where(maybe_member(membership(often, "phrase", BITS), F.col("phrase")))
     spelt = some.groupBy("phrase").agg(F.first("root").alias("root"), F.first("word").alias("word"))
-    return written(often.join(spelt, "phrase"), "phrase-words")
+    with narrow_batches(met.sparkSession):
+        return written(often.join(spelt, "phrase"), "phrase-words")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,

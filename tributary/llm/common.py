@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,7 @@ from tributary.session import configure, scratch_path
 # batch is kept small; Spark also cuts batches by bytes.
 ARROW_ROWS = 256
 ARROW_BYTES = 4 << 20
+NARROW_ROWS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +61,18 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def narrow_batches(spark: SparkSession) -> Iterator[None]:
+    """Longer Arrow batches for what is run inside, on tables of a few short columns."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(NARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
