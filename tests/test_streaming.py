@@ -186,6 +186,40 @@ def test_expiring_join_drops_state(spark):
 
 
 
+def test_join_partition_keeps_one_state_store(spark):
+    """A join's state is one store a partition (four before); a query goes on in the format that it started with, and
+    other state stores keep Spark's format."""
+    from tributary import session
+
+    key, provider = "spark.sql.streaming.join.stateFormatVersion", "spark.sql.streaming.stateStore.providerClass"
+    ev, cu = E.risk_event_messages(table(spark, SF, "events")), E.customer_sorted_set_messages(table(spark, SF, "customer"))
+    ev_path, cu_path = _topic(spark, ev.where("offset % 2 = 0"), 1, "sev"), _topic(spark, cu, 1, "scu")
+    runs = {"2": (_dir(spark, "sout"), _dir(spark, "sckpt")), "3": (_dir(spark, "sout"), _dir(spark, "sckpt"))}
+
+    def run(out, checkpoint):
+        q = jobs.run_append(R.risk_graph(envelope_stream(spark, ev_path), envelope_stream(spark, cu_path)), out, checkpoint)
+        state = [s for p in q.recentProgress for s in p["stateOperators"]]
+        return {s["numStateStoreInstances"] // s["numShufflePartitions"] for s in state}
+
+    kept, stores = spark.conf.get(key), spark.conf.get(provider)
+    try:
+        spark.conf.set(key, "2")
+        assert run(*runs["2"]) == {4}
+        session.configure(spark)
+        assert spark.conf.get(key) == "3" and run(*runs["3"]) == {1}
+        write_envelope(ev.where("offset % 2 = 1"), ev_path)
+        assert run(*runs["2"]) == {4} and run(*runs["3"]) == {1}
+        spark.conf.set(key, "2")
+        spark.conf.set(provider, "org.example.AnotherProvider")
+        session.configure(spark)
+        assert spark.conf.get(key) == "2"
+    finally:
+        spark.conf.set(key, kept)
+        spark.conf.set(provider, stores)
+    want = rows(R.risk_graph(ev, cu))
+    assert all(rows(spark.read.parquet(out)) == want for out, _ in runs.values())
+
+
 def test_bounded_join_keeps_close_pairs_only(spark):
     import datetime as dt
     import json

@@ -30,6 +30,10 @@ DEFAULT_CONF = {
     # One memory budget for all RocksDB instances of an executor (many state partitions each).
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": ("true", "false"),
 }
+ROCKSDB = DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"][0]
+# Only where state lives in RocksDB: a join partition keeps its four tables in one store, as column families, not in four
+# stores that are each loaded, synced and committed in every batch. A started query keeps the format of its checkpoint.
+ROCKSDB_CONF = {"spark.sql.streaming.join.stateFormatVersion": ("3", "2")}
 LOCAL_CONF = {"spark.sql.session.timeZone": "UTC"}  # local sessions only (tests, bench)
 
 
@@ -52,8 +56,10 @@ def get_session(master: str | None = None, app: str = "tributary",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULT_CONF where unset and make sure a checkpoint folder exists."""
-    for k, (ours, stock) in DEFAULT_CONF.items():
+    """Apply DEFAULT_CONF (and ROCKSDB_CONF) where unset and make sure a checkpoint folder exists."""
+    for k, (ours, stock) in [*DEFAULT_CONF.items(), *ROCKSDB_CONF.items()]:
+        if k in ROCKSDB_CONF and spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB:
+            continue
         if spark.conf.get(k, None) in (None, "", stock) and not spark.sparkContext.getConf().contains(k):
             try:
                 spark.conf.set(k, ours)
