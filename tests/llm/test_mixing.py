@@ -115,3 +115,31 @@ def test_mixed_rows_keep_their_columns(spark):
             want[(r.doc_id, r.source)] += int(r.taken / r.size + 0.5)
     got = Counter((r.doc_id, r.source) for r in out.collect())
     assert got == Counter({k: v for k, v in want.items() if v})
+
+
+@pytest.mark.parametrize("aims", [
+    [(1, 0.01)] * 600 + [(1000, 30.0), (1000, 0.0)],  # the sum of many small targets goes to the quotients of a large one
+    [(1, 0.49)] * 90 + [(4000, 1000.5), (3, 6.0), (0, 0.0)],
+    [(50, 10.49)] * 70 + [(50, 10.49 * 3)] * 9 + [(9, 18.0)] * 5,  # equal quotients
+    [(10_000, 7_000.2), (10_000, 333.3), (2, 4.0)],
+])
+def test_highest_quotients_win_whatever_the_targets(spark, aims):
+    names = [f"s{i:03}" for i in range(len(aims))]
+    rows = [(s, size, i + 1, 1.0, float(t)) for i, (s, (size, t)) in enumerate(zip(names, aims))]
+    df = spark.createDataFrame(rows, "source string, source_size long, rank int, weight double, target double")
+    target, sizes = {s: t for s, (_, t) in zip(names, aims)}, {s: n for s, (n, _) in zip(names, aims)}
+    for block in (1, 3):
+        want = quotas(target, [s for s in names if target[s]], sizes, block)
+        assert {r.source: r.quota for r in mixing.quotas(df, block, 2).collect()} == {s: want[s] for s in names}
+
+
+def test_prices_need_no_small_range(spark):
+    """Quotients by the ten million: those listed stay a few a source, and what wins is still exact."""
+    rows = [("a", 10**9, 1, 1.0, 9e8 + 0.3), ("b", 10**8, 2, 1.0, 2e8), ("c", 3, 3, 1.0, 1.7)]
+    df = spark.createDataFrame(rows, "source string, source_size long, rank int, weight double, target double")
+    got = {r.source: r.quota for r in mixing.quotas(df, 1, 2).collect()}
+    assert got == {"a": 900_000_000, "b": 200_000_000, "c": 2}
+    able = df.selectExpr("*", "2 * source_size AS most")
+    low, high = mixing.prices(able, 1_100_000_002)
+    below, above = (able.select(mixing._wins(p).alias("n")).groupBy().sum("n").first()[0] for p in (low, high))
+    assert above <= 1_100_000_002 <= below and below - above <= 3 + mixing.LISTED

@@ -24,6 +24,8 @@ REPEATS = 2
 BLOCK_WORDS, SHARD_WORDS = 1, 16
 SHARDS = 8
 SEED = 23
+#: Prices tried in a pass of the search for the last winning quotient, and quotients ranked one by one beside one a source.
+GRID, LISTED = 64, 1000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -57,38 +59,56 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, repeats: i
     return levels.withColumn("target", target).select("source", "source_size", "rank", "weight", "target")
 
 
-def quotas(sources: DataFrame, block: int, repeats: int) -> DataFrame:
-    """Adds quota, the blocks that a source gets by the highest quotients.
+def prices(sources: DataFrame, blocks: int) -> tuple[float, float]:
+    """A range of quotients (low, high) that holds the price of a block, the least quotient that wins one of ``blocks``.
 
-    No quota takes more than ``repeats`` times a source. Rounding target / block gives
-    every quota up to a few blocks; only the quotients near it are ranked, far enough to both sides
-    that the blocks still missing (or given too many) fit in wherever they fall."""
-    unit = float(block)
-    everything = Window.partitionBy()
-    near = sources.withColumns({
-        "most": F.floor(F.col("source_size") * repeats / unit).cast("long"),
-        "wanted": F.floor(F.col("target") / unit + 0.5).cast("long")})
-    near = near.withColumn("wanted", F.least("wanted", "most"))
-    near = near.withColumns({
-        "blocks": F.least(F.round(F.sum("target").over(everything) / unit).cast("long"),
-                          F.sum("most").over(everything)),
-        "given": F.sum("wanted").over(everything),
-        "movable": F.sum(F.when(F.col("wanted") < F.col("most"), F.col("target"))).over(everything)})
-    gap = F.abs(F.col("blocks") - F.col("given"))
-    # what a source may gain or lose when the gap is shared in proportion to the targets
-    reach = F.ceil(2 * gap * F.coalesce(F.least(F.lit(1.0), F.col("target") / F.col("movable")), F.lit(1.0))) + 3
-    near = near.withColumns({
-        "low": F.greatest(F.lit(0), F.col("wanted") - reach).cast("long"),
-        "high": F.least(F.col("most"), F.col("wanted") + reach).cast("long")})
-    near = near.withColumn("open", F.col("blocks") - F.sum("low").over(everything))
-    tried = near.where("high > low").select(
-        "rank", "target", "open", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("k"))
+    The quotients of a source from a price on are counted without listing them: target / (2k + 1) >= price for
+    k < (target / price + 1) / 2. Each pass counts at GRID prices, in proportion to one another, and goes on between the
+    two that enclose ``blocks``, until hardly more quotients than sources are left in between."""
+    first = sources.agg(F.count("*").alias("n"), (2 * F.max("target")).alias("high"),
+                        F.min(F.col("target") / (2 * F.col("most") + 1)).alias("low"), F.sum("most").alias("all")).first()
+    low, high, below, above = first.low, first.high, first["all"], 0
+    while below - above > first.n + LISTED and high / low > 1 + 1e-12:
+        grid = [low * (high / low) ** (i / GRID) for i in range(1, GRID)]
+        won = sources.agg(*[F.sum(_wins(price)) for price in grid]).first()
+        for price, n in zip(grid, won):
+            if n >= blocks:
+                low, below = price, n
+            else:
+                high, above = price, n
+                break
+    return low, high
+
+
+def _wins(price: float) -> Column:
+    """Blocks that a source holds if all its quotients from ``price`` on win."""
+    return F.least("most", F.floor((F.col("target") / F.lit(price) + 1) / 2).cast("long"))
+
+
+def quotas(sources: DataFrame, block: int, repeats: int) -> DataFrame:
+    """Adds quota, the blocks that a source gets by the highest quotients target / (2k + 1).
+
+    No quota takes more than ``repeats`` times a source; equal quotients win by rank. All quotients of all sources
+    compete: ``prices`` counts those that surely win and surely lose, and those in between are listed and
+    ranked, a few for each source. ``sources`` is read several times, so should be written."""
+    able = sources.withColumn("most", F.floor(F.col("source_size") * repeats / float(block)).cast("long"))
+    rivals = able.where("most > 0 and target > 0")
+    total = sources.agg(F.round(F.sum("target") / float(block)).cast("long")).first()[0] or 0
+    blocks = min(total, rivals.agg(F.sum("most")).first()[0] or 0)
+    if not blocks:
+        return sources.withColumn("quota", F.lit(0).cast("long"))
+    low, high = prices(rivals, blocks)
+    # a quotient more to both sides, as divisions round
+    near = rivals.withColumns({"sure": F.greatest(F.lit(0), _wins(high) - 1), "most": F.least("most", _wins(low) + 1)})
+    near = near.withColumn("open", F.lit(blocks) - F.sum("sure").over(Window.partitionBy()))
+    tried = near.where("most > sure").select(
+        "rank", "target", "open", F.explode(F.sequence(F.col("sure"), F.col("most") - 1)).alias("k"))
     place = F.row_number().over(Window.orderBy((F.col("target") / (2 * F.col("k") + 1)).desc(), "rank"))
     won = (tried.withColumn("place", place).where("place <= open")
            .groupBy("rank").agg(F.count("*").alias("won")))
-    return near.join(won, "rank", "left").select(
+    return sources.join(near.select("rank", "sure"), "rank", "left").join(won, "rank", "left").select(
         "source", "source_size", "rank", "weight", "target",
-        (F.col("low") + F.coalesce("won", F.lit(0))).alias("quota"))
+        (F.coalesce("sure", F.lit(0)) + F.coalesce("won", F.lit(0))).cast("long").alias("quota"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS,
@@ -110,7 +130,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     light = written(light, "mix-rows")
     sizes = light.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = written(quotas(targets(sizes, weights, share, repeats), block, repeats), "mix-sources")
+    aims = written(targets(sizes, weights, share, repeats), "mix-targets")
+    plan = written(quotas(aims, block, repeats), "mix-sources")
     keys = {"source_key": F.coalesce("source", F.lit("")), "no_source": F.col("source").isNull()}
     placed = prefix_sums(light.withColumns(keys), list(keys), "order", ["size"],
                          plan.withColumns(keys).drop("source"))
