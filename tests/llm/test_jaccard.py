@@ -160,6 +160,36 @@ def test_pairs_all_of_whose_tokens_are_in_large_nodes(spark, monkeypatch):
     check(cp.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), rows)
 
 
+def test_rows_of_large_nodes_are_joined_once_by_node(spark, monkeypatch):
+    """Every row of a large node is made by one join by node a level, and their number follows that of the near copies."""
+    monkeypatch.setattr(cp, "SMALL_NODE", 32)
+    passes, written = [], cp.written
+
+    def noted(df, name, *by):
+        out = written(df, name, *by)
+        text = df._jdf.queryExecution().analyzed().toString()
+        passes.append((name, text.count("Join Inner, (node#"), out.count() if name == "path-step" else 0))
+        return out
+
+    monkeypatch.setattr(cp, "written", noted)
+    made = []
+    for n in (200, 400):
+        rng, base = random.Random(3), corpus.prose(9, 120).split()
+        rows = []
+        for i in range(n):
+            words = base[:]
+            for k in rng.sample(range(len(words)), 4):
+                words[k] = f"own{i}x{k}"
+            rows.append((i, " ".join(words)))
+        del passes[:]
+        got = cp.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(got) == n
+        levels = sum(name == "path-step" for name, _, _ in passes)
+        assert levels and sum(joins for _, joins, _ in passes) == levels
+        made.append(sum(rows for _, _, rows in passes))
+    assert made[1] < 3 * made[0]
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 200 + i) for i in range(60)] + [

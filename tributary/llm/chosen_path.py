@@ -6,7 +6,7 @@ share of tokens equal to their similarity. A recursion brings similar sets
 together: at a node, different places are drawn, the same for all sets of the
 node, and each set goes to one child node for each drawn place, named by its
 token there. Nodes with few sets are compared by brute force. In a large node
-all sets are compared with one of them; those like it are linked and leave, the
+all sets are compared with some of them; those like one are linked and leave, the
 others are split again, until no large node is left. Every node draws a place at
 least. The root draws as many as the target recall asks for; below it the draws
 make a pair at the threshold share more than one child of a node on average, so
@@ -40,6 +40,8 @@ CANDIDATE = 0.68
 #: In a large node, a set this like the pivot leaves. What is like such a set is like the pivot too (Jaccard
 #: distance is a metric), so everything from LINKED on is linked with the pivot, and no pair is lost.
 LEAVES, LINKED = 0.8, 0.45
+#: Pivots of a large node, so that its large groups leave at once and aren't drawn again and again.
+PIVOTS = 8
 #: Places drawn in a large node under the root, and, on average, in one further down. At 0.8 a pair shares 1.13 children
 #: of the latter, and a set of the former stays with it with probability 0.86 at any depth; sets less like each other
 #: than 0.7 share less than one, so that the recursion ends.
@@ -135,9 +137,10 @@ def _embed(draws: int, seed: int):
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h, row = shingle_sets(batch.column("text"))
+        embedded = tokens(h, row, batch.num_rows)
         yield pa.RecordBatch.from_arrays([
-            batch.column("sid"), pa.array([t.tobytes() for t in tokens(h, row, batch.num_rows)], pa.binary())],
-            names=["sid", "tokens"])
+            batch.column("sid"), pa.array([t.tobytes() for t in embedded], pa.binary()),
+            pa.array([t.tobytes() for t in embedded.astype(np.uint8)], pa.binary())], names=["sid", "tokens", "code"])
 
 
 # --- recursion --------------------------------------------------------------------------------------------
@@ -147,6 +150,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
+def _pivot_codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row PIVOTS set ids and low bytes of their tokens; a node with fewer pivots repeats its last."""
+    lists = [(x + x[-1:] * PIVOTS)[:PIVOTS] for x in column.to_pylist()]
+    sid = np.array([[p["pivot"] for p in x] for x in lists], np.int64)
+    return sid, np.frombuffer(b"".join(p["code"] for x in lists for p in x), np.uint8).reshape(-1, PIVOTS, PLACES)
+
+
 def children(node: np.ndarray, embedded: np.ndarray, draws: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows (ascending) and the child nodes they go to: ``draws`` different places on average, one less or more if
     that isn't whole, never none. Places and their number follow from the node, so are alike for all its sets."""
@@ -175,27 +185,35 @@ STEP = "node long, sid long, other long, tied long"
 
 
 def _pivot_step(draws: float, seed: int):
-    """Rows of large nodes with their pivot: links (node null) and, of the sets that stay, child nodes. ``tied`` is
-    the pivot if the set is linked with it."""
+    """Rows of large nodes with their pivots: links (node null) and, of the sets that stay, child nodes. ``tied`` is
+    the least pivot that the set is linked with. Pivots that a set is linked with are linked with one another through
+    the least of them, once a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            embedded, pivots = _matrix(batch.column("tokens")), _matrix(batch.column("pivot_tokens"))
-            sid, pivot = batch.column("sid").to_numpy(), batch.column("pivot").to_numpy()
-            like = alike(embedded, pivots)
-            link = (like >= LINKED) & (sid != pivot)
-            none = pa.nulls(int(link.sum()), _I64)
+            embedded, (pivots, codes) = _matrix(batch.column("tokens")), _pivot_codes(batch.column("pivots"))
+            sid = batch.column("sid").to_numpy()
+            like = alike(embedded[:, None, :], codes)
+            own = (sid[:, None] == pivots).any(axis=1)
+            near = (like >= LINKED) | (sid[:, None] == pivots)
+            link = near.any(axis=1)
+            least = np.where(near, pivots, np.iinfo(np.int64).max).min(axis=1)
+            pairs = np.unique(np.stack([pivots[near], np.repeat(least, PIVOTS).reshape(near.shape)[near]], axis=1), axis=0)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            some = link & ~own
+            a, b = np.append(sid[some], pairs[:, 0]), np.append(least[some], pairs[:, 1])
+            none = pa.nulls(len(a), _I64)
             names = ["node", "sid", "other", "tied"]
-            yield pa.RecordBatch.from_arrays([none, pa.array(sid[link]), pa.array(pivot[link]), none], names=names)
-            stay = np.flatnonzero((like < LEAVES) & (sid != pivot))
+            yield pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none], names=names)
+            stay = np.flatnonzero((like < LEAVES).all(axis=1) & ~own)
             node = batch.column("node").to_numpy().view(_U)[stay]
             row, child = children(W.mix(node), embedded[stay], draws, seed)
             row = stay[row]
             yield pa.RecordBatch.from_arrays([
                 pa.array(child.view(np.int64)), pa.array(sid[row]), pa.nulls(len(row), _I64),
-                pa.array(pivot[row], mask=~link[row])], names=names)
+                pa.array(least[row], mask=~link[row])], names=names)
     return run
 
 
@@ -219,7 +237,7 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for members in batch.column("members").to_pylist():
             sid = np.array([m["sid"] for m in members])
-            code = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(-1, PLACES).astype(np.uint8)
+            code = np.frombuffer(b"".join(m["code"] for m in members), np.uint8).reshape(-1, PLACES)
             near = np.stack([alike(code, row) for row in code]) >= CANDIDATE
             i, j = _stars(near)
             a += sid[i].tolist()
@@ -229,36 +247,37 @@ def _brute_force(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _nodes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``members`` (node, sid, tied) the nodes that others share: the sets of each small one as a list (sids), and
-    the rows (node, sid, pivot) of the large ones. Both written.
+    the large ones (node, pivots: PIVOTS of its sets or fewer, ascending). Both written.
 
     Nodes whose sets are all linked with one and the same pivot are in one group already, and go. Lists are made of
-    small nodes only, so they are bounded; the rows joined are those of large nodes, with a table of them that has
-    at most a row for every ``SMALL_NODE`` members."""
+    small nodes only, so they are bounded; of large nodes there is at most one for every ``SMALL_NODE`` members."""
     tied = [F.count("*").alias("n"), F.count("tied").alias("ties"), F.min("tied").alias("least"), F.max("tied").alias("most")]
     open_ = "n > 1 and (ties < n or least != most)"
-    pivot = F.min(F.struct(F.xxhash64("node", "sid").alias("h"), "sid"))["sid"].alias("pivot")
-    large = written(members.groupBy("node").agg(*tied, pivot).where(F.col("n") > SMALL_NODE).select(
-        "node", "pivot", F.expr(open_).alias("open")), "path-large")
+    pivots = [F.min(F.struct(F.xxhash64(F.lit(k), "node", "sid").alias("h"), "sid"))["sid"] for k in range(PIVOTS)]
+    large = written(members.groupBy("node").agg(*tied, F.array_sort(F.array_distinct(F.array(*pivots))).alias("pivots"))
+                    .where(F.col("n") > SMALL_NODE).select("node", "pivots", F.expr(open_).alias("open")), "path-large")
     small = members.join(large.select("node"), "node", "left_anti").groupBy("node").agg(
         *tied, F.sort_array(F.collect_set("sid")).alias("sids")).where(open_).where("size(sids) > 1").select("sids")
-    rows = members.select("node", "sid").join(large.where("open").select("node", "pivot"), "node")
-    return written(small.distinct(), "path-small"), written(rows, "path-nodes")
+    return written(small.distinct(), "path-small"), large.where("open").select("node", "pivots")
 
 
-def candidate_links(lists: DataFrame, large: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
+def candidate_links(lists: DataFrame, large: DataFrame, members: DataFrame, sets: DataFrame, seed: int) -> DataFrame:
     """Links (a, b) that connect all similar pairs, with the recall of the draws.
 
-    ``lists`` and ``large`` are the nodes under the roots (as ``_nodes`` gives them), ``sets`` the tokens of all their
-    sets."""
+    ``lists`` and ``large`` are the nodes under the roots (as ``_nodes`` gives them), ``members`` the rows (node, sid) of
+    the large ones at least, ``sets`` the tokens of all their sets. What is compared of the pivots' tokens goes to the
+    table of large nodes, so that each row of a large node is joined once by its node and once by its set."""
     found, small, draws = [], [lists], FIRST_DRAW
     while not large.isEmpty():
-        pivots = large.select("node", "pivot").distinct().join(
-            sets.select(F.col("sid").alias("pivot"), F.col("tokens").alias("pivot_tokens")), "pivot")
-        rows = large.select("node", "sid").join(pivots, "node").join(sets, "sid")
-        step = written(rows.select("node", "sid", "pivot", "tokens", "pivot_tokens")
+        pivots = (large.select("node", F.explode("pivots").alias("pivot"))
+                  .join(sets.select(F.col("sid").alias("pivot"), "code"), "pivot")
+                  .groupBy("node").agg(F.collect_list(F.struct("pivot", "code")).alias("pivots")))
+        rows = members.select("node", "sid").join(pivots, "node").join(sets.select("sid", "tokens"), "sid")
+        step = written(rows.select("node", "sid", "tokens", "pivots")
                        .mapInArrow(_pivot_step(draws, seed + 1), STEP), "path-step")
         found.append(step.where("node is null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
-        lists, large = _nodes(step.where("node is not null").select("node", "sid", "tied"))
+        members = step.where("node is not null").select("node", "sid", "tied")
+        lists, large = _nodes(members)
         small.append(lists)
         draws = DRAW
     lists = small[0]
@@ -266,8 +285,8 @@ def candidate_links(lists: DataFrame, large: DataFrame, sets: DataFrame, seed: i
         lists = lists.union(x)
     # draws bring the same sets together again and again: each list is compared once
     lists = lists.distinct().withColumn("list", F.xxhash64("sids"))
-    groups = (lists.select("list", F.explode("sids").alias("sid")).join(sets, "sid")
-              .groupBy("list").agg(F.collect_list(F.struct("sid", "tokens")).alias("members")).select("members"))
+    groups = (lists.select("list", F.explode("sids").alias("sid")).join(sets.select("sid", "code"), "sid")
+              .groupBy("list").agg(F.collect_list(F.struct("sid", "code")).alias("members")).select("members"))
     links = groups.mapInArrow(_brute_force, "a long, b long")
     for x in found:
         links = links.union(x)
@@ -398,16 +417,18 @@ def jaccard_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     sets = written(embedded.where("sid is not null").groupBy("sid").agg(
         F.count("*").alias("copies"), F.first("size").alias("size"), F.min("text_hash").alias("text_hash"),
         F.first("nodes").alias("nodes")), "sets")
-    lists, large = _nodes(sets.select(F.explode("nodes").alias("node"), "sid", F.lit(None).cast("long").alias("tied")))
+    members = sets.select(F.explode("nodes").alias("node"), "sid", F.lit(None).cast("long").alias("tied"))
+    lists, large = _nodes(members)
+    members = written(members.select("node", "sid").join(large, "node", "left_semi"), "path-nodes")
     # from here on only sets that share a node with another matter; one text for each of them
-    wanted = lists.select(F.explode("sids").alias("sid")).union(large.select("sid")).distinct().join(
+    wanted = lists.select(F.explode("sids").alias("sid")).union(members.select("sid")).distinct().join(
         sets.select("sid", "text_hash"), "sid")
     wanted = written(wanted, "wanted")
     some = rows.select("text_hash", "text").where(maybe_member(membership(wanted, "text_hash"), F.col("text_hash")))
     texts = some.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash").select("sid", "text")
     texts = written(texts, "wanted-texts")
-    embeddings = written(texts.mapInArrow(_tokens, "sid long, tokens binary"), "tokens")
-    groups = written(components(candidate_links(lists, large, embeddings, seed)), "candidate-groups")
+    embeddings = written(texts.mapInArrow(_tokens, "sid long, tokens binary, code binary"), "tokens")
+    groups = written(components(candidate_links(lists, large, members, embeddings, seed)), "candidate-groups")
     verified = verified_links(groups, sets, texts, similarity)
     near = verified.groupBy("sid").agg(F.sum("copies").alias("near"), F.sum("texts").alias("texts"))
     roots = components(verified.where("other is not null").select(F.col("sid").alias("a"), F.col("other").alias("b")))
