@@ -192,8 +192,10 @@ def _bounds(rows: DataFrame, ranges: int) -> list[tuple[int, int]]:
         most = max(hot.values())
         ties = rows.where(F.col("key").isin(list(hot))).groupBy("key").agg(
             F.percentile_approx("tie", [i / most for i in range(1, most)], 100_000).alias("cuts"))
-        for r in ties.collect():
-            bounds |= {(r.key, t) for t in r.cuts}
+        # the quantiles are rounded to doubles: a range begins at the least tie from its cut on
+        at = F.size(F.filter("cuts", lambda cut: cut <= F.col("tie")))
+        starts = rows.join(F.broadcast(ties), "key").groupBy("key", at.alias("at")).agg(F.min("tie").alias("tie"))
+        bounds |= {(r.key, r.tie) for r in starts.where("at > 0").collect()}
     return sorted(bounds)
 
 
