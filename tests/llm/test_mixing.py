@@ -118,7 +118,7 @@ def test_mixed_rows_keep_their_columns(spark):
 
 
 @pytest.mark.parametrize("aims", [
-    [(1, 0.01)] * 600 + [(1000, 30.0), (1000, 0.0)],  # the sum of many small targets goes to the quotients of a large one
+    [(1, 0.01)] * 3000 + [(1000, 5.0), (1000, 0.0)],  # the sum of many small targets goes to the quotients of a large one
     [(1, 0.49)] * 90 + [(4000, 1000.5), (3, 6.0), (0, 0.0)],
     [(50, 10.49)] * 70 + [(50, 10.49 * 3)] * 9 + [(9, 18.0)] * 5,  # equal quotients
     [(10_000, 7_000.2), (10_000, 333.3), (2, 4.0)],
